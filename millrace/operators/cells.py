@@ -97,3 +97,9 @@ def render_rows(cells: DataFrame, name: str = "text") -> DataFrame:
         F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "family", "_f"))), "|").alias("_r"))
     prefix = F.substring_index("row_key", "#", 1)
     return rows.select("row_key", F.concat(prefix, F.lit("#... "), F.col("_r")).alias(name))
+
+
+def write_sorted(cells: DataFrame, path: str) -> None:
+    """Store cells in key order: file and row-group statistics then serve key ranges."""
+    ordered = cells.repartitionByRange("row_key").sortWithinPartitions("row_key", "family", "qualifier")
+    ordered.write.mode("append").parquet(path)

@@ -1 +1,214 @@
-"""Queries."""
+"""Event-time windows, lateness, triggers and alerts, in batch form."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from millrace.operators import alerts as al
+from millrace.operators import windows as wn
+from millrace.operators.aggregates import sorted_set
+from millrace.operators.transforms import union_all
+from millrace.plans.registry import Tables, cents, money, query, stamp
+
+
+@query("window_sum_global", """
+    SELECT strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+           CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY 1""")
+def window_sum_global(t: Tables) -> DataFrame:
+    return t.events.groupBy(F.window("ts", "1 day")).agg(F.sum(money("value")).cast("double").alias("total")).select(
+        stamp("window.start").alias("window_start"), "total")
+
+
+@query("window_count_per_key", """
+    SELECT event_type AS key, strftime(time_bucket(INTERVAL 6 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS cnt,
+           strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS latest FROM events GROUP BY 1, 2""")
+def window_count_per_key(t: Tables) -> DataFrame:
+    """Counts per window, timestamped with the latest element."""
+    return t.events.groupBy(F.window("ts", "6 hours"), F.col("event_type").alias("key")).agg(
+        F.count("*").alias("cnt"), F.max("ts").alias("latest")).select(
+        "key", stamp("window.start").alias("window_start"), "cnt", stamp("latest").alias("latest"))
+
+
+@query("window_sum_per_key", """
+    SELECT event_type AS key, strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+           CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total,
+           strftime(time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY - INTERVAL 1 MILLISECOND, '%Y-%m-%d %H:%M:%S') AS output_ts
+    FROM events GROUP BY 1, 2, 4""")
+def window_sum_per_key(t: Tables) -> DataFrame:
+    """Sums per key and one-day window, timestamped with the window's last millisecond."""
+    return t.events.groupBy(F.window("ts", "1 day"), F.col("event_type").alias("key")).agg(
+        F.sum(money("value")).cast("double").alias("total")).select(
+        "key", stamp("window.start").alias("window_start"), "total", stamp(wn.output_time(F.col("window"))).alias("output_ts"))
+
+
+@query("window_sorted_set", """
+    SELECT strftime(time_bucket(INTERVAL 6 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+           string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS types FROM events GROUP BY 1""")
+def window_sorted_set(t: Tables) -> DataFrame:
+    return t.events.groupBy(F.window("ts", "6 hours")).agg(sorted_set(F.col("event_type")).alias("types")).select(
+        stamp("window.start").alias("window_start"), F.array_join("types", ",").alias("types"))
+
+
+@query("window_info", """
+    SELECT event_id, strftime(time_bucket(INTERVAL 10 SECOND, ts), '%Y-%m-%d %H:%M:%S') AS starts,
+           strftime(time_bucket(INTERVAL 10 SECOND, ts) + INTERVAL 10 SECOND, '%Y-%m-%d %H:%M:%S') AS ends FROM events""")
+def window_info(t: Tables) -> DataFrame:
+    rows = wn.window_bounds(t.events.select("event_id", "ts"), "ts", "10 seconds")
+    return rows.select("event_id", stamp("window_start").alias("starts"), stamp("window_end").alias("ends"))
+
+
+# --- lateness --------------------------------------------------------------
+
+def arrivals(t: Tables, minutes_per_tick: int) -> DataFrame:
+    """Events as an arrival log: each comes 0 to 96 minutes after it happened."""
+    minute = F.expr("unix_micros(ts) div 60000000") + F.pmod(F.col("event_id") * 7919, F.lit(97))
+    return t.events.select(F.col("event_type").alias("key"), cents("value").alias("value"), "ts", minute.alias("minute")).select(
+        "key", "value", "ts", F.expr(f"minute div {minutes_per_tick}").alias("tick"))
+
+
+def timed_sql(minutes_per_tick: int, window: str, lateness: str) -> str:
+    return f"""log AS (SELECT event_type AS key, CAST(CAST(value AS DECIMAL(18,2)) * 100 AS BIGINT) AS value, ts,
+                   (epoch_us(ts) // 60000000 + (event_id * 7919) % 97) // {minutes_per_tick} AS tick FROM events),
+      tops AS (SELECT tick, max(ts) AS top FROM log GROUP BY 1),
+      marks AS (SELECT tick, top, max(top) OVER (ORDER BY tick ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS wm FROM tops),
+      win AS (SELECT *, time_bucket(INTERVAL {window}, ts) AS w FROM log),
+      timed AS (SELECT key, value, ts, tick, w, CASE WHEN wm IS NULL OR wm < w + INTERVAL {window} THEN 'ON_TIME'
+                  WHEN wm < w + INTERVAL {window} + INTERVAL {lateness} THEN 'LATE' ELSE 'DROPPED' END AS timing
+                FROM win JOIN marks USING (tick))"""
+
+
+def _panes(panes: DataFrame) -> DataFrame:
+    return panes.select("key", stamp("window_start").alias("window_start"), "timing", F.col("pane").cast("bigint").alias("pane"), "total")
+
+
+@query("late_drop", f"""
+    WITH {timed_sql(10, "1 HOUR", "0 SECOND")}
+    SELECT key, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, timing, CAST(0 AS BIGINT) AS pane, CAST(sum(value) AS BIGINT) AS total
+    FROM timed WHERE timing = 'ON_TIME' GROUP BY 1, 2, 3""")
+def late_drop(t: Tables) -> DataFrame:
+    return _panes(wn.late_panes(arrivals(t, 10), ["key"], "value", "ts", "tick", "1 hour"))
+
+
+LATE_PANES = f"""WITH {timed_sql(10, "1 HOUR", "30 MINUTE")},
+    panes AS (SELECT key, w, timing, CASE WHEN timing = 'LATE' THEN tick END AS bundle, CAST(sum(value) AS BIGINT) AS total
+              FROM timed WHERE timing <> 'DROPPED' GROUP BY 1, 2, 3, 4),
+    numbered AS (SELECT *, CAST(sum(CASE WHEN timing = 'LATE' THEN 1 ELSE 0 END) OVER o AS BIGINT) AS pane,
+                        CAST(sum(total) OVER o AS BIGINT) AS so_far FROM panes
+                 WINDOW o AS (PARTITION BY key, w ORDER BY bundle NULLS FIRST ROWS UNBOUNDED PRECEDING))"""
+
+
+@query("late_pane_discarding", f"{LATE_PANES} SELECT key, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, timing, pane, total FROM numbered")
+def late_pane_discarding(t: Tables) -> DataFrame:
+    return _panes(wn.late_panes(arrivals(t, 10), ["key"], "value", "ts", "tick", "1 hour", "30 minutes"))
+
+
+@query("late_pane_accumulating", f"{LATE_PANES} SELECT key, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, timing, pane, so_far AS total FROM numbered")
+def late_pane_accumulating(t: Tables) -> DataFrame:
+    return _panes(wn.late_panes(arrivals(t, 10), ["key"], "value", "ts", "tick", "1 hour", "30 minutes", accumulate=True))
+
+
+@query("late_drop_beyond", f"""
+    WITH {timed_sql(10, "1 HOUR", "30 MINUTE")} SELECT key, timing, count(*) AS rows FROM timed GROUP BY 1, 2""")
+def late_drop_beyond(t: Tables) -> DataFrame:
+    """How many elements were on time, late and too late."""
+    return wn.dropped_rows(arrivals(t, 10), ["key"], "ts", "tick", "1 hour", "30 minutes")
+
+
+# --- triggers --------------------------------------------------------------
+
+def fold_sql(count: int, delay: int) -> str:
+    """The trigger's definition, step by step per key and window."""
+    return f"""WITH RECURSIVE {timed_sql(1, "6 HOUR", "45 MINUTE")},
+    steps AS (SELECT key, w, tick AS t, count(*) AS n, CAST(sum(value) AS BIGINT) AS s,
+                     row_number() OVER (PARTITION BY key, w ORDER BY tick) AS rn FROM timed WHERE timing <> 'DROPPED' GROUP BY 1, 2, 3),
+    ends AS (SELECT DISTINCT w FROM steps),
+    closes AS (SELECT w, coalesce(min(tick) FILTER (WHERE top >= w + INTERVAL 6 HOUR), (SELECT max(tick) FROM log)) AS c
+               FROM ends, tops GROUP BY 1),
+    st AS (SELECT steps.*, c FROM steps JOIN closes USING (w)),
+    fold AS (
+      SELECT key, w, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS f, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS s, max(c) AS c,
+             CAST(NULL AS VARCHAR) AS dt, CAST(0 AS BIGINT) AS dn, CAST(0 AS BIGINT) AS ds,
+             CAST(NULL AS VARCHAR) AS ft, CAST(0 AS BIGINT) AS fn, CAST(0 AS BIGINT) AS fs FROM st GROUP BY 1, 2
+      UNION ALL
+      SELECT key, w, rn, CASE WHEN n2 >= {count} THEN NULL ELSE f2 END, CASE WHEN n2 >= {count} THEN 0 ELSE n2 END,
+             CASE WHEN n2 >= {count} THEN 0 ELSE s2 END, c, dt, dn, ds,
+             CASE WHEN n2 >= {count} THEN CASE WHEN t <= c THEN 'EARLY' ELSE 'LATE' END END, n2, s2
+      FROM (SELECT *, CASE WHEN dt IS NOT NULL OR pn = 0 THEN xn ELSE pn + xn END AS n2,
+                   CASE WHEN dt IS NOT NULL OR pn = 0 THEN xs ELSE ps + xs END AS s2,
+                   CASE WHEN dt IS NOT NULL OR pn = 0 THEN t ELSE pf END AS f2
+            FROM (SELECT st.key, st.w, st.rn, st.t, st.c, st.n AS xn, st.s AS xs, fold.f AS pf, fold.n AS pn, fold.s AS ps,
+                         fold.n AS dn, fold.s AS ds,
+                         CASE WHEN fold.n > 0 AND (fold.f + {delay} < st.t OR (fold.f <= st.c AND st.c < st.t)) THEN
+                           CASE WHEN fold.f > st.c THEN 'LATE' WHEN fold.f + {delay} < st.c THEN 'EARLY' ELSE 'ON_TIME' END END AS dt
+                  FROM fold JOIN st ON st.key = fold.key AND st.w = fold.w AND st.rn = fold.rn + 1))),
+    fired AS (SELECT key, w, rn, 0 AS o, dt AS timing, dn AS cnt, ds AS total FROM fold WHERE dt IS NOT NULL
+      UNION ALL SELECT key, w, rn, 1, ft, fn, fs FROM fold WHERE ft IS NOT NULL
+      UNION ALL SELECT key, w, rn, 2, CASE WHEN f > c THEN 'LATE' WHEN f + {delay} < c THEN 'EARLY' ELSE 'ON_TIME' END, n, s
+        FROM (SELECT *, max(rn) OVER (PARTITION BY key, w) AS last FROM fold) WHERE rn = last AND n > 0)
+    SELECT key, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, timing,
+           row_number() OVER (PARTITION BY key, w ORDER BY rn, o) - 1 AS pane, total, cnt FROM fired"""
+
+
+def _triggered(t: Tables, **trigger) -> DataFrame:
+    panes = wn.triggered_panes(arrivals(t, 1), ["key"], "value", "ts", "tick", "6 hours", "45 minutes", **trigger)
+    return panes.select("key", stamp("window_start").alias("window_start"), "timing",
+                        F.col("pane").cast("bigint").alias("pane"), "total", "cnt")
+
+
+NEVER = 10**12
+
+
+@query("trigger_element_count", fold_sql(4, NEVER))
+def trigger_element_count(t: Tables) -> DataFrame:
+    return _triggered(t, count=4)
+
+
+@query("trigger_processing_delay", fold_sql(NEVER, 60))
+def trigger_processing_delay(t: Tables) -> DataFrame:
+    return _triggered(t, delay=60)
+
+
+@query("trigger_after_first", fold_sql(3, 40))
+def trigger_after_first(t: Tables) -> DataFrame:
+    return _triggered(t, count=3, delay=40)
+
+
+# --- alerts ----------------------------------------------------------------
+
+def _dense_sql(minutes: int, series: str) -> str:
+    return f"""(SELECT s.series, c.w, coalesce(n.cnt, 0) AS cnt
+      FROM (SELECT DISTINCT {series} AS series FROM events) s CROSS JOIN
+           (SELECT unnest(generate_series(min(w), max(w), INTERVAL {minutes} MINUTE)) AS w
+            FROM (SELECT time_bucket(INTERVAL {minutes} MINUTE, ts) AS w FROM events)) c
+      LEFT JOIN (SELECT {series} AS series, time_bucket(INTERVAL {minutes} MINUTE, ts) AS w, count(*) AS cnt FROM events GROUP BY 1, 2) n
+        ON n.series = s.series AND n.w = c.w)"""
+
+
+def _breach_sql(minutes: int, series: str, periods: int, limit: str) -> str:
+    return f"""(SELECT *, count(*) OVER o = {periods} AND max(cnt) OVER o < {limit} AS breach FROM {_dense_sql(minutes, series)}
+                WINDOW o AS (PARTITION BY series ORDER BY w ROWS BETWEEN {periods - 1} PRECEDING AND CURRENT ROW))"""
+
+
+@query("alert_low_volume", f"""
+    SELECT 'series ' || series AS alert, count(*) AS windows, strftime(min(w), '%Y-%m-%d %H:%M:%S') AS first_window
+    FROM {_breach_sql(3, "event_type", 5, "3")} WHERE breach GROUP BY 1
+    UNION ALL
+    SELECT 'all series', count(*), strftime(min(w), '%Y-%m-%d %H:%M:%S') FROM (
+      SELECT w FROM {_breach_sql(3, "event_type", 5, "3")} GROUP BY 1 HAVING bool_and(breach))
+    UNION ALL
+    SELECT 'rate', count(*), strftime(min(w), '%Y-%m-%d %H:%M:%S') FROM {_breach_sql(1, "'all'", 3, "6")} WHERE breach""")
+def alert_low_volume(t: Tables) -> DataFrame:
+    """Fewer than 3 per 3 minutes for 15 minutes, per series and in all; a total rate below 0.1/s for 3 minutes."""
+    def summary(rows: DataFrame, name) -> DataFrame:
+        return rows.groupBy(name.alias("alert")).agg(
+            F.count("*").alias("windows"), stamp(F.min("window_start")).alias("first_window"))
+
+    dense = al.dense_counts(t.events, "ts", "event_type", "3 minutes")
+    marked = al.below_threshold(dense, "event_type", 5, 3)
+    per_minute = al.summed_over_series(al.dense_counts(t.events, "ts", "event_type", "1 minute"))
+    slow = al.below_threshold(per_minute, "series", 3, 0.1, per_second=60)
+    return union_all([
+        summary(marked.where("breach"), F.concat(F.lit("series "), F.col("event_type"))),
+        summary(al.fire(marked, "event_type", "all"), F.lit("all series")),
+        summary(slow.where("breach"), F.lit("rate"))])

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+# Executors get our functions by value, so the package need not be installed on them.
+cloudpickle.register_pickle_by_value(sys.modules["millrace"])
+
 # Settings the results depend on; all of them can be changed on a running session.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
