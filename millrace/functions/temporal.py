@@ -18,12 +18,11 @@ def instant_of_log_line(line: Column) -> Column:
     return F.to_timestamp(F.substring(line, F.instr(line, ",") + 1, F.length(line)))
 
 
-def date_parts(ts: Column, minute: bool = False) -> dict[str, Column]:
-    """Columns of a ``year=/month=/day=/hour=`` directory layout, all of type string."""
-    parts = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
-    if minute:
-        parts["minute"] = "mm"
-    return {name: F.date_format(ts, pattern) for name, pattern in parts.items()}
+def date_parts(ts: Column, down_to: str = "hour") -> dict[str, Column]:
+    """Columns of a ``year=/month=/day=/hour=/minute=`` directory layout, all of type string."""
+    parts = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH", "minute": "mm"}
+    names = list(parts)[:list(parts).index(down_to) + 1]
+    return {name: F.date_format(ts, parts[name]) for name in names}
 
 
 def date_path(ts: Column, minute: bool = False) -> Column:

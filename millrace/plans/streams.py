@@ -1 +1,214 @@
-"""Queries."""
+"""Streaming queries: the tables read as streams and run to their end."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from millrace.functions import payload as pl
+from millrace.functions.temporal import instant_of_log_line
+from millrace.operators.joins import unique_map
+from millrace.operators.transforms import bucket_key, skewed_key
+from millrace.plans.payloads import BASIC, COUNTRY, MESSAGE_SQL, college_of_order, messages
+from millrace.plans.registry import Tables, cents, query, stamp
+from millrace.session import scratch_path
+from millrace.sources.generators import rate_steps
+from millrace.streaming import flows
+from millrace.streaming.runtime import (
+    END_OF_TIME, closing_heartbeat, run_each_batch, run_some_batches, run_to_table, stream_table,
+)
+from millrace.streaming.state import keyed_windows, stateful_batches
+
+LIST_SPAN = 4096
+
+
+def event_stream(t: Tables) -> DataFrame:
+    """Events as a stream that closes all its windows at the end."""
+    events = t("events")
+    rows = stream_table(t.spark, t.path("events"), events.schema)
+    return closing_heartbeat(rows.withColumn("ts", F.col("ts").cast("timestamp")), "ts")
+
+
+@query("stream_rate_agg", "SELECT event_type, count(*) AS cnt, CAST(sum(event_id) AS BIGINT) AS total FROM events GROUP BY 1")
+def stream_rate_agg(t: Tables) -> DataFrame:
+    """A paced sequence that draws the events by number, in four steps."""
+    events = t("events").select("event_id", "event_type")
+    per_step = -(-events.count() // 4)
+    ticks = rate_steps(t.spark, per_step)
+    drawn = ticks.join(events, F.col("value") == F.col("event_id")).select("event_id", "event_type")
+    return run_some_batches(drawn, "rate", 4).groupBy("event_type").agg(
+        F.count("*").alias("cnt"), F.sum("event_id").alias("total"))
+
+
+@query("stream_files_window", """
+    SELECT event_type AS key, strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS cnt,
+           min(strftime(ts, '%Y-%m-%dT%H:%M:%SZ')) AS first, max(strftime(ts, '%Y-%m-%dT%H:%M:%SZ')) AS last
+    FROM events GROUP BY 1, 2""")
+def stream_files_window(t: Tables) -> DataFrame:
+    """Log lines ``key,instant`` from files as they appear, windowed by the instant they carry."""
+    root = scratch_path(t.spark, "logs")
+    iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+    t.events.select(F.concat_ws(",", "event_type", F.date_format("ts", iso)).alias("value")).write.text(f"{root}/a")
+    t.spark.range(1).select(F.concat(F.lit("-,"), F.date_format(F.to_timestamp(F.lit(END_OF_TIME)), iso)).alias("value")).write.text(f"{root}/b")
+    lines = t.spark.readStream.text(f"{root}/*")
+    parsed = lines.select(F.substring_index("value", ",", 1).alias("key"), F.substring_index("value", ",", -1).alias("at"),
+                          instant_of_log_line(F.col("value")).alias("ts"))
+    windows = parsed.withWatermark("ts", "2 days").groupBy(F.window("ts", "1 hour"), "key").agg(
+        F.count("*").alias("cnt"), F.min("at").alias("first"), F.max("at").alias("last"))
+    return run_to_table(windows.select("key", stamp("window.start").alias("window_start"), "cnt", "first", "last"), "log-windows")
+
+
+def message_stream(t: Tables, copies: int) -> DataFrame:
+    """Messages as they lie in a bus's landing files."""
+    path = scratch_path(t.spark, "bus")
+    messages(t, copies).write.parquet(path)
+    return t.spark.readStream.schema("payload BINARY, attrs MAP<STRING,STRING>, msg_id STRING").parquet(path)
+
+
+@query("stream_dedup", """
+    SELECT CAST(event_id AS VARCHAR) AS body, 'm' || event_id AS id FROM events""")
+def stream_dedup(t: Tables) -> DataFrame:
+    """Every message was sent twice under one id attribute; one of each is kept."""
+    sent = flows.with_event_time(message_stream(t, 2), "et")
+    once = flows.deduplicated(sent, "msgAttrName", "event_ts", "1 hour")
+    return run_to_table(once.select(F.decode("payload", "UTF-8").alias("body"), F.col("attrs")["msgAttrName"].alias("id")), "once")
+
+
+@query("stream_messages", f"""
+    SELECT sink, slot, count(*) AS cnt, min(value) AS lo, max(value) AS hi FROM (
+      SELECT 'table' AS sink, strftime(ts, '%Y-%m') AS slot, ts, {MESSAGE_SQL} || event_id
+        || ', dataFreshnessMs=5000, customPublishTimeDataFreshnessMs=2000, customEventTimeDataFreshnessMs=5000' AS value FROM events
+      UNION ALL SELECT 'dated', strftime(ts, '%Y-%m-%d'), ts, {MESSAGE_SQL} || event_id
+        || ', dataFreshnessMs=5000, customPublishTimeDataFreshnessMs=2000, customEventTimeDataFreshnessMs=5000' FROM events
+      UNION ALL SELECT 'windowed', strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d_%H-%M-%S'), ts, {MESSAGE_SQL} || event_id
+        || ', dataFreshnessMs=5000, customPublishTimeDataFreshnessMs=2000, customEventTimeDataFreshnessMs=5000' FROM events)
+    GROUP BY 1, 2""")
+def stream_messages(t: Tables) -> DataFrame:
+    """Bus to table, dated files and windowed files: dedup, event time, windows, text records."""
+    sent = flows.with_event_time(message_stream(t, 1), "et")
+    once = flows.deduplicated(sent, "msgAttrName", "event_ts", "1 hour")
+    processed = F.col("event_ts") + F.expr("INTERVAL 5 SECONDS")
+    records = flows.message_records(once, "event_ts", processed, "1 day", dated="day")
+    root = scratch_path(t.spark, "messages")
+    run_each_batch(records, "messages", flows.write_three_ways(root))
+    dated = "value STRING, batch INT, year STRING, month STRING, day STRING"
+    sinks = [
+        t.spark.read.parquet(f"{root}/table").select(F.lit("table").alias("sink"), F.concat_ws("-", "year", "month").alias("slot"), "value"),
+        t.spark.read.schema(dated).parquet(f"{root}/dated").select(
+            F.lit("dated").alias("sink"), F.concat_ws("-", "year", "month", "day").alias("slot"), "value"),
+        t.spark.read.schema("value STRING, batch INT, win_start STRING").parquet(f"{root}/windowed").select(
+            F.lit("windowed").alias("sink"), F.col("win_start").alias("slot"), "value")]
+    rows = sinks[0].unionByName(sinks[1]).unionByName(sinks[2])
+    return rows.groupBy("sink", "slot").agg(F.count("*").alias("cnt"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+
+
+@query("stream_to_table", "SELECT event_type, count(*) AS cnt, CAST(sum(event_id) AS BIGINT) AS total FROM events GROUP BY 1")
+def stream_to_table(t: Tables) -> DataFrame:
+    """Micro-batches appended to a table; a batch that is repeated replaces its first try."""
+    root = scratch_path(t.spark, "loads")
+    events = stream_table(t.spark, t.path("events"), t("events").schema)
+    run_each_batch(events.select("event_id", "event_type"), "loads", flows.append_batches(root))
+    return t.spark.read.parquet(root).groupBy("event_type").agg(
+        F.count("*").alias("cnt"), F.sum("event_id").alias("total"))
+
+
+@query("stream_window_concat", f"""
+    SELECT event_type AS key, strftime(time_bucket(INTERVAL 6 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_id // {LIST_SPAN} AS block,
+           string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS ids FROM events GROUP BY 1, 2, 3""")
+def stream_window_concat(t: Tables) -> DataFrame:
+    rows = event_stream(t).withColumnRenamed("event_type", "key")
+    lists = flows.windowed_lists(rows, "ts", ["key"], F.col("event_id"), "event_id", "6 hours", LIST_SPAN)
+    return run_to_table(lists.select("key", stamp("window_start").alias("window_start"), "block",
+                                     F.array_join("values", ",").alias("ids")), "concat")
+
+
+@query("stream_bucket_groups", f"""
+    SELECT CASE WHEN event_id % 2000 < 10 THEN 'a' WHEN event_id % 2000 < 100 THEN 'b' WHEN event_id % 2000 < 1000 THEN 'c' ELSE 'd' END AS bucket,
+           strftime(time_bucket(INTERVAL 12 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_id // {LIST_SPAN} AS block,
+           string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS ids FROM events GROUP BY 1, 2, 3""")
+def stream_bucket_groups(t: Tables) -> DataFrame:
+    key = bucket_key(F.col("event_id") % 2000, [(10, "a"), (100, "b"), (1000, "c")], "d")
+    lists = flows.windowed_lists(event_stream(t).withColumn("bucket", key), "ts", ["bucket"], F.col("event_id"), "event_id", "12 hours", LIST_SPAN)
+    return run_to_table(lists.select("bucket", stamp("window_start").alias("window_start"), "block",
+                                     F.array_join("values", ",").alias("ids")), "groups")
+
+
+@query("stream_xml_window_sum", f"""
+    SELECT layout, strftime(time_bucket(INTERVAL 30 DAY, o_orderdate, TIMESTAMP '1970-01-01'), '%Y-%m-%d %H:%M:%S') AS window_start, {COUNTRY} AS country,
+           CAST(sum({BASIC}) AS BIGINT) AS total
+    FROM orders CROSS JOIN (VALUES ('plain'), ('salted')) AS l(layout) GROUP BY 1, 2, 3""")
+def stream_xml_window_sum(t: Tables) -> DataFrame:
+    """Compressed documents summed per window and key, parsed before the shuffle; once plain, once salted."""
+    path = scratch_path(t.spark, "xml")
+    packed = t("orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("ts"),
+                                pl.gzip(F.encode(college_of_order(), "UTF-8")).alias("payload"))
+    packed.write.parquet(path)
+    stream = closing_heartbeat(t.spark.readStream.schema(packed.schema).parquet(path), "ts")
+    salary = pl.basic_salary_sum(pl.parse_college(pl.gunzip_text(F.col("payload"))))
+    parsed = stream.select("ts", "o_orderkey", skewed_key(F.col("o_orderkey")).alias("country"), salary.alias("basic"))
+    layouts = {"plain": None, "salted": F.pmod("o_orderkey", F.lit(10))}
+    done = []
+    for name, salt in layouts.items():
+        sums = flows.windowed_sums(parsed, "ts", ["country"], F.col("basic"), "30 days", salt=salt)
+        done.append(run_to_table(sums.select(F.lit(name).alias("layout"), stamp("window_start").alias("window_start"), "country", "total"), name))
+    return done[0].unionByName(done[1])
+
+
+# --- keyed state -----------------------------------------------------------
+
+def emit_size(key, values, why):
+    yield (*key, len(values), why)
+
+
+def _sizes(t: Tables, size: int, shards: int, window: str) -> DataFrame:
+    """Sizes of the batches per key, shard and window."""
+    rows = event_stream(t).withColumn("shard", F.col("event_id") % shards)
+    batches = stateful_batches(keyed_windows(rows, "ts", window), ["event_type", "shard"], "event_id", size, emit_size,
+                               T.StructType().add("event_type", "string").add("shard", "long").add("window_end_ms", "long")
+                               .add("size", "long").add("why", "string"))
+    return run_to_table(batches, "batches").groupBy(
+        "event_type", "shard", F.date_format(F.timestamp_millis("window_end_ms"), "yyyy-MM-dd").alias("window_end"), "size", "why").agg(
+        F.count("*").alias("batches"))
+
+
+def _sizes_sql(size: int, shards: int) -> str:
+    return f"""WITH g AS (SELECT event_type, event_id % {shards} AS shard,
+        strftime(time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY, '%Y-%m-%d') AS window_end, count(*) AS n FROM events GROUP BY 1, 2, 3)
+      SELECT event_type, shard, window_end, CAST({size} AS BIGINT) AS size, 'FULL' AS why, n // {size} AS batches FROM g WHERE n >= {size}
+      UNION ALL SELECT event_type, shard, window_end, n % {size}, 'REST', 1 FROM g WHERE n % {size} > 0"""
+
+
+@query("stream_group_into_batches", _sizes_sql(5, 4))
+def stream_group_into_batches(t: Tables) -> DataFrame:
+    """Batches of 5 per key in one-day windows; keys are sharded, so a hot one has several buffers."""
+    return _sizes(t, 5, 4, "1 day")
+
+
+@query("stream_state_pairs", _sizes_sql(2, 1))
+def stream_state_pairs(t: Tables) -> DataFrame:
+    """Value and list state that act on every second element; a timer flushes the rest at the window's end."""
+    return _sizes(t, 2, 1, "1 day")
+
+
+def emit_enriched(key, values, why):
+    for value in values:
+        event_id, name, last = value.split("|")
+        yield int(event_id), f"{name}:{last or 'UNKNOWN'}"
+
+
+@query("stream_enrich_batched", """
+    SELECT event_id, user_id || ':' || coalesce(o_orderpriority, 'UNKNOWN') AS enriched FROM events
+    LEFT JOIN (SELECT o_custkey, max_by(o_orderpriority, o_orderkey) AS o_orderpriority FROM orders WHERE o_totalprice > 300000 GROUP BY 1)
+    ON user_id = o_custkey""")
+def stream_enrich_batched(t: Tables) -> DataFrame:
+    """Elements enriched in batches of 2 per key, the rest when the window expires."""
+    service = t("orders").where("o_totalprice > 300000").groupBy("o_custkey").agg(
+        F.max_by("o_orderpriority", "o_orderkey").alias("last"))
+    rows = event_stream(t)
+    looked_up = rows.join(unique_map(service, "o_custkey", "last"), F.col("user_id") == F.col("o_custkey"), "left")
+    packed = looked_up.withColumn("packed", F.concat_ws(
+        "|", F.col("event_id").cast("string"), F.col("user_id").cast("string"), F.coalesce("last", F.lit(""))))
+    batches = stateful_batches(keyed_windows(packed.withColumn("shard", F.col("event_id") % 4), "ts", "1 day"), ["event_type", "shard"],
+                               "packed", 2, emit_enriched, T.StructType().add("event_id", "long").add("enriched", "string"))
+    return run_to_table(batches, "enriched")

@@ -20,8 +20,8 @@ def with_event_time(messages: DataFrame, attribute: str, name: str = "event_ts")
     return messages.withColumn(name, attribute_time(F.col("attrs"), attribute))
 
 
-def message_records(messages: DataFrame, ts: str, processed: Column, window: str) -> DataFrame:
-    """One text column per message, next to its window and its date path columns."""
+def message_records(messages: DataFrame, ts: str, processed: Column, window: str, dated: str = "hour") -> DataFrame:
+    """One text column per message, next to its window and its date path columns (year down to ``dated``)."""
     publish, event = attribute_time(F.col("attrs"), "pt"), attribute_time(F.col("attrs"), "et")
     text = message_text(
         F.col("payload"), F.col("attrs"), F.col("msg_id"),
@@ -30,7 +30,7 @@ def message_records(messages: DataFrame, ts: str, processed: Column, window: str
         customEventTimeDataFreshnessMs=freshness_ms(processed, event))
     return messages.select(
         text.alias("value"), F.date_format(F.window(F.col(ts), window)["start"], "yyyy-MM-dd_HH-mm-ss").alias("win_start"),
-        *[c.alias(n) for n, c in date_parts(F.col(ts)).items()])
+        *[c.alias(n) for n, c in date_parts(F.col(ts), dated).items()])
 
 
 def write_three_ways(root: str):
@@ -41,7 +41,7 @@ def write_three_ways(root: str):
         loaded = f"{root}/table/batch={batch_id}"
         rows.write.mode("overwrite").parquet(loaded)
         stored = rows.sparkSession.read.parquet(loaded)
-        dated = ["year", "month", "day", "hour"]
+        dated = [c for c in stored.columns if c not in ("value", "win_start")]
         stored.drop("win_start").hint("rebalance", *dated).write.mode("overwrite").partitionBy(*dated).parquet(
             f"{root}/dated/batch={batch_id}")
         stored.select("value", "win_start").hint("rebalance", "win_start").write.mode("overwrite").partitionBy(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,25 @@ def run_to_table(stream: DataFrame, name: str, partition_by: list[str] | None =
     return spark.read.schema(_nullable(stream.schema)).parquet(out)
 
 
+def run_some_batches(stream: DataFrame, name: str, batches: int, seconds: float = 300) -> DataFrame:
+    """Run an endless stream until that many micro-batches are committed, and read the files back."""
+    spark = stream.sparkSession
+    out = scratch_path(spark, name)
+    query = (stream.writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", scratch_path(spark, f"{name}-progress"))
+             .trigger(processingTime="0 seconds").start())
+    deadline = time.monotonic() + seconds
+    try:
+        while (query.lastProgress or {}).get("batchId", -1) < batches - 1:
+            if time.monotonic() > deadline:
+                raise TimeoutError(f"{name}: fewer than {batches} batches in {seconds} s")
+            if query.awaitTermination(0.1):
+                break
+    finally:
+        query.stop()
+    return spark.read.schema(_nullable(stream.schema)).parquet(out)
+
+
 def run_each_batch(stream: DataFrame, name: str, write: Callable[[DataFrame, int], None],
                    every: str | None = None) -> None:
     """Hand every micro-batch to ``write(rows, batch_id)``; ``write`` must allow a batch to be repeated.

@@ -23,12 +23,18 @@ def keyed_windows(stream: DataFrame, ts: str, duration: str, lateness: str = "0
 class BatchBuffer(StatefulProcessor):
     """Collect the values of a key and window; emit at ``size``, and the rest when the window ends.
 
-    ``act`` turns a full or final batch into output rows. The buffer never holds more
+    ``act`` turns a full or final batch into output tuples. The buffer never holds more
     than ``size`` values.
     """
 
-    def __init__(self, size: int, act: Callable[[tuple, list[Any], str], Iterator[Row]], value_type: str):
-        self.size, self.act, self.value_type = size, act, value_type
+    def __init__(self, size: int, act: Callable[[tuple, list[Any], str], Iterator[tuple]], value_type: str,
+                 columns: list[str]):
+        self.size, self.act, self.value_type, self.columns = size, act, value_type, columns
+
+    def _rows(self, key, values, why) -> Iterator[Row]:
+        row = Row(*self.columns)
+        for fields in self.act(tuple(key), values, why):
+            yield row(*fields)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -43,7 +49,7 @@ class BatchBuffer(StatefulProcessor):
         for row in rows:
             held.append(row["value"])
             if len(held) >= self.size:
-                yield from self.act(key, held, "FULL")
+                yield from self._rows(key, held, "FULL")
                 held = []
         self.count.update((len(held),))
         if held:
@@ -54,7 +60,7 @@ class BatchBuffer(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         held = [r[0] for r in self.buffer.get()]
         if held:
-            yield from self.act(key, held, "REST")
+            yield from self._rows(key, held, "REST")
         self.buffer.clear()
         self.count.clear()
 
@@ -63,12 +69,12 @@ class BatchBuffer(StatefulProcessor):
 
 
 def stateful_batches(stream: DataFrame, keys: list[str], value: str, size: int,
-                     act: Callable[[tuple, list[Any], str], Iterator[Row]], output: str) -> DataFrame:
+                     act: Callable[[tuple, list[Any], str], Iterator[tuple]], output: T.StructType) -> DataFrame:
     """Apply :class:`BatchBuffer` per key and window; ``stream`` comes from :func:`keyed_windows`."""
     value_type = stream.schema[value].dataType.simpleString()
     narrow = stream.select(*keys, "window_end_ms", F.col(value).alias("value"))
     return narrow.groupBy(*keys, "window_end_ms").transformWithState(
-        statefulProcessor=BatchBuffer(size, act, value_type), outputStructType=output,
+        statefulProcessor=BatchBuffer(size, act, value_type, output.names), outputStructType=output,
         outputMode="Append", timeMode="EventTime")
 
 
@@ -80,8 +86,9 @@ class PaneProcessor(StatefulProcessor):
     micro-batch are handled before its timers, so every call first fires what is due.
     """
 
-    def __init__(self, lateness_ms: int, accumulate: bool = False, count: int | None = None,
+    def __init__(self, columns: list[str], lateness_ms: int, accumulate: bool = False, count: int | None = None,
                  delay_ms: int | None = None):
+        self.columns = columns
         self.lateness_ms, self.accumulate, self.count, self.delay_ms = lateness_ms, accumulate, count, delay_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -93,7 +100,7 @@ class PaneProcessor(StatefulProcessor):
 
     def _fire(self, key, state, timing):
         total, _, closed, _, latest, number = state
-        out = Row(*key[:-1], key[-1], number, timing, total, latest)
+        out = Row(*self.columns)(*key, number, timing, total, latest)
         kept = (total if self.accumulate else 0, 0, closed, None, None if not self.accumulate else latest, number + 1)
         return out, kept
 
@@ -181,5 +188,5 @@ def streaming_panes(stream: DataFrame, keys: list[str], value: str, ts: str, dur
         T.StructField("timing", T.StringType()), T.StructField("total", T.LongType()),
         T.StructField("latest_us", T.LongType())])
     return narrow.groupBy(*keys, "window_end_ms").transformWithState(
-        statefulProcessor=PaneProcessor(lateness_ms, accumulate, count, delay_ms), outputStructType=output,
+        statefulProcessor=PaneProcessor(output.names, lateness_ms, accumulate, count, delay_ms), outputStructType=output,
         outputMode="Append", timeMode="EventTime" if delay_ms is None else "ProcessingTime")
