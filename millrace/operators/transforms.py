@@ -29,6 +29,15 @@ def map_partitions_with_setup(df: DataFrame, setup: Callable[[], object],
     return df.mapInPandas(run, schema)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores for CPU-heavy steps over a table that is read in fewer splits than there are cores.
+
+    A table with enough splits, as any large one has, is returned as it is and not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def flatten_lists(df: DataFrame, column: str, name: str) -> DataFrame:
     """One row per element of an array column; empty and NULL arrays give none."""
     others = [c for c in df.columns if c != column]

@@ -154,7 +154,7 @@ def udf_factorial_digits(t: Tables) -> DataFrame:
     SELECT word, count(*) AS cnt FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents)
     WHERE word <> '' GROUP BY 1""")
 def flatmap_explode(t: Tables) -> DataFrame:
-    words = t("documents").select(F.explode(F.split("text", " ")).alias("word"))
+    words = tr.spread(t("documents").select("text")).select(F.explode(F.split("text", " ")).alias("word"))
     return words.where("word <> ''").groupBy("word").agg(F.count("*").alias("cnt"))
 
 

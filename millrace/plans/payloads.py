@@ -9,7 +9,7 @@ from millrace.functions import payload as pl
 from millrace.functions.messages import message_text
 from millrace.functions.records import json_row, typed_record
 from millrace.functions.temporal import freshness_ms
-from millrace.operators.transforms import COUNTRIES, route, skewed_key, union_all
+from millrace.operators.transforms import COUNTRIES, route, skewed_key, spread, union_all
 from millrace.plans.registry import Tables, query
 from millrace.schemas import OPTIONAL_RECORD, REQUIRED_RECORD
 from millrace.session import scratch_path
@@ -24,15 +24,19 @@ def college_of_order(shift: int = 0) -> Column:
         (F.col("o_orderkey") % 1000 + 103, "IT", F.lit(35000))])
 
 
+def spread_orders(t: Tables) -> DataFrame:
+    return spread(t("orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"), "o_orderkey")
+
+
 def college_payloads(t: Tables) -> DataFrame:
     """One compressed college document per order."""
-    return t("orders").select("o_orderkey", pl.gzip(F.encode(college_of_order(), "UTF-8")).alias("payload"))
+    return spread_orders(t).select("o_orderkey", pl.gzip(F.encode(college_of_order(), "UTF-8")).alias("payload"))
 
 
 def multi_payloads(t: Tables) -> DataFrame:
     """Three documents per payload."""
     texts = [college_of_order(shift) for shift in (0, 1, 2)]
-    return t("orders").select("o_orderkey", pl.gzip(F.encode(F.concat_ws("\n", *texts), "UTF-8")).alias("payload"))
+    return spread_orders(t).select("o_orderkey", pl.gzip(F.encode(F.concat_ws("\n", *texts), "UTF-8")).alias("payload"))
 
 
 BASIC = "CAST(floor(o_totalprice) AS BIGINT) + o_custkey + 35000"

@@ -10,7 +10,7 @@ from millrace.functions import payload as pl
 from millrace.functions.temporal import instant_of_log_line
 from millrace.operators.joins import unique_map
 from millrace.operators.transforms import bucket_key, skewed_key
-from millrace.plans.payloads import BASIC, COUNTRY, MESSAGE_SQL, college_of_order, messages
+from millrace.plans.payloads import BASIC, COUNTRY, MESSAGE_SQL, college_of_order, messages, spread_orders
 from millrace.plans.registry import Tables, cents, query, stamp
 from millrace.session import scratch_path
 from millrace.sources.generators import rate_steps
@@ -141,7 +141,7 @@ def stream_bucket_groups(t: Tables) -> DataFrame:
 def stream_xml_window_sum(t: Tables) -> DataFrame:
     """Compressed documents summed per window and key, parsed before the shuffle; once plain, once salted."""
     path = scratch_path(t.spark, "xml")
-    packed = t("orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("ts"),
+    packed = spread_orders(t).select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("ts"),
                                 pl.gzip(F.encode(college_of_order(), "UTF-8")).alias("payload"))
     packed.write.parquet(path)
     stream = closing_heartbeat(t.spark.readStream.schema(packed.schema).parquet(path), "ts")
