@@ -57,12 +57,14 @@ def time_from_micros(micros: Column) -> Column:
 
 
 def decimal_scale9(number: Column) -> Column:
-    """DECIMAL(38,9), and an error for numbers with more than nine decimals."""
-    exact = number.cast("decimal(38,18)")
-    scaled = number.cast("decimal(38,9)")
-    return F.when(number.isNull() | (exact == scaled), scaled).otherwise(
-        F.raise_error(F.concat(F.lit("more than 9 decimals: "), number.cast("string"))).cast("decimal(38,9)")
-    )
+    """DECIMAL(38,9) of a decimal or of number text, and an error for more than nine decimals.
+
+    The digits are looked at as text: comparing decimals would round them to a common scale first.
+    """
+    text = number.cast("string")
+    fits = text.rlike(r"^[+-]?\d*(\.\d{0,9}0*)?$") | (number.cast("double") == 0)
+    return F.when(number.isNull() | fits, number.cast("decimal(38,9)")).otherwise(
+        F.raise_error(F.concat(F.lit("more than 9 decimals: "), text)).cast("decimal(38,9)"))
 
 
 def freshness_ms(processed: Column, event: Column) -> Column:

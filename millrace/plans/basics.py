@@ -346,8 +346,8 @@ def kv_reverse_ts_key(t: Tables) -> DataFrame:
            CAST(max(CAST(l_tax AS DECIMAL(38,9))) AS VARCHAR) AS max_tax
     FROM lineitem GROUP BY 1""")
 def decimal_scale9_query(t: Tables) -> DataFrame:
-    exact = t("lineitem").select("l_returnflag", decimal_scale9(F.col("l_discount").cast("string").cast("decimal(38,18)")).alias("d"),
-                                 decimal_scale9(F.col("l_tax").cast("string").cast("decimal(38,18)")).alias("x"))
+    exact = t("lineitem").select("l_returnflag", decimal_scale9(F.col("l_discount").cast("string")).alias("d"),
+                                 decimal_scale9(F.col("l_tax").cast("string")).alias("x"))
     return exact.groupBy("l_returnflag").agg(
         (F.sum("d") * 100).cast("bigint").cast("string").alias("hundredths"), F.max("x").cast("string").alias("max_tax"))
 
