@@ -15,33 +15,23 @@ from pyspark.sql import functions as F
 BLOCK_SPAN = 65_536
 
 
-def _same(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
-    condition = F.lit(True)
-    for l, r in pairs:
-        condition = condition & left[l].eqNullSafe(right[r])
-    return condition
-
-
 def ranked(df: DataFrame, keys: list[str], seq: str, name: str = "rn", span: int = BLOCK_SPAN) -> DataFrame:
     """Add the 1-based rank of each row within ``keys`` in the order of ``seq``.
 
     ``seq`` is a unique integer column, so a block holds at most ``span`` rows whatever
     the size of its key.
     """
-    blocked = df.withColumn("_block", F.expr(f"{seq} div {span}"))
-    in_block = W.partitionBy(*keys, "_block").orderBy(seq)
-    rows = blocked.withColumn("_in_block", F.row_number().over(in_block))
-
-    before = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    counts = blocked.groupBy(*keys, "_block").agg(F.count("*").alias("_rows"))
-    offsets = counts.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col("_block").alias("_k_block"),
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
-    )
-    pairs = [(k, f"_k_{k}") for k in keys] + [("_block", "_k_block")]
-    joined = rows.join(offsets, _same(rows, offsets, pairs), "inner")
-    return joined.select(*df.columns, (F.col("_before") + F.col("_in_block")).alias(name))
+    # One struct column stands for key and block: window, counts and join then share a single
+    # exchange of the rows, and NULL keys compare as equal.
+    block = F.struct(*keys, F.expr(f"{seq} div {span}").alias("_block"))
+    blocked = df.withColumn("_group", block)
+    rows = blocked.withColumn("_in_block", F.row_number().over(W.partitionBy("_group").orderBy(seq)))
+
+    counts = blocked.groupBy("_group").agg(F.count(F.lit(1)).alias("_rows"))
+    before = W.partitionBy(*[f"_group.{k}" for k in keys]).orderBy("_group._block").rowsBetween(W.unboundedPreceding, -1)
+    offsets = counts.select("_group", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    return rows.join(offsets, "_group", "inner").select(
+        *df.columns, (F.col("_before") + F.col("_in_block")).alias(name))
 
 
 def paged(df: DataFrame, keys: list[str], seq: str, size: int, name: str = "page",
