@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.session import stored
+
 
 def dense_counts(df: DataFrame, ts: str, series: str, period: str) -> DataFrame:
     """Rows per series and period, with a 0 for every period a series was silent in.
 
-    Counts are combined before they meet the calendar, whose size is series x periods.
+    The rows are read once; their counts are kept, since they give the series, the span and
+    the figures of the calendar, whose size is series x periods.
     """
-    counts = df.groupBy(series, F.window(ts, period).alias("_w")).agg(F.count(F.lit(1)).alias("cnt")).select(
-        series, F.col("_w.start").alias("window_start"), "cnt")
+    counts = stored(df.groupBy(series, F.window(ts, period).alias("_w")).agg(F.count(F.lit(1)).alias("cnt")).select(
+        series, F.col("_w.start").alias("window_start"), "cnt"), "counts")
     span = counts.agg(F.struct(F.min("window_start").alias("lo"), F.max("window_start").alias("hi")))
     calendar = counts.select(series).distinct().withColumn("_span", span.scalar()).select(
         series, F.explode(F.sequence("_span.lo", "_span.hi", F.expr(f"INTERVAL {period}"))).alias("window_start"))

@@ -6,6 +6,8 @@ watermark a row meets is the largest event time of strictly earlier ticks, and
 triggers are looked at once per tick. Ticks are units of processing time, so their
 number depends on the time covered and not on the number of rows; rows are combined
 per key, window and tick before anything is put in order.
+
+The log is read twice: once for the (stored) table of ticks, once for the rows.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.operators.ranking import running_max
+from millrace.session import stored
 
 TICK_BLOCK = 10_000
 
@@ -30,16 +33,29 @@ def output_time(window: Column) -> Column:
     return window["end"] - F.expr("INTERVAL 1 MILLISECOND")
 
 
-def with_timing(log: DataFrame, ts: str, tick: str, duration: str, lateness: str) -> DataFrame:
+def tick_table(log: DataFrame, ts: str, tick: str, duration: str) -> DataFrame:
+    """``_tick, _end, _top``: largest event time per tick and window end, stored."""
+    ends = log.groupBy(F.col(tick).alias("_tick"), F.window(ts, duration)["end"].alias("_end"))
+    return stored(ends.agg(F.max(ts).alias("_top")), "ticks")
+
+
+def _watermarks(ticks: DataFrame) -> DataFrame:
+    """``_tick, _top, _watermark``: the watermark is what the ticks before have seen."""
+    tops = ticks.groupBy("_tick").agg(F.max("_top").alias("_top"))
+    return running_max(tops, "_tick", "_top", "_watermark", TICK_BLOCK)
+
+
+def with_timing(log: DataFrame, ts: str, tick: str, duration: str, lateness: str,
+                ticks: DataFrame | None = None) -> DataFrame:
     """Add the window and ``timing``: ON_TIME, LATE (within the allowed lateness) or DROPPED."""
-    per_tick = log.groupBy(F.col(tick).alias("_t")).agg(F.max(ts).alias("_top"))
-    marks = running_max(per_tick, "_t", "_top", "_watermark", TICK_BLOCK).select("_t", "_watermark")
-    rows = window_bounds(log, ts, duration).join(marks, F.col(tick) == F.col("_t"), "inner")
+    ticks = tick_table(log, ts, tick, duration) if ticks is None else ticks
+    marks = _watermarks(ticks).select("_tick", "_watermark")
+    rows = window_bounds(log, ts, duration).join(marks, F.col(tick) == F.col("_tick"), "inner")
     timing = (
         F.when(F.col("_watermark").isNull() | (F.col("_watermark") < F.col("window_end")), "ON_TIME")
         .when(F.col("_watermark") < F.col("window_end") + F.expr(f"INTERVAL {lateness}"), "LATE")
         .otherwise("DROPPED"))
-    return rows.withColumn("timing", timing).drop("_t", "_watermark")
+    return rows.withColumn("timing", timing).drop("_tick", "_watermark")
 
 
 def late_panes(log: DataFrame, keys: list[str], value: str, ts: str, tick: str, duration: str,
@@ -78,17 +94,13 @@ def triggered_panes(log: DataFrame, keys: list[str], value: str, ts: str, tick:
     when the watermark passes the window's end is fired ON_TIME, later panes are LATE.
     At most (window + lateness) / tick combined rows of a key and window are folded together.
     """
-    timed = with_timing(log, ts, tick, duration, lateness).where(F.col("timing") != "DROPPED")
+    ticks = tick_table(log, ts, tick, duration)
+    timed = with_timing(log, ts, tick, duration, lateness, ticks).where(F.col("timing") != "DROPPED")
     steps = timed.groupBy(*keys, "window_start", "window_end", F.col(tick).alias("_t")).agg(
         F.count(F.lit(1)).cast("bigint").alias("_n"), F.sum(value).cast("bigint").alias("_s"),
         F.max(ts).alias("_m"))
-
-    # The tick at which a window closes: the first one whose rows take the watermark to its end.
-    per_tick = log.groupBy(F.col(tick).alias("_tick")).agg(F.max(ts).alias("_top"))
-    reached = running_max(per_tick, "_tick", "_top", "_before", TICK_BLOCK).where(
-        F.col("_before").isNull() | (F.col("_top") > F.col("_before")))
-    closes = _closing_ticks(steps, reached)
-    last_tick = log.agg(F.max(tick)).scalar()
+    closes = _closing_ticks(ticks)
+    last_tick = ticks.agg(F.max("_tick")).scalar()
 
     step = F.struct(F.col("_t").alias("t"), F.col("_n").alias("n"), F.col("_s").alias("s"), F.col("_m").alias("m"))
     windows = steps.groupBy(*keys, "window_start", "window_end").agg(F.array_sort(F.collect_list(step)).alias("_steps"))
@@ -142,13 +154,16 @@ def triggered_panes(log: DataFrame, keys: list[str], value: str, ts: str, tick:
                         F.col("p.n").alias("cnt"), total.alias("total"), F.col("p.m").alias("latest_ts"))
 
 
-def _closing_ticks(steps: DataFrame, reached: DataFrame) -> DataFrame:
-    """``window_end, _close``: ends and watermark steps merged in time order, next step looked up."""
-    ends = steps.select("window_end").distinct().select(
-        F.col("window_end").alias("at"), F.lit(None).cast("bigint").alias("_tick"), F.lit(1).alias("is_end"))
-    marks = reached.select(F.col("_top").alias("at"), F.col("_tick"), F.lit(0).alias("is_end"))
-    # Watermark steps rise with their tick, so the first step at or after an end is the smallest tick
-    # among the later ones. Both inputs have one row per window or tick, never per event.
+def _closing_ticks(ticks: DataFrame) -> DataFrame:
+    """``window_end, _close``: the first tick whose rows take the watermark to the window's end.
+
+    Ends and watermark steps are merged in time order and the next step is looked up; both
+    have a row per window or tick, never per event. Steps rise with their tick, so the next
+    one in time is the smallest tick among the later ones.
+    """
+    ends = ticks.select(F.col("_end").alias("at"), F.lit(None).cast("bigint").alias("_tick"), F.lit(1).alias("is_end")).distinct()
+    raised = F.col("_watermark").isNull() | (F.col("_top") > F.col("_watermark"))
+    marks = _watermarks(ticks).where(raised).select(F.col("_top").alias("at"), "_tick", F.lit(0).alias("is_end"))
     merged = ends.unionByName(marks).withColumn("_day", F.date_trunc("day", F.col("at")))
     heads = merged.groupBy("_day").agg(F.min("_tick").alias("_head"))
     later_days = W.orderBy(F.col("_day").desc()).rowsBetween(W.unboundedPreceding, -1)

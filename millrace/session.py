@@ -7,7 +7,7 @@ import tempfile
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Executors get our functions by value, so the package need not be installed on them.
 cloudpickle.register_pickle_by_value(sys.modules["millrace"])
@@ -77,3 +77,14 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder; every call gives another one."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a small intermediate result to the shared folder and go on from the files.
+
+    For results that are used several times: they are computed once, survive the loss of
+    executors, and bring exact sizes to the planner.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
