@@ -185,10 +185,10 @@ def stream_group_into_batches(t: Tables) -> DataFrame:
     return _sizes(t, 5, 4, "1 day")
 
 
-@query("stream_state_pairs", _sizes_sql(2, 1))
+@query("stream_state_pairs", _sizes_sql(2, 8))
 def stream_state_pairs(t: Tables) -> DataFrame:
     """Value and list state that act on every second element; a timer flushes the rest at the window's end."""
-    return _sizes(t, 2, 1, "1 day")
+    return _sizes(t, 2, 8, "1 day")
 
 
 def emit_enriched(key, values, why):

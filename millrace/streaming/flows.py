@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,9 +14,22 @@ from millrace.functions.temporal import date_parts, freshness_ms
 
 
 def deduplicated(messages: DataFrame, id_attribute: str, ts: str, within: str) -> DataFrame:
-    """Drop repeated messages by an id attribute; ids are remembered for ``within`` of event time."""
-    tagged = messages.withColumn("_id", F.try_element_at("attrs", F.lit(id_attribute))).withWatermark(ts, within)
-    return tagged.dropDuplicatesWithinWatermark(["_id"]).drop("_id")
+    """Drop repeated messages by an id attribute; ids are remembered for ``within`` of event time.
+
+    Copies that meet in one Arrow batch are dropped before the shuffle, so that an id sent
+    over and over does not send all its copies to one state store.
+    """
+    tagged = messages.withColumn("_id", F.try_element_at("attrs", F.lit(id_attribute)))
+    thinned = tagged.mapInArrow(first_of_each_id, tagged.schema).withWatermark(ts, within)
+    return thinned.dropDuplicatesWithinWatermark(["_id"]).drop("_id")
+
+
+def first_of_each_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = batch.column(batch.schema.get_field_index("_id"))
+        codes = ids.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        first = np.sort(np.unique(codes, return_index=True)[1])
+        yield batch if len(first) == len(codes) else batch.take(pa.array(first))
 
 
 def with_event_time(messages: DataFrame, attribute: str, name: str = "event_ts") -> DataFrame:

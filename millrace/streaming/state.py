@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -133,7 +134,7 @@ class PaneProcessor(StatefulProcessor):
         total, fresh, closed, first, latest, number = state
         for row in rows:
             total += row["value"]
-            fresh += 1
+            fresh += row["n"]
             latest = row["ts_us"] if latest is None else max(latest, row["ts_us"])
         first = now if first is None else first
         state = (total, fresh, closed, first, latest, number)
@@ -180,8 +181,17 @@ def streaming_panes(stream: DataFrame, keys: list[str], value: str, ts: str, dur
     With a processing-time delay the query must run on a processing-time trigger.
     """
     windows = keyed_windows(stream, ts, duration, f"{lateness_ms} milliseconds")
-    narrow = windows.select(*keys, "window_end_ms", F.col(value).cast("bigint").alias("value"),
-                            F.unix_micros(ts).alias("ts_us"))
+    narrow = windows.select(*keys, "window_end_ms", F.coalesce(F.col(value).cast("bigint"), F.lit(0)).alias("value"),
+                            F.unix_micros(ts).alias("ts_us"), F.lit(1).cast("bigint").alias("n"))
+    group = [*keys, "window_end_ms"]
+
+    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # triggers look at a key once per micro-batch, so its rows can be added up before the shuffle
+        for batch in batches:
+            sums = batch.groupby(group, dropna=False, sort=False).agg({"value": "sum", "ts_us": "max", "n": "sum"})
+            yield sums.reset_index()
+
+    narrow = narrow.mapInPandas(combine, narrow.schema)
     key_fields = [T.StructField(k, stream.schema[k].dataType) for k in keys]
     output = T.StructType([
         *key_fields, T.StructField("window_end_ms", T.LongType()), T.StructField("pane", T.IntegerType()),
