@@ -236,7 +236,7 @@ def batch_files(t: Tables) -> DataFrame:
 
 
 @query("shard_by_count", """
-    SELECT strftime(w, '%Y-%m-%d') AS day, n // 60 AS shards, event_id % greatest(1, n // 60) AS shard, count(*) AS cnt
+    SELECT strftime(w, '%Y-%m-%d') AS day, greatest(1, n // 60) AS shards, event_id % greatest(1, n // 60) AS shard, count(*) AS cnt
     FROM (SELECT *, count(*) OVER (PARTITION BY w) AS n FROM (SELECT *, time_bucket(INTERVAL 1 DAY, ts) AS w FROM events))
     GROUP BY 1, 2, 3""")
 def shard_by_count(t: Tables) -> DataFrame:

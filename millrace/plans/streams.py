@@ -16,9 +16,9 @@ from millrace.session import scratch_path
 from millrace.sources.generators import rate_steps
 from millrace.streaming import flows
 from millrace.streaming.runtime import (
-    END_OF_TIME, closing_heartbeat, run_each_batch, run_some_batches, run_to_table, stream_table,
+    END_OF_TIME, closing_heartbeat, heartbeat, run_each_batch, run_in_steps, run_some_batches, run_to_table, stream_table,
 )
-from millrace.streaming.state import keyed_windows, stateful_batches
+from millrace.streaming.state import keyed_windows, stateful_batches, streaming_panes
 
 LIST_SPAN = 4096
 
@@ -155,6 +155,48 @@ def stream_xml_window_sum(t: Tables) -> DataFrame:
     return done[0].unionByName(done[1])
 
 
+# --- panes -----------------------------------------------------------------
+
+CUT = "2024-01-16 00:45:00"
+
+
+def _pane_sql(accumulate: bool) -> str:
+    """Two deliveries: the second meets the watermark of the first, and what it brings late makes panes of its own."""
+    return f"""WITH log AS (SELECT event_type AS key, CAST(CAST(value AS DECIMAL(18,2)) * 100 AS BIGINT) AS value, ts,
+        ts + to_minutes((event_id * 7919) % 97) AS arrived, time_bucket(INTERVAL 6 HOUR, ts) AS w FROM events),
+      stepped AS (SELECT *, CASE WHEN arrived < TIMESTAMP '{CUT}' THEN 0 ELSE 1 END AS step FROM log),
+      marks AS (SELECT s.step, max(l.ts) AS wm FROM (VALUES (0), (1)) AS s(step) LEFT JOIN stepped l ON l.step < s.step GROUP BY 1),
+      timed AS (SELECT *, CASE WHEN wm IS NULL OR wm < w + INTERVAL 6 HOUR THEN 'ON_TIME'
+                  WHEN wm < w + INTERVAL 450 MINUTE THEN 'LATE' ELSE 'DROPPED' END AS timing FROM stepped JOIN marks USING (step)),
+      panes AS (SELECT key, w, timing, CASE WHEN timing = 'LATE' THEN step ELSE -1 END AS bundle, CAST(sum(value) AS BIGINT) AS total
+                FROM timed WHERE timing <> 'DROPPED' GROUP BY 1, 2, 3, 4)
+    SELECT key, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, timing, {"CAST(sum(total) OVER (PARTITION BY key, w ORDER BY bundle) AS BIGINT)" if accumulate else "total"} AS total
+    FROM panes"""
+
+
+def _stream_panes(t: Tables, accumulate: bool) -> DataFrame:
+    arrived = F.col("ts") + F.expr("make_interval(0, 0, 0, 0, 0, cast(event_id * 7919 % 97 as int), 0)")
+    log = t.events.select(F.col("event_type").alias("key"), cents("value").alias("value"), "ts", arrived.alias("arrived"))
+    early = F.col("arrived") < F.lit(CUT).cast("timestamp")
+    first, second = log.where(early).drop("arrived"), log.where(~early).drop("arrived")
+    panes = run_in_steps([first, second.unionByName(heartbeat(second, "ts"))], lambda stream: streaming_panes(
+        stream, ["key"], "value", "ts", "6 hours", 90 * 60 * 1000, accumulate), "panes")
+    start = F.timestamp_millis(F.col("window_end_ms") - 6 * 3_600_000)
+    return panes.where(F.col("key").isNotNull()).select("key", stamp(start).alias("window_start"), "timing", "total")
+
+
+@query("stream_late_discarding", _pane_sql(False))
+def stream_late_discarding(t: Tables) -> DataFrame:
+    """Panes fired by keyed state over two deliveries of out-of-order events; late panes hold new data only."""
+    return _stream_panes(t, False)
+
+
+@query("stream_late_accumulating", _pane_sql(True))
+def stream_late_accumulating(t: Tables) -> DataFrame:
+    """The same with late panes holding everything so far."""
+    return _stream_panes(t, True)
+
+
 # --- keyed state -----------------------------------------------------------
 
 def emit_size(key, values, why):

@@ -31,9 +31,7 @@ def closing_heartbeat(stream: DataFrame, ts: str) -> DataFrame:
     """
     spark = stream.sparkSession
     path = scratch_path(spark, "heartbeat")
-    row = spark.range(1).select(*[
-        (F.lit(END_OF_TIME) if f.name == ts else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in stream.schema.fields])
+    row = heartbeat(stream, ts)
     row.write.parquet(path)
     return stream.unionByName(spark.readStream.schema(row.schema).parquet(path))
 
@@ -70,6 +68,30 @@ def run_some_batches(stream: DataFrame, name: str, batches: int, seconds: float
     return spark.read.schema(_nullable(stream.schema)).parquet(out)
 
 
+def run_in_steps(steps: list[DataFrame], flow: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """Deliver frames one after the other to a flow that remembers its state in between.
+
+    Each step is written to the landing folder and processed as one micro-batch, the way a
+    job does that is started every so often for what has come in since.
+    """
+    spark = steps[0].sparkSession
+    landing, out, progress = (scratch_path(spark, f"{name}-{part}") for part in ("landing", "out", "progress"))
+    schema = _nullable(steps[0].schema)
+    for rows in steps:
+        rows.write.mode("append").parquet(landing)
+        result = flow(spark.readStream.schema(schema).parquet(landing))
+        (result.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress)
+         .trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema(_nullable(result.schema)).parquet(out)
+
+
+def heartbeat(like: DataFrame, ts: str) -> DataFrame:
+    """One row far in the future, NULL but for the event time."""
+    return like.sparkSession.range(1).select(*[
+        (F.lit(END_OF_TIME) if f.name == ts else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in like.schema.fields])
+
+
 def run_each_batch(stream: DataFrame, name: str, write: Callable[[DataFrame, int], None],
                    every: str | None = None) -> None:
     """Hand every micro-batch to ``write(rows, batch_id)``; ``write`` must allow a batch to be repeated.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,9 +43,9 @@ class BatchBuffer(StatefulProcessor):
         self.count = handle.getValueState("count", "n int")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        had_count = self.count.exists()
-        held = [r[0] for r in self.buffer.get()] if had_count else []
-        if not had_count:
+        known = self.count.get()
+        held = [r[0] for r in self.buffer.get()] if known is not None and known[0] else []
+        if known is None:
             self.handle.registerTimer(key[-1])
         for row in rows:
             held.append(row["value"])
@@ -126,9 +126,9 @@ class PaneProcessor(StatefulProcessor):
         end = key[-1]
         if watermark >= end:
             return
-        known = self.pane.exists()
-        state = tuple(self.pane.get()) if known else (0, 0, False, None, None, 0)
-        if not known:
+        known = self.pane.get()
+        state = (0, 0, False, None, None, 0) if known is None else tuple(known)
+        if known is None:
             self._schedule(end, now)
         state = yield from self._due(key, state, watermark, now)
         total, fresh, closed, first, latest, number = state
@@ -148,17 +148,16 @@ class PaneProcessor(StatefulProcessor):
     def _schedule(self, end: int, now: int) -> None:
         if self.delay_ms is None:
             self.handle.registerTimer(end - self.lateness_ms)
-            if self.lateness_ms:
-                self.handle.registerTimer(end)
         else:
             self.handle.registerTimer(now + self.delay_ms + 1)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if not self.pane.exists():
+        known = self.pane.get()
+        if known is None:
             return
         watermark = timerValues.getCurrentWatermarkInMs()
         now = timerValues.getCurrentProcessingTimeInMs() if self.delay_ms is not None else 0
-        state = yield from self._due(key, tuple(self.pane.get()), watermark, now)
+        state = yield from self._due(key, tuple(known), watermark, now)
         if watermark >= key[-1]:
             if state[1] > 0:
                 out, state = self._fire(key, state, "LATE")
@@ -166,7 +165,9 @@ class PaneProcessor(StatefulProcessor):
             self.pane.clear()
             return
         self.pane.update(state)
-        if self.delay_ms is not None:
+        if self.delay_ms is None:
+            self.handle.registerTimer(key[-1])
+        else:
             # one timer stays alive per open window; it also watches the watermark
             self.handle.registerTimer(now + max(self.delay_ms, 100))
 
@@ -185,13 +186,14 @@ def streaming_panes(stream: DataFrame, keys: list[str], value: str, ts: str, dur
                             F.unix_micros(ts).alias("ts_us"), F.lit(1).cast("bigint").alias("n"))
     group = [*keys, "window_end_ms"]
 
-    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # triggers look at a key once per micro-batch, so its rows can be added up before the shuffle
         for batch in batches:
-            sums = batch.groupby(group, dropna=False, sort=False).agg({"value": "sum", "ts_us": "max", "n": "sum"})
-            yield sums.reset_index()
+            sums = pa.Table.from_batches([batch]).group_by(group).aggregate([("value", "sum"), ("ts_us", "max"), ("n", "sum")])
+            named = sums.select([*group, "value_sum", "ts_us_max", "n_sum"]).rename_columns([*group, "value", "ts_us", "n"])
+            yield from named.select(batch.schema.names).to_batches()
 
-    narrow = narrow.mapInPandas(combine, narrow.schema)
+    narrow = narrow.mapInArrow(combine, narrow.schema)
     key_fields = [T.StructField(k, stream.schema[k].dataType) for k in keys]
     output = T.StructType([
         *key_fields, T.StructField("window_end_ms", T.LongType()), T.StructField("pane", T.IntegerType()),
