@@ -7,6 +7,10 @@ execution, after its shuffle) and is shuffled, with skewed keys split, when it i
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from typing import Any
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -136,3 +140,24 @@ def enrich_with_last(main: DataFrame, service: DataFrame, main_key: str, service
     last = service.groupBy(F.col(service_key).alias("_k")).agg(F.max_by(value, order).alias("_last"))
     joined = main.join(last, main[main_key] == F.col("_k"), "left").drop("_k")
     return joined.withColumn(value, F.coalesce(F.col("_last"), F.lit(unknown))).drop("_last")
+
+
+def call_in_batches(df: DataFrame, size: int, connect: Callable[[], Any], call: Callable[[Any, pd.DataFrame], pd.DataFrame],
+                    schema: str) -> DataFrame:
+    """Enrich rows by an outside service, asked for up to ``size`` rows at a time.
+
+    The client is made once per task and closed at its end. For a service that is a table,
+    use a join.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        client = connect()
+        try:
+            for batch in batches:
+                for start in range(0, len(batch), size):
+                    yield call(client, batch.iloc[start:start + size])
+        finally:
+            if hasattr(client, "close"):
+                client.close()
+
+    return df.mapInPandas(run, schema)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.temporal import date_parts
+from millrace.operators.transforms import spread
 from millrace.plans.registry import Tables, cents, query
 from millrace.session import scratch_path
 from millrace.sources import files as fl
@@ -109,7 +110,7 @@ def scan_binary_files(t: Tables) -> DataFrame:
     """Files of bounded size read whole, with their names."""
     path = scratch_path(t.spark, "whole")
     lines = t("events").select(F.concat_ws(",", F.col("event_id").cast("string"), "event_type").alias("value"))
-    lines.hint("rebalance").write.option("maxRecordsPerFile", 1000).text(path)
+    spread(lines).write.option("maxRecordsPerFile", 1_000_000).text(path)
     files = fl.whole_files(t.spark, f"{path}/*.txt")
     text = F.decode("content", "UTF-8")
     return files.agg(F.sum(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))).alias("files_lines"),

@@ -195,7 +195,7 @@ def _windowed(t: Tables, duration: str) -> DataFrame:
     return t.events.withColumn("w", F.window("ts", duration)["start"])
 
 
-def _batch_sql(window: str, size: int, key: str = "event_type") -> str:
+def _batch_sql(window: str, size: int | str, key: str = "event_type") -> str:
     return f"""(SELECT *, (row_number() OVER (PARTITION BY {key}, w ORDER BY event_id) - 1) // {size} AS batch
                 FROM (SELECT *, {window} AS w FROM events))"""
 
@@ -222,27 +222,37 @@ def batch_by_minute(t: Tables) -> DataFrame:
                           F.element_at("values", -1).alias("last_id"))
 
 
+FIVE_DAYS = "time_bucket(INTERVAL 5 DAY, ts, TIMESTAMP '1970-01-01')"
+
+
+def _rows_per_directory(t: Tables, least: int, directories: int) -> int:
+    """Batch and shard sizes that grow with the table, so that the number of directories does not."""
+    return max(least, t("events").count() // directories)
+
+
 @query("batch_files", f"""
-    SELECT event_type, strftime(w, '%Y-%m-%d') AS day, CAST(batch AS INT) AS batch, count(*) AS size, min(event_id) AS first_id
-    FROM {_batch_sql("time_bucket(INTERVAL 1 DAY, ts)", 100)} GROUP BY 1, 2, 3""")
+    SELECT event_type, strftime(w, '%Y-%m-%d') AS win, CAST(batch AS INT) AS batch, count(*) AS size, min(event_id) AS first_id
+    FROM {_batch_sql(FIVE_DAYS, "greatest(200, (SELECT count(*) FROM events) // 150)")} GROUP BY 1, 2, 3""")
 def batch_files(t: Tables) -> DataFrame:
     """One directory per batch, written and read back."""
-    rows = _windowed(t, "1 day").select("event_type", F.date_format("w", "yyyy-MM-dd").alias("day"), "event_id")
+    rows = _windowed(t, "5 days").select("event_type", F.date_format("w", "yyyy-MM-dd").alias("win"), "event_id")
     path = scratch_path(t.spark, "batch_files")
-    write_by_destination(with_batch(rows, ["event_type", "day"], "event_id", 100), path, ["event_type", "day", "batch"])
-    stored = t.spark.read.schema("event_id BIGINT, event_type STRING, day STRING, batch INT").parquet(path)
-    return stored.groupBy("event_type", "day", "batch").agg(
+    size = _rows_per_directory(t, 200, 150)
+    write_by_destination(with_batch(rows, ["event_type", "win"], "event_id", size), path, ["event_type", "win", "batch"])
+    stored = t.spark.read.schema("event_id BIGINT, event_type STRING, win STRING, batch INT").parquet(path)
+    return stored.groupBy("event_type", "win", "batch").agg(
         F.count("*").alias("size"), F.min("event_id").alias("first_id"))
 
 
-@query("shard_by_count", """
-    SELECT strftime(w, '%Y-%m-%d') AS day, greatest(1, n // 60) AS shards, event_id % greatest(1, n // 60) AS shard, count(*) AS cnt
-    FROM (SELECT *, count(*) OVER (PARTITION BY w) AS n FROM (SELECT *, time_bucket(INTERVAL 1 DAY, ts) AS w FROM events))
-    GROUP BY 1, 2, 3""")
+@query("shard_by_count", f"""
+    SELECT strftime(w, '%Y-%m-%d') AS win, greatest(1, n // least) AS shards, event_id % greatest(1, n // least) AS shard, count(*) AS cnt
+    FROM (SELECT *, count(*) OVER (PARTITION BY w) AS n, greatest(500, (SELECT count(*) FROM events) // 100) AS least
+          FROM (SELECT *, {FIVE_DAYS} AS w FROM events)) GROUP BY 1, 2, 3""")
 def shard_by_count(t: Tables) -> DataFrame:
     """As many shards per window as its rows ask for, written as directories and read back."""
-    rows = _windowed(t, "1 day").select(F.date_format("w", "yyyy-MM-dd").alias("day"), "event_id")
+    rows = _windowed(t, "5 days").select(F.date_format("w", "yyyy-MM-dd").alias("win"), "event_id")
     path = scratch_path(t.spark, "shards")
-    write_by_destination(with_shards(rows, ["day"], F.col("event_id"), 60), path, ["day", "shard"])
-    stored = t.spark.read.schema("event_id BIGINT, shards BIGINT, day STRING, shard BIGINT").parquet(path)
-    return stored.groupBy("day", "shards", "shard").agg(F.count("*").alias("cnt"))
+    sharded = with_shards(rows, ["win"], F.col("event_id"), _rows_per_directory(t, 500, 100))
+    write_by_destination(sharded, path, ["win", "shard"])
+    stored = t.spark.read.schema("event_id BIGINT, shards BIGINT, win STRING, shard BIGINT").parquet(path)
+    return stored.groupBy("win", "shards", "shard").agg(F.count("*").alias("cnt"))

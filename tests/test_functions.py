@@ -10,6 +10,7 @@ from millrace.functions import arrays, numbers, payload, records, temporal
 from millrace.functions.messages import message_text, sorted_attributes
 from tests.conftest import rows
 
+# A college document.
 COLLEGE = """<college id="1">
   <staff id="101" dep_name="Admin"><salary id="101-sal"><basic>20000</basic><medical>10000</medical></salary></staff>
   <staff id="102" dep_name="HR"><salary id="102-sal"><basic>25000</basic></salary></staff>

@@ -85,3 +85,26 @@ def test_enrichment(frame):
     out = jn.enrich_with_last(main, service, "name", "n", "v", "o")
     assert rows(out.select("k", F.concat_ws(":", "name", "v"))) == [
         ("a", "A:_A_A_"), ("a", "AA:UNKNOWN"), ("a", "AAAA:UNKNOWN"), ("b", "B:_B_")]
+
+
+class Service:
+    """Answers for at most two names at a time."""
+
+    known = {"A": ["_A_", "_A_A_"], "B": ["_B_"]}
+
+    def ask(self, names):
+        assert len(names) <= 2
+        return {n: self.known.get(n, []) for n in names}
+
+
+def ask_service(service, batch):
+    answers = service.ask(list(batch["name"]))
+    return batch.assign(name=[f"{n}:{(answers[n] or ['UNKNOWN'])[-1]}" for n in batch["name"]])
+
+
+def test_service_is_called_in_batches(frame):
+    events = [("a", "A"), ("b", "B"), ("a", "AA"), ("b", "BB"), ("a", "AAA"), ("b", "BBB"), ("a", "AAAA")]
+    out = jn.call_in_batches(frame(events, "k string, name string").coalesce(1), 2, Service, ask_service, "k string, name string")
+    found = rows(out)
+    assert len(found) == 7
+    assert {("a", "A:_A_A_"), ("b", "B:_B_"), ("a", "AAAA:UNKNOWN")} <= set(found)
