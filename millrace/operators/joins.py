@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ranking import in_order, paged
+from millrace.operators.ranking import paged
 
 
 def cogroup_sums(left: DataFrame, right: DataFrame, key: str, left_value: str, right_value: str) -> DataFrame:

@@ -17,7 +17,7 @@ OPTIONAL, VALUE = "optional_key_cf", "value_cf"
 def customer_cells(t: Tables) -> DataFrame:
     key = F.concat(F.lit("n"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0"), F.lit("#"),
                    F.lpad(F.col("c_custkey").cast("string"), 9, "0"))
-    old = F.lit(BASE) + F.col("c_custkey") * 1000
+    old = F.lit(BASE) + F.col("c_custkey") % 1000 * 1000
     values = {
         (OPTIONAL, "code_cq"): F.concat("c_mktsegment", F.when(F.col("c_custkey") % 2 == 0, "_").otherwise("")),
         (OPTIONAL, "rq_id_cq"): F.when(F.col("c_custkey") % 5 == 0, "abc123").when(
@@ -34,7 +34,7 @@ def customer_cells(t: Tables) -> DataFrame:
 
 
 CELLS = f"""WITH c AS (SELECT *, 'n' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || '#' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS row_key,
-                       {BASE} + c_custkey * 1000 AS old FROM customer),
+                       {BASE} + c_custkey % 1000 * 1000 AS old FROM customer),
     one AS (SELECT row_key, old, '{OPTIONAL}' AS family, 'code_cq' AS qualifier,
                    c_mktsegment || CASE WHEN c_custkey % 2 = 0 THEN '_' ELSE '' END AS value FROM c
       UNION ALL SELECT row_key, old, '{OPTIONAL}', 'rq_id_cq', CASE WHEN c_custkey % 5 = 0 THEN 'abc123'

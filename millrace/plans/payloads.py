@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions import payload as pl
 from millrace.functions.messages import message_text
@@ -103,9 +104,9 @@ def json_variant_filter(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).where(k == 10).select("event_id", "user_id", k.alias("k"))
 
 
-def typed_json(t: Tables) -> DataFrame:
-    """Orders as ``(table, json)`` records of two types."""
-    required = F.to_json(F.struct(
+def required_json() -> Column:
+    """An order as a JSON document of the required record."""
+    return F.to_json(F.struct(
         F.col("o_orderpriority").alias("myRequiredString"), F.col("o_orderkey").alias("myRequiredInt"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("myRequiredDate"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("myRequiredTimestamp"),
@@ -114,11 +115,15 @@ def typed_json(t: Tables) -> DataFrame:
         F.col("o_totalprice").alias("myRequiredDouble"), F.lit("12:34:56.789").alias("myRequiredTime"),
         F.col("o_orderstatus").alias("myRequiredBytes"), F.lit(7.5).alias("myRequiredFloat"),
         F.col("o_custkey").alias("myRequiredLong")))
+
+
+def typed_json(t: Tables) -> DataFrame:
+    """Orders as ``(table, json)`` records of two types."""
     optional = F.to_json(F.struct(F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderpriority")).alias("myOptionalString")))
     is_required = F.col("o_orderkey") % 3 == 0
     return t("orders").select(
-        "o_orderkey", F.when(is_required, "required_record").otherwise("optional_record").alias("table"),
-        F.when(is_required, required).otherwise(optional).alias("json"))
+        F.when(is_required, "required_record").otherwise("optional_record").alias("table"),
+        F.when(is_required, required_json()).otherwise(optional).alias("json"))
 
 
 @query("route_by_type", """
@@ -151,13 +156,12 @@ def route_by_type(t: Tables) -> DataFrame:
       || ',"myRequiredNumeric":"' || CAST(CAST(o_custkey AS DECIMAL(38,9)) / 100 AS DECIMAL(38,9))
       || '","myRequiredTime":"12:34:56.789","myRequiredBytes":"' || base64(encode(o_orderstatus))
       || '","myRequiredFloat":7.5,"myRequiredLong":"' || o_custkey || '"}' AS json
-    FROM orders WHERE o_orderkey % 3 = 0""")
+    FROM orders""")
 def record_to_json_row(t: Tables) -> DataFrame:
-    from pyspark.sql import types as T
-
+    """JSON documents parsed into typed records and written as warehouse rows; doubles are left out of the text."""
     schema = T.StructType([f for f in REQUIRED_RECORD.fields if f.name != "myRequiredDouble"])
-    rows = typed_json(t).where(F.col("table") == "required_record")
-    return rows.select("o_orderkey", json_row(typed_record(F.col("json"), schema), schema).alias("json"))
+    record = typed_record(required_json(), schema)
+    return t("orders").select("o_orderkey", json_row(record, schema).alias("json"))
 
 
 # --- messages --------------------------------------------------------------
