@@ -20,8 +20,9 @@ def dense_counts(df: DataFrame, ts: str, series: str, period: str) -> DataFrame:
     span = counts.agg(F.struct(F.min("window_start").alias("lo"), F.max("window_start").alias("hi")))
     calendar = counts.select(series).distinct().withColumn("_span", span.scalar()).select(
         series, F.explode(F.sequence("_span.lo", "_span.hi", F.expr(f"INTERVAL {period}"))).alias("window_start"))
-    return calendar.join(counts, [series, "window_start"], "left").select(
-        series, "window_start", F.coalesce("cnt", F.lit(0)).alias("cnt"))
+    slot = F.struct(series, "window_start").alias("_slot")  # compares NULL series as equal
+    return calendar.select(slot).join(counts.select(slot, "cnt"), "_slot", "left").select(
+        "_slot.*", F.coalesce("cnt", F.lit(0)).alias("cnt"))
 
 
 def summed_over_series(dense: DataFrame, name: str = "all") -> DataFrame:

@@ -337,8 +337,8 @@ def temporal_conversions(t: Tables) -> DataFrame:
 @query("kv_reverse_ts_key", """
     SELECT event_id, event_type || '#' || CAST(9223372036854775807 - (epoch_us(ts) // 1000) AS VARCHAR) AS row_key FROM events""")
 def kv_reverse_ts_key(t: Tables) -> DataFrame:
-    return t.events.select("event_id", F.concat_ws(
-        "#", "event_type", reverse_timestamp(F.col("ts")).cast("string")).alias("row_key"))
+    return t.events.select("event_id", F.concat(
+        "event_type", F.lit("#"), reverse_timestamp(F.col("ts")).cast("string")).alias("row_key"))
 
 
 @query("decimal_scale9", """

@@ -94,8 +94,7 @@ def load_ndjson_nested(t: Tables) -> DataFrame:
            CAST(sum(o_custkey) AS BIGINT) AS keys FROM orders GROUP BY 1""")
 def scan_csv_gz(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "csv")
-    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), "o_orderpriority",
-                       F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    line = fl.csv_line(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderpriority"), F.col("o_totalprice").cast("decimal(18,2)"))
     fl.write_text(t("orders").select(line.alias("value")), path, compression="gzip")
     schema = T.StructType([T.StructField("orderkey", T.LongType()), T.StructField("custkey", T.LongType()),
                            T.StructField("priority", T.StringType()), T.StructField("price", T.DecimalType(18, 2))])
@@ -104,12 +103,12 @@ def scan_csv_gz(t: Tables) -> DataFrame:
 
 
 @query("scan_binary_files", """
-    SELECT count(*) AS files_lines, CAST(sum(length(CAST(event_id AS VARCHAR) || ',' || event_type) + 1) AS BIGINT) AS bytes,
+    SELECT count(*) AS files_lines, CAST(sum(length(CAST(event_id AS VARCHAR) || ',' || coalesce(event_type, '')) + 1) AS BIGINT) AS bytes,
            CAST(bool_and(true) AS BOOLEAN) AS named FROM events""")
 def scan_binary_files(t: Tables) -> DataFrame:
     """Files of bounded size read whole, with their names."""
     path = scratch_path(t.spark, "whole")
-    lines = t("events").select(F.concat_ws(",", F.col("event_id").cast("string"), "event_type").alias("value"))
+    lines = t("events").select(fl.csv_line(F.col("event_id"), F.col("event_type")).alias("value"))
     spread(lines).write.option("maxRecordsPerFile", 1_000_000).text(path)
     files = fl.whole_files(t.spark, f"{path}/*.txt")
     text = F.decode("content", "UTF-8")
@@ -173,10 +172,10 @@ def scan_wildcard(t: Tables) -> DataFrame:
 # --- sinks -----------------------------------------------------------------
 
 @query("sink_text_shards", """
-    SELECT 'fixed' AS kind, 4 AS shards, count(*) AS lines, CAST(sum(length(c_name) + 1 + length(c_mktsegment)) AS BIGINT) AS chars FROM customer
-    UNION ALL SELECT 'auto', 0, count(*), CAST(sum(length(c_name) + 1 + length(c_mktsegment)) AS BIGINT) FROM customer""")
+    SELECT 'fixed' AS kind, 4 AS shards, count(*) AS lines, CAST(sum(length(coalesce(c_name, '')) + 1 + length(coalesce(c_mktsegment, ''))) AS BIGINT) AS chars FROM customer
+    UNION ALL SELECT 'auto', 0, count(*), CAST(sum(length(coalesce(c_name, '')) + 1 + length(coalesce(c_mktsegment, ''))) AS BIGINT) FROM customer""")
 def sink_text_shards(t: Tables) -> DataFrame:
-    lines = t("customer").select(F.concat_ws(",", "c_name", "c_mktsegment").alias("value"))
+    lines = t("customer").select(fl.csv_line(F.col("c_name"), F.col("c_mktsegment")).alias("value"))
     fixed, auto = scratch_path(t.spark, "fixed"), scratch_path(t.spark, "auto")
     fl.write_text(lines, fixed, shards=4)
     fl.write_text(lines, auto)

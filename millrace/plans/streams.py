@@ -13,6 +13,7 @@ from millrace.operators.transforms import bucket_key, skewed_key
 from millrace.plans.payloads import BASIC, COUNTRY, MESSAGE_SQL, college_of_order, messages, spread_orders
 from millrace.plans.registry import Tables, cents, query, stamp
 from millrace.session import scratch_path
+from millrace.sources.files import csv_line
 from millrace.sources.generators import rate_steps
 from millrace.streaming import flows
 from millrace.streaming.runtime import (
@@ -49,10 +50,10 @@ def stream_files_window(t: Tables) -> DataFrame:
     """Log lines ``key,instant`` from files as they appear, windowed by the instant they carry."""
     root = scratch_path(t.spark, "logs")
     iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-    t.events.select(F.concat_ws(",", "event_type", F.date_format("ts", iso)).alias("value")).write.text(f"{root}/a")
+    t.events.select(csv_line(F.col("event_type"), F.date_format("ts", iso)).alias("value")).write.text(f"{root}/a")
     t.spark.range(1).select(F.concat(F.lit("-,"), F.date_format(F.to_timestamp(F.lit(END_OF_TIME)), iso)).alias("value")).write.text(f"{root}/b")
     lines = t.spark.readStream.text(f"{root}/*")
-    parsed = lines.select(F.substring_index("value", ",", 1).alias("key"), F.substring_index("value", ",", -1).alias("at"),
+    parsed = lines.select(F.nullif(F.substring_index("value", ",", 1), F.lit("")).alias("key"), F.substring_index("value", ",", -1).alias("at"),
                           instant_of_log_line(F.col("value")).alias("ts"))
     windows = parsed.withWatermark("ts", "2 days").groupBy(F.window("ts", "1 hour"), "key").agg(
         F.count("*").alias("cnt"), F.min("at").alias("first"), F.max("at").alias("last"))
@@ -182,7 +183,7 @@ def _stream_panes(t: Tables, accumulate: bool) -> DataFrame:
     panes = run_in_steps([first, second.unionByName(heartbeat(second, "ts"))], lambda stream: streaming_panes(
         stream, ["key"], "value", "ts", "6 hours", 90 * 60 * 1000, accumulate), "panes")
     start = F.timestamp_millis(F.col("window_end_ms") - 6 * 3_600_000)
-    return panes.where(F.col("key").isNotNull()).select("key", stamp(start).alias("window_start"), "timing", "total")
+    return panes.select("key", stamp(start).alias("window_start"), "timing", "total")
 
 
 @query("stream_late_discarding", _pane_sql(False))

@@ -141,7 +141,7 @@ def fold_sql(count: int, delay: int) -> str:
                          fold.n AS dn, fold.s AS ds,
                          CASE WHEN fold.n > 0 AND (fold.f + {delay} < st.t OR (fold.f <= st.c AND st.c < st.t)) THEN
                            CASE WHEN fold.f > st.c THEN 'LATE' WHEN fold.f + {delay} < st.c THEN 'EARLY' ELSE 'ON_TIME' END END AS dt
-                  FROM fold JOIN st ON st.key = fold.key AND st.w = fold.w AND st.rn = fold.rn + 1))),
+                  FROM fold JOIN st ON st.key IS NOT DISTINCT FROM fold.key AND st.w = fold.w AND st.rn = fold.rn + 1))),
     fired AS (SELECT key, w, rn, 0 AS o, dt AS timing, dn AS cnt, ds AS total FROM fold WHERE dt IS NOT NULL
       UNION ALL SELECT key, w, rn, 1, ft, fn, fs FROM fold WHERE ft IS NOT NULL
       UNION ALL SELECT key, w, rn, 2, CASE WHEN f > c THEN 'LATE' WHEN f + {delay} < c THEN 'EARLY' ELSE 'ON_TIME' END, n, s
@@ -182,7 +182,7 @@ def _dense_sql(minutes: int, series: str) -> str:
            (SELECT unnest(generate_series(min(w), max(w), INTERVAL {minutes} MINUTE)) AS w
             FROM (SELECT time_bucket(INTERVAL {minutes} MINUTE, ts) AS w FROM events)) c
       LEFT JOIN (SELECT {series} AS series, time_bucket(INTERVAL {minutes} MINUTE, ts) AS w, count(*) AS cnt FROM events GROUP BY 1, 2) n
-        ON n.series = s.series AND n.w = c.w)"""
+        ON n.series IS NOT DISTINCT FROM s.series AND n.w = c.w)"""
 
 
 def _breach_sql(minutes: int, series: str, periods: int, limit: str) -> str:

@@ -45,10 +45,17 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def csv_line(*columns: Column) -> Column:
+    """Values as one comma-separated line; NULL is an empty field."""
+    fields = [F.coalesce(c.cast("string"), F.lit("")) for c in columns]
+    return F.concat_ws(",", *fields)
+
+
 def csv_records(lines: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
-    """Positional comma-separated lines as typed records."""
+    """Positional comma-separated lines as typed records; empty and missing fields are NULL."""
     parts = F.split(F.col(column), ",", -1)
-    return lines.select(*[F.get(parts, F.lit(i)).cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
+    return lines.select(*[F.nullif(F.get(parts, F.lit(i)), F.lit("")).cast(f.dataType).alias(f.name)
+                          for i, f in enumerate(schema.fields)])
 
 
 def whole_files(spark: SparkSession, pattern: str) -> DataFrame:

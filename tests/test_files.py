@@ -66,8 +66,9 @@ def test_whole_files(spark, tmp_path):
 
 def test_csv(frame):
     schema = T.StructType().add("id", "long").add("name", "string").add("x", "double")
-    out = fl.csv_records(frame([("1,bob,2.5",), ("2,,",)], "value string").where("value <> '2,,'"), schema)
-    assert rows(out) == [(1, "bob", 2.5)]
+    out = fl.csv_records(frame([("1,bob,2.5",), ("2,,",), ("3",)], "value string"), schema)
+    assert rows(out) == [(1, "bob", 2.5), (2, None, None), (3, None, None)]
+    assert rows(out.select(fl.csv_line(F.col("id"), F.col("name"), F.col("x")))) == [("1,bob,2.5",), ("2,,",), ("3,,",)]
 
 
 def test_text_shards(spark, tmp_path):

@@ -153,6 +153,12 @@ def test_triggers_equal_brute_force(frame, count, delay):
     assert rows(out.select("key", index, "timing", "total")) == sorted(brute_force(data, 5, 3, count, delay), key=repr)
 
 
+def test_series_without_a_name_is_counted(frame):
+    df = frame([(None, "2021-12-16 00:00:10"), (None, "2021-12-16 00:07:10"), ("t", "2021-12-16 00:04:00")], "series string, at string")
+    dense = al.dense_counts(df.withColumn("ts", F.to_timestamp("at")), "ts", "series", "3 minutes")
+    assert sorted(r["cnt"] for r in dense.where("series IS NULL").collect()) == [0, 1, 1]
+
+
 def test_alerts(frame):
     minutes = [0] * 4 + [3] + [6] * 3 + [20]
     df = frame([("s", f"2021-12-16 00:{m:02d}:10") for m in minutes] + [("t", "2021-12-16 00:00:30")], "series string, at string").select(
