@@ -41,7 +41,9 @@ def build_session(app_name: str = "millrace", master: str | None = None, **conf:
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One process runs everything; ``local-cluster`` has executors with folders of their own."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def prepare(spark: SparkSession) -> SparkSession:
