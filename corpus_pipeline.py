@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import quality
+from millrace.llm import near, quality
 from millrace.session import prepare, stored
 
 
@@ -19,8 +19,14 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return judged.filter("kept").select(*docs.columns)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class."""
+    return near.deduplicate(docs)
+
+
 STAGES = [
     ("quality_rules", keep_quality),
+    ("near_duplicates", drop_near_duplicates),
 ]
 
 # the stages use seeded hashes, sketches and a heap: tests compare them with plain versions instead

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import quality
+from millrace.llm import near, quality
 from millrace.llm.common import table
 from millrace.session import prepare
 
@@ -57,3 +57,9 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return quality.apply_policy(quality.ledger(docs)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_bits")
+
+
+@query("op6_order_minhash")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return near.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
