@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import near, quality
+from millrace.llm import decontaminate, mixing, near, quality, sharding
+from millrace.llm.common import table
 from millrace.session import prepare, stored
 
 
@@ -24,9 +25,27 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return near.deduplicate(docs)
 
 
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item, not even with other numbers, names or units."""
+    return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target asks for."""
+    return mixing.mix(docs)
+
+
+def into_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their shard and their slot in it."""
+    return sharding.shard(docs)
+
+
 STAGES = [
     ("quality_rules", keep_quality),
     ("near_duplicates", drop_near_duplicates),
+    ("benchmark_leaks", drop_benchmark_leaks),
+    ("mix", mix_sources),
+    ("shards", into_shards),
 ]
 
 # the stages use seeded hashes, sketches and a heap: tests compare them with plain versions instead

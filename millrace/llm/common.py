@@ -40,6 +40,11 @@ def without(df: DataFrame, names) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in lost])
 
 
+def if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """``df`` marked for broadcasting if it has at most ``rows`` (narrow) rows; otherwise the planner shuffles it."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 class WordHashes(dict):
     """UTF-8 word -> 64-bit hash; emptied when it has grown to ``limit`` words."""
 

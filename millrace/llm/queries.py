@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import near, quality
+from millrace.llm import decontaminate, mixing, near, quality, sharding
 from millrace.llm.common import table
 from millrace.session import prepare
 
@@ -63,3 +63,27 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """The near-duplicate class of every document."""
     return near.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op4_template_leaks")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document that contains a benchmark item, or one with exchanged numbers, names or units."""
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op1_pivotal_mix")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    plan = mixing.plan_mix(table(spark, folder, "documents").select("doc_id", "source", "text"))
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies",
+                       F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("nth_equal_row"))
+
+
+@query("op9_longest_first_shards")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """The shard and slot of every document under the law of near equal bytes."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    placed = sharding.shard(docs, shards=8)
+    body = F.coalesce(F.col("text"), F.lit(""))
+    return placed.select("doc_id", (F.octet_length(body).cast("long") + 1).alias("size"), F.crc32(body).alias("text_crc32"),
+                         F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
