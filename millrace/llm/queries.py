@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, mixing, near, quality, sharding
+from millrace.llm import decontaminate, mixing, near, quality, sharding, tokens
 from millrace.llm.common import table
 from millrace.session import prepare
 
@@ -87,3 +88,10 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     body = F.coalesce(F.col("text"), F.lit(""))
     return placed.select("doc_id", (F.octet_length(body).cast("long") + 1).alias("size"), F.crc32(body).alias("text_crc32"),
                          F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op2_token_counts")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return tokens.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json")).select("doc_id", "n_bytes", "n_tokens", "over_limit")
