@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, mixing, near, quality, sharding, tokens
+from millrace.llm import decontaminate, mixing, near, quality, sharding, substrings, tokens
 from millrace.llm.common import table
 from millrace.session import prepare
 
@@ -95,3 +95,10 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes and tokens of every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return tokens.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json")).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query("op3_suffix_trees")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without word sequences that came before."""
+    kept = substrings.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
