@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, mixing, near, quality, sharding, substrings, tokens
+from millrace.llm import decontaminate, mixing, near, pages, quality, sharding, substrings, tokens
 from millrace.llm.common import table
 from millrace.session import prepare
 
@@ -102,3 +102,10 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of every document without word sequences that came before."""
     kept = substrings.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op7_style_tree_text")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    out = pages.extract(table(spark, folder, "pages"))
+    return out.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
