@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, mixing, near, pages, quality, sharding, substrings, tokens
+from millrace.llm import decontaminate, mixing, near, pages, quality, sharding, substrings, tokens, urls
 from millrace.llm.common import table
 from millrace.session import prepare
 
@@ -109,3 +109,13 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     """The main text of every page."""
     out = pages.extract(table(spark, folder, "pages"))
     return out.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+
+
+RULES = [urls.Rule("allow", "com"), urls.Rule("block", "example.com", "/en/"), urls.Rule("allow", "www.example.com", "/en/"),
+         urls.Rule("block", "net", "/es/"), urls.Rule("block", "net", "/fr/")]
+
+
+@query("op5_url_models")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdict on every url, by rule or by the two character models."""
+    return urls.judge(table(spark, folder, "pages").select("page_id", "url"), RULES).select("page_id", "host", "path", "rule", "verdict", "score")
