@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, mixing, near, pages, quality, sharding, substrings, tokens, urls
+from millrace.llm import decontaminate, mixing, near, pages, quality, sharding, substrings, tokens, urls, warc
 from millrace.llm.common import table
 from millrace.session import prepare
 
@@ -119,3 +119,34 @@ RULES = [urls.Rule("allow", "com"), urls.Rule("block", "example.com", "/en/"), u
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     """The verdict on every url, by rule or by the two character models."""
     return urls.judge(table(spark, folder, "pages").select("page_id", "url"), RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+_WARC_SQL = r"""
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
+canon AS (SELECT *, CASE WHEN regexp_matches(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]') THEN
+    regexp_replace(regexp_replace(lower(regexp_extract(url, '^[^:]*://([^/?#]*)', 1)), ':(80|443)?$', ''), '^www\d*\.', '') ||
+    CASE WHEN regexp_replace(regexp_extract(url, '(?s)^[^:]*://[^/?#]*([^#]*)', 1), '\?$', '') LIKE '/%' THEN '' ELSE '/' END ||
+    regexp_replace(regexp_extract(url, '(?s)^[^:]*://[^/?#]*([^#]*)', 1), '\?$', '') ELSE '' END AS uri FROM p),
+r AS (SELECT uri, page_id * 7919 % 1000003 AS sec, 'response-' || page_id AS rid, md5(html) AS tag, 'day ' || (page_id % 365) AS modified,
+      sha1(html) AS digest, strlen(html) AS size FROM canon WHERE uri <> ''),
+v AS (SELECT uri, (page_id * 7919 + (k + 1) * 104729 * (page_id % 7 + 1)) % 1000003 AS sec, 'revisit-' || page_id || '-' || k AS record_id, page_id, k,
+      (page_id + k) % 6 AS kind, md5(html) AS tag, 'day ' || (page_id % 365) AS modified, sha1(html) AS digest
+      FROM canon, (SELECT unnest([0, 1, 2]) AS k)),
+best AS (SELECT v.record_id, max(struct_pack(sec := r.sec, rid := r.rid, tag := r.tag, modified := r.modified, digest := r.digest, size := r.size)) AS r
+         FROM v JOIN r ON v.uri = r.uri AND r.sec < v.sec GROUP BY v.record_id),
+s AS (SELECT v.*, best.r, CASE WHEN best.r IS NULL THEN 'orphan' WHEN kind = 3 OR (kind IN (0, 1) AND v.tag <> best.r.tag)
+      OR (kind = 2 AND v.modified <> best.r.modified) OR (kind = 4 AND v.digest <> best.r.digest) THEN 'mismatch'
+      WHEN kind = 5 THEN 'unchecked' ELSE 'resolved' END AS status FROM v LEFT JOIN best USING (record_id))
+SELECT record_id, uri AS canonical_uri, CAST(sec + 1700000000 AS BIGINT) AS date_s, status, r.rid AS refers_to,
+       CASE WHEN status = 'resolved' THEN 'cache-control: max-age=' || k || chr(10) || 'content-length: ' || r.size || chr(10) || 'content-type: text/html'
+       || chr(10) || 'etag: ' || CASE WHEN kind = 1 THEN 'W/' ELSE '' END || '"' || r.tag || '"' || chr(10) || 'last-modified: ' || r.modified
+       || chr(10) || 'server: edge-' || k END AS merged_headers
+FROM s"""
+
+
+@query("op10_revisits", _WARC_SQL)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Every not-modified revisit of a crawl of the pages with the response it stands for and the merged headers."""
+    out = warc.resolve_revisits(warc.captures(table(spark, folder, "pages").select("page_id", "url", "html")))
+    lines = F.array_join(F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"])), "\n")
+    return out.select("record_id", "canonical_uri", F.unix_seconds("warc_date").alias("date_s"), "status", "refers_to", lines.alias("merged_headers"))
