@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,12 +74,125 @@ def mixed(values: np.ndarray, seed: int = 0) -> np.ndarray:
 
 
 def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
-    """One 64-bit hash per window of ``size`` consecutive word hashes."""
-    n = len(hashes) - size + 1
-    if n <= 0:
+    """One 64-bit hash per window of ``size`` consecutive word hashes: a polynomial, put together from halves."""
+    if len(hashes) < size:
         return np.empty(0, dtype=np.uint64)
-    total = np.zeros(n, dtype=np.uint64)
-    factor = np.uint64(0x9E3779B97F4A7C15 | 1)
-    for i in range(size):
-        total = total * factor + hashes[i:i + n]
+    base = 0x9E3779B97F4A7C15
+    part, length = hashes, 1                  # polynomials of `length` words
+    total, have = None, 0                     # the same of the first `have` words of each window
+    rest = size
+    while rest:
+        if rest & 1:
+            if total is None:
+                total = part
+            else:
+                n = len(hashes) - have - length + 1
+                total = total[:n] * np.uint64(pow(base, length, 2**64)) + part[have:have + n]
+            have += length
+        rest >>= 1
+        if rest:
+            part = part[:-length] * np.uint64(pow(base, length, 2**64)) + part[length:]
+            length *= 2
     return mixed(total)
+
+
+BLOCK_BYTES = 1 << 20
+_BASE = 0x9E3779B97F4A7C15
+_tables: dict[str, np.ndarray] = {}
+
+
+def powers(inverse: bool = False) -> np.ndarray:
+    """The powers of the base of the words' polynomials, or of its inverse, for every place of a block."""
+    name = "inverse" if inverse else "powers"
+    if name not in _tables:
+        out = np.empty(BLOCK_BYTES + 1, dtype=np.uint64)
+        out[0], n = 1, 1
+        base = pow(_BASE, -1, 2**64) if inverse else _BASE
+        while n < len(out):
+            step = min(n, len(out) - n)
+            out[n:n + step] = out[:step] * np.uint64(pow(base, n, 2**64))
+            n += step
+        _tables[name] = out
+    return _tables[name]
+
+
+def _is_space() -> np.ndarray:
+    if "space" not in _tables:
+        _tables["space"] = np.isin(np.arange(256), list(SPACE_CHARS.encode()))
+    return _tables["space"]
+
+
+def spans_of(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words in UTF-8 bytes; no word goes over a cut."""
+    inside = ~_is_space()[data]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    cuts = cuts[(cuts > 0) & (cuts < len(data))]
+    first[cuts] = inside[cuts]
+    last[cuts - 1] = inside[cuts - 1]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte ranges of a block: differences of one running polynomial."""
+    if len(data) > BLOCK_BYTES:  # one word longer than a block
+        import xxhash
+        return np.array([xxhash.xxh3_64_intdigest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], dtype=np.uint64)
+    total = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers()[:len(data)], out=total[1:])
+    return mixed((total[ends] - total[starts]) * powers(inverse=True)[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def blocks(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, int, bool]]:
+    """Pieces ``(bytes, cuts, first row, goes on)`` of a text column: whole rows up to a block, or a part of one long row
+    that ends with white space. ``cuts`` are the ends of the rows in the piece."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    texts = texts.cast(pa.large_binary())
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.empty(0, dtype=np.uint8)
+    row = 0
+    while row < len(texts):
+        end = int(np.searchsorted(offsets, offsets[row] + BLOCK_BYTES, side="right")) - 1
+        if end > row:
+            yield data[offsets[row]:offsets[end]], offsets[row + 1:end + 1] - offsets[row], row, False
+            row = end
+            continue
+        at, stop = int(offsets[row]), int(offsets[row + 1])
+        while at < stop:
+            cut = min(at + BLOCK_BYTES, stop)
+            if cut < stop:
+                white = np.flatnonzero(_is_space()[data[at:cut]])
+                size = BLOCK_BYTES
+                while not len(white) and cut < stop:  # a word longer than a block
+                    size *= 2
+                    cut = min(at + size, stop)
+                    white = np.flatnonzero(_is_space()[data[at:cut]])
+                if cut < stop:
+                    cut = at + int(white[-1]) + 1
+            yield data[at:cut], np.array([cut - at]), row, cut < stop
+            at = cut
+        row += 1
+
+
+def word_hashes(texts: pa.Array, function=None) -> Iterator[tuple[int, np.ndarray]]:
+    """``(row, hashes of its words)`` for every row of a text column without nulls.
+
+    ``function(data, starts, ends)`` gives the value of each word, by default its hash.
+    """
+    function = function or span_hashes
+    held: list[np.ndarray] = []
+    for data, cuts, row, goes_on in blocks(texts):
+        starts, ends = spans_of(data, cuts)
+        values = function(data, starts, ends)
+        if goes_on or held:
+            held.append(values)
+            if not goes_on:
+                yield row, np.concatenate(held)
+                held = []
+            continue
+        edges = np.r_[0, np.searchsorted(starts, cuts)]
+        for i in range(len(cuts)):
+            yield row + i, values[edges[i]:edges[i + 1]]

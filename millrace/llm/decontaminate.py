@@ -22,12 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from millrace.llm.common import mixed, window_hashes
+from millrace.llm.common import mixed, span_hashes, window_hashes, word_hashes
 from millrace.session import stored
 
 WINDOW = 8
@@ -48,80 +47,104 @@ _NUMBER = re.compile(r"[$€£]?[+-]?(?:\d[\d.,:/]*)(?:%|st|nd|rd|th)?")
 _MEASURE = re.compile(r"[+-]?\d[\d.,]*([a-z]+)")
 
 
-class Words(dict):
-    """UTF-8 word -> row of the tables below: its literal hash, its kind, whether it is capitalised or ends a sentence."""
-
-    def __init__(self, limit: int = 500_000):
-        super().__init__()
-        self.limit = limit
-        self.rows: list[tuple[int, int, int, int, int]] = []
-        self.array = np.empty((0, 5), dtype=np.uint64)
-
-    def __missing__(self, word: bytes) -> int:
-        text = word.decode("utf-8", "replace")
-        bare = re.sub(r"^[^\w$€£%+-]+|[^\w%$€£]+$", "", text)
-        low = bare.lower()
-        kind = LITERAL
-        if _NUMBER.fullmatch(low) or low in NUMBERS:
-            kind = NUMBER
-        elif low in UNITS:
-            kind = UNIT
-        elif (m := _MEASURE.fullmatch(low)) and m[1] in UNITS:
-            kind = NUMBER
-        name = kind == LITERAL and len(bare) > 1 and bare[0].isupper() and not bare.isupper()
-        ends = text.rstrip("\"')]»”’")[-1:] in tuple(".!?:;…")
-        self.rows.append((xxhash.xxh3_64_intdigest(low.encode()), kind, name, ends, bool(re.search(r"\w", bare)) or kind == UNIT))
-        value = self[word] = len(self.rows) - 1
-        return value
-
-    def template(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``(template hashes, slot values, is slot)`` of a text's words, without words of punctuation only."""
-        if len(self) > self.limit:
-            self.clear()
-            self.rows, self.array = [], self.array[:0]
-        words = text.split()
-        ids = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
-        if len(self.array) < len(self.rows):
-            self.array = np.concatenate([self.array, np.array(self.rows[len(self.array):], dtype=np.uint64)])
-        info = self.array[ids]
-        kind = info[:, 1].copy()
-        starts = np.r_[True, info[:-1, 3] > 0][:len(info)]
-        kind[(info[:, 2] > 0) & ~starts] = NAME
-        kept = info[:, 4] > 0
-        values, kind = info[kept, 0], kind[kept]
-        slot = kind != LITERAL
-        return np.where(slot, mixed(kind), values), values, slot
+# a word is one number: the hash of its bare lower-case form with the kind and three marks in the lowest bits
+KIND, CAPITAL, ENDS, WORD, MARKS = np.uint64(3), np.uint64(4), np.uint64(8), np.uint64(16), np.uint64(31)
+PLACEHOLDERS = mixed(np.arange(4, dtype=np.uint64)) & ~MARKS
 
 
-HIT = StructType([StructField("window", LongType()), StructField("place", IntegerType()), StructField("slots", ArrayType(LongType()))])
+def _bytes(chars: str | bytes) -> np.ndarray:
+    out = np.zeros(256, dtype=bool)
+    out[list(chars.encode() if isinstance(chars, str) else chars)] = True
+    return out
+
+
+_UPPER = _bytes("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+_LOWER = _bytes("abcdefghijklmnopqrstuvwxyz") | (np.arange(256) >= 128)
+_DIGIT = _bytes("0123456789")
+_CORE = _UPPER | _LOWER | _DIGIT | _bytes("_$%")
+_QUOTE, _END = _bytes("\"')]"), _bytes(".!?:;")
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with the capitals of ASCII and Latin-1 in lower case."""
+    up = _UPPER[data]
+    up[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+    return data + (up * np.uint8(32))
+
+
+def _hash_of(word: str) -> int:
+    data = np.frombuffer(word.encode(), dtype=np.uint8)
+    return int(span_hashes(data, np.array([0]), np.array([len(data)]))[0])
 
 
-def windows(template: np.ndarray, slot: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the windows, and which of them have enough literal words."""
-    hashes = window_hashes(template, size)
-    n_slots = np.convolve(slot.astype(np.int32), np.ones(size, dtype=np.int32), "valid") if len(hashes) else np.empty(0, dtype=np.int32)
-    return hashes ^ np.uint64(size), 2 * n_slots <= size
+class Words:
+    """The numbers of words; those with a digit or a sign are looked at one by one, all others as whole blocks of bytes."""
+
+    def __init__(self):
+        self.units = np.sort(np.array([_hash_of(w) & ~31 for w in UNITS], dtype=np.uint64))
+        self.number_words = np.sort(np.array([_hash_of(w) & ~31 for w in NUMBERS], dtype=np.uint64))
+
+    def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if not len(starts):
+            return np.empty(0, dtype=np.uint64)
+        low, core = lowered(data), np.flatnonzero(_CORE[data])
+        at, to = np.searchsorted(core, starts), np.searchsorted(core, ends)
+        good = to > at                                    # words of punctuation only have no core
+        core = np.r_[core, 0]
+        first, last = np.where(good, core[at], starts), np.where(good, core[to - 1] + 1, ends)
+        values = span_hashes(low, first, last) & ~MARKS
+        kind = np.zeros(len(starts), dtype=np.uint64)
+        kind[np.isin(values, self.units)] = UNIT
+        kind[np.isin(values, self.number_words)] = NUMBER
+        signs = np.r_[0, np.cumsum(_DIGIT[data])]
+        for i in np.flatnonzero(signs[ends] > signs[starts]).tolist():
+            word = low[first[i]:last[i]].tobytes().decode("utf-8", "replace")
+            if _NUMBER.fullmatch(word) or ((m := _MEASURE.fullmatch(word)) and m[1] in UNITS):
+                kind[i] = NUMBER
+        second = np.minimum(first + 1, len(data) - 1)
+        capital = _UPPER[data[first]] & (last > first + 1) & _LOWER[data[second]] & (kind == LITERAL)
+        final = np.where(_QUOTE[data[ends - 1]] & (ends > starts + 1), ends - 2, ends - 1)
+        return values | kind | capital * CAPITAL | _END[data[final]] * ENDS | good * WORD
+
+
+def template(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(template hashes, slot values, is slot)`` of a text's words, without words of punctuation only."""
+    named = (numbers[1:] & CAPITAL > 0) & (numbers[:-1] & ENDS == 0)
+    kind = numbers & KIND
+    kind[1:][named] = NAME
+    kept = numbers & WORD > 0
+    values, kind = (numbers & ~MARKS)[kept], kind[kept]
+    slot = kind > 0
+    return np.where(slot, PLACEHOLDERS[kind.astype(np.int64)], values), values, slot
+
+
+HIT = StructType([StructField("window", LongType()), StructField("place", IntegerType()), StructField("slots", ArrayType(LongType()))])
 
 
 def _rows(words: Words, texts: pa.Array, sizes, known: np.ndarray | None, whole_short: bool):
     """Row number, window, place, slot values and number of template words of every window that may match."""
     bitmap = None
     if known is not None:
-        bitmap = np.zeros(1 << 22, dtype=bool)
-        bitmap[(known >> np.uint64(42)).astype(np.int64)] = True
-    for row, text in enumerate(texts.cast(pa.binary()).to_pylist()):
-        template, values, slot = words.template(text)
-        n = len(template)
+        bits = min(24, max(16, int(len(known)).bit_length() + 5))
+        bitmap, shift = np.zeros(1 << bits, dtype=bool), np.uint64(64 - bits)
+        bitmap[(known >> shift).astype(np.int64)] = True
+    for row, numbers in word_hashes(texts, words):
+        shape, values, slot = template(numbers)
+        n = len(shape)
         for size in ((min(WINDOW, n),) if whole_short else sizes):
             if not size or n < size:
                 continue
-            hashes, good = windows(template, slot, size)
-            if bitmap is not None:
-                good &= bitmap[(hashes >> np.uint64(42)).astype(np.int64)]
-            places = np.flatnonzero(good)
-            if known is not None and len(places):
-                at = np.minimum(np.searchsorted(known, hashes[places]), len(known) - 1)
-                places = places[known[at] == hashes[places]]
+            hashes = window_hashes(shape, size) ^ np.uint64(size)
+            if bitmap is None:
+                places = np.arange(len(hashes))
+            else:
+                places = np.flatnonzero(bitmap[(hashes >> shift).view(np.int64)])
+                if len(places):
+                    at = np.minimum(np.searchsorted(known, hashes[places]), len(known) - 1)
+                    places = places[known[at] == hashes[places]]
+            if len(places):  # windows with enough literal words
+                before = np.r_[0, np.cumsum(slot)]
+                places = places[2 * (before[places + size] - before[places]) <= size]
             for p in places.tolist():
                 yield row, int(hashes[p].view(np.int64)), p, values[p:p + size][slot[p:p + size]].view(np.int64).tolist(), n, size
 
