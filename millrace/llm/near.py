@@ -9,9 +9,11 @@ candidates; a banded alignment of their elements decides.
 Similarity of two texts: aligned elements / (elements of both - aligned), 0.8 or more makes a link. The alignment is
 the longest common subsequence within the band that this similarity leaves.
 
-Groups are never paired out. Per sketch, all texts are first compared with one leader; those that do not match it go on
-with more leaders (1, 4, 16, ...) until none is left or all of a sketch's texts are in one component. Copies of one
-word sequence are one text throughout.
+Groups are never paired out. The texts of a sketch are put in the order of their following sketches, which brings those
+together that share more of them, and each meets the next ``NEXT`` ones and one leader. So the work is linear in the
+texts even where thousands share a sketch without being alike, small groups are compared completely, and large
+families are tied together through all their sketches. A group of any size is sorted over many tasks. Copies of one word
+sequence are one text throughout.
 
 Defined cases: a text of one to four words is one shingle; texts without words (null, empty, white space) are never
 linked, each row is its own class. Rows with equal ``doc_id`` and text share a class. A class without any ``doc_id``
@@ -31,14 +33,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
 
-from millrace.llm.common import WordHashes, free_name, mixed, window_hashes
+from millrace.llm.common import free_name, mixed, window_hashes, word_hashes
 from millrace.llm.graph import components
 from millrace.session import stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
-SKETCHES = 16
-TUPLE = 3
+SKETCHES = 28
+TUPLE = 5
+NEXT = 4
 
 
 def elements(words: np.ndarray) -> np.ndarray:
@@ -60,12 +63,15 @@ def elements(words: np.ndarray) -> np.ndarray:
 def sketches(items: np.ndarray, count: int = SKETCHES, size: int = TUPLE) -> np.ndarray:
     """One hash per hash function over its ``size`` smallest elements in text order."""
     size = min(size, len(items))
-    out = np.zeros(count, dtype=np.uint64)
-    factors = np.uint64(0x9E3779B97F4A7C15) ** np.arange(size, dtype=np.uint64)
-    for t in range(count):
-        keys = (items ^ np.uint64(0x9E3779B97F4A7C15 * (2 * t + 1) % 2**64)) * np.uint64(0xBF58476D1CE4E5B9 + 2 * t)
-        least = np.sort(np.argpartition(keys, size - 1)[:size]) if size < len(items) else np.arange(size)
-        out[t] = np.sum(items[least] * factors)
+    t = np.arange(count, dtype=np.uint64)[:, None]
+    turn, factor = np.uint64(0x9E3779B97F4A7C15) * (2 * t + 1), np.uint64(0xBF58476D1CE4E5B9) + 2 * t
+    weights = np.uint64(0x9E3779B97F4A7C15) ** np.arange(size, dtype=np.uint64)
+    out = np.empty(count, dtype=np.uint64)
+    some = max(1, (1 << 18) // max(1, len(items)))  # functions at once: long texts need not hold all keys
+    for i in range(0, count, some):
+        keys = (items ^ turn[i:i + some]) * factor[i:i + some]
+        least = np.sort(np.argpartition(keys, size - 1, axis=1)[:, :size], axis=1)
+        out[i:i + some] = (items[least] * weights).sum(axis=1, dtype=np.uint64)
     return mixed(out)
 
 
@@ -91,8 +97,9 @@ def aligned(a: np.ndarray, b: np.ndarray) -> float:
     return len(tails) / (len(x) + len(y) - len(tails))
 
 
-def content_key(words: list[bytes]) -> bytes:
-    return xxhash.xxh3_128_digest(b" ".join(words))
+def content_key(hashes: np.ndarray) -> bytes:
+    """A 128-bit key of a word sequence."""
+    return xxhash.xxh3_128_digest(np.ascontiguousarray(hashes))
 
 
 def sketched(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -101,16 +108,14 @@ def sketched(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                          StructField("sketches", ArrayType(LongType())), StructField("words", ArrayType(IntegerType()))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             rows, keys, marks, words = [], [], [], []
-            for row, body in enumerate(batch.column(1).cast(pa.binary()).to_pylist()):
-                split = body.split()
-                if not split:
+            for row, hashes in word_hashes(batch.column(1)):
+                if not len(hashes):
                     continue
-                short = hashes.of(split).astype(np.uint32).view(np.int32)
+                short = hashes.astype(np.uint32).view(np.int32)
                 rows.append(row)
-                keys.append(content_key(split))
+                keys.append(content_key(hashes))
                 marks.append(sketches(elements(mixed(short.astype(np.uint64)))).view(np.int64))
                 words.append(short)
             lists = [pa.ListArray.from_arrays(np.cumsum([0, *map(len, x)]).astype(np.int32),
@@ -139,52 +144,43 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return with_a.select("a", "b", "wa", "wb").mapInArrow(work, schema)
 
 
+def neighbours(shared: DataFrame) -> DataFrame:
+    """``(x, y)``: every text of a bucket with the next ``NEXT`` ones in the order of ``following``."""
+    schema = StructType([StructField("x", BinaryType()), StructField("y", BinaryType())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tail = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch] if tail is None else [tail, batch]).combine_chunks()
+            old = 0 if tail is None else tail.num_rows
+            buckets, contents = rows.column(0).to_numpy(), rows.column(2).combine_chunks()
+            for k in range(1, NEXT + 1):
+                second = np.flatnonzero(buckets[k:] == buckets[:-k]) + k
+                second = second[second >= old]  # pairs within the tail were made before
+                yield pa.RecordBatch.from_arrays([contents.take(pa.array(second - k)), contents.take(pa.array(second))], names=["x", "y"])
+            tail = rows.slice(max(0, rows.num_rows - NEXT)).combine_chunks().to_batches()[0] if rows.num_rows else None
+
+    parts = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = shared.select("bucket", "following", "content").repartitionByRange(parts, "bucket", "following", "content")
+    return ordered.sortWithinPartitions("bucket", "following", "content").mapInArrow(work, schema)
+
+
 def links(rows: DataFrame) -> DataFrame:
-    """Links ``(a, b)`` between different texts that hold every component together, from ``sketched`` rows."""
-    marks = rows.dropDuplicates(["content"]).select("content", F.posexplode("sketches").alias("t", "mark"))
-    marks = stored(marks.select("content", F.xxhash64("t", "mark").alias("bucket")), "marks")
-    sizes = marks.groupBy("bucket").agg(F.count("*").alias("n"), F.min_by("content", F.xxhash64("bucket", "content")).alias("leader"))
-    left = stored(marks.join(sizes.filter("n > 1"), "bucket").select("bucket", "content", "leader"), "buckets")
-    texts = stored(rows.join(left.select("content").distinct(), "content", "left_semi")
-                   .groupBy("content").agg(F.first("words").alias("words")), "texts")
-
-    pairs = left.filter("content <> leader").select(F.least("content", "leader").alias("a"), F.greatest("content", "leader").alias("b"))
-    done = stored(verified(pairs.distinct(), texts), "verified")
-    compared = left.filter("content <> leader").withColumn("lead", F.lit(False))
-    leaders = 1
-    while True:
-        bad = done.filter(~F.col("same")).select("a", "b")
-        # texts that matched none of their bucket's leaders go on; a leader itself has met all of them
-        tried = compared.filter(~F.col("lead")).select("bucket", "content", F.least("content", "leader").alias("a"),
-                                                       F.greatest("content", "leader").alias("b"))
-        matched = tried.join(bad, ["a", "b"], "left_anti").select("bucket", "content")
-        open_rows = (tried.select("bucket", "content").distinct().join(matched, ["bucket", "content"], "left_anti"))
-        open_rows = stored(open_rows, "open")
-        if open_rows.isEmpty():
-            return done.filter("same").select("a", "b")
-        labels = components(done.filter("same"))
-        several = (open_rows.join(labels, open_rows.content == labels.node, "left")
-                   .groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.coalesce("label", "content")).alias("low"),
-                                          F.max(F.coalesce("label", "content")).alias("high"))
-                   .filter("n > 1 and low < high").select("bucket"))
-        open_rows = open_rows.join(several, "bucket", "left_semi")
-        leaders *= 4
-        nth = F.xxhash64("bucket", "content")
-        ordered = open_rows.groupBy("bucket").agg(F.min(nth).alias("least"), F.max(nth).alias("most"), F.count("*").alias("n"))
-        # the leaders: an expected number of `leaders` texts of each bucket by the value of their hash, the first one always
-        share = F.least(F.lit(1.0), F.lit(float(leaders)) / F.col("n"))
-        chosen = (open_rows.join(ordered, "bucket")
-                  .filter((nth == F.col("least")) | (F.pmod(F.xxhash64("content", "bucket", F.lit(leaders)), F.lit(1 << 20)) < share * (1 << 20)))
-                  .select("bucket", F.col("content").alias("leader")))
-        chosen = stored(chosen, "leaders")
-        compared = stored(open_rows.join(chosen, "bucket").filter("content <> leader")
-                          .join(chosen.select("bucket", F.col("leader").alias("content"), F.lit(True).alias("lead")), ["bucket", "content"], "left")
-                          .select("bucket", "content", "leader", F.coalesce("lead", F.lit(False)).alias("lead")), "compared")
-        if compared.isEmpty():
-            return done.filter("same").select("a", "b")
-        pairs = compared.select(F.least("content", "leader").alias("a"), F.greatest("content", "leader").alias("b")).distinct()
-        new = verified(pairs.join(done, ["a", "b"], "left_anti"), texts)
-        done = stored(done.unionByName(new), "verified")
+    """Links ``(a, b)`` between different texts that hold every class together, from ``sketched`` rows."""
+    different = stored(rows.select("content", "sketches").dropDuplicates(["content"]), "different")
+    after = [F.get("sketches", (F.col("t") + i) % SKETCHES) for i in (1, 2)]
+    order = F.shiftleft(F.shiftrightunsigned(after[0], 32), 32).bitwiseOR(F.shiftrightunsigned(after[1], 32))
+    marks = different.select("content", "sketches", F.posexplode("sketches").alias("t", "mark")).select(
+        F.xxhash64("t", "mark").alias("bucket"), order.alias("following"), "content")
+    several = marks.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    shared = stored(marks.join(several, "bucket"), "buckets")
+    leaders = shared.groupBy("bucket").agg(F.min_by("content", F.xxhash64("bucket", "content")).alias("leader"))
+    led = shared.join(leaders, "bucket").filter("content <> leader").select(F.col("content").alias("x"), F.col("leader").alias("y"))
+    met = led.unionByName(neighbours(shared))
+    pairs = stored(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "pairs")
+    wanted = shared.select("content").distinct()
+    texts = stored(rows.join(wanted, "content", "left_semi").groupBy("content").agg(F.first("words").alias("words")), "texts")
+    return stored(verified(pairs, texts).filter("same").select("a", "b"), "links")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -211,9 +207,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return rows.join(texts, "content").select("doc_id", "class_id").unionByName(alone)
 
 
-@arrow_udf("binary")
+@arrow_udf(BinaryType())
 def content_of(text: pa.Array) -> pa.Array:
-    return pa.array([content_key(split) if (split := body.split()) else None for body in text.cast(pa.binary()).to_pylist()], pa.binary())
+    return pa.array([content_key(hashes) if len(hashes) else None for _, hashes in word_hashes(text)], pa.binary())
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
