@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,23 +47,6 @@ def if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-class WordHashes(dict):
-    """UTF-8 word -> 64-bit hash; emptied when it has grown to ``limit`` words."""
-
-    def __init__(self, limit: int = 1_000_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
 def mixed(values: np.ndarray, seed: int = 0) -> np.ndarray:
     """A bijective scrambling of 64-bit numbers (the finaliser of splitmix64)."""
     z = values + np.uint64((0x9E3779B97F4A7C15 * (seed + 1)) % 2**64)

@@ -12,7 +12,8 @@ earlier place) is a repeat, and every word under a repeat is removed. All window
    words; neighbours' common prefixes are the inner nodes of the group's suffix tree, and a node of depth ``WINDOW`` or more has
    the places of one repeat as leaves, of which the earliest stays.
 4. *Variable length.* A prefix that comes more than ``GROUP`` times is made longer until only one repeat is left below it,
-   that is to a whole window. Such a group is a single deep node: its earliest place is a minimum, combined before the shuffle.
+   that is to a whole window. Such a group is a single deep node: its earliest place is a minimum. It is combined before the
+   shuffle: of all places in one task only the earliest is compared with other tasks, the others are repeats of that one.
 
 Defined cases: null and empty texts have no words; a text shorter than a window keeps all; rows with equal ``doc_id`` and
 text are one document and get the same result; equal ``doc_id`` with different texts is ordered by text hash; a null
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from millrace.llm.common import WordHashes, free_name, window_hashes, without
+from millrace.llm.common import free_name, window_hashes, without, word_hashes
 from millrace.session import stored
 
 WINDOW = 20
@@ -40,6 +41,7 @@ FILTER_BITS = 27
 BEFORE = WINDOW - PREFIX          # words before a suffix that its windows may reach back to
 CHUNK = 1 << 20
 ROWS = 20_000                     # rows of an Arrow batch on the way out, and of trees built at once
+COMBINED = 400_000                # windows of long prefixes combined at once in a task
 
 
 def suffixes(words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -86,10 +88,9 @@ def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def prefix_counts(texts: DataFrame) -> DataFrame:
     """``(prefix, n)`` of the prefixes that come again."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            for text in batch.column(0).cast(pa.binary()).to_pylist():
-                found = [p for _, p, _, _ in suffixes(hashes.of(text.split()))]
+            for _, words in word_hashes(batch.column(0)):
+                found = [p for _, p, _, _ in suffixes(words)]
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["prefix"])
 
@@ -112,7 +113,7 @@ CONTEXT = StructType([StructField("prefix", LongType()), StructField("doc", Long
                       StructField("place", IntegerType()), StructField("first", IntegerType()), StructField("last", IntegerType()),
                       StructField("words", BinaryType())])
 LONG = StructType([StructField("key", LongType()), StructField("key2", LongType()), StructField("doc", LongType()),
-                   StructField("text_hash", LongType()), StructField("place", IntegerType())])
+                   StructField("text_hash", LongType()), StructField("place", IntegerType()), StructField("n", IntegerType())])
 
 
 def _repeated(texts: DataFrame, again, often, long: bool) -> DataFrame:
@@ -139,39 +140,61 @@ def _repeated(texts: DataFrame, again, often, long: bool) -> DataFrame:
                     yield [prefix[some].view(np.int64), np.full(len(at), doc), np.full(len(at), text_hash), at.astype(np.int32),
                            (at - last[some]).astype(np.int32), (at - first[some]).astype(np.int32), context]
 
-    schema = LONG if long else CONTEXT
+    size = 4 * len(around)
 
-    def batch_of(held: list[list]) -> pa.RecordBatch:
+    def contexts(held: list[list]) -> Iterator[pa.RecordBatch]:
         cols = [np.concatenate(c) for c in zip(*held, strict=True)]
-        n = len(cols[0])
-        arrays = [pa.array(c) for c in (cols if long else cols[:-1])]
-        if not long:
-            size = 4 * len(around)
-            arrays.append(pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(0, (n + 1) * size, size, dtype=np.int32)),
-                                                                 pa.py_buffer(np.ascontiguousarray(cols[-1]))]))
-        return pa.RecordBatch.from_arrays(arrays, names=schema.names)
+        edges = np.arange(0, (len(cols[0]) + 1) * size, size, dtype=np.int32)
+        words = pa.Array.from_buffers(pa.binary(), len(cols[0]), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(cols[-1]))])
+        yield pa.RecordBatch.from_arrays([*map(pa.array, cols[:-1]), words], names=CONTEXT.names)
+
+    def combined(held: list[list]) -> Iterator[pa.RecordBatch]:
+        key, key2, doc, text_hash, place = (np.concatenate(c) for c in zip(*held, strict=True))
+        order = np.lexsort((place, text_hash, doc, key2, key))
+        again = np.r_[False, (key[order[1:]] == key[order[:-1]]) & (key2[order[1:]] == key2[order[:-1]])]
+        first = order[np.maximum.accumulate(np.where(again, 0, np.arange(len(order))))]
+        one, other = order[~again], (doc[order] != doc[first]) | (text_hash[order] != text_hash[first]) | (place[order] != place[first])
+        more = order[other]
+        for some in np.array_split(one, -(-len(one) // ROWS)):
+            yield pa.RecordBatch.from_arrays([*(pa.array(c[some]) for c in (key, key2, doc, text_hash, place)), pa.array(np.zeros(len(some), dtype=np.int32))],
+                                             names=LONG.names)
+        repeated = runs(doc[more], text_hash[more], place[more])
+        none = pa.nulls(repeated.num_rows, pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, *repeated.columns], names=LONG.names)
+
+    most = COMBINED if long else ROWS
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         held, n = [], 0
         for batch in batches:
             docs, text_hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for doc, text_hash, text in zip(docs, text_hashes, batch.column(2).cast(pa.binary()).to_pylist(), strict=True):
-                for part in rows(doc, text_hash, hashes.of(text.split())):
+            for row, words in word_hashes(batch.column(2)):
+                for part in rows(docs[row], text_hashes[row], words):
                     held.append(part)
                     n += len(part[0])
-                    if n >= ROWS:
-                        yield batch_of(held)
+                    if n >= most:
+                        yield from combined(held) if long else contexts(held)
                         held, n = [], 0
         if held:
-            yield batch_of(held)
+            yield from combined(held) if long else contexts(held)
 
-    return texts.mapInArrow(work, schema)
+    return texts.mapInArrow(work, LONG if long else CONTEXT)
 
 
-def deep_leaves(doc: np.ndarray, text_hash: np.ndarray, place: np.ndarray, first: np.ndarray, last: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Per suffix a mask: bit j says that its window starting j words before is a repeat of an earlier one."""
-    masks = np.zeros(len(doc), dtype=np.int32)
+def runs(doc: np.ndarray, text_hash: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
+    """Repeats as ``(doc, text_hash, place, n)``: ``n`` consecutive windows from ``place`` on."""
+    order = np.lexsort((start, text_hash, doc))
+    doc, text_hash, start = doc[order], text_hash[order], start[order]
+    new = np.r_[True, (doc[1:] != doc[:-1]) | (text_hash[1:] != text_hash[:-1]) | (start[1:] != start[:-1] + 1)][:len(doc)]
+    first = np.flatnonzero(new)
+    return pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(text_hash[first]), pa.array(start[first].astype(np.int32)),
+                                       pa.array(np.diff(np.r_[first, len(doc)]).astype(np.int32))], names=["doc", "text_hash", "place", "n"])
+
+
+def deep_leaves(doc: np.ndarray, text_hash: np.ndarray, place: np.ndarray, first: np.ndarray, last: np.ndarray,
+                words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and starts of the windows that repeat an earlier one."""
+    found = []
     for j in range(BEFORE + 1):
         rows = np.flatnonzero((first <= j) & (j <= last))
         if len(rows) < 2:
@@ -181,22 +204,26 @@ def deep_leaves(doc: np.ndarray, text_hash: np.ndarray, place: np.ndarray, first
         order = np.lexsort((place[rows], text_hash[rows], doc[rows], *packed.T[::-1]))  # leaves in the order of their words, then by place
         same = strings[order[1:]] == strings[order[:-1]]
         depth = np.where(same.all(axis=1), WINDOW, np.argmin(same, axis=1))             # of the node that joins two neighbours
-        masks[rows[order[1:][depth >= WINDOW]]] |= 1 << j
-    return masks
+        head = np.maximum.accumulate(np.where(np.r_[True, depth < WINDOW], np.arange(len(rows)), 0))  # the earliest leaf of each deep node
+        later, earliest = rows[order], rows[order[head]]
+        # a row that is there twice is one place
+        later = later[(doc[later] != doc[earliest]) | (text_hash[later] != text_hash[earliest]) | (place[later] != place[earliest])]
+        found.append((later, place[later] - j))
+    if not found:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
 
 
-FOUND = "doc bigint, text_hash bigint, place int, mask int"
+FOUND = "doc bigint, text_hash bigint, place int, n int"
 
 
 def trees(contexts: DataFrame) -> DataFrame:
-    """Repeats ``(doc, text_hash, place, mask)`` of suffixes dealt by prefix; a group has at most ``GROUP`` suffixes."""
+    """Repeats ``(doc, text_hash, place, n)`` of suffixes dealt by prefix; a group has at most ``GROUP`` suffixes."""
     def solve(table: pa.Table) -> pa.RecordBatch:
         cols = [table.column(i).to_numpy() for i in range(1, 6)]
         words = np.frombuffer(b"".join(table.column(6).to_pylist()), dtype=np.uint32).reshape(-1, BEFORE + WINDOW)
-        masks = deep_leaves(*cols, words)
-        hit = masks != 0
-        return pa.RecordBatch.from_arrays([pa.array(cols[0][hit]), pa.array(cols[1][hit]), pa.array(cols[2][hit]), pa.array(masks[hit])],
-                                          names=["doc", "text_hash", "place", "mask"])
+        rows, starts = deep_leaves(*cols, words)
+        return runs(cols[0][rows], cols[1][rows], starts)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -219,7 +246,7 @@ def trees(contexts: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc, text_hash, places)`` per document with repeats; ``places(place, mask)`` as in ``deep_leaves``."""
+    """``(doc, text_hash, places)`` per document with repeats; ``places(place, n)``: ``n`` windows from ``place`` on."""
     spark = docs.sparkSession
     texts = _texts(docs, doc_id, text)
     counts = stored(prefix_counts(texts), "prefixes")
@@ -228,27 +255,27 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     often = spark.sparkContext.broadcast(bitmap(hot_prefixes))
     found = trees(_repeated(texts, again, often, long=False))
     if not hot_prefixes.isEmpty():
-        windows = stored(_repeated(texts, again, often, long=True), "long-prefixes")
-        earliest = windows.groupBy("key", "key2").agg(F.min(F.struct("doc", "text_hash", "place")).alias("e"), F.count("*").alias("n")).filter("n > 1")
+        places = stored(_repeated(texts, again, often, long=True), "long-prefixes")
+        windows = places.filter("n = 0")  # the earliest of its task
+        earliest = windows.groupBy("key", "key2").agg(F.min(F.struct("doc", "text_hash", "place")).alias("e"), F.count("*").alias("tasks")).filter("tasks > 1")
         later = windows.join(earliest, ["key", "key2"]).filter(F.struct("doc", "text_hash", "place") > F.col("e"))
-        found = found.unionByName(later.select("doc", "text_hash", "place", F.lit(1).alias("mask")))
-    return found.groupBy("doc", "text_hash").agg(F.collect_set(F.struct("place", "mask")).alias("places"))
+        found = found.unionByName(later.select("doc", "text_hash", "place", F.lit(1).alias("n"))) \
+            .unionByName(places.filter("n > 0").select("doc", "text_hash", "place", "n"))
+    return found.groupBy("doc", "text_hash").agg(F.collect_set(F.struct("place", "n")).alias("places"))
 
 
-@arrow_udf("struct<n_words:bigint,n_removed:bigint,kept:binary>")
+@arrow_udf(StructType([StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept", BinaryType())]))
 def kept_words(text: pa.Array, places: pa.Array) -> pa.Array:
     starts, flat = places.offsets.to_numpy(), places.values
-    at, masks = flat.field(0).to_numpy(), flat.field(1).to_numpy()
+    at, lengths = flat.field(0).to_numpy(), flat.field(1).to_numpy()
     n_words, n_removed, kept = [], [], []
     for i, body in enumerate(text.cast(pa.binary()).to_pylist()):
         words = body.split()
         a, b = starts[i], starts[i + 1]
         if b > a:
             edge = np.zeros(len(words) + 1, dtype=np.int64)
-            for j in range(BEFORE + 1):
-                begin = at[a:b][(masks[a:b] >> j) & 1 > 0] - j
-                np.add.at(edge, begin, 1)
-                np.add.at(edge, begin + WINDOW, -1)
+            np.add.at(edge, at[a:b], 1)
+            np.add.at(edge, at[a:b] + lengths[a:b] + (WINDOW - 1), -1)
             gone = np.cumsum(edge[:-1]) > 0
             left = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
         else:
@@ -268,7 +295,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     keyed = base.withColumn(doc, F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1))).withColumn(text_hash, F.xxhash64(text))
     found = repeats(docs, doc_id, text).select(F.col("doc").alias(doc), F.col("text_hash").alias(text_hash), F.col("places").alias(places))
     joined = keyed.join(found, [doc, text_hash], "left")
-    none = F.array().cast("array<struct<place:int,mask:int>>")
+    none = F.array().cast("array<struct<place:int,n:int>>")
     solved = joined.withColumn(out, kept_words(F.coalesce(F.col(text), F.lit("")), F.coalesce(F.col(places), none)))
     return solved.select(*[F.col(f"`{c}`") for c in base.columns], F.col(f"{out}.n_words").alias("n_words"),
                          F.col(f"{out}.n_removed").alias("n_removed"), F.col(f"{out}.kept").cast("string").alias("kept_text"))
