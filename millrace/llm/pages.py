@@ -24,8 +24,7 @@ and list items. Columns of the input pass through; result names are replaced.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 import xxhash
@@ -43,7 +42,7 @@ BROADCAST_NODES = 200_000
 
 # fixed values: elements by their role
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-RAW = {"script", "style"}
+RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe"}  # skipped to their end tag
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins",
           "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt",
           "u", "var", "wbr"}
@@ -59,22 +58,58 @@ UNWANTED = re.compile(
     r"alerts?|popups?|modals?|overlays?|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|recommended|"
     r"widgets?|pagination|pager|skip-link|copyright|legal|disclaimer)(?:$|[\s_-])", re.I)
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
-_SPACE = re.compile(r"\s+")
+_MARKUP = re.compile(r"""(?s)<(?:!--.*?(?:--!?>|\Z)|/([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|"""
+                     r"""([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|[!?/][^>]*(?:>|\Z))""")
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 
 
-class Page(HTMLParser):
+class Page:
     """Text blocks of a page: ``(path, text, in an article)``, and per style node what its children look like."""
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, str, bool, bool]] = []  # tag, path, left out, in an article
         self.blocks: list[tuple[str, str, bool]] = []
         self.children: list[tuple[str, list[str]]] = []
         self.open_children: list[list[str]] = [[]]
         self.parts: list[str] = []
 
+    def read(self, html: str) -> None:
+        at = 0
+        while True:
+            mark = html.find("<", at)
+            if mark < 0:
+                self.text(html[at:])
+                break
+            found = _MARKUP.match(html, mark)
+            if not found:  # a sign, not markup
+                self.text(html[at:mark + 1])
+                at = mark + 1
+                continue
+            if mark > at:
+                self.text(html[at:mark])
+            at = found.end()
+            end, start, attributes, odd, odd_attributes = found.groups()
+            if end:
+                self.end(end.lower())
+            elif start or odd:
+                tag = (start or odd).lower()
+                if tag in RAW:
+                    closing = re.compile(rf"(?i)</{tag}[^>]*(?:>|\Z)").search(html, at)
+                    at = closing.end() if closing else len(html)
+                    continue
+                self.start(tag, attributes or odd_attributes or "")
+        self.flush()
+        while self.stack:
+            self.pop()
+
+    def text(self, data: str) -> None:
+        if data:
+            self.parts.append(unescape(data) if "&" in data else data)
+
     def flush(self) -> None:
-        text = _SPACE.sub(" ", "".join(self.parts)).strip()
+        if not self.parts:
+            return
+        text = " ".join("".join(self.parts).split())
         self.parts = []
         if text:
             depth = len(self.stack)
@@ -84,9 +119,7 @@ class Page(HTMLParser):
             if not out:
                 self.blocks.append((path, text, article))
 
-    def handle_starttag(self, tag: str, attrs) -> None:
-        if tag in RAW:
-            self.set_cdata_mode(tag)
+    def start(self, tag: str, attributes: str) -> None:
         if tag == "br":
             self.parts.append(" ")
             return
@@ -100,29 +133,29 @@ class Page(HTMLParser):
                 self.pop()
         if tag in VOID:
             return
-        given = {k: v or "" for k, v in attrs}
-        kind = " ".join(sorted(given.get("class", "").lower().split()))
+        given = {}
+        if attributes and not attributes.isspace():
+            for name, *values in _ATTRIBUTE.findall(attributes):
+                given.setdefault(name.lower(), unescape("".join(values)))
+        kind = " ".join(sorted(given["class"].lower().split())) if "class" in given else ""
         _, path, out, article = self.stack[-1] if self.stack else ("", "", False, False)
         if tag == "header" and not article or tag in LEFT_OUT:
             out = True
-        marks = f"{given.get('class', '')} {given.get('id', '')}"
-        if tag not in ("html", "body", "article", "main") and (UNWANTED.search(marks) or given.get("role", "").lower() in ROLES):
-            out = True
-        if "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in given.get("style", "").replace(" ", "").lower():
-            out = True
-        article = article or tag in ("article", "main") or given.get("role", "").lower() in ("article", "main") \
-            or "articlebody" in given.get("itemprop", "").lower()
+        article = article or tag in ("article", "main")
+        if given:
+            role = given.get("role", "").lower()
+            if tag not in ("html", "body", "article", "main") and (
+                    role in ROLES or UNWANTED.search(f"{given.get('class', '')} {given.get('id', '')}")):
+                out = True
+            if "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in given.get("style", "").replace(" ", "").lower():
+                out = True
+            article = article or role in ("article", "main") or "articlebody" in given.get("itemprop", "").lower()
         node = f"{tag}.{kind}" if kind else tag
         if tag not in INLINE:
             self.open_children[-1].append(node)
         self.stack.append((tag, f"{path}/{node}" if tag not in INLINE else path, out, article))
         self.open_children.append([])
 
-    def handle_startendtag(self, tag: str, attrs) -> None:
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID and tag not in RAW and self.stack and self.stack[-1][0] == tag:
-            self.handle_endtag(tag)
-
     def pop(self) -> None:
         tag, path, out, _ = self.stack.pop()
         children = self.open_children.pop()
@@ -139,7 +172,7 @@ class Page(HTMLParser):
             if tag not in INLINE:
                 return
 
-    def handle_endtag(self, tag: str) -> None:
+    def end(self, tag: str) -> None:
         if tag not in INLINE:
             self.flush()
         for i in range(len(self.stack) - 1, -1, -1):
@@ -150,23 +183,10 @@ class Page(HTMLParser):
             if tag in INLINE and self.stack[i][0] not in INLINE:
                 return
 
-    def handle_data(self, data: str) -> None:
-        self.parts.append(data)
-
-    def unknown_decl(self, data: str) -> None:
-        pass
-
 
 def parsed(html: str) -> Page:
     page = Page()
-    try:
-        page.feed(html)
-        page.close()
-    except AssertionError:  # a malformed declaration: what was read so far stays
-        pass
-    page.flush()
-    while page.stack:
-        page.pop()
+    page.read(html)
     return page
 
 
