@@ -6,7 +6,7 @@ accepted urls, one of rejected ones. A character's probability after its context
 next shorter context, weighted by how many different characters were seen there (Witten-Bell), down to even odds over
 ``ALPHABET`` characters. A url's score is its log-likelihood difference per character; it is allowed from a threshold on that
 is calibrated on labelled urls left out of the fitting (those whose hash is in one of ``FOLDS`` folds): the cut with the
-largest balanced accuracy over score steps of ``1 / STEPS``, the lowest of equals.
+largest balanced accuracy over score steps of ``1 / STEPS``, in the middle between the nearest scores on both sides.
 
 Everything is aggregations and joins. Urls become their ``ORDER + 1``-character grams with counts; both models are counts of
 (context, character) over all labelled urls of the fold's complement; each distinct gram of the corpus gets one score, and a url sums the
@@ -123,10 +123,10 @@ def threshold(labelled: DataFrame) -> float:
     if not yes or not no:
         return 0.0
     best, cut, below_yes, below_no = -1.0, 0.0, 0, 0
-    for at, y, n in rows:
+    for before, (at, y, n) in zip([rows[0][0] - 1, *[r[0] for r in rows]], rows, strict=False):
         accuracy = (yes - below_yes) / yes + below_no / no
         if accuracy > best + 1e-12:
-            best, cut = accuracy, at / STEPS
+            best, cut = accuracy, (before + 1 + at) / 2 / STEPS
         below_yes, below_no = below_yes + y, below_no + n
     return cut
 

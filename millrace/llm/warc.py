@@ -14,8 +14,8 @@ than one day of a url or one row per day.
 Canonical url: scheme, ``www.``, default port, fragment, an empty query and case of the host don't count; an empty path is
 ``/``. Defined cases: a null or unusable url makes its own canonical url ``""``, which is never matched; records without a date
 are orphans and never found; of responses at one instant the one with the largest ``record_id`` counts, and a response at
-the same instant as the revisit is not earlier; null headers are none; header names are compared in lower case, of equal
-names the last counts; repeated revisits get a row each. Other columns of the input are not looked at.
+the same instant as the revisit is not earlier; null headers are none; header names are compared in lower case, of
+names that differ in case only the greatest spelling counts; repeated revisits get a row each. Other columns of the input are not looked at.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ def lower_names(headers: Column) -> Column:
     entries = F.map_entries(F.coalesce(headers.cast(HEADERS), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))))
     names = F.array_distinct(F.transform(entries, lambda e: F.lower(e["key"])))
     return F.map_from_entries(F.transform(names, lambda n: F.struct(
-        n.alias("key"), F.element_at(F.filter(entries, lambda e: F.lower(e["key"]) == n), -1)["value"].alias("value"))))
+        n.alias("key"), F.array_max(F.filter(entries, lambda e: F.lower(e["key"]) == n))["value"].alias("value"))))
 
 
 def opaque(tag: Column) -> Column:
