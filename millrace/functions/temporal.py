@@ -13,9 +13,13 @@ def event_time(ts: Column) -> Column:
     return ts.cast("timestamp")
 
 
+def after_first_comma(line: Column) -> Column:
+    return F.substring(line, F.instr(line, ",") + 1, F.length(line))
+
+
 def instant_of_log_line(line: Column) -> Column:
     """The ISO instant after the first comma of ``key,instant``."""
-    return F.to_timestamp(F.substring(line, F.instr(line, ",") + 1, F.length(line)))
+    return F.to_timestamp(after_first_comma(line))
 
 
 def date_parts(ts: Column, down_to: str = "hour") -> dict[str, Column]:

@@ -28,4 +28,4 @@ def parse_int(text: Column) -> Column:
 
 def full_match(text: Column, pattern: str) -> Column:
     """True when the whole text matches the pattern."""
-    return text.rlike(f"^(?:{pattern})$")
+    return text.rlike(rf"(?s)\A(?:{pattern})\z")

@@ -167,15 +167,15 @@ def record_to_json_row(t: Tables) -> DataFrame:
 # --- messages --------------------------------------------------------------
 
 def messages(t: Tables, copies: int = 1) -> DataFrame:
-    """Events as bus messages, each published ``copies`` times under the same id attribute."""
+    """Events as bus messages, each published ``copies`` times under the same id attribute; one in ten has none."""
     ts = F.col("ts").cast("timestamp")
     iso = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
     rows = t("events").select(
         F.encode(F.col("event_id").cast("string"), "UTF-8").alias("payload"),
-        F.create_map(
-            F.lit("msgAttrName"), F.concat(F.lit("m"), F.col("event_id").cast("string")),
+        F.map_filter(F.create_map(
+            F.lit("msgAttrName"), F.when(F.col("event_id") % 10 != 3, F.concat(F.lit("m"), F.col("event_id").cast("string"))),
             F.lit("et"), F.date_format(ts, iso),
-            F.lit("pt"), F.date_format(ts + F.expr("INTERVAL 3 SECONDS"), iso)).alias("attrs"),
+            F.lit("pt"), F.date_format(ts + F.expr("INTERVAL 3 SECONDS"), iso)), lambda k, v: v.isNotNull()).alias("attrs"),
         F.col("event_id").alias("n"))
     if copies > 1:
         rows = rows.withColumn("copy", F.explode(F.array(*[F.lit(i) for i in range(copies)])))
@@ -184,7 +184,7 @@ def messages(t: Tables, copies: int = 1) -> DataFrame:
 
 
 MESSAGE_SQL = """'body=' || event_id || ', attrs={et=' || strftime(date_trunc('milliseconds', ts), '%Y-%m-%dT%H:%M:%S.%g')
-      || 'Z, msgAttrName=m' || event_id || ', pt='
+      || 'Z' || CASE WHEN event_id % 10 <> 3 THEN ', msgAttrName=m' || event_id ELSE '' END || ', pt='
       || strftime(date_trunc('milliseconds', ts) + INTERVAL 3 SECOND, '%Y-%m-%dT%H:%M:%S.%g') || 'Z}, msgId='"""
 
 

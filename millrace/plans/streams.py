@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import payload as pl
-from millrace.functions.temporal import instant_of_log_line
+from millrace.functions.temporal import after_first_comma, instant_of_log_line
 from millrace.operators.joins import unique_map
 from millrace.operators.transforms import bucket_key, skewed_key
 from millrace.plans.payloads import BASIC, COUNTRY, MESSAGE_SQL, college_of_order, messages, spread_orders
@@ -22,10 +24,12 @@ from millrace.streaming.runtime import (
 from millrace.streaming.state import keyed_windows, stateful_batches, streaming_panes
 
 LIST_SPAN = 4096
+RATE = 50_000   # ticks per step, the load the jobs are meant for
+SHARDS = 16     # state keys that share a hot key and window
 
 
-def event_stream(t: Tables) -> DataFrame:
-    """Events as a stream that closes all its windows at the end."""
+def event_stream(t: Tables) -> tuple[DataFrame, Callable[[], None]]:
+    """Events as a stream, and what closes all its windows when it has been read."""
     events = t("events")
     rows = stream_table(t.spark, t.path("events"), events.schema)
     return closing_heartbeat(rows.withColumn("ts", F.col("ts").cast("timestamp")), "ts")
@@ -33,12 +37,12 @@ def event_stream(t: Tables) -> DataFrame:
 
 @query("stream_rate_agg", "SELECT event_type, count(*) AS cnt, CAST(sum(event_id) AS BIGINT) AS total FROM events GROUP BY 1")
 def stream_rate_agg(t: Tables) -> DataFrame:
-    """A paced sequence that draws the events by number, in four steps."""
+    """A paced sequence, a fixed number of ticks a step, that draws the events by number."""
     events = t("events").select("event_id", "event_type")
-    per_step = -(-events.count() // 4)
-    ticks = rate_steps(t.spark, per_step)
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    ticks = rate_steps(t.spark, RATE)
     drawn = ticks.join(events, F.col("value") == F.col("event_id")).select("event_id", "event_type")
-    return run_some_batches(drawn, "rate", 4).groupBy("event_type").agg(
+    return run_some_batches(drawn, "rate", last // RATE + 1).groupBy("event_type").agg(
         F.count("*").alias("cnt"), F.sum("event_id").alias("total"))
 
 
@@ -51,13 +55,14 @@ def stream_files_window(t: Tables) -> DataFrame:
     root = scratch_path(t.spark, "logs")
     iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
     t.events.select(csv_line(F.col("event_type"), F.date_format("ts", iso)).alias("value")).write.text(f"{root}/a")
-    t.spark.range(1).select(F.concat(F.lit("-,"), F.date_format(F.to_timestamp(F.lit(END_OF_TIME)), iso)).alias("value")).write.text(f"{root}/b")
+    last = t.spark.range(1).select(F.concat(F.lit("-,"), F.date_format(F.to_timestamp(F.lit(END_OF_TIME)), iso)).alias("value"))
     lines = t.spark.readStream.text(f"{root}/*")
-    parsed = lines.select(F.nullif(F.substring_index("value", ",", 1), F.lit("")).alias("key"), F.substring_index("value", ",", -1).alias("at"),
+    parsed = lines.select(F.nullif(F.substring_index("value", ",", 1), F.lit("")).alias("key"), after_first_comma(F.col("value")).alias("at"),
                           instant_of_log_line(F.col("value")).alias("ts"))
     windows = parsed.withWatermark("ts", "2 days").groupBy(F.window("ts", "1 hour"), "key").agg(
         F.count("*").alias("cnt"), F.min("at").alias("first"), F.max("at").alias("last"))
-    return run_to_table(windows.select("key", stamp("window.start").alias("window_start"), "cnt", "first", "last"), "log-windows")
+    return run_to_table(windows.select("key", stamp("window.start").alias("window_start"), "cnt", "first", "last"), "log-windows",
+                        close=lambda: last.write.text(f"{root}/b"))
 
 
 def message_stream(t: Tables, copies: int) -> DataFrame:
@@ -68,9 +73,10 @@ def message_stream(t: Tables, copies: int) -> DataFrame:
 
 
 @query("stream_dedup", """
-    SELECT CAST(event_id AS VARCHAR) AS body, 'm' || event_id AS id FROM events""")
+    SELECT CAST(event_id AS VARCHAR) AS body, 'm' || event_id AS id FROM events WHERE event_id % 10 <> 3
+    UNION ALL SELECT CAST(event_id AS VARCHAR), NULL FROM events, (VALUES (0), (1)) AS c(n) WHERE event_id % 10 = 3""")
 def stream_dedup(t: Tables) -> DataFrame:
-    """Every message was sent twice under one id attribute; one of each is kept."""
+    """Every message was sent twice under one id attribute, of which one is kept; those without the attribute all stay."""
     sent = flows.with_event_time(message_stream(t, 2), "et")
     once = flows.deduplicated(sent, "msgAttrName", "event_ts", "1 hour")
     return run_to_table(once.select(F.decode("payload", "UTF-8").alias("body"), F.col("attrs")["msgAttrName"].alias("id")), "once")
@@ -118,10 +124,10 @@ def stream_to_table(t: Tables) -> DataFrame:
     SELECT event_type AS key, strftime(time_bucket(INTERVAL 6 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_id // {LIST_SPAN} AS block,
            string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS ids FROM events GROUP BY 1, 2, 3""")
 def stream_window_concat(t: Tables) -> DataFrame:
-    rows = event_stream(t).withColumnRenamed("event_type", "key")
-    lists = flows.windowed_lists(rows, "ts", ["key"], F.col("event_id"), "event_id", "6 hours", LIST_SPAN)
+    rows, close = event_stream(t)
+    lists = flows.windowed_lists(rows.withColumnRenamed("event_type", "key"), "ts", ["key"], F.col("event_id"), "event_id", "6 hours", LIST_SPAN)
     return run_to_table(lists.select("key", stamp("window_start").alias("window_start"), "block",
-                                     F.array_join("values", ",").alias("ids")), "concat")
+                                     F.array_join("values", ",").alias("ids")), "concat", close=close)
 
 
 @query("stream_bucket_groups", f"""
@@ -130,9 +136,10 @@ def stream_window_concat(t: Tables) -> DataFrame:
            string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS ids FROM events GROUP BY 1, 2, 3""")
 def stream_bucket_groups(t: Tables) -> DataFrame:
     key = bucket_key(F.col("event_id") % 2000, [(10, "a"), (100, "b"), (1000, "c")], "d")
-    lists = flows.windowed_lists(event_stream(t).withColumn("bucket", key), "ts", ["bucket"], F.col("event_id"), "event_id", "12 hours", LIST_SPAN)
+    rows, close = event_stream(t)
+    lists = flows.windowed_lists(rows.withColumn("bucket", key), "ts", ["bucket"], F.col("event_id"), "event_id", "12 hours", LIST_SPAN)
     return run_to_table(lists.select("bucket", stamp("window_start").alias("window_start"), "block",
-                                     F.array_join("values", ",").alias("ids")), "groups")
+                                     F.array_join("values", ",").alias("ids")), "groups", close=close)
 
 
 @query("stream_xml_window_sum", f"""
@@ -145,14 +152,15 @@ def stream_xml_window_sum(t: Tables) -> DataFrame:
     packed = spread_orders(t).select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("ts"),
                                 pl.gzip(F.encode(college_of_order(), "UTF-8")).alias("payload"))
     packed.write.parquet(path)
-    stream = closing_heartbeat(t.spark.readStream.schema(packed.schema).parquet(path), "ts")
     salary = pl.basic_salary_sum(pl.parse_college(pl.gunzip_text(F.col("payload"))))
-    parsed = stream.select("ts", "o_orderkey", skewed_key(F.col("o_orderkey")).alias("country"), salary.alias("basic"))
     layouts = {"plain": None, "salted": F.pmod("o_orderkey", F.lit(10))}
     done = []
     for name, salt in layouts.items():
+        stream, close = closing_heartbeat(t.spark.readStream.schema(packed.schema).parquet(path), "ts")
+        parsed = stream.select("ts", "o_orderkey", skewed_key(F.col("o_orderkey")).alias("country"), salary.alias("basic"))
         sums = flows.windowed_sums(parsed, "ts", ["country"], F.col("basic"), "30 days", salt=salt)
-        done.append(run_to_table(sums.select(F.lit(name).alias("layout"), stamp("window_start").alias("window_start"), "country", "total"), name))
+        done.append(run_to_table(sums.select(F.lit(name).alias("layout"), stamp("window_start").alias("window_start"), "country", "total"), name,
+                                 close=close))
     return done[0].unionByName(done[1])
 
 
@@ -200,58 +208,66 @@ def stream_late_accumulating(t: Tables) -> DataFrame:
 
 # --- keyed state -----------------------------------------------------------
 
-def emit_size(key, values, why):
-    yield (*key, len(values), why)
+def _by_number(value):
+    return -1 if value is None else value  # the closing row has none
+
+
+def emit_batch(key, values, why):
+    yield (*key, values, why)
 
 
-def _sizes(t: Tables, size: int, shards: int, window: str) -> DataFrame:
-    """Sizes of the batches per key, shard and window."""
-    rows = event_stream(t).withColumn("shard", F.col("event_id") % shards)
-    batches = stateful_batches(keyed_windows(rows, "ts", window), ["event_type", "shard"], "event_id", size, emit_size,
+def _batches(t: Tables, size: int, window: str) -> DataFrame:
+    """``event_type, shard, window_end, members, why`` of the batches per key, shard and window."""
+    rows, close = event_stream(t)
+    keyed = keyed_windows(rows.withColumn("shard", F.col("event_id") % SHARDS), "ts", window)
+    batches = stateful_batches(keyed, ["event_type", "shard"], "event_id", size, emit_batch,
                                T.StructType().add("event_type", "string").add("shard", "long").add("window_end_ms", "long")
-                               .add("size", "long").add("why", "string"))
-    return run_to_table(batches, "batches").groupBy(
-        "event_type", "shard", F.date_format(F.timestamp_millis("window_end_ms"), "yyyy-MM-dd").alias("window_end"), "size", "why").agg(
-        F.count("*").alias("batches"))
+                               .add("members", T.ArrayType(T.LongType())).add("why", "string"), order=_by_number)
+    return run_to_table(batches, "batches", close=close).withColumn(
+        "window_end", F.date_format(F.timestamp_millis("window_end_ms"), "yyyy-MM-dd")).drop("window_end_ms")
 
 
-def _sizes_sql(size: int, shards: int) -> str:
-    return f"""WITH g AS (SELECT event_type, event_id % {shards} AS shard,
-        strftime(time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY, '%Y-%m-%d') AS window_end, count(*) AS n FROM events GROUP BY 1, 2, 3)
-      SELECT event_type, shard, window_end, CAST({size} AS BIGINT) AS size, 'FULL' AS why, n // {size} AS batches FROM g WHERE n >= {size}
-      UNION ALL SELECT event_type, shard, window_end, n % {size}, 'REST', 1 FROM g WHERE n % {size} > 0"""
+def _batches_sql(size: int) -> str:
+    return f"""(SELECT event_type, shard, strftime(w + INTERVAL 1 DAY, '%Y-%m-%d') AS window_end, event_id,
+        (row_number() OVER (PARTITION BY event_type, shard, w ORDER BY event_id) - 1) // {size} AS batch
+        FROM (SELECT *, event_id % {SHARDS} AS shard, time_bucket(INTERVAL 1 DAY, ts) AS w FROM events))"""
 
 
-@query("stream_group_into_batches", _sizes_sql(5, 4))
+@query("stream_group_into_batches", f"""
+    SELECT event_type, shard, window_end, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS members,
+           CASE WHEN count(*) = 5 THEN 'FULL' ELSE 'REST' END AS why FROM {_batches_sql(5)} GROUP BY event_type, shard, window_end, batch""")
 def stream_group_into_batches(t: Tables) -> DataFrame:
     """Batches of 5 per key in one-day windows; keys are sharded, so a hot one has several buffers."""
-    return _sizes(t, 5, 4, "1 day")
+    return _batches(t, 5, "1 day").withColumn("members", F.array_join("members", ","))
 
 
-@query("stream_state_pairs", _sizes_sql(2, 8))
+@query("stream_state_pairs", f"""
+    SELECT event_type, shard, window_end, min(event_id) AS first, CASE WHEN count(*) = 2 THEN max(event_id) END AS second
+    FROM {_batches_sql(2)} GROUP BY event_type, shard, window_end, batch""")
 def stream_state_pairs(t: Tables) -> DataFrame:
-    """Value and list state that act on every second element; a timer flushes the rest at the window's end."""
-    return _sizes(t, 2, 8, "1 day")
+    """Value and list state that act on every second element; a timer gives out a single one at the window's end."""
+    return _batches(t, 2, "1 day").select("event_type", "shard", "window_end", F.get("members", F.lit(0)).alias("first"),
+                                          F.get("members", F.lit(1)).alias("second"))
 
 
-def emit_enriched(key, values, why):
-    for value in values:
-        event_id, name, last = value.split("|")
-        yield int(event_id), f"{name}:{last or 'UNKNOWN'}"
+def emit_requests(key, values, why):
+    yield [(v["event_id"], v["user_id"]) for v in values], why
 
 
 @query("stream_enrich_batched", """
     SELECT event_id, user_id || ':' || coalesce(o_orderpriority, 'UNKNOWN') AS enriched FROM events
-    LEFT JOIN (SELECT o_custkey, max_by(o_orderpriority, o_orderkey) AS o_orderpriority FROM orders WHERE o_totalprice > 300000 GROUP BY 1)
+    LEFT JOIN (SELECT o_custkey, max_by(o_orderpriority, o_orderkey) AS o_orderpriority FROM orders GROUP BY 1)
     ON user_id = o_custkey""")
 def stream_enrich_batched(t: Tables) -> DataFrame:
-    """Elements enriched in batches of 2 per key, the rest when the window expires."""
-    service = t("orders").where("o_totalprice > 300000").groupBy("o_custkey").agg(
-        F.max_by("o_orderpriority", "o_orderkey").alias("last"))
-    rows = event_stream(t)
-    looked_up = rows.join(unique_map(service, "o_custkey", "last"), F.col("user_id") == F.col("o_custkey"), "left")
-    packed = looked_up.withColumn("packed", F.concat_ws(
-        "|", F.col("event_id").cast("string"), F.col("user_id").cast("string"), F.coalesce("last", F.lit(""))))
-    batches = stateful_batches(keyed_windows(packed.withColumn("shard", F.col("event_id") % 4), "ts", "1 day"), ["event_type", "shard"],
-                               "packed", 2, emit_enriched, T.StructType().add("event_id", "long").add("enriched", "string"))
-    return run_to_table(batches, "enriched")
+    """Requests gathered in batches of 2 per key, the rest when the window expires; the service is asked once per batch and
+    its last answer for a user counts. Here the service is a table, so the batches of a micro-batch are looked up together."""
+    service = t("orders").groupBy("o_custkey").agg(F.max_by("o_orderpriority", "o_orderkey").alias("last"))
+    rows, close = event_stream(t)
+    request = T.StructType().add("event_id", "long").add("user_id", "long")
+    asking = rows.withColumn("request", F.struct("event_id", "user_id")).withColumn("shard", F.col("event_id") % SHARDS)
+    batches = stateful_batches(keyed_windows(asking, "ts", "1 day"), ["event_type", "shard"], "request", 2, emit_requests,
+                               T.StructType().add("requests", T.ArrayType(request)).add("why", "string"))
+    asked = batches.select(F.explode("requests").alias("r")).select("r.*")
+    answered = asked.join(unique_map(service, "o_custkey", "last"), F.col("user_id") == F.col("o_custkey"), "left")
+    text = F.concat(F.col("user_id").cast("string"), F.lit(":"), F.coalesce("last", F.lit("UNKNOWN")))
+    return run_to_table(answered.select("event_id", text.alias("enriched")), "enriched", close=close)

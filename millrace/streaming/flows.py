@@ -16,10 +16,16 @@ from millrace.functions.temporal import date_parts, freshness_ms
 def deduplicated(messages: DataFrame, id_attribute: str, ts: str, within: str) -> DataFrame:
     """Drop repeated messages by an id attribute; ids are remembered for ``within`` of event time.
 
+    A message without the attribute (or with an empty one) goes by its own ``msg_id``, which is never taken for an attribute's
+    value; one without either has no copies.
+
     Copies that meet in one Arrow batch are dropped before the shuffle, so that an id sent
     over and over does not send all its copies to one state store.
     """
-    tagged = messages.withColumn("_id", F.try_element_at("attrs", F.lit(id_attribute)))
+    given = F.nullif(F.try_element_at("attrs", F.lit(id_attribute)), F.lit(""))
+    own = F.nullif(F.col("msg_id"), F.lit(""))
+    tagged = messages.withColumn("_id", F.coalesce(
+        F.concat(F.lit("attribute "), given), F.concat(F.lit("message "), own), F.concat(F.lit("row "), F.expr("uuid()"))))
     thinned = tagged.mapInArrow(first_of_each_id, tagged.schema).withWatermark(ts, within)
     return thinned.dropDuplicatesWithinWatermark(["_id"]).drop("_id")
 
@@ -27,7 +33,7 @@ def deduplicated(messages: DataFrame, id_attribute: str, ts: str, within: str) -
 def first_of_each_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(batch.schema.get_field_index("_id"))
-        codes = ids.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        codes = ids.dictionary_encode().indices.to_numpy(zero_copy_only=False)
         first = np.sort(np.unique(codes, return_index=True)[1])
         yield batch if len(first) == len(codes) else batch.take(pa.array(first))
 

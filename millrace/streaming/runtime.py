@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.query import StreamingQuery
 
 from millrace.session import scratch_path
 
@@ -24,21 +25,25 @@ def stream_table(spark: SparkSession, path: str, schema: T.StructType, files_per
     return reader.parquet(pattern)
 
 
-def closing_heartbeat(stream: DataFrame, ts: str) -> DataFrame:
-    """Add one row far in the future, so that a replay read in one micro-batch closes all its windows.
+def closing_heartbeat(stream: DataFrame, ts: str) -> tuple[DataFrame, Callable[[], None]]:
+    """A replay that can be closed: the stream with a second, still empty source, and what lands the closing row there.
 
-    The row is NULL in all columns but the event time; a live stream needs none.
+    The row lies far in the future and is NULL in all columns but the event time. It must come when all input has been
+    processed, in however many micro-batches; ``run_to_table(..., close=...)`` does that. A live stream needs none.
     """
     spark = stream.sparkSession
     path = scratch_path(spark, "heartbeat")
     row = heartbeat(stream, ts)
-    row.write.parquet(path)
-    return stream.unionByName(spark.readStream.schema(row.schema).parquet(path))
+    pattern = f"{path[:-1]}[{path[-1]}]"  # a glob may match nothing yet
+    return stream.unionByName(spark.readStream.schema(row.schema).parquet(pattern)), lambda: row.write.parquet(path)
 
 
 def run_to_table(stream: DataFrame, name: str, partition_by: list[str] | None = None,
-                 mode: str = "append") -> DataFrame:
-    """Process all available input into files with exactly-once commits, and read them back."""
+                 mode: str = "append", close: Callable[[], None] | None = None) -> DataFrame:
+    """Process all available input into files with exactly-once commits, and read them back.
+
+    With ``close`` the input is drained first; then the closing row lands and the flow runs once more on its state.
+    """
     spark = stream.sparkSession
     out = scratch_path(spark, name)
     writer = (stream.writeStream.format("parquet").outputMode(mode).option("path", out)
@@ -46,20 +51,26 @@ def run_to_table(stream: DataFrame, name: str, partition_by: list[str] | None =
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.start().awaitTermination()
+    if close:
+        close()
+        writer.start().awaitTermination()
     return spark.read.schema(_nullable(stream.schema)).parquet(out)
 
 
-def run_some_batches(stream: DataFrame, name: str, batches: int, seconds: float = 300) -> DataFrame:
-    """Run an endless stream until that many micro-batches are committed, and read the files back."""
+def run_some_batches(stream: DataFrame, name: str, batches: int, seconds: float | None = None) -> DataFrame:
+    """Run an endless stream until that many micro-batches are committed, and read the files back.
+
+    ``seconds`` is a stop condition of the caller's; without one the stream runs as long as its batches take.
+    """
     spark = stream.sparkSession
     out = scratch_path(spark, name)
     query = (stream.writeStream.format("parquet").option("path", out)
              .option("checkpointLocation", scratch_path(spark, f"{name}-progress"))
              .trigger(processingTime="0 seconds").start())
-    deadline = time.monotonic() + seconds
+    deadline = time.monotonic() + seconds if seconds else None
     try:
         while (query.lastProgress or {}).get("batchId", -1) < batches - 1:
-            if time.monotonic() > deadline:
+            if deadline and time.monotonic() > deadline:
                 raise TimeoutError(f"{name}: fewer than {batches} batches in {seconds} s")
             if query.awaitTermination(0.1):
                 break
@@ -93,19 +104,20 @@ def heartbeat(like: DataFrame, ts: str) -> DataFrame:
 
 
 def run_each_batch(stream: DataFrame, name: str, write: Callable[[DataFrame, int], None],
-                   every: str | None = None) -> None:
+                   every: str | None = None) -> StreamingQuery:
     """Hand every micro-batch to ``write(rows, batch_id)``; ``write`` must allow a batch to be repeated.
 
     Without ``every`` the available input is processed and the call returns; with it
-    (such as ``"1 minute"``) the query keeps loading periodically until it is stopped.
+    (such as ``"1 minute"``) the query returned keeps loading periodically until the caller stops it.
     """
     spark = stream.sparkSession
     writer = stream.writeStream.foreachBatch(write).option(
         "checkpointLocation", scratch_path(spark, f"{name}-progress"))
     if every:
-        writer.trigger(processingTime=every).queryName(name).start()
-    else:
-        writer.trigger(availableNow=True).start().awaitTermination()
+        return writer.trigger(processingTime=every).queryName(name).start()
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
 
 
 def _nullable(schema: T.StructType) -> T.StructType:

@@ -25,12 +25,13 @@ class BatchBuffer(StatefulProcessor):
     """Collect the values of a key and window; emit at ``size``, and the rest when the window ends.
 
     ``act`` turns a full or final batch into output tuples. The buffer never holds more
-    than ``size`` values.
+    than ``size`` values. Values can be structs. With ``order`` the values that come in one micro-batch are
+    put in that order first. Rows of a window that is over are dropped.
     """
 
     def __init__(self, size: int, act: Callable[[tuple, list[Any], str], Iterator[tuple]], value_type: str,
-                 columns: list[str]):
-        self.size, self.act, self.value_type, self.columns = size, act, value_type, columns
+                 columns: list[str], order: Callable[[Any], Any] | None = None):
+        self.size, self.act, self.value_type, self.columns, self.order = size, act, value_type, columns, order
 
     def _rows(self, key, values, why) -> Iterator[Row]:
         row = Row(*self.columns)
@@ -43,12 +44,15 @@ class BatchBuffer(StatefulProcessor):
         self.count = handle.getValueState("count", "n int")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if timerValues.getCurrentWatermarkInMs() >= key[-1]:
+            return
         known = self.count.get()
         held = [r[0] for r in self.buffer.get()] if known is not None and known[0] else []
         if known is None:
             self.handle.registerTimer(key[-1])
-        for row in rows:
-            held.append(row["value"])
+        values = (row["value"] for row in rows)
+        for value in sorted(values, key=self.order) if self.order else values:
+            held.append(value)
             if len(held) >= self.size:
                 yield from self._rows(key, held, "FULL")
                 held = []
@@ -70,12 +74,17 @@ class BatchBuffer(StatefulProcessor):
 
 
 def stateful_batches(stream: DataFrame, keys: list[str], value: str, size: int,
-                     act: Callable[[tuple, list[Any], str], Iterator[tuple]], output: T.StructType) -> DataFrame:
-    """Apply :class:`BatchBuffer` per key and window; ``stream`` comes from :func:`keyed_windows`."""
+                     act: Callable[[tuple, list[Any], str], Iterator[tuple]], output: T.StructType,
+                     order: Callable[[Any], Any] | None = None) -> DataFrame:
+    """Apply :class:`BatchBuffer` per key and window; ``stream`` comes from :func:`keyed_windows`.
+
+    All rows of a key and window pass one state, one after the other. A key that can be hot gets a shard number among ``keys``:
+    the hash or remainder of something that differs between its rows, over as many shards as tasks shall share it.
+    """
     value_type = stream.schema[value].dataType.simpleString()
     narrow = stream.select(*keys, "window_end_ms", F.col(value).alias("value"))
     return narrow.groupBy(*keys, "window_end_ms").transformWithState(
-        statefulProcessor=BatchBuffer(size, act, value_type, output.names), outputStructType=output,
+        statefulProcessor=BatchBuffer(size, act, value_type, output.names, order), outputStructType=output,
         outputMode="Append", timeMode="EventTime")
 
 

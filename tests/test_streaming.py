@@ -160,11 +160,75 @@ def test_table_stream_reads_files_and_folders(spark, tmp_path):
 
 def test_heartbeat_closes_windows(spark, steps):
     steps.add(("a", 1, 0), ("a", 2, 61))
-    stream = closing_heartbeat(spark.readStream.schema(SCHEMA).parquet(str(steps.folder)), "ts")
-    sums = flows.windowed_sums(stream, "ts", ["key"], F.col("value"), "1 minute")
-    salted = flows.windowed_sums(stream, "ts", ["key"], F.col("value"), "1 minute", salt=F.pmod("value", F.lit(3)))
-    for frame_ in (sums, salted):
-        assert rows(run_to_table(frame_.select("key", "total"), "sums")) == [("a", 1), ("a", 2)]
+    for salt in (None, F.pmod("value", F.lit(3))):
+        stream, close = closing_heartbeat(spark.readStream.schema(SCHEMA).parquet(str(steps.folder)), "ts")
+        sums = flows.windowed_sums(stream, "ts", ["key"], F.col("value"), "1 minute", salt=salt)
+        assert rows(run_to_table(sums.select("key", "total"), "sums", close=close)) == [("a", 1), ("a", 2)]
+
+
+def hourly(steps):
+    """Four files of one hour each, in the order of time."""
+    for hour in range(4):
+        steps.add(*[(k, hour * 100 + i, hour * 3600 + i) for i in range(6) for k in ("a", "b")])
+    return steps
+
+
+def replayed(spark, steps, flow, one_batch):
+    reader = spark.readStream.schema(SCHEMA)
+    if not one_batch:
+        reader = reader.option("maxFilesPerTrigger", 1)
+    stream, close = closing_heartbeat(reader.parquet(str(steps.folder)), "ts")
+    return rows(run_to_table(flow(stream), "replay", close=close))
+
+
+FLOWS = {
+    "lists": lambda s: flows.windowed_lists(s, "ts", ["key"], F.col("value"), "value", "1 hour", 4).drop("window_start"),
+    "sums": lambda s: flows.windowed_sums(s, "ts", ["key"], F.col("value"), "1 hour").select("key", "total"),
+    "salted sums": lambda s: flows.windowed_sums(s, "ts", ["key"], F.col("value"), "1 hour", salt=F.pmod("value", F.lit(3))).select("key", "total"),
+    "batches": lambda s: st.stateful_batches(st.keyed_windows(s.where("key is not null or value is null"), "ts", "1 hour"), ["key"], "value", 4,
+                                             batch_rows, BATCHES, order=lambda v: v or 0).where("key is not null"),
+}
+
+
+@pytest.mark.parametrize("name", list(FLOWS))
+def test_replays_close_after_several_micro_batches(spark, steps, name):
+    hourly(steps)
+    several = replayed(spark, steps, FLOWS[name], one_batch=False)
+    assert several == replayed(spark, steps, FLOWS[name], one_batch=True) and len(several) >= 8
+
+
+def test_late_rows_never_reach_a_closed_buffer(spark, steps):
+    steps.add(("a", 1, 0)).add(("-", 0, 99)).add(("a", 2, 1)).add(("-", 0, 199))
+    windows = st.keyed_windows(steps.stream(spark), "ts", "2 seconds")
+    out = run_to_table(st.stateful_batches(windows, ["key"], "value", 2, batch_rows, BATCHES), "late").where("key = 'a'")
+    assert rows(out.select("values", "why")) == [([1], "REST")]
+
+
+def test_struct_values_are_kept_whole(spark, steps):
+    steps.add(("a|b", 1, 0), ("a|b", 2, 0)).add(("a|b", 3, 1)).add(("-", 0, 99))
+    asking = st.keyed_windows(steps.stream(spark), "ts", "2 seconds").withColumn("v", F.struct("key", "value"))
+    out = T.StructType().add("names", T.ArrayType(T.StringType())).add("n", "long")
+    act = lambda key, values, why: iter([([v["key"] for v in values], sum(v["value"] for v in values))])
+    got = run_to_table(st.stateful_batches(asking, ["key"], "v", 2, act, out), "structs")
+    assert sorted(r.n for r in got.where("array_contains(names, 'a|b')").collect()) == [3, 3]
+
+
+def test_messages_without_the_attribute_are_no_copies(spark, tmp_path):
+    sent = [("x", {"id": "1"}, "m1"), ("x", {"id": "1"}, "m2"), ("y", {"id": ""}, "m3"), ("y", {}, "m4"), ("y", None, "m5"), ("y", {}, "m5"),
+            ("z", {"id": "m4"}, "m6"), ("w", {}, None), ("w", {}, None)]
+    df = spark.createDataFrame([(*m, START.to_pydatetime()) for m in sent], "payload string, attrs map<string,string>, msg_id string, ts timestamp")
+    df.write.parquet(str(tmp_path / "bus"))
+    once = flows.deduplicated(spark.readStream.schema(df.schema).parquet(str(tmp_path / "bus")), "id", "ts", "1 hour")
+    assert sorted(r.payload for r in run_to_table(once, "once").collect()) == ["w", "w", "x", "y", "y", "y", "z"]
+
+
+def test_periodic_load_returns_its_query(spark, steps):
+    steps.add(("a", 1, 0))
+    root = scratch_path(spark, "periodic")
+    query = run_each_batch(steps.stream(spark), "periodic", flows.append_batches(root), every="1 second")
+    query.processAllAvailable()
+    query.stop()
+    assert spark.read.parquet(root).count() == 1
 
 
 def test_rate_source(spark):
