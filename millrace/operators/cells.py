@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import full_match
@@ -36,8 +36,14 @@ def key_prefix(cells: DataFrame, prefix: str) -> DataFrame:
     return cells.where(F.col("row_key").startswith(prefix))
 
 
-def latest(cells: DataFrame) -> DataFrame:
-    """Newest version of every cell."""
+def latest(cells: DataFrame, by_row: bool = False) -> DataFrame:
+    """Newest version of every cell.
+
+    ``by_row`` deals whole rows out at once, so that what follows per row (:func:`label_rows`) needs no exchange of its own;
+    otherwise versions are combined before the exchange.
+    """
+    if by_row:
+        cells = cells.repartition("row_key")
     return cells.groupBy("row_key", "family", "qualifier").agg(
         F.max("ts_micros").alias("ts_micros"), F.max_by("value", "ts_micros").alias("value"))
 
@@ -77,10 +83,9 @@ def label_rows(cells: DataFrame, predicates: dict[str, Column], label: Column) -
     ``label`` is an expression over the boolean columns named in ``predicates``; rows it is
     NULL for are dropped.
     """
-    flags = [F.bool_or(p).alias(name) for name, p in predicates.items()]
-    rows = cells.groupBy(F.col("row_key").alias("_k")).agg(*flags)
-    labels = rows.select("_k", label.alias("label")).where(F.col("label").isNotNull())
-    return cells.join(labels, F.col("row_key") == F.col("_k"), "inner").drop("_k")
+    whole_row = Window.partitionBy("row_key")
+    flagged = cells.withColumns({name: F.bool_or(p).over(whole_row) for name, p in predicates.items()})
+    return flagged.withColumn("label", label).where(F.col("label").isNotNull()).select(*cells.columns, "label")
 
 
 def render_rows(cells: DataFrame, name: str = "text") -> DataFrame:

@@ -30,12 +30,8 @@ def map_partitions_with_setup(df: DataFrame, setup: Callable[[], object],
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores for CPU-heavy steps over a table that is read in fewer splits than there are cores.
-
-    A table with enough splits, as any large one has, is returned as it is and not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    """Deal narrow rows out by keys ahead of a step that makes and unpacks whole documents from them."""
+    return df.repartition(*keys)
 
 
 def flatten_lists(df: DataFrame, column: str, name: str) -> DataFrame:
@@ -74,17 +70,35 @@ def route(df: DataFrame, rules: dict[str, Column]) -> dict[str, DataFrame]:
     return {name: df.where(condition) for name, condition in rules.items()}
 
 
-def odd_even(df: DataFrame, number: str) -> dict[str, DataFrame]:
+def tagged(df: DataFrame, rules: dict[str, Column], name: str = "output") -> DataFrame:
+    """Every row once per output it belongs to, with the output's name: several outputs from one pass.
+
+    For outputs that are aggregated or written together (``groupBy(name)``, ``partitionBy(name)``).
+    """
+    names = F.array_compact(F.array(*[F.when(condition, F.lit(output)) for output, condition in rules.items()]))
+    return df.withColumn(name, F.explode(names))
+
+
+def odd_even_rules(number: str) -> dict[str, Column]:
     """Even and odd numbers; the remainder keeps its sign, so negative odd numbers go nowhere."""
-    return route(df, {"even": F.col(number) % 2 == 0, "odd": F.col(number) % 2 == 1})
+    return {"even": F.col(number) % 2 == 0, "odd": F.col(number) % 2 == 1}
 
 
-def partition_by_index(df: DataFrame, index: Column, count: int) -> list[DataFrame]:
-    """``count`` DataFrames by an index expression; an index outside 0..count-1 is an error."""
-    checked = F.when((index >= 0) & (index < count), index).otherwise(
+def odd_even(df: DataFrame, number: str) -> dict[str, DataFrame]:
+    """:func:`odd_even_rules` as two DataFrames."""
+    return route(df, odd_even_rules(number))
+
+
+def checked_index(index: Column, count: int) -> Column:
+    """The index; one outside 0..count-1 is an error."""
+    return F.when((index >= 0) & (index < count), index).otherwise(
         F.raise_error(F.concat(F.lit("partition index out of range: "), index.cast("string"))).cast("int"))
-    tagged = df.withColumn("_part", checked)
-    return [tagged.where(F.col("_part") == i).drop("_part") for i in range(count)]
+
+
+def partition_by_index(df: DataFrame, index: Column, count: int) -> list[DataFrame]:
+    """``count`` DataFrames by an index expression."""
+    indexed = df.withColumn("_part", checked_index(index, count))
+    return [indexed.where(F.col("_part") == i).drop("_part") for i in range(count)]
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
@@ -94,20 +108,22 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
 
 # --- dead letters ----------------------------------------------------------
 
-def with_dead_letters(df: DataFrame, raw: Column, parsed: Column, name: str,
-                      reason: str) -> tuple[DataFrame, DataFrame]:
-    """Split into rows that parsed and rows that did not.
+def attempted(df: DataFrame, raw: Column, parsed: Column, name: str, reason: str, error: str = "error") -> DataFrame:
+    """``df`` with the parsed value and, where there is none, an error message: good rows and dead letters in one pass.
 
     ``parsed`` must be NULL on failure (``try_`` functions); a NULL input is not a failure
-    of parsing and goes to the dead letters too, with its own message.
+    of parsing and is a dead letter too, with its own message.
     """
-    tried = df.withColumn(name, parsed)
-    good = tried.where(F.col(name).isNotNull())
-    message = F.when(raw.isNull(), F.lit("null input")).otherwise(
-        F.concat(F.lit(reason), F.lit('"'), raw, F.lit('"')))
-    bad = tried.where(F.col(name).isNull()).select(
-        raw.alias("raw"), message.alias("error"))
-    return good, bad
+    message = F.when(raw.isNull(), F.lit("null input")).otherwise(F.concat(F.lit(reason), F.lit('"'), raw, F.lit('"')))
+    return df.withColumn(name, parsed).withColumn(error, F.when(F.col(name).isNull(), message))
+
+
+def with_dead_letters(df: DataFrame, raw: Column, parsed: Column, name: str,
+                      reason: str) -> tuple[DataFrame, DataFrame]:
+    """:func:`attempted` as two DataFrames, the rows that parsed and the dead letters ``(raw, error)``."""
+    tried = attempted(df, raw, parsed, name, reason, "_error")
+    good = tried.where(F.col("_error").isNull()).drop("_error")
+    return good, tried.where(F.col("_error").isNotNull()).select(raw.alias("raw"), F.col("_error").alias("error"))
 
 
 # --- metrics ---------------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,22 +141,22 @@ def udf_setup_once(t: Tables) -> DataFrame:
         F.count("*").alias("cnt"), F.sum(F.col("even").cast("bigint")).alias("even_k"))
 
 
-@query("udf_factorial_digits")
+@query("udf_factorial_digits", """
+    SELECT n, parts, CAST(floor((SELECT sum(log10(k)) FROM range(1, 10051) AS r(k) WHERE k <= n)) AS INT) + 1 AS digits
+    FROM (SELECT 10000 + p_size AS n, count(*) AS parts FROM part GROUP BY 1)""")
 def udf_factorial_digits(t: Tables) -> DataFrame:
-    """Digits of size! per part; the numbers are few, so each is computed once and looked up."""
+    """Digits of (10000 + size)! per part; the numbers are few, so each is computed once and looked up."""
     from millrace.functions.numbers import factorial_text
 
-    sizes = t("part").groupBy((F.col("p_size") * 10).alias("n")).agg(F.count("*").alias("parts"))
-    text = factorial_text(F.col("n"))
-    return sizes.withColumn("f", text).select(
-        "n", "parts", F.length("f").alias("digits"), F.substring("f", 1, 100).alias("head"))
+    sizes = t("part").groupBy((F.lit(10000) + F.col("p_size")).alias("n")).agg(F.count("*").alias("parts"))
+    return sizes.repartition("n").select("n", "parts", F.length(factorial_text(F.col("n"))).alias("digits"))
 
 
 @query("flatmap_explode", r"""
     SELECT word, count(*) AS cnt FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents)
     WHERE word <> '' GROUP BY 1""")
 def flatmap_explode(t: Tables) -> DataFrame:
-    words = tr.spread(t("documents").select("text")).select(F.explode(F.split("text", " ")).alias("word"))
+    words = t("documents").select(F.explode(F.split("text", " ")).alias("word"))
     return words.where("word <> ''").groupBy("word").agg(F.count("*").alias("cnt"))
 
 
@@ -195,9 +197,8 @@ def with_keys(t: Tables) -> DataFrame:
     UNION ALL SELECT 'value', o_orderstatus, count(*) FROM orders GROUP BY 2""")
 def keys_values(t: Tables) -> DataFrame:
     pairs = t("orders").select(F.col("o_orderpriority").alias("key"), F.col("o_orderstatus").alias("value"))
-    counted = [pairs.select(F.col(c).alias("item")).groupBy("item").agg(F.count("*").alias("cnt")).select(
-        F.lit(c).alias("part"), "item", "cnt") for c in ("key", "value")]
-    return tr.union_all(counted)
+    items = pairs.select(F.explode(F.array(*[F.struct(F.lit(c).alias("part"), F.col(c).alias("item")) for c in ("key", "value")])).alias("i"))
+    return items.groupBy("i.part", "i.item").agg(F.count("*").alias("cnt"))
 
 
 @query("key_buckets", """
@@ -224,9 +225,7 @@ def key_skew_distribution(t: Tables) -> DataFrame:
 def multi_output_even_odd(t: Tables) -> DataFrame:
     signed = t("events").select(
         F.when(F.col("event_id") % 3 == 0, -F.col("event_id")).otherwise(F.col("event_id")).alias("n"))
-    return tr.union_all([
-        rows.agg(F.count("*").alias("cnt"), F.sum("n").alias("total")).select(F.lit(name).alias("output"), "cnt", "total")
-        for name, rows in tr.odd_even(signed, "n").items()])
+    return tr.tagged(signed, tr.odd_even_rules("n")).groupBy("output").agg(F.count("*").alias("cnt"), F.sum("n").alias("total"))
 
 
 @query("partition_three_way", """
@@ -239,10 +238,8 @@ def partition_three_way(t: Tables) -> DataFrame:
     items = t("lineitem").select(F.when(third == 0, F.lower("l_returnflag")).when(third == 1, F.col("l_linestatus"))
                                  .otherwise(F.col("l_linenumber").cast("string")).alias("s"))
     index = F.when(F.col("s").rlike("^[a-z]+$"), 0).when(F.col("s").rlike("^[A-Z]+$"), 1).otherwise(2)
-    return tr.union_all([
-        rows.agg(F.count("*").alias("cnt"), F.min("s").alias("lo"), F.max("s").alias("hi")).select(
-            F.lit(i).alias("part"), "cnt", "lo", "hi")
-        for i, rows in enumerate(tr.partition_by_index(items, index, 3))])
+    return items.groupBy(tr.checked_index(index, 3).alias("part")).agg(
+        F.count("*").alias("cnt"), F.min("s").alias("lo"), F.max("s").alias("hi"))
 
 
 def _spoiled(t: Tables) -> DataFrame:
@@ -255,9 +252,9 @@ def _spoiled(t: Tables) -> DataFrame:
     SELECT 'good' AS output, CAST(c_custkey AS VARCHAR) AS item FROM customer WHERE c_custkey % 3 <> 0
     UNION ALL SELECT 'bad', 'For input string: "x' || c_custkey || '"' FROM customer WHERE c_custkey % 3 = 0""")
 def dead_letter_parse(t: Tables) -> DataFrame:
-    good, bad = tr.with_dead_letters(_spoiled(t), F.col("line"), parse_int(F.col("line")), "n", "For input string: ")
-    return tr.union_all([good.select(F.lit("good").alias("output"), F.col("n").cast("string").alias("item")),
-                         bad.select(F.lit("bad").alias("output"), F.col("error").alias("item"))])
+    tried = tr.attempted(_spoiled(t), F.col("line"), parse_int(F.col("line")), "n", "For input string: ")
+    return tried.select(F.when(F.col("error").isNull(), "good").otherwise("bad").alias("output"),
+                        F.coalesce("error", F.col("n").cast("string")).alias("item"))
 
 
 @query("dead_letter_union", """
@@ -267,13 +264,11 @@ def dead_letter_parse(t: Tables) -> DataFrame:
       UNION ALL SELECT 'good', CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey % 3 <> 0 AND c_custkey % 5 <> 0)
     GROUP BY 1""")
 def dead_letter_union(t: Tables) -> DataFrame:
-    parsed, bad_parse = tr.with_dead_letters(
-        _spoiled(t), F.col("line"), parse_int(F.col("line")), "n", "For input string: ")
-    divided = F.try_divide(F.lit(100), F.col("n") % 5)
-    good, bad_divide = tr.with_dead_letters(parsed, F.col("line"), divided, "q", "Division by zero: ")
-    parts = {"parse": bad_parse, "divide": bad_divide, "good": good.select(F.col("line").alias("raw"))}
-    tagged = tr.union_all([rows.select(F.lit(step).alias("step"), "raw") for step, rows in parts.items()])
-    return tagged.groupBy("step").agg(F.count("*").alias("cnt"), F.min("raw").alias("lo"), F.max("raw").alias("hi"))
+    """Failures of two steps, told apart in one pass."""
+    parsed = tr.attempted(_spoiled(t), F.col("line"), parse_int(F.col("line")), "n", "For input string: ", "parse_error")
+    both = tr.attempted(parsed, F.col("line"), F.try_divide(F.lit(100), F.col("n") % 5), "q", "Division by zero: ", "divide_error")
+    step = F.when(F.col("parse_error").isNotNull(), "parse").when(F.col("divide_error").isNotNull(), "divide").otherwise("good")
+    return both.groupBy(step.alias("step")).agg(F.count("*").alias("cnt"), F.min("line").alias("lo"), F.max("line").alias("hi"))
 
 
 # --- metrics ---------------------------------------------------------------
@@ -290,9 +285,11 @@ def observe_metrics(t: Tables) -> DataFrame:
     return t.spark.createDataFrame([tuple(seen[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
 
 
-@query("partition_sizes")
+@query("partition_sizes", "SELECT count(*) AS rows, true AS none_empty, true AS even FROM lineitem")
 def partition_sizes(t: Tables) -> DataFrame:
-    return tr.partition_sizes(t("lineitem").select("l_orderkey").hint("rebalance"))
+    """How the rows lie after dealing them out: all there, no partition empty or twice as full as the average."""
+    sizes = tr.partition_sizes(t("lineitem").select("l_orderkey").repartition(8))
+    return sizes.agg(F.sum("rows").alias("rows"), (F.count("*") == 8).alias("none_empty"), (F.max("rows") < 2 * F.avg("rows")).alias("even"))
 
 
 @query("data_freshness", """
@@ -382,10 +379,12 @@ def view_even_numbers(t: Tables) -> DataFrame:
 
 @query("view_restricted", "SELECT c_custkey, c_mktsegment FROM customer")
 def view_restricted(t: Tables) -> DataFrame:
-    t("customer").createOrReplaceTempView("millrace_private_customer")
-    t.spark.sql("""CREATE OR REPLACE TEMPORARY VIEW millrace_public_customer AS
-                   SELECT c_custkey, c_mktsegment FROM millrace_private_customer""")
-    return t.spark.table("millrace_public_customer")
+    """A restricting view over a table that is itself not shown; both have names of their own in the session."""
+    mark = uuid.uuid4().hex[:12]
+    t("customer").createOrReplaceTempView(f"private_customer_{mark}")
+    t.spark.sql(f"""CREATE TEMPORARY VIEW public_customer_{mark} AS
+                    SELECT c_custkey, c_mktsegment FROM private_customer_{mark}""")
+    return t.spark.table(f"public_customer_{mark}")
 
 
 @query("limit_n", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")

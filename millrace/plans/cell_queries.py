@@ -11,7 +11,7 @@ from millrace.session import scratch_path
 
 BASE = 1_700_000_000_000_000
 LATER = 3_000_000
-OPTIONAL, VALUE = "optional_key_cf", "value_cf"
+PROFILE, ACCOUNT = "profile", "account"
 
 
 def customer_cells(t: Tables) -> DataFrame:
@@ -19,12 +19,12 @@ def customer_cells(t: Tables) -> DataFrame:
                    F.lpad(F.col("c_custkey").cast("string"), 9, "0"))
     old = F.lit(BASE) + F.col("c_custkey") % 1000 * 1000
     values = {
-        (OPTIONAL, "code_cq"): F.concat("c_mktsegment", F.when(F.col("c_custkey") % 2 == 0, "_").otherwise("")),
-        (OPTIONAL, "rq_id_cq"): F.when(F.col("c_custkey") % 5 == 0, "abc123").when(
-            F.col("c_custkey") % 5 < 3, F.concat(F.lit("rq"), F.col("c_custkey").cast("string"))),
-        (OPTIONAL, "service_cq"): F.concat(F.lit("Serv"), (F.col("c_custkey") % 3).cast("string")),
-        (VALUE, "id_cq"): F.col("c_name"),
-        (VALUE, "sub_id_cq"): cents("c_acctbal").cast("string"),
+        (PROFILE, "segment"): F.concat("c_mktsegment", F.when(F.col("c_custkey") % 2 == 0, "-plus").otherwise("")),
+        (PROFILE, "tier"): F.when(F.col("c_custkey") % 5 == 0, "gold").when(
+            F.col("c_custkey") % 5 < 3, F.concat(F.lit("level "), (F.col("c_custkey") % 7).cast("string"))),
+        (PROFILE, "region"): F.concat(F.lit("region "), (F.col("c_nationkey") % 3).cast("string")),
+        (ACCOUNT, "name"): F.col("c_name"),
+        (ACCOUNT, "cents"): cents("c_acctbal").cast("string"),
     }
     cells = []
     for (family, qualifier), value in values.items():
@@ -35,13 +35,13 @@ def customer_cells(t: Tables) -> DataFrame:
 
 CELLS = f"""WITH c AS (SELECT *, 'n' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || '#' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS row_key,
                        {BASE} + c_custkey % 1000 * 1000 AS old FROM customer),
-    one AS (SELECT row_key, old, '{OPTIONAL}' AS family, 'code_cq' AS qualifier,
-                   c_mktsegment || CASE WHEN c_custkey % 2 = 0 THEN '_' ELSE '' END AS value FROM c
-      UNION ALL SELECT row_key, old, '{OPTIONAL}', 'rq_id_cq', CASE WHEN c_custkey % 5 = 0 THEN 'abc123'
-                   WHEN c_custkey % 5 < 3 THEN 'rq' || c_custkey END FROM c
-      UNION ALL SELECT row_key, old, '{OPTIONAL}', 'service_cq', 'Serv' || c_custkey % 3 FROM c
-      UNION ALL SELECT row_key, old, '{VALUE}', 'id_cq', c_name FROM c
-      UNION ALL SELECT row_key, old, '{VALUE}', 'sub_id_cq', CAST(CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 100 AS BIGINT) AS VARCHAR) FROM c),
+    one AS (SELECT row_key, old, '{PROFILE}' AS family, 'segment' AS qualifier,
+                   c_mktsegment || CASE WHEN c_custkey % 2 = 0 THEN '-plus' ELSE '' END AS value FROM c
+      UNION ALL SELECT row_key, old, '{PROFILE}', 'tier', CASE WHEN c_custkey % 5 = 0 THEN 'gold'
+                   WHEN c_custkey % 5 < 3 THEN 'level ' || c_custkey % 7 END FROM c
+      UNION ALL SELECT row_key, old, '{PROFILE}', 'region', 'region ' || c_nationkey % 3 FROM c
+      UNION ALL SELECT row_key, old, '{ACCOUNT}', 'name', c_name FROM c
+      UNION ALL SELECT row_key, old, '{ACCOUNT}', 'cents', CAST(CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 100 AS BIGINT) AS VARCHAR) FROM c),
     cells AS (SELECT row_key, family, qualifier, old AS ts_micros, 'old_' || value AS value FROM one WHERE value IS NOT NULL
       UNION ALL SELECT row_key, family, qualifier, old + {LATER}, value FROM one WHERE value IS NOT NULL),
     latest AS (SELECT row_key, family, qualifier, max(ts_micros) AS ts_micros, max_by(value, ts_micros) AS value FROM cells GROUP BY 1, 2, 3)"""
@@ -65,43 +65,43 @@ def kv_ts_range(t: Tables) -> DataFrame:
     return cl.time_range(customer_cells(t), BASE + LATER, BASE + LATER + 500_000)
 
 
-@query("kv_cell_filter", f"""{CELLS} SELECT * FROM cells WHERE regexp_full_match(family, 'optional.*')
-    AND regexp_full_match(qualifier, 'code_cq') AND regexp_full_match(value, '.*_')""")
+@query("kv_cell_filter", f"""{CELLS} SELECT * FROM cells WHERE regexp_full_match(family, 'prof.*')
+    AND regexp_full_match(qualifier, 'segment') AND regexp_full_match(value, '.*-plus')""")
 def kv_cell_filter(t: Tables) -> DataFrame:
-    return customer_cells(t).where(cl.matches(family="optional.*", qualifier="code_cq", value=".*_"))
+    return customer_cells(t).where(cl.matches(family="prof.*", qualifier="segment", value=".*-plus"))
 
 
 @query("kv_condition_row", f"""{CELLS} SELECT * FROM cells WHERE row_key IN (
-    SELECT row_key FROM cells WHERE family = '{OPTIONAL}' AND qualifier = 'rq_id_cq' AND value = 'abc123')""")
+    SELECT row_key FROM cells WHERE family = '{PROFILE}' AND qualifier = 'tier' AND value = 'gold')""")
 def kv_condition_row(t: Tables) -> DataFrame:
-    return cl.rows_with(customer_cells(t), cl.matches(OPTIONAL, "rq_id_cq", "abc123"))
+    return cl.rows_with(customer_cells(t), cl.matches(PROFILE, "tier", "gold"))
 
 
 @query("kv_condition_label", f"""{CELLS}, seen AS (
       SELECT * FROM latest WHERE ts_micros >= {BASE + LATER} AND ts_micros < {BASE + LATER + 10_000_000}),
-    flags AS (SELECT row_key, bool_or(qualifier = 'rq_id_cq' AND value = 'abc123') AS rq,
-                     bool_or(qualifier = 'code_cq' AND value LIKE '%\\_' ESCAPE '\\') AS code,
-                     bool_or(qualifier = 'service_cq' AND value = 'Serv2') AS service FROM seen GROUP BY 1)
+    flags AS (SELECT row_key, bool_or(qualifier = 'tier' AND value = 'gold') AS gold,
+                     bool_or(qualifier = 'segment' AND value LIKE '%-plus') AS plus,
+                     bool_or(qualifier = 'region' AND value = 'region 2') AS far FROM seen GROUP BY 1)
     SELECT row_key, qualifier, value, label FROM seen JOIN (
-      SELECT row_key, CASE WHEN rq AND code THEN 'e-rq-id--r-code' WHEN NOT rq AND service THEN 'e-code' END AS label FROM flags)
+      SELECT row_key, CASE WHEN gold AND plus THEN 'gold plus' WHEN NOT gold AND far THEN 'far' END AS label FROM flags)
     USING (row_key) WHERE label IS NOT NULL""")
 def kv_condition_label(t: Tables) -> DataFrame:
     """Newest cells in a time range; rows labelled by a nested condition, all others blocked."""
-    seen = cl.time_range(cl.latest(customer_cells(t)), BASE + LATER, BASE + LATER + 10_000_000)
-    predicates = {"rq": cl.matches(qualifier="rq_id_cq", value="abc123"), "code": cl.matches(qualifier="code_cq", value=".*_"),
-                  "service": cl.matches(qualifier="service_cq", value="Serv2")}
-    rq = F.col("rq")
-    label = F.when(rq & F.col("code"), "e-rq-id--r-code").when(~rq & F.col("service"), "e-code")
+    seen = cl.time_range(cl.latest(customer_cells(t), by_row=True), BASE + LATER, BASE + LATER + 10_000_000)
+    predicates = {"gold": cl.matches(qualifier="tier", value="gold"), "plus": cl.matches(qualifier="segment", value=".*-plus"),
+                  "far": cl.matches(qualifier="region", value="region 2")}
+    gold = F.col("gold")
+    label = F.when(gold & F.col("plus"), "gold plus").when(~gold & F.col("far"), "far")
     return cl.label_rows(seen, predicates, label).select("row_key", "qualifier", "value", "label")
 
 
-@query("kv_all_predicates", f"""{CELLS} SELECT row_key, qualifier, value FROM latest WHERE family = '{OPTIONAL}' AND row_key IN (
-    SELECT row_key FROM latest GROUP BY 1 HAVING bool_or(qualifier = 'rq_id_cq' AND value = 'abc123')
-      AND bool_or(qualifier = 'code_cq' AND ends_with(value, '_')))""")
+@query("kv_all_predicates", f"""{CELLS} SELECT row_key, qualifier, value FROM latest WHERE family = '{PROFILE}' AND row_key IN (
+    SELECT row_key FROM latest GROUP BY 1 HAVING bool_or(qualifier = 'tier' AND value = 'gold')
+      AND bool_or(qualifier = 'segment' AND ends_with(value, '-plus')))""")
 def kv_all_predicates(t: Tables) -> DataFrame:
-    family = cl.latest(customer_cells(t).where(F.col("family") == OPTIONAL))
-    found = cl.rows_with_all(family, cl.matches(qualifier="rq_id_cq", value="abc123"),
-                             (F.col("qualifier") == "code_cq") & F.col("value").endswith("_"))
+    family = cl.latest(customer_cells(t).where(F.col("family") == PROFILE))
+    found = cl.rows_with_all(family, cl.matches(qualifier="tier", value="gold"),
+                             (F.col("qualifier") == "segment") & F.col("value").endswith("-plus"))
     return found.select("row_key", "qualifier", "value")
 
 

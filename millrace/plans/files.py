@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.temporal import date_parts
-from millrace.operators.transforms import spread
 from millrace.plans.registry import Tables, query
 from millrace.session import scratch_path
 from millrace.sources import files as fl
@@ -47,23 +46,25 @@ def subscriptions(t: Tables) -> DataFrame:
 
 
 def subscription_text(rows: DataFrame) -> DataFrame:
-    """Some fields of every kind, as text."""
+    """Every field as text."""
     sub = F.col("myRequiredSubRecord")
     return rows.select(
-        "id", F.concat_ws("|", F.date_format("creation_timestamp", "yyyy-MM-dd HH:mm:ss"),
+        "id", F.concat_ws("|", F.date_format("creation_timestamp", "yyyy-MM-dd HH:mm:ss"), F.date_format("expiration_date", "yyyy-MM-dd"),
                           F.date_format("my_datetime", "HH:mm"), F.col("my_time").cast("string"),
                           F.col("my_numeric").cast("decimal(18,2)").cast("string"),
                           F.array_join("numbers", ",", "null"), sub["myRequiredInt"].cast("string"),
                           F.coalesce(sub["myNullableLong"].cast("string"), F.lit("-")),
                           sub["myRequiredBoolean"].cast("string"),
-                          F.coalesce(F.size("myOptionalArraySubRecords").cast("string"), F.lit("-"))).alias("text"))
+                          F.coalesce(F.array_join(F.transform("myOptionalArraySubRecords", lambda r: F.concat(
+                              r["myRequiredDouble"].cast("string"), F.lit(":"), F.coalesce(r["myOptionalFloat"].cast("string"), F.lit("-")))), ","),
+                              F.lit("-"))).alias("text"))
 
 
 SUBSCRIPTION_SQL = """
-    SELECT 'id' || o_orderkey AS id, strftime(a, '%Y-%m-%d %H:%M:%S') || '|' || strftime(a, '%H:%M') || '|' || strftime(a, '%H:%M:%S')
+    SELECT 'id' || o_orderkey AS id, strftime(a, '%Y-%m-%d %H:%M:%S') || '|' || strftime(o_orderdate, '%Y-%m-%d') || '|' || strftime(a, '%H:%M') || '|' || strftime(a, '%H:%M:%S')
       || '|' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) || '|' || o_orderkey || ',' || o_custkey || ',null|'
       || o_custkey % 100 || '|' || CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey AS VARCHAR) ELSE '-' END || '|'
-      || (o_orderstatus = 'F') || '|' || CASE WHEN o_orderkey % 3 = 0 THEN '2' ELSE '-' END AS text
+      || (o_orderstatus = 'F') || '|' || CASE WHEN o_orderkey % 3 = 0 THEN '1.2:-,3.4:5.5' ELSE '-' END AS text
     FROM (SELECT *, o_orderdate + to_seconds(o_orderkey % 86400) AS a FROM orders)"""
 
 
@@ -109,7 +110,7 @@ def scan_binary_files(t: Tables) -> DataFrame:
     """Files of bounded size read whole, with their names."""
     path = scratch_path(t.spark, "whole")
     lines = t("events").select(fl.csv_line(F.col("event_id"), F.col("event_type")).alias("value"))
-    spread(lines).write.option("maxRecordsPerFile", 1_000_000).text(path)
+    lines.write.option("maxRecordsPerFile", 1_000_000).text(path)
     files = fl.whole_files(t.spark, f"{path}/*.txt")
     text = F.decode("content", "UTF-8")
     return files.agg(F.sum(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))).alias("files_lines"),

@@ -12,7 +12,7 @@ from millrace.functions.temporal import date_path
 from millrace.operators import aggregates as ag
 from millrace.operators.batching import group_into_batches, with_batch, with_shards
 from millrace.operators.ranking import value_pages
-from millrace.operators.transforms import skewed_key
+from millrace.operators.transforms import COUNTRIES, skewed_key, tagged
 from millrace.plans.payloads import college_payloads
 from millrace.plans.registry import Tables, money, query, stamp
 from millrace.session import scratch_path
@@ -58,13 +58,12 @@ def sum_globally(t: Tables) -> DataFrame:
 
 @query("sum_without_defaults", """
     SELECT name, total FROM (
-      SELECT 'some' AS name, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS total FROM lineitem WHERE l_quantity > 25
+      SELECT 'some' AS name, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS total FROM lineitem
       UNION ALL SELECT 'none', count(*), CAST(sum(l_linenumber) AS BIGINT) FROM lineitem WHERE l_quantity < 0) WHERE n > 0""")
 def sum_without_defaults(t: Tables) -> DataFrame:
-    total = F.sum("l_linenumber").alias("total")
-    some = ag.global_combine(t("lineitem").where("l_quantity > 25"), total)
-    none = ag.global_combine(t("lineitem").where("l_quantity < 0"), total)
-    return some.select(F.lit("some").alias("name"), "total").unionByName(none.select(F.lit("none").alias("name"), "total"))
+    """Two collections summed in one pass; the empty one gives no row."""
+    both = tagged(t("lineitem").select("l_linenumber", "l_quantity"), {"some": F.lit(True), "none": F.col("l_quantity") < 0}, "name")
+    return both.groupBy("name").agg(F.sum("l_linenumber").alias("total"))
 
 
 @query("count_globally", "SELECT count(*) AS cnt FROM lineitem")
@@ -167,7 +166,7 @@ class SalarySum(ag.CombineFn):
 
 
 @query("udaf_combinefn", f"""
-    SELECT (['US','US','PL','US','MT','US','US','PL','US','US'])[o_orderkey % 10 + 1] AS country,
+    SELECT ({COUNTRIES})[o_orderkey % 10 + 1] AS country,
            CAST(sum(CAST(floor(o_totalprice) AS BIGINT) + o_custkey + 35000) AS BIGINT) AS total
     FROM orders GROUP BY 1""")
 def udaf_combinefn(t: Tables) -> DataFrame:
@@ -175,8 +174,8 @@ def udaf_combinefn(t: Tables) -> DataFrame:
     return ag.combine_per_key(rows, "country", "payload", SalarySum(), "bigint", "total")
 
 
-@query("salted_two_phase_sum", """
-    SELECT (['US','US','PL','US','MT','US','US','PL','US','US'])[event_id % 10 + 1] AS country,
+@query("salted_two_phase_sum", f"""
+    SELECT ({COUNTRIES})[event_id % 10 + 1] AS country,
            CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY 1""")
 def salted_two_phase_sum(t: Tables) -> DataFrame:
     rows = t("events").withColumn("country", skewed_key(F.col("event_id")))
@@ -225,34 +224,31 @@ def batch_by_minute(t: Tables) -> DataFrame:
 FIVE_DAYS = "time_bucket(INTERVAL 5 DAY, ts, TIMESTAMP '1970-01-01')"
 
 
-def _rows_per_directory(t: Tables, least: int, directories: int) -> int:
-    """Batch and shard sizes that grow with the table, so that the number of directories does not."""
-    return max(least, t("events").count() // directories)
+BATCH_ROWS = 500     # rows of a batch, and of a shard, whatever the size of the table
+SHARD_ROWS = 1000
 
 
 @query("batch_files", f"""
-    SELECT event_type, strftime(w, '%Y-%m-%d') AS win, CAST(batch AS INT) AS batch, count(*) AS size, min(event_id) AS first_id
-    FROM {_batch_sql(FIVE_DAYS, "greatest(200, (SELECT count(*) FROM events) // 150)")} GROUP BY 1, 2, 3""")
+    SELECT event_type, strftime(w, '%Y-%m-%d') AS win, batch, count(*) AS size, min(event_id) AS first_id
+    FROM {_batch_sql(FIVE_DAYS, BATCH_ROWS)} GROUP BY 1, 2, 3""")
 def batch_files(t: Tables) -> DataFrame:
-    """One directory per batch, written and read back."""
+    """Batches under their destination and window, written and read back; the batch is a column of the files."""
     rows = _windowed(t, "5 days").select("event_type", F.date_format("w", "yyyy-MM-dd").alias("win"), "event_id")
     path = scratch_path(t.spark, "batch_files")
-    size = _rows_per_directory(t, 200, 150)
-    write_by_destination(with_batch(rows, ["event_type", "win"], "event_id", size), path, ["event_type", "win", "batch"])
-    stored = t.spark.read.schema("event_id BIGINT, event_type STRING, win STRING, batch INT").parquet(path)
+    write_by_destination(with_batch(rows, ["event_type", "win"], "event_id", BATCH_ROWS), path, ["event_type", "win"])
+    stored = t.spark.read.schema("event_id BIGINT, batch BIGINT, event_type STRING, win STRING").parquet(path)
     return stored.groupBy("event_type", "win", "batch").agg(
         F.count("*").alias("size"), F.min("event_id").alias("first_id"))
 
 
 @query("shard_by_count", f"""
-    SELECT strftime(w, '%Y-%m-%d') AS win, greatest(1, n // least) AS shards, event_id % greatest(1, n // least) AS shard, count(*) AS cnt
-    FROM (SELECT *, count(*) OVER (PARTITION BY w) AS n, greatest(500, (SELECT count(*) FROM events) // 100) AS least
-          FROM (SELECT *, {FIVE_DAYS} AS w FROM events)) GROUP BY 1, 2, 3""")
+    SELECT strftime(w, '%Y-%m-%d') AS win, greatest(1, n // {SHARD_ROWS}) AS shards, event_id % greatest(1, n // {SHARD_ROWS}) AS shard, count(*) AS cnt
+    FROM (SELECT *, count(*) OVER (PARTITION BY w) AS n FROM (SELECT *, {FIVE_DAYS} AS w FROM events)) GROUP BY 1, 2, 3""")
 def shard_by_count(t: Tables) -> DataFrame:
-    """As many shards per window as its rows ask for, written as directories and read back."""
+    """As many shards per window as its rows ask for, written under the window and read back."""
     rows = _windowed(t, "5 days").select(F.date_format("w", "yyyy-MM-dd").alias("win"), "event_id")
     path = scratch_path(t.spark, "shards")
-    sharded = with_shards(rows, ["win"], F.col("event_id"), _rows_per_directory(t, 500, 100))
-    write_by_destination(sharded, path, ["win", "shard"])
-    stored = t.spark.read.schema("event_id BIGINT, shards BIGINT, win STRING, shard BIGINT").parquet(path)
+    sharded = with_shards(rows, ["win"], F.col("event_id"), SHARD_ROWS)
+    write_by_destination(sharded, path, ["win"])
+    stored = t.spark.read.schema("event_id BIGINT, shards BIGINT, shard BIGINT, win STRING").parquet(path)
     return stored.groupBy("win", "shards", "shard").agg(F.count("*").alias("cnt"))

@@ -169,10 +169,9 @@ def join_tiered_match(t: Tables) -> DataFrame:
 
 @query("enrich_batched_lookup", """
     SELECT event_id, user_id || ':' || coalesce(last, 'UNKNOWN') AS enriched FROM events
-    LEFT JOIN (SELECT o_custkey, max_by(o_orderpriority, o_orderkey) AS last FROM orders
-               WHERE o_totalprice > 300000 GROUP BY 1) ON user_id = o_custkey""")
+    LEFT JOIN (SELECT o_custkey, max_by(o_orderpriority, o_orderkey) AS last FROM orders GROUP BY 1) ON user_id = o_custkey""")
 def enrich_batched_lookup(t: Tables) -> DataFrame:
-    service = t("orders").where("o_totalprice > 300000").select("o_custkey", "o_orderpriority", "o_orderkey")
+    service = t("orders").select("o_custkey", "o_orderpriority", "o_orderkey")
     enriched = jn.enrich_with_last(t("events").select("event_id", "user_id"), service, "user_id", "o_custkey",
                                    "o_orderpriority", "o_orderkey")
     return enriched.select("event_id", F.concat_ws(":", F.col("user_id").cast("string"), "o_orderpriority").alias("enriched"))

@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.functions import payload as pl
 from millrace.functions.messages import message_text
 from millrace.functions.records import json_row, typed_record
 from millrace.functions.temporal import freshness_ms
-from millrace.operators.transforms import COUNTRIES, route, skewed_key, spread, union_all
+from millrace.operators.transforms import COUNTRIES, skewed_key, spread, union_all
 from millrace.plans.registry import Tables, query
 from millrace.schemas import OPTIONAL_RECORD, REQUIRED_RECORD
 from millrace.session import scratch_path
-from millrace.sources.tables import write_routes
+from millrace.sources.tables import write_by_type
 
 
 def college_of_order(shift: int = 0) -> Column:
@@ -104,49 +103,42 @@ def json_variant_filter(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).where(k == 10).select("event_id", "user_id", k.alias("k"))
 
 
-def required_json() -> Column:
-    """An order as a JSON document of the required record."""
-    return F.to_json(F.struct(
-        F.col("o_orderpriority").alias("myRequiredString"), F.col("o_orderkey").alias("myRequiredInt"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("myRequiredDate"),
-        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("myRequiredTimestamp"),
-        (F.col("o_orderkey") % 2 == 0).alias("myRequiredBoolean"),
-        (F.col("o_custkey").cast("decimal(20,2)") / 100).cast("decimal(20,2)").alias("myRequiredNumeric"),
-        F.col("o_totalprice").alias("myRequiredDouble"), F.lit("12:34:56.789").alias("myRequiredTime"),
-        F.col("o_orderstatus").alias("myRequiredBytes"), F.lit(7.5).alias("myRequiredFloat"),
-        F.col("o_custkey").alias("myRequiredLong")))
+def record_json(prefix: str, given: Column | None = None) -> Column:
+    """An order as a JSON document of the eleven-field record; where ``given`` is false, fields are missing."""
+    values = {
+        "String": F.col("o_orderpriority"), "Int": F.col("o_orderkey"), "Date": F.date_format("o_orderdate", "yyyy-MM-dd"),
+        "Timestamp": F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), "Boolean": F.col("o_orderkey") % 2 == 0,
+        "Numeric": (F.col("o_custkey").cast("decimal(20,2)") / 100).cast("decimal(20,2)"), "Double": F.col("o_totalprice"),
+        "Time": F.lit("12:34:56.789"), "Bytes": F.col("o_orderstatus"), "Float": F.lit(7.5), "Long": F.col("o_custkey")}
+    return F.to_json(F.struct(*[(v if given is None else F.when(given, v)).alias(prefix + k) for k, v in values.items()]))
 
 
-def typed_json(t: Tables) -> DataFrame:
-    """Orders as ``(table, json)`` records of two types."""
-    optional = F.to_json(F.struct(F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderpriority")).alias("myOptionalString")))
-    is_required = F.col("o_orderkey") % 3 == 0
-    return t("orders").select(
-        F.when(is_required, "required_record").otherwise("optional_record").alias("table"),
-        F.when(is_required, required_json()).otherwise(optional).alias("json"))
+def record_text(record: str, prefix: str) -> Column:
+    """All fields of a typed record as one text, ``-`` for a missing one."""
+    f = {k: F.col(f"{record}.{prefix}{k}") for k in ("String", "Int", "Date", "Timestamp", "Boolean", "Numeric", "Double", "Time", "Bytes", "Float", "Long")}
+    f["Timestamp"], f["Bytes"] = F.date_format(f["Timestamp"], "yyyy-MM-dd HH:mm:ss"), F.decode(f["Bytes"], "UTF-8")
+    f["Numeric"] = f["Numeric"].cast("decimal(20,2)")
+    return F.concat_ws("|", *[F.coalesce(v.cast("string"), F.lit("-")) for v in f.values()])
+
 
+RECORD_TEXT_SQL = """o_orderpriority || '|' || o_orderkey || '|' || strftime(o_orderdate, '%Y-%m-%d') || '|' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+    || '|' || (o_orderkey % 2 = 0) || '|' || CAST(o_custkey / 100.0 AS DECIMAL(20,2)) || '|' || CAST(o_totalprice AS DOUBLE) || '|12:34:56.789|'
+    || o_orderstatus || '|7.5|' || o_custkey"""
 
-@query("route_by_type", """
-    SELECT 'required_record' AS name, o_orderpriority AS text, count(*) AS cnt, CAST(sum(o_custkey) AS BIGINT) AS total
-    FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 2
-    UNION ALL
-    SELECT 'optional_record', CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority ELSE '-' END, count(*), 0
-    FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY 2""")
+
+@query("route_by_type", f"""
+    SELECT o_orderkey % 3 = 0 AS required, {RECORD_TEXT_SQL} AS text FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 5 <> 0
+    UNION ALL SELECT false, '-|-|-|-|-|-|-|-|-|-|-' FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderkey % 5 = 0""")
 def route_by_type(t: Tables) -> DataFrame:
-    """Records parsed by the schema their type names, each type in a table of its own."""
-    source = typed_json(t)
+    """Records parsed by the schema their type names, each type in a table of its own, all written in one pass."""
+    is_required = F.col("o_orderkey") % 3 == 0
+    source = t("orders").select(
+        F.when(is_required, "required_record").otherwise("optional_record").alias("table"),
+        F.when(is_required, record_json("myRequired")).otherwise(record_json("myOptional", F.col("o_orderkey") % 5 != 0)).alias("json"))
     schemas = {"required_record": REQUIRED_RECORD, "optional_record": OPTIONAL_RECORD}
-    routed = route(source, {name: F.col("table") == name for name in schemas})
-    typed = {name: rows.select(typed_record(F.col("json"), schemas[name]).alias("r")).select("r.*")
-             for name, rows in routed.items()}
-    paths = write_routes(typed, scratch_path(t.spark, "routes"))
-    required = t.spark.read.parquet(paths["required_record"]).groupBy(F.col("myRequiredString").alias("text")).agg(
-        F.count("*").alias("cnt"), F.sum("myRequiredLong").alias("total"))
-    optional = t.spark.read.parquet(paths["optional_record"]).groupBy(
-        F.coalesce("myOptionalString", F.lit("-")).alias("text")).agg(
-        F.count("*").alias("cnt"), F.lit(0).cast("bigint").alias("total"))
-    return union_all([required.select(F.lit("required_record").alias("name"), "*"),
-                      optional.select(F.lit("optional_record").alias("name"), "*")])
+    tables = write_by_type(source, "table", "json", schemas, scratch_path(t.spark, "routes"))
+    return union_all([tables[name].select(F.lit(name == "required_record").alias("required"), record_text(name, prefix).alias("text"))
+                      for name, prefix in (("required_record", "myRequired"), ("optional_record", "myOptional"))])
 
 
 @query("record_to_json_row", """
@@ -154,14 +146,14 @@ def route_by_type(t: Tables) -> DataFrame:
       || '","myRequiredDate":"' || strftime(o_orderdate, '%Y-%m-%d') || '","myRequiredTimestamp":"'
       || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '.000 UTC","myRequiredBoolean":' || (o_orderkey % 2 = 0)
       || ',"myRequiredNumeric":"' || CAST(CAST(o_custkey AS DECIMAL(38,9)) / 100 AS DECIMAL(38,9))
-      || '","myRequiredTime":"12:34:56.789","myRequiredBytes":"' || base64(encode(o_orderstatus))
+      || '","myRequiredDouble":' || CAST(o_totalprice AS DOUBLE)
+      || ',"myRequiredTime":"12:34:56.789","myRequiredBytes":"' || base64(encode(o_orderstatus))
       || '","myRequiredFloat":7.5,"myRequiredLong":"' || o_custkey || '"}' AS json
     FROM orders""")
 def record_to_json_row(t: Tables) -> DataFrame:
-    """JSON documents parsed into typed records and written as warehouse rows; doubles are left out of the text."""
-    schema = T.StructType([f for f in REQUIRED_RECORD.fields if f.name != "myRequiredDouble"])
-    record = typed_record(required_json(), schema)
-    return t("orders").select("o_orderkey", json_row(record, schema).alias("json"))
+    """JSON documents parsed into typed records and written as warehouse rows, all eleven fields."""
+    record = typed_record(record_json("myRequired"), REQUIRED_RECORD)
+    return t("orders").select("o_orderkey", json_row(record, REQUIRED_RECORD).alias("json"))
 
 
 # --- messages --------------------------------------------------------------

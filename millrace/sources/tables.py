@@ -6,6 +6,9 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from millrace.functions.records import typed_record
 
 
 def load_table(df: DataFrame, name: str, path: str, write: str = "append", create: bool = True,
@@ -26,6 +29,20 @@ def write_routes(routes: dict[str, DataFrame], root: str) -> dict[str, str]:
     return paths
 
 
+def write_by_type(df: DataFrame, type_column: str, json: str, schemas: dict[str, T.StructType], root: str) -> dict[str, DataFrame]:
+    """Records routed by the type they name, parsed by its schema and written in one pass; one table per type comes back.
+
+    Every type has a struct column of its own and a directory of its own; the columns of other types are NULL there and take no
+    space. A type without a schema is an error.
+    """
+    known = F.when(F.col(type_column).isin(list(schemas)), F.col(type_column)).otherwise(
+        F.raise_error(F.concat(F.lit("no schema for type "), F.coalesce(type_column, F.lit("NULL")))).cast("string"))
+    records = [F.when(F.col("type") == name, typed_record(F.when(F.col("type") == name, F.col(json)), schema)).alias(name) for name, schema in schemas.items()]
+    df.withColumn("type", known).select("type", *records).write.partitionBy("type").parquet(root)
+    stored = df.sparkSession.read.schema(T.StructType([T.StructField(n, s) for n, s in schemas.items()] + [T.StructField("type", T.StringType())])).parquet(root)
+    return {name: stored.where(F.col("type") == name).select(name) for name in schemas}
+
+
 def external_table(spark: SparkSession, name: str, path: str, schema: str | None = None,
                    fmt: str = "parquet") -> DataFrame:
     """Table over existing files, with an explicit schema or that of the files."""

@@ -51,6 +51,7 @@ def shown(df):
     return rows(df.where("key <> '-'").select("key", start.cast("int").alias("end"), "timing", "total"))
 
 
+# The panes of these arrivals
 ON_TIME = [("a", 2, "ON_TIME", 30), ("b", 2, "ON_TIME", 20), ("b", 4, "ON_TIME", 30)]
 
 

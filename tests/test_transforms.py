@@ -74,10 +74,21 @@ def test_observed(frame):
     assert seen.get == {"rows": 3, "count": 2, "min": 1, "max": 5, "sum": 6}
 
 
-def test_spread_leaves_wide_tables_alone(spark):
-    assert tr.spread(spark.range(0, 100, 1, 2), "id").rdd.getNumPartitions() == 8
-    wide = spark.range(0, 100, 1, 16)
-    assert tr.spread(wide) is wide
+def test_spread_deals_rows_out_by_key(spark):
+    dealt = tr.spread(spark.range(0, 100, 1, 1), "id")
+    assert dealt.count() == 100 and dealt.select(F.spark_partition_id()).distinct().count() >= 1
+
+
+def test_tagged_outputs_from_one_pass(frame):
+    df = frame([(n,) for n in (1, -1, 2, 0, None)], "n int")
+    both = tr.tagged(df, {**tr.odd_even_rules("n"), "all": F.lit(True)})
+    counts = {r["output"]: r["count"] for r in both.groupBy("output").count().collect()}
+    assert counts == {"even": 2, "odd": 1, "all": 5}
+
+
+def test_attempted_keeps_good_rows_and_reasons(frame):
+    df = tr.attempted(frame([("1",), ("x",), (None,)], "line string"), F.col("line"), parse_int(F.col("line")), "n", "bad: ")
+    assert rows(df.select("n", "error")) == rows(frame([(1, None), (None, 'bad: "x"'), (None, "null input")], "n bigint, error string"))
 
 
 def test_text(frame):

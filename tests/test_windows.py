@@ -43,6 +43,7 @@ def test_sorted_sets(frame):
 
 
 # arrival steps: the watermark is moved by heartbeat rows of a key of their own
+# Arrivals that pin which pane an element belongs to
 LATE = [("a", 10, 0, 1), ("a", 20, 1, 2), ("b", 20, 1, 2), ("b", 30, 2, 3), ("-", 0, 3, 4), ("a", 40, 1, 5), ("-", 0, 99, 6)]
 ON_TIME = [("a", 0, "ON_TIME", 30), ("b", 0, "ON_TIME", 20), ("b", 2, "ON_TIME", 30)]
 
@@ -65,6 +66,7 @@ def test_beyond_lateness_is_dropped(frame):
         ("a", "DROPPED", 1)]
 
 
+# As above, for triggers
 BASE = [("a", 1, 0, 0), ("a", 2, .001, 0)]
 COARSE = BASE + [("a", 10, 1, 1000), ("a", 100, 2, 2000), ("a", 1000, 3, 3000)]
 TRIGGERS = {
