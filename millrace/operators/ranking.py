@@ -2,8 +2,9 @@
 
 A plain ``row_number`` sorts a whole key in one task, and ``collect_list`` puts a
 whole key into one row. Here a key is cut into blocks of a unique, ordered number:
-rows are ranked inside their block, and a running sum of the (tiny) block counts
-gives the rank of the block's first row.
+rows are ranked inside their block, and a running sum of the (few) block counts
+gives the rank of the block's first row. The cuts are quantiles of that number, so
+they follow the data and not the spacing of its ids.
 """
 
 from __future__ import annotations
@@ -12,18 +13,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BLOCK_SPAN = 65_536
+MOST_BLOCKS = 512
 
 
-def ranked(df: DataFrame, keys: list[str], seq: str, name: str = "rn", span: int = BLOCK_SPAN) -> DataFrame:
-    """Add the 1-based rank of each row within ``keys`` in the order of ``seq``.
+def cuts_of(df: DataFrame, seq: str, blocks: int | None = None) -> list[int]:
+    """Values of ``seq`` that cut ``df`` into about equal parts, as many as there are shuffle partitions (at most ``MOST_BLOCKS``).
 
-    ``seq`` is a unique integer column, so a block holds at most ``span`` rows whatever
-    the size of its key.
+    One pass with a mergeable sketch; one row comes to the driver.
+    """
+    blocks = blocks or min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_BLOCKS)
+    shares = [i / blocks for i in range(1, blocks)]
+    if not shares:
+        return []
+    return sorted(set(df.agg(F.percentile_approx(seq, shares, 10 * blocks)).first()[0] or []))
+
+
+def block_of(value: Column, cuts: list[int], first: int = 0) -> Column:
+    """How many cuts are at or below the value, by halving."""
+    if not cuts:
+        return F.lit(first)
+    mid = len(cuts) // 2
+    return F.when(value < cuts[mid], block_of(value, cuts[:mid], first)).otherwise(block_of(value, cuts[mid + 1:], first + mid + 1))
+
+
+def ranked(df: DataFrame, keys: list[str], seq: str, name: str = "rn", blocks: int | None = None) -> DataFrame:
+    """Add the 1-based rank of each row within ``keys`` in the order of ``seq``, a unique integer column.
+
+    A key has at most as many blocks as there are cuts and a block at most about that share of all rows, whatever the size
+    of the key and the spacing of the numbers.
     """
     # One struct column stands for key and block: window, counts and join then share a single
     # exchange of the rows, and NULL keys compare as equal.
-    block = F.struct(*keys, F.expr(f"{seq} div {span}").alias("_block"))
+    block = F.struct(*keys, block_of(F.col(seq), cuts_of(df, seq, blocks)).alias("_block"))
     blocked = df.withColumn("_group", block)
     rows = blocked.withColumn("_in_block", F.row_number().over(W.partitionBy("_group").orderBy(seq)))
 
@@ -34,10 +55,9 @@ def ranked(df: DataFrame, keys: list[str], seq: str, name: str = "rn", span: int
         *df.columns, (F.col("_before") + F.col("_in_block")).alias(name))
 
 
-def paged(df: DataFrame, keys: list[str], seq: str, size: int, name: str = "page",
-          span: int = BLOCK_SPAN) -> DataFrame:
+def paged(df: DataFrame, keys: list[str], seq: str, size: int, name: str = "page", blocks: int | None = None) -> DataFrame:
     """Add the 0-based page of each row: ``size`` consecutive rows of a key share a page."""
-    with_rank = ranked(df, keys, seq, "_rn", span)
+    with_rank = ranked(df, keys, seq, "_rn", blocks)
     return with_rank.withColumn(name, F.expr(f"(_rn - 1) div {size}")).drop("_rn")
 
 

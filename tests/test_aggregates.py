@@ -61,13 +61,23 @@ def test_rank_equals_brute_force(spark, frame):
     """One key holds most rows, blocks are small, numbers have gaps, one key is NULL."""
     rng = random.Random(7)
     data = [(rng.choice(["hot"] * 8 + ["x", None]), n) for n in rng.sample(range(-500, 5000), 900)]
-    out = rk.ranked(frame(data, "key string, seq bigint").repartition(5), ["key"], "seq", span=37)
+    out = rk.ranked(frame(data, "key string, seq bigint").repartition(5), ["key"], "seq", blocks=7)
     expected = []
     for key in {k for k, _ in data}:
         expected += [(key, s, i + 1) for i, s in enumerate(sorted(s for k, s in data if k == key))]
     assert rows(out) == sorted(expected, key=repr)
 
 
+def test_blocks_do_not_depend_on_the_spacing_of_ids(spark):
+    sparse = spark.range(20_000).select(F.lit("hot").alias("key"), (F.col("id") * 1_000_003).alias("seq"))
+    cuts = rk.cuts_of(sparse, "seq", 16)
+    assert len(cuts) == 15
+    sizes = [r["count"] for r in sparse.groupBy(rk.block_of(F.col("seq"), cuts)).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 20_000 / 16
+    out = rk.ranked(sparse.repartition(7), ["key"], "seq", blocks=16)
+    assert out.where((F.col("rn") - 1) * 1_000_003 != F.col("seq")).count() == 0 and out.count() == 20_000
+
+
 def test_pages_hold_every_value_once(spark):
     df = spark.range(1, 1001).withColumn("key", F.when(F.col("id") > 3, "hot").otherwise("cold"))
     out = rk.value_pages(df, ["key"], F.col("id"), "id", size=64).orderBy("key", "page").collect()
