@@ -1,51 +1,54 @@
-"""Threshold alerts over windowed counts."""
+"""Threshold alerts over windowed counts, without a calendar of silent periods.
+
+A series is quiet in a period when its count is below the threshold; a period without rows counts 0. Only the busy
+periods are rows: what lies between two neighbours is one quiet stretch, whose length is the gap in time. An alert that
+asks for ``periods`` quiet periods in a row is in breach from the ``periods``-th period of a stretch on.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.session import stored
 
 
-def dense_counts(df: DataFrame, ts: str, series: str, period: str) -> DataFrame:
-    """Rows per series and period, with a 0 for every period a series was silent in.
+def period_counts(df: DataFrame, ts: str, series: str, seconds: int) -> DataFrame:
+    """``series, period, cnt``: rows per series and period, numbered since the epoch; periods without rows are no rows.
 
-    The rows are read once; their counts are kept, since they give the series, the span and
-    the figures of the calendar, whose size is series x periods.
+    They are kept, since they give the series, the span and the busy periods.
     """
-    counts = stored(df.groupBy(series, F.window(ts, period).alias("_w")).agg(F.count(F.lit(1)).alias("cnt")).select(
-        series, F.col("_w.start").alias("window_start"), "cnt"), "counts")
-    span = counts.agg(F.struct(F.min("window_start").alias("lo"), F.max("window_start").alias("hi")))
-    calendar = counts.select(series).distinct().withColumn("_span", span.scalar()).select(
-        series, F.explode(F.sequence("_span.lo", "_span.hi", F.expr(f"INTERVAL {period}"))).alias("window_start"))
-    slot = F.struct(series, "window_start").alias("_slot")  # compares NULL series as equal
-    return calendar.select(slot).join(counts.select(slot, "cnt"), "_slot", "left").select(
-        "_slot.*", F.coalesce("cnt", F.lit(0)).alias("cnt"))
+    period = F.expr(f"unix_micros({ts}) div {seconds * 1_000_000}")
+    return stored(df.groupBy(F.col(series).alias("series"), period.alias("period")).agg(F.count(F.lit(1)).alias("cnt")), "counts")
 
 
-def summed_over_series(dense: DataFrame, name: str = "all") -> DataFrame:
+def over_all(counts: DataFrame, name: str = "all") -> DataFrame:
     """One series holding the total of all."""
-    return dense.groupBy("window_start").agg(F.sum("cnt").alias("cnt")).select(
-        F.lit(name).alias("series"), "window_start", "cnt")
+    return counts.groupBy("period").agg(F.sum("cnt").alias("cnt")).select(F.lit(name).alias("series"), "period", "cnt")
+
+
+def busy_periods(counts: DataFrame, threshold: Column) -> DataFrame:
+    """``series, period`` of the periods that are not below the threshold."""
+    return counts.where(F.col("cnt") >= threshold).select("series", "period")
+
+
+def busy_anywhere(busy: DataFrame) -> DataFrame:
+    """Periods in which any series is busy; between them all are quiet at once."""
+    return busy.select(F.lit("all").alias("series"), "period").distinct()
 
 
-def below_threshold(dense: DataFrame, series: str, periods: int, threshold: float,
-                    per_second: int | None = None) -> DataFrame:
-    """Mark the windows at which a series has been below the threshold for ``periods`` in a row.
+def breaches(counts: DataFrame, busy: DataFrame, series: DataFrame, periods: int) -> DataFrame:
+    """``series, first, n``: per quiet stretch in breach its first period in breach and how many there are.
 
-    With ``per_second`` (the period's length) counts are compared as a rate.
+    The span watched is that of ``counts``; ``series(series)`` lists who is watched. Each series is put in the order of its busy
+    periods, of which there are as many as time has.
     """
-    figure = F.col("cnt") if per_second is None else F.col("cnt") / F.lit(per_second)
-    recent = W.partitionBy(series).orderBy("window_start").rowsBetween(-(periods - 1), 0)
-    full = F.count(F.lit(1)).over(recent) == periods
-    return dense.withColumn("breach", full & (F.max(figure).over(recent) < F.lit(threshold)))
-
-
-def fire(marked: DataFrame, series: str, combiner: str = "any") -> DataFrame:
-    """Windows at which any series, or all of them, are in breach."""
-    per_window = marked.groupBy("window_start").agg(
-        F.sum(F.col("breach").cast("bigint")).alias("series_in_breach"), F.count(F.lit(1)).alias("series"))
-    needed = F.lit(1) if combiner == "any" else F.col("series")
-    return per_window.where(F.col("series_in_breach") >= needed)
+    span = counts.agg(F.array(F.min("period") - 1, F.max("period") + 1).alias("ends"))
+    ends = series.withColumn("period", F.explode(span.scalar())).where(F.col("period").isNotNull())
+    marks = busy.select("series", "period").unionByName(ends.select("series", "period"))
+    key = F.struct("series")  # compares NULL series as equal
+    following = F.lead("period").over(W.partitionBy(key).orderBy("period"))
+    stretches = marks.withColumn("quiet", following - F.col("period") - 1)
+    return stretches.where(F.col("quiet") >= periods).select(
+        "series", (F.col("period") + periods).alias("first"), (F.col("quiet") - (periods - 1)).alias("n"))

@@ -200,15 +200,15 @@ def _breach_sql(minutes: int, series: str, periods: int, limit: str) -> str:
     SELECT 'rate', count(*), strftime(min(w), '%Y-%m-%d %H:%M:%S') FROM {_breach_sql(1, "'all'", 3, "6")} WHERE breach""")
 def alert_low_volume(t: Tables) -> DataFrame:
     """Fewer than 3 per 3 minutes for 15 minutes, per series and in all; a total rate below 0.1/s for 3 minutes."""
-    def summary(rows: DataFrame, name) -> DataFrame:
-        return rows.groupBy(name.alias("alert")).agg(
-            F.count("*").alias("windows"), stamp(F.min("window_start")).alias("first_window"))
-
-    dense = al.dense_counts(t.events, "ts", "event_type", "3 minutes")
-    marked = al.below_threshold(dense, "event_type", 5, 3)
-    per_minute = al.summed_over_series(al.dense_counts(t.events, "ts", "event_type", "1 minute"))
-    slow = al.below_threshold(per_minute, "series", 3, 0.1, per_second=60)
+    def summary(found: DataFrame, name, seconds: int) -> DataFrame:
+        first = F.timestamp_seconds(F.min("first") * seconds)
+        return found.groupBy(name.alias("alert")).agg(F.sum("n").alias("windows"), stamp(first).alias("first_window"))
+
+    counts = al.period_counts(t.events, "ts", "event_type", 180)
+    busy = al.busy_periods(counts, F.lit(3))
+    total = al.over_all(al.period_counts(t.events, "ts", "event_type", 60))
+    everything = t.spark.createDataFrame([("all",)], "series string")
     return union_all([
-        summary(marked.where("breach"), F.concat(F.lit("series "), F.col("event_type"))),
-        summary(al.fire(marked, "event_type", "all"), F.lit("all series")),
-        summary(slow.where("breach"), F.lit("rate"))])
+        summary(al.breaches(counts, busy, counts.select("series").distinct(), 5), F.concat(F.lit("series "), F.col("series")), 180),
+        summary(al.breaches(counts, al.busy_anywhere(busy), everything, 5), F.lit("all series"), 180),
+        summary(al.breaches(total, al.busy_periods(total, F.lit(0.1 * 60)), everything, 3), F.lit("rate"), 60)])

@@ -155,24 +155,41 @@ def test_triggers_equal_brute_force(frame, count, delay):
     assert rows(out.select("key", index, "timing", "total")) == sorted(brute_force(data, 5, 3, count, delay), key=repr)
 
 
-def test_series_without_a_name_is_counted(frame):
-    df = frame([(None, "2021-12-16 00:00:10"), (None, "2021-12-16 00:07:10"), ("t", "2021-12-16 00:04:00")], "series string, at string")
-    dense = al.dense_counts(df.withColumn("ts", F.to_timestamp("at")), "ts", "series", "3 minutes")
-    assert sorted(r["cnt"] for r in dense.where("series IS NULL").collect()) == [0, 1, 1]
+def alert_log(frame, data):
+    return frame(data, "series string, at string").select("series", F.to_timestamp("at").alias("ts"))
+
+
+def minutes(found, seconds):
+    """The minutes of the hour at which a series is in breach."""
+    return sorted(((r.series, r["first"] * seconds // 60 % 60 + i * seconds // 60) for r in found.collect() for i in range(r.n)),
+                  key=lambda x: (str(x[0]), x[1]))
+
+
+def test_series_without_a_name_is_watched(frame):
+    df = alert_log(frame, [(None, "2021-12-16 00:00:10"), (None, "2021-12-16 00:07:10"), ("t", "2021-12-16 00:04:00")])
+    counts = al.period_counts(df, "ts", "series", 180)
+    quiet = al.breaches(counts, al.busy_periods(counts, F.lit(1)), counts.select("series").distinct(), 1)
+    assert minutes(quiet, 180) == [(None, 3), ("t", 0), ("t", 6)]
 
 
 def test_alerts(frame):
-    minutes = [0] * 4 + [3] + [6] * 3 + [20]
-    df = frame([("s", f"2021-12-16 00:{m:02d}:10") for m in minutes] + [("t", "2021-12-16 00:00:30")], "series string, at string").select(
-        "series", F.to_timestamp("at").alias("ts"))
-    dense = al.dense_counts(df, "ts", "series", "3 minutes")
-    assert dense.where("series = 's'").count() == 7
-    assert rows(dense.where("cnt > 0").select("series", "cnt")) == [("s", 1), ("s", 1), ("s", 3), ("s", 4), ("t", 1)]
-    marked = al.below_threshold(dense, "series", 4, 3)
-    minute = F.minute("window_start")
-    assert sorted(map(tuple, marked.where("breach").select("series", minute).collect())) == [
-        ("s", 18), ("t", 9), ("t", 12), ("t", 15), ("t", 18)]
-    assert rows(al.fire(marked, "series", "all").select(minute)) == [(18,)]
-    assert sorted(r[0] for r in al.fire(marked, "series", "any").select(minute).collect()) == [9, 12, 15, 18]
-    total = al.summed_over_series(dense)
-    assert rows(total.where("cnt > 1").select("cnt")) == [(3,), (5,)]
+    at = [0] * 4 + [3] + [6] * 3 + [20]
+    df = alert_log(frame, [("s", f"2021-12-16 00:{m:02d}:10") for m in at] + [("t", "2021-12-16 00:00:30")])
+    counts = al.period_counts(df, "ts", "series", 180)
+    busy = al.busy_periods(counts, F.lit(3))
+    assert minutes(al.breaches(counts, busy, counts.select("series").distinct(), 4), 180) == [("s", 18), ("t", 9), ("t", 12), ("t", 15), ("t", 18)]
+    one = frame([("all",)], "series string")
+    assert minutes(al.breaches(counts, al.busy_anywhere(busy), one, 4), 180) == [("all", 18)]
+    assert al.breaches(counts.limit(0), busy.limit(0), one, 4).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_alerts_equal_a_calendar(frame, seed):
+    rng = random.Random(seed)
+    data = [(rng.choice("ab"), f"2021-12-16 {rng.randint(0, 3):02d}:{rng.randint(0, 59):02d}:{rng.randint(0, 59):02d}") for _ in range(60)]
+    counts = al.period_counts(alert_log(frame, data), "ts", "series", 300)
+    have = {(r.series, r.period): r.cnt for r in counts.collect()}
+    lo, hi = min(p for _, p in have), max(p for _, p in have)
+    want = {(s, p) for s in "ab" for p in range(lo + 2, hi + 1) if all(have.get((s, q), 0) < 2 for q in range(p - 2, p + 1))}
+    found = al.breaches(counts, al.busy_periods(counts, F.lit(2)), counts.select("series").distinct(), 3).collect()
+    assert {(r.series, r["first"] + i) for r in found for i in range(r.n)} == want
