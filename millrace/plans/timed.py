@@ -51,11 +51,15 @@ def window_sorted_set(t: Tables) -> DataFrame:
 
 
 @query("window_info", """
-    SELECT event_id, strftime(time_bucket(INTERVAL 10 SECOND, ts), '%Y-%m-%d %H:%M:%S') AS starts,
-           strftime(time_bucket(INTERVAL 10 SECOND, ts) + INTERVAL 10 SECOND, '%Y-%m-%d %H:%M:%S') AS ends FROM events""")
+    SELECT event_id, 'interval' AS type, strftime(time_bucket(INTERVAL 10 SECOND, ts), '%Y-%m-%d %H:%M:%S') AS starts,
+           strftime(time_bucket(INTERVAL 10 SECOND, ts) + INTERVAL 10 SECOND, '%Y-%m-%d %H:%M:%S') AS ends FROM events
+    UNION ALL SELECT event_id, 'global', NULL, NULL FROM events""")
 def window_info(t: Tables) -> DataFrame:
+    """The window of each element by kind: its interval, and the global window, which has no bounds."""
     rows = wn.window_bounds(t.events.select("event_id", "ts"), "ts", "10 seconds")
-    return rows.select("event_id", stamp("window_start").alias("starts"), stamp("window_end").alias("ends"))
+    interval = F.struct(F.lit("interval").alias("type"), stamp("window_start").alias("starts"), stamp("window_end").alias("ends"))
+    whole = F.struct(F.lit("global").alias("type"), F.lit(None).cast("string").alias("starts"), F.lit(None).cast("string").alias("ends"))
+    return rows.select("event_id", F.explode(F.array(interval, whole)).alias("w")).select("event_id", "w.*")
 
 
 # --- lateness --------------------------------------------------------------
