@@ -2,23 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.temporal import date_parts
 from millrace.plans.registry import Tables, query
-from millrace.session import scratch_path
+from millrace.session import scratch_path, scratch_table
 from millrace.sources import files as fl
 from millrace.sources import tables as tb
 
 
-def _table_name(name: str) -> str:
-    return f"millrace_{name}_{uuid.uuid4().hex[:12]}"
-
-
 @query("scan_parquet", """
     SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity > 45 AND l_shipdate >= TIMESTAMP '1997-01-01'""")
 def scan_parquet(t: Tables) -> DataFrame:
@@ -137,7 +131,7 @@ def scan_external_empty(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "external")
     orders = t("orders").select("o_orderkey", "o_custkey")
     orders.limit(0).coalesce(1).write.parquet(path)
-    name, inferred = _table_name("external"), _table_name("inferred")
+    name, inferred = scratch_table(t.spark, "external"), scratch_table(t.spark, "inferred")
 
     def counted(rows: DataFrame, label: str) -> DataFrame:
         return rows.agg(F.count("*").alias("cnt"), F.coalesce(F.sum("o_custkey"), F.lit(0)).alias("total")).select(
@@ -216,14 +210,14 @@ def sink_windowed(t: Tables) -> DataFrame:
     UNION ALL SELECT 'create never', -1""")
 def sink_table_modes(t: Tables) -> DataFrame:
     customer = t("customer").select("c_custkey", "c_acctbal")
-    appended, replaced = _table_name("append"), _table_name("truncate")
+    appended, replaced = scratch_table(t.spark, "append"), scratch_table(t.spark, "truncate")
     paths = [scratch_path(t.spark, "table") for _ in range(2)]
     for _ in range(2):
         tb.load_table(customer, appended, paths[0])
     tb.load_table(customer, replaced, paths[1])
     tb.load_table(customer.where("c_acctbal < 0"), replaced, paths[1], write="truncate", create=False)
     try:
-        tb.load_table(customer, _table_name("missing"), scratch_path(t.spark, "missing"), create=False)
+        tb.load_table(customer, scratch_table(t.spark, "missing"), scratch_path(t.spark, "missing"), create=False)
         refused = 0
     except ValueError:
         refused = -1
@@ -258,7 +252,7 @@ def sink_fanout(t: Tables) -> DataFrame:
     UNION ALL SELECT 'deleted', count(*), CAST(sum(s_suppkey) AS BIGINT) FROM supplier WHERE s_acctbal >= 1000
     UNION ALL SELECT 'emptied', 0, 0""")
 def dml_insert_delete(t: Tables) -> DataFrame:
-    spark, name, path = t.spark, _table_name("dml"), scratch_path(t.spark, "dml")
+    spark, name, path = t.spark, scratch_table(t.spark, "dml"), scratch_path(t.spark, "dml")
     tb.load_table(t("supplier").select("s_suppkey", "s_acctbal"), name, path)
     spark.sql(f"INSERT INTO {name} VALUES (-1, 0.0), (-2, 10.0)")
     kept, none = scratch_path(spark, "dml-kept"), scratch_path(spark, "dml-none")

@@ -27,6 +27,7 @@ RUNTIME_SETTINGS = {
 }
 
 _local_scratch: dict[str, str] = {}
+_made: dict[str, tuple[list[str], list[str]]] = {}  # per application: scratch paths and catalog tables of this library
 
 
 def build_session(app_name: str = "millrace", master: str | None = None, **conf: str) -> SparkSession:
@@ -78,7 +79,32 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder; every call gives another one."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _made.setdefault(spark.sparkContext.applicationId, ([], []))[0].append(path)
+    return path
+
+
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """A new catalog table name."""
+    table = f"millrace_{name}_{uuid.uuid4().hex[:12]}"
+    _made.setdefault(spark.sparkContext.applicationId, ([], []))[1].append(table)
+    return table
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Drop the tables and intermediate results this application has made; returns how many paths were deleted.
+
+    To be called when their results have been used: frames that read them stop working.
+    """
+    paths, names = _made.pop(spark.sparkContext.applicationId, ([], []))
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    deleted = 0
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        deleted += place.getFileSystem(conf).delete(place, True)
+    return deleted
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

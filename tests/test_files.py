@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace import schemas
+from millrace import schemas, session
 from millrace.session import scratch_path, shared_folder
 from millrace.sources import connectors as cn
 from millrace.sources import files as fl
@@ -167,6 +167,16 @@ def test_scratch_is_under_the_configured_folder(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def test_finished_flows_leave_nothing_behind(spark, monkeypatch):
+    monkeypatch.setattr(session, "_made", {})
+    df = session.stored(spark.range(3), "kept")
+    name = session.scratch_table(spark, "t")
+    tb.load_table(df, name, scratch_path(spark, "t"))
+    assert spark.catalog.tableExists(name) and df.count() == 3
+    assert session.release_scratch(spark) == 2 and not spark.catalog.tableExists(name)
+    assert session.release_scratch(spark) == 0
+
+
 def test_console_and_bus_writers_are_not_started(spark, tmp_path):
     spark.range(1).select(F.encode(F.lit("x"), "UTF-8").alias("payload"), F.create_map(F.lit("a"), F.lit("1")).alias("attrs"),
                           F.lit("7").alias("msg_id")).write.parquet(str(tmp_path / "bus"))
