@@ -1,4 +1,4 @@
-"""Connected components by joins: labels move along the links and are shortened by pointer jumping."""
+"""Connected components by joins: every node hooks on to its least neighbour, trees collapse, what is left is contracted."""
 
 from __future__ import annotations
 
@@ -8,21 +8,37 @@ from pyspark.sql import functions as F
 from millrace.session import stored
 
 
+def _roots(hooks: DataFrame) -> DataFrame:
+    """``hooks(node, label)`` with every label replaced by the root of its tree, by pointer jumping."""
+    while True:
+        up = hooks.select(F.col("node").alias("label"), F.col("label").alias("up"))
+        new = stored(hooks.join(up, "label").select("node", F.col("up").alias("label"), (F.col("up") != F.col("label")).alias("moved")), "roots")
+        hooks = new.drop("moved")
+        if new.filter("moved").isEmpty():
+            return hooks
+
+
 def components(links: DataFrame) -> DataFrame:
     """``(node, label)`` for every node of ``links(a, b)``; the label is the smallest node of the component.
 
-    Each round takes the least label among a node's neighbours and then the label of that label, so the rounds grow
-    with the logarithm of the longest path. A node with very many links is one group of a minimum, combined before
-    the shuffle. Labels are written to the shared folder after every round.
+    A round at least halves the nodes that still have links, and links that fall together or within a tree are gone after it, so
+    the many links of a dense component are joined once. A node with very many links is one group of a minimum, combined before
+    the shuffle. Each step is written to the shared folder.
     """
-    both = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("other"))
-                    .select("node", F.least("node", "other").alias("label")), "labels")
+    edges = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
+    loops = links.filter("a = b").select(F.col("a").alias("node"), F.col("a").alias("label"))
+    total = None
     while True:
-        near = (both.join(labels, both.b == labels.node).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near")))
-        step = labels.join(near, "node").select("node", F.least("label", "near").alias("label"), F.col("label").alias("before"))
-        up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        new = stored(step.join(up, "label").select("node", F.least("label", "up").alias("label"), "before"), "labels")
-        labels = new.drop("before")
-        if new.filter("label < before").isEmpty():
-            return labels
+        both = edges.union(edges.select("b", "a"))
+        hooks = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")).select("node", F.least("node", "label").alias("label")), "hooks")
+        step = _roots(hooks)
+        if total is None:
+            total = step
+        else:
+            then = step.select(F.col("node").alias("label"), F.col("label").alias("then"))
+            total = stored(total.join(then, "label", "left").select("node", F.coalesce("then", "label").alias("label")), "labels")
+        to_a, to_b = (step.select(F.col("node").alias(x), F.col("label").alias(f"l{x}")) for x in "ab")
+        apart = edges.join(to_a, "a").join(to_b, "b").filter("la <> lb")
+        edges = stored(apart.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct(), "edges")
+        if edges.isEmpty():
+            return total.unionByName(loops).groupBy("node").agg(F.min("label").alias("label"))

@@ -10,7 +10,8 @@ Similarity of two texts: aligned elements / (elements of both - aligned), 0.8 or
 the longest common subsequence within the band that this similarity leaves.
 
 Groups are never paired out. The texts of a sketch are put in the order of their following sketches, which brings those
-together that share more of them, and each meets the next ``NEXT`` ones and one leader. So the work is linear in the
+together that share more of them, and each meets the next ``NEXT`` ones and one leader, unless the two have nothing but this
+one sketch in common (alike texts share nine of 28 on average, and two at least but for one pair in 4,000). So the work is linear in the
 texts even where thousands share a sketch without being alike, small groups are compared completely, and large
 families are tied together through all their sketches. A group of any size is sorted over many tasks. Copies of one word
 sequence are one text throughout.
@@ -28,12 +29,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
 
-from millrace.llm.common import free_name, mixed, window_hashes, word_hashes
+from millrace.llm.common import free_name, mixed, small_batches, window_hashes, word_hashes
 from millrace.llm.graph import components
 from millrace.session import stored
 
@@ -123,6 +124,7 @@ def sketched(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int32())), pa.array(keys, pa.binary()), *lists],
                                              names=["doc_id", "content", "sketches", "words"])
 
+    small_batches(docs)
     return docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(work, schema)
 
 
@@ -144,8 +146,24 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return with_a.select("a", "b", "wa", "wb").mapInArrow(work, schema)
 
 
+def lanes() -> Column:
+    """One byte of each sketch, to tell how many sketches two texts share without carrying them."""
+    return F.aggregate("sketches", F.lit(""), lambda s, x: F.concat(s, F.lpad(F.hex(F.shiftrightunsigned(x, 56)), 2, "0")), lambda s: F.unhex(s))
+
+
+def several_shared(x: pa.Array, y: pa.Array) -> np.ndarray:
+    a, b = (np.frombuffer(b"".join(v.to_pylist()), dtype=np.uint8).reshape(-1, SKETCHES) for v in (x, y))
+    return (a == b).sum(axis=1) >= 2
+
+
+def led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        kept = pa.array(several_shared(batch.column(2), batch.column(3)))
+        yield batch.select([0, 1]).filter(kept)
+
+
 def neighbours(shared: DataFrame) -> DataFrame:
-    """``(x, y)``: every text of a bucket with the next ``NEXT`` ones in the order of ``following``."""
+    """``(x, y)``: every text of a bucket with those of the next ``NEXT`` ones in the order of ``following`` that share more with it."""
     schema = StructType([StructField("x", BinaryType()), StructField("y", BinaryType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,15 +171,16 @@ def neighbours(shared: DataFrame) -> DataFrame:
         for batch in batches:
             rows = pa.Table.from_batches([batch] if tail is None else [tail, batch]).combine_chunks()
             old = 0 if tail is None else tail.num_rows
-            buckets, contents = rows.column(0).to_numpy(), rows.column(2).combine_chunks()
+            buckets, contents, marks = rows.column(0).to_numpy(), rows.column(2).combine_chunks(), rows.column(3).combine_chunks()
             for k in range(1, NEXT + 1):
                 second = np.flatnonzero(buckets[k:] == buckets[:-k]) + k
                 second = second[second >= old]  # pairs within the tail were made before
+                second = second[several_shared(marks.take(pa.array(second - k)), marks.take(pa.array(second)))]
                 yield pa.RecordBatch.from_arrays([contents.take(pa.array(second - k)), contents.take(pa.array(second))], names=["x", "y"])
             tail = rows.slice(max(0, rows.num_rows - NEXT)).combine_chunks().to_batches()[0] if rows.num_rows else None
 
     parts = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = shared.select("bucket", "following", "content").repartitionByRange(parts, "bucket", "following", "content")
+    ordered = shared.select("bucket", "following", "content", "lanes").repartitionByRange(parts, "bucket", "following", "content")
     return ordered.sortWithinPartitions("bucket", "following", "content").mapInArrow(work, schema)
 
 
@@ -173,10 +192,12 @@ def links(rows: DataFrame) -> DataFrame:
     marks = different.select("content", "sketches", F.posexplode("sketches").alias("t", "mark")).select(
         F.xxhash64("t", "mark").alias("bucket"), order.alias("following"), "content")
     several = marks.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    shared = stored(marks.join(several, "bucket"), "buckets")
-    leaders = shared.groupBy("bucket").agg(F.min_by("content", F.xxhash64("bucket", "content")).alias("leader"))
-    led = shared.join(leaders, "bucket").filter("content <> leader").select(F.col("content").alias("x"), F.col("leader").alias("y"))
-    met = led.unionByName(neighbours(shared))
+    bytes_of = different.select("content", lanes().alias("lanes"))
+    shared = stored(marks.join(several, "bucket").join(bytes_of, "content"), "buckets")
+    leaders = shared.groupBy("bucket").agg(F.min_by(F.struct("content", "lanes"), F.xxhash64("bucket", "content")).alias("leader"))
+    to_leader = shared.join(leaders, "bucket").filter("content <> leader.content").select(
+        F.col("content").alias("x"), F.col("leader.content").alias("y"), "lanes", F.col("leader.lanes").alias("lanes_y"))
+    met = to_leader.mapInArrow(led, StructType([StructField("x", BinaryType()), StructField("y", BinaryType())])).unionByName(neighbours(shared))
     pairs = stored(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "pairs")
     wanted = shared.select("content").distinct()
     texts = stored(rows.join(wanted, "content", "left_semi").groupBy("content").agg(F.first("words").alias("words")), "texts")
