@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from millrace.llm.common import mixed, span_hashes, window_hashes, word_hashes
+from millrace.llm.common import mixed, small_batches, span_hashes, window_hashes, word_hashes
 from millrace.session import stored
 
 WINDOW = 8
@@ -192,6 +192,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
 
     ``changed`` says that some slot has another value in the document than in the item.
     """
+    small_batches(docs)
     spark = docs.sparkSession
     items = stored(_mapped(benchmark.select(F.col(item_id).alias("id"), F.col(item_text).alias("text")), benchmark.schema[item_id].dataType,
                            None, None, True).withColumnsRenamed({"id": "item_id", "place": "item_place", "slots": "item_slots"}).drop("text_hash")

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
-from millrace.llm.common import free_name, without
+from millrace.llm.common import free_name, small_batches, without
 from millrace.session import stored
 
 LEAST = 0.35
@@ -259,6 +259,7 @@ def main_text(html: pa.Array, low: pa.Array) -> pa.Array:
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html", text: str = "main_text") -> DataFrame:
     """``pages`` with the main text."""
+    small_batches(pages)
     base = without(pages, [text]) if text not in (url, html) else pages
     host, low = free_name(base, "style_host"), free_name(base, "style_low")
     nodes = stored(low_nodes(pages, url, html), "style-nodes")

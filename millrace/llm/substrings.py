@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from millrace.llm.common import free_name, window_hashes, without, word_hashes
+from millrace.llm.common import free_name, small_batches, window_hashes, without, word_hashes
 from millrace.session import stored
 
 WINDOW = 20
@@ -247,6 +247,7 @@ def trees(contexts: DataFrame) -> DataFrame:
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc, text_hash, places)`` per document with repeats; ``places(place, n)``: ``n`` windows from ``place`` on."""
+    small_batches(docs)
     spark = docs.sparkSession
     texts = _texts(docs, doc_id, text)
     counts = stored(prefix_counts(texts), "prefixes")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from tokenizers import Tokenizer
 
-from millrace.llm.common import without
+from millrace.llm.common import small_batches, without
 
 LIMIT = 2048
 CACHE_WORDS = 1_000_000
@@ -79,6 +79,7 @@ class Counts(dict):
 
 def count_tokens(docs: DataFrame, path: str, text: str = "text", limit: int = LIMIT) -> DataFrame:
     """``docs`` with ``n_bytes``, ``n_tokens`` and ``over_limit``; ``path`` must be readable on every executor."""
+    small_batches(docs)
     whole = docs.sparkSession.sparkContext.broadcast(whole_tokens(path))
 
     @arrow_udf("bigint")
