@@ -25,20 +25,23 @@ def components(links: DataFrame) -> DataFrame:
     the many links of a dense component are joined once. A node with very many links is one group of a minimum, combined before
     the shuffle. Each step is written to the shared folder.
     """
-    edges = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
+    def ends(one, other) -> list:
+        return [F.least(one, other).alias("low"), F.greatest(one, other).alias("high")]
+
+    edges = stored(links.filter("a <> b").select(*ends("a", "b")).distinct(), "edges")
     loops = links.filter("a = b").select(F.col("a").alias("node"), F.col("a").alias("label"))
     total = None
     while True:
-        both = edges.union(edges.select("b", "a"))
-        hooks = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")).select("node", F.least("node", "label").alias("label")), "hooks")
+        both = edges.union(edges.select("high", "low"))
+        hooks = stored(both.groupBy(F.col("low").alias("node")).agg(F.min("high").alias("label")).select("node", F.least("node", "label").alias("label")), "hooks")
         step = _roots(hooks)
         if total is None:
             total = step
         else:
             then = step.select(F.col("node").alias("label"), F.col("label").alias("then"))
             total = stored(total.join(then, "label", "left").select("node", F.coalesce("then", "label").alias("label")), "labels")
-        to_a, to_b = (step.select(F.col("node").alias(x), F.col("label").alias(f"l{x}")) for x in "ab")
-        apart = edges.join(to_a, "a").join(to_b, "b").filter("la <> lb")
-        edges = stored(apart.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct(), "edges")
+        of_low, of_high = (step.select(F.col("node").alias(x), F.col("label").alias(f"{x}_label")) for x in ("low", "high"))
+        apart = edges.join(of_low, "low").join(of_high, "high").filter("low_label <> high_label")
+        edges = stored(apart.select(*ends("low_label", "high_label")).distinct(), "edges")
         if edges.isEmpty():
             return total.unionByName(loops).groupBy("node").agg(F.min("label").alias("label"))
