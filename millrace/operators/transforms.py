@@ -30,8 +30,14 @@ def map_partitions_with_setup(df: DataFrame, setup: Callable[[], object],
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal narrow rows out by keys ahead of a step that makes and unpacks whole documents from them."""
-    return df.repartition(*keys)
+    """Deal narrow rows out by keys ahead of a step that makes and unpacks whole documents from them.
+
+    A number of partitions is given, at least one for each core, since adaptive execution would merge partitions that are small
+    in bytes and not in work.
+    """
+    spark = df.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(parts, *keys)
 
 
 def flatten_lists(df: DataFrame, column: str, name: str) -> DataFrame:
