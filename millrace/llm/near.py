@@ -9,12 +9,14 @@ candidates; a banded alignment of their elements decides.
 Similarity of two texts: aligned elements / (elements of both - aligned), 0.8 or more makes a link. The alignment is
 the longest common subsequence within the band that this similarity leaves.
 
-Groups are never paired out. The texts of a sketch are put in the order of their following sketches, which brings those
-together that share more of them, and each meets the next ``NEXT`` ones and one leader, unless the two have nothing but this
-one sketch in common (alike texts share nine of 28 on average, and two at least but for one pair in 4,000). So the work is linear in the
-texts even where thousands share a sketch without being alike, small groups are compared completely, and large
-families are tied together through all their sketches. A group of any size is sorted over many tasks. Copies of one word
-sequence are one text throughout.
+Small groups (``NEXT`` + 1 texts) are compared completely. Large ones are not paired out: the first round puts the texts of a
+sketch in the order of their following sketches, which brings those together that share more of them, and each meets the next
+``NEXT`` ones and one leader, unless the two have nothing but this one sketch in common. That ties large families together through
+all their sketches; their classes are only a start. The second round is exact for all texts of large groups: elements are put in one
+order, rare ones first, two texts that are alike must share one of their first elements (a fifth of each text), and the places of the first
+common element bound what the two can have in common. Pairs of different first classes within the bound are aligned. The order
+is by counts over ``SLOTS`` hash slots; any order gives the same classes, a good one fewer pairs. Copies of one word sequence are
+one text throughout.
 
 Defined cases: a text of one to four words is one shingle; texts without words (null, empty, white space) are never
 linked, each row is its own class. Rows with equal ``doc_id`` and text share a class. A class without any ``doc_id``
@@ -43,6 +45,7 @@ SIMILARITY = 0.8
 SKETCHES = 28
 TUPLE = 5
 NEXT = 4
+SLOTS = 1 << 22
 
 
 def elements(words: np.ndarray) -> np.ndarray:
@@ -163,7 +166,10 @@ def led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def neighbours(shared: DataFrame) -> DataFrame:
-    """``(x, y)``: every text of a bucket with those of the next ``NEXT`` ones in the order of ``following`` that share more with it."""
+    """``(x, y)``: every text of a bucket with those of the next ``NEXT`` ones in the order of ``following`` that share more with it.
+
+    A small bucket lies in one partition.
+    """
     schema = StructType([StructField("x", BinaryType()), StructField("y", BinaryType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,28 +186,119 @@ def neighbours(shared: DataFrame) -> DataFrame:
             tail = rows.slice(max(0, rows.num_rows - NEXT)).combine_chunks().to_batches()[0] if rows.num_rows else None
 
     parts = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = shared.select("bucket", "following", "content", "lanes").repartitionByRange(parts, "bucket", "following", "content")
+    apart = [F.when(F.col("large"), F.col(c)) for c in ("following", "content")]
+    ordered = shared.select("bucket", "following", "content", "lanes", "large").repartitionByRange(parts, "bucket", *apart)
     return ordered.sortWithinPartitions("bucket", "following", "content").mapInArrow(work, schema)
 
 
-def links(rows: DataFrame) -> DataFrame:
-    """Links ``(a, b)`` between different texts that hold every class together, from ``sketched`` rows."""
-    different = stored(rows.select("content", "sketches").dropDuplicates(["content"]), "different")
+def buckets(different: DataFrame) -> DataFrame:
+    """``(bucket, following, content, lanes, large)`` of every sketch that several texts share."""
     after = [F.get("sketches", (F.col("t") + i) % SKETCHES) for i in (1, 2)]
     order = F.shiftleft(F.shiftrightunsigned(after[0], 32), 32).bitwiseOR(F.shiftrightunsigned(after[1], 32))
     marks = different.select("content", "sketches", F.posexplode("sketches").alias("t", "mark")).select(
         F.xxhash64("t", "mark").alias("bucket"), order.alias("following"), "content")
-    several = marks.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    bytes_of = different.select("content", lanes().alias("lanes"))
-    shared = stored(marks.join(several, "bucket").join(bytes_of, "content"), "buckets")
-    leaders = shared.groupBy("bucket").agg(F.min_by(F.struct("content", "lanes"), F.xxhash64("bucket", "content")).alias("leader"))
-    to_leader = shared.join(leaders, "bucket").filter("content <> leader.content").select(
+    several = marks.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket", (F.col("n") > NEXT + 1).alias("large"))
+    return marks.join(several, "bucket").join(different.select("content", lanes().alias("lanes")), "content")
+
+
+def first_pairs(shared: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of the first round: leaders of large buckets, neighbours in all."""
+    large = shared.filter("large")
+    leaders = large.groupBy("bucket").agg(F.min_by(F.struct("content", "lanes"), F.xxhash64("bucket", "content")).alias("leader"))
+    to_leader = large.join(leaders, "bucket").filter("content <> leader.content").select(
         F.col("content").alias("x"), F.col("leader.content").alias("y"), "lanes", F.col("leader.lanes").alias("lanes_y"))
     met = to_leader.mapInArrow(led, StructType([StructField("x", BinaryType()), StructField("y", BinaryType())])).unionByName(neighbours(shared))
-    pairs = stored(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "pairs")
-    wanted = shared.select("content").distinct()
-    texts = stored(rows.join(wanted, "content", "left_semi").groupBy("content").agg(F.first("words").alias("words")), "texts")
-    return stored(verified(pairs, texts).filter("same").select("a", "b"), "links")
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def slots_of(items: np.ndarray) -> np.ndarray:
+    return (items % np.uint64(SLOTS)).astype(np.int64)
+
+
+def lists_of(column: pa.Array) -> Iterator[np.ndarray]:
+    values, ends = column.flatten().to_numpy(), np.r_[0, np.cumsum(column.value_lengths().to_numpy())]
+    for i in range(len(column)):
+        yield elements(mixed(values[ends[i]:ends[i + 1]].astype(np.uint64)))
+
+
+def slot_counts(texts: DataFrame) -> np.ndarray:
+    """How many elements of ``texts(words)`` fall into each slot, up to 65,535."""
+    schema = StructType([StructField("slot", IntegerType()), StructField("n", LongType())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, dtype=np.int64)
+        for batch in batches:
+            for items in lists_of(batch.column(0)):
+                np.add.at(total, slots_of(items), 1)
+        used = np.flatnonzero(total)
+        for i in range(0, len(used), 1 << 16):
+            part = used[i:i + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(total[part])], names=["slot", "n"])
+
+    found = texts.select("words").mapInArrow(work, schema).groupBy("slot").agg(F.least(F.sum("n"), F.lit(65535)).cast("int").alias("n")).toArrow()
+    out = np.zeros(SLOTS, dtype=np.uint16)
+    out[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
+def first_elements(texts: DataFrame) -> DataFrame:
+    """``(element, place, n, content, label)``: of each of ``texts(content, label, words)`` the elements of which one is in any text alike."""
+    schema = StructType([StructField("element", LongType()), StructField("place", IntegerType()), StructField("n", IntegerType()),
+                         StructField("content", BinaryType()), StructField("label", LongType())])
+    counts = texts.sparkSession.sparkContext.broadcast(slot_counts(texts))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, places, rows, sizes = [], [], [], []
+            for row, items in enumerate(lists_of(batch.column(2))):
+                often = counts.value[slots_of(items)]
+                order = np.lexsort((items, often))[:len(items) - int(np.ceil(SIMILARITY * len(items) - 1e-9)) + 1]
+                place = np.flatnonzero(often[order] > 1)  # an element that comes once is in no other text
+                out.append(items[order[place]].view(np.int64))
+                places.append(place)
+                rows.append(np.full(len(place), row))
+                sizes.append(np.full(len(place), len(items)))
+            if out:
+                at = pa.array(np.concatenate(rows), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out)), pa.array(np.concatenate(places), pa.int32()), pa.array(np.concatenate(sizes), pa.int32()),
+                                                  batch.column(0).take(at), batch.column(1).take(at)], names=schema.names)
+
+    return texts.select("content", "label", "words").mapInArrow(work, schema)
+
+
+def open_pairs(texts: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of ``texts(content, words)`` with different labels that can be alike: none that is alike is missing."""
+    labelled = texts.join(labels.withColumnRenamed("node", "content"), "content", "left").select(
+        "content", F.xxhash64(F.coalesce("label", "content")).alias("label"), "words")
+    firsts = stored(first_elements(stored(labelled, "open")), "first-elements")
+    a, b = (firsts.select("element", *[F.col(c).alias(f"{c}_{x}") for c in ("place", "n", "content", "label")]) for x in "ab")
+    most = 1 + F.least(F.col("n_a") - F.col("place_a") - 1, F.col("n_b") - F.col("place_b") - 1)
+    can = most * (1 + SIMILARITY) >= SIMILARITY * (F.col("n_a") + F.col("n_b")) - 1e-6
+    met = a.join(b, (a.element == b.element) & (F.col("content_a") < F.col("content_b")) & (F.col("label_a") != F.col("label_b")) & can)
+    return met.select(F.col("content_a").alias("a"), F.col("content_b").alias("b")).distinct()
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels(node, label)`` after ``links(a, b)`` between their nodes or new ones were added."""
+    def end(x: str) -> DataFrame:
+        return labels.select(F.col("node").alias(x), F.col("label").alias(f"{x}_label"))
+
+    between = links.join(end("a"), "a", "left").join(end("b"), "b", "left").select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b"))
+    more = stored(components(between), "merged")
+    old = labels.join(more.select(F.col("node").alias("label"), F.col("label").alias("then")), "label", "left").select("node", F.coalesce("then", "label").alias("label"))
+    return old.unionByName(more.join(labels, "node", "left_anti"))
+
+
+def labels_of(rows: DataFrame) -> DataFrame:
+    """``(node, label)`` of every text with a link, from ``sketched`` rows."""
+    different = stored(rows.select("content", "sketches").dropDuplicates(["content"]), "different")
+    shared = stored(buckets(different), "buckets")
+    wanted = shared.groupBy("content").agg(F.max("large").alias("open"))
+    texts = stored(rows.join(wanted, "content").groupBy("content").agg(F.first("words").alias("words"), F.first("open").alias("open")), "texts")
+    first = stored(verified(stored(first_pairs(shared), "pairs"), texts).filter("same").select("a", "b"), "links")
+    labels = stored(components(first), "first-labels")
+    rest = stored(open_pairs(texts.filter("open"), labels), "open-pairs")
+    return merged(labels, stored(verified(rest, texts).filter("same").select("a", "b"), "open-links"))
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -210,7 +307,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tupl
     ``class_id`` is the smallest ``doc_id`` of the class, ``keeper`` says that the text is the one with that ``doc_id``.
     """
     rows = stored(sketched(docs, doc_id, text), "sketched")
-    labels = components(links(rows))
+    labels = labels_of(rows)
     texts = rows.groupBy("content").agg(F.min("doc_id").alias("first"))
     joined = stored(texts.join(labels, texts.content == labels.node, "left")
                     .select("content", F.coalesce("label", "content").alias("label"), "first"), "classes")

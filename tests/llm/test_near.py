@@ -104,3 +104,16 @@ def test_components_of_paths_stars_and_rings(spark):
     got = {r.node: r.label for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 140)}, **{i: 200 for i in range(200, 203)}}
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_large_families_equal_brute_force(spark):
+    rng = random.Random(11)
+    texts = []
+    for i in range(400):  # all of one template, about as alike as the similarity asks for
+        words = [f"base{k}" for k in range(240)]
+        for k in rng.sample(range(240), 3 + i % 3):
+            words[k] = f"own{i}x{k}"
+        texts.append((i, " ".join(words)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near.near_duplicates(docs).collect()}
+    assert got == classes_by_pairs(texts)
