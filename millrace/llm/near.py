@@ -12,8 +12,8 @@ the longest common subsequence within the band that this similarity leaves.
 Small groups (``NEXT`` + 1 texts) are compared completely. Large ones are not paired out: the first round puts the texts of a
 sketch in the order of their following sketches, which brings those together that share more of them, and each meets the next
 ``NEXT`` ones and one leader, unless the two have nothing but this one sketch in common. That ties large families together through
-all their sketches; their classes are only a start. The second round is exact for all texts of large groups: elements are put in one
-order, rare ones first, two texts that are alike must share one of their first elements (a fifth of each text), and the places of the first
+all their sketches; their classes are only a start. The second round is exact for all texts of large groups, and for short texts
+(up to ``SHORT`` elements), which may share no sketch at all though they are alike: elements are put in one order, rare ones first, two texts that are alike must share one of their first elements (a fifth of each text), and the places of the first
 common element bound what the two can have in common. Pairs of different first classes within the bound are aligned. The order
 is by counts over ``SLOTS`` hash slots; any order gives the same classes, a good one fewer pairs. Copies of one word sequence are
 one text throughout.
@@ -46,6 +46,7 @@ SKETCHES = 28
 TUPLE = 5
 NEXT = 4
 SLOTS = 1 << 22
+SHORT = 80
 
 
 def elements(words: np.ndarray) -> np.ndarray:
@@ -166,9 +167,9 @@ def led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def neighbours(shared: DataFrame) -> DataFrame:
-    """``(x, y)``: every text of a bucket with those of the next ``NEXT`` ones in the order of ``following`` that share more with it.
+    """``(x, y)``: every text of a bucket with the next ``NEXT`` ones in the order of ``following``; in large buckets those that share more with it.
 
-    A small bucket lies in one partition.
+    A small bucket lies in one partition, so all its pairs are here.
     """
     schema = StructType([StructField("x", BinaryType()), StructField("y", BinaryType())])
 
@@ -178,10 +179,11 @@ def neighbours(shared: DataFrame) -> DataFrame:
             rows = pa.Table.from_batches([batch] if tail is None else [tail, batch]).combine_chunks()
             old = 0 if tail is None else tail.num_rows
             buckets, contents, marks = rows.column(0).to_numpy(), rows.column(2).combine_chunks(), rows.column(3).combine_chunks()
+            small = ~rows.column(4).to_numpy()
             for k in range(1, NEXT + 1):
                 second = np.flatnonzero(buckets[k:] == buckets[:-k]) + k
                 second = second[second >= old]  # pairs within the tail were made before
-                second = second[several_shared(marks.take(pa.array(second - k)), marks.take(pa.array(second)))]
+                second = second[small[second] | several_shared(marks.take(pa.array(second - k)), marks.take(pa.array(second)))]
                 yield pa.RecordBatch.from_arrays([contents.take(pa.array(second - k)), contents.take(pa.array(second))], names=["x", "y"])
             tail = rows.slice(max(0, rows.num_rows - NEXT)).combine_chunks().to_batches()[0] if rows.num_rows else None
 
@@ -291,9 +293,11 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def labels_of(rows: DataFrame) -> DataFrame:
     """``(node, label)`` of every text with a link, from ``sketched`` rows."""
-    different = stored(rows.select("content", "sketches").dropDuplicates(["content"]), "different")
+    short = F.size("words") < SHORT + SHINGLE
+    different = stored(rows.select("content", "sketches", short.alias("short")).dropDuplicates(["content"]), "different")
     shared = stored(buckets(different), "buckets")
-    wanted = shared.groupBy("content").agg(F.max("large").alias("open"))
+    wanted = shared.select("content", "large").unionByName(different.filter("short").select("content", F.lit(True).alias("large"))) \
+        .groupBy("content").agg(F.max("large").alias("open"))
     texts = stored(rows.join(wanted, "content").groupBy("content").agg(F.first("words").alias("words"), F.first("open").alias("open")), "texts")
     first = stored(verified(stored(first_pairs(shared), "pairs"), texts).filter("same").select("a", "b"), "links")
     labels = stored(components(first), "first-labels")

@@ -117,3 +117,16 @@ def test_large_families_equal_brute_force(spark):
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     got = {r.doc_id: r.class_id for r in near.near_duplicates(docs).collect()}
     assert got == classes_by_pairs(texts)
+
+
+def test_short_texts_equal_brute_force(spark):
+    rng = random.Random(7)
+    texts = []
+    for size in [8, 9, 9, 10, 12, 14, 20, 30] * 40:  # each with one word more at an end
+        words = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+        texts += [" ".join(words), " ".join([*words, "end"] if rng.random() < 0.5 else ["start", *words])]
+    texts = list(enumerate(texts))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    want = classes_by_pairs(texts)
+    assert len(set(want.values())) == len(texts) // 2
+    assert {r.doc_id: r.class_id for r in near.near_duplicates(docs).collect()} == want
