@@ -7,7 +7,8 @@ benchmark. A match says only that the templates agree; so the matches of a docum
 replaced by one value in the document. A document leaks an item if consistent alignments cover at least ``COVERAGE`` of
 the item's template words.
 
-Windows with fewer than half literal words are not used. An item shorter than a window is one window of its own length.
+Each window is also joined by its words as they are (lower-cased, bare), so that verbatim cover counts whatever the words are. As
+templates, windows with fewer than half literal words are not used. An item shorter than a window is one window of its own length.
 Document windows are looked up in the benchmark's set of hashes inside the tasks while this set has at most
 ``BROADCAST_WINDOWS`` entries; a larger benchmark is joined by a shuffle of all windows, with the same result.
 
@@ -17,6 +18,7 @@ Defined cases: null and empty texts on either side have no windows and no rows.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -32,6 +34,7 @@ from millrace.session import stored
 WINDOW = 8
 COVERAGE = 0.5
 BROADCAST_WINDOWS = 1 << 22
+VERBATIM = 1 << 8  # sets the hashes of words as they are apart from those of templates
 
 # fixed values: units and number words that become placeholders
 UNITS = set("""kg g mg lb lbs oz km m cm mm mi ft in l ml s ms min h hr hrs mph kmh w kw v a hz mb gb tb c f k usd eur gbp % $ € £
@@ -131,10 +134,11 @@ def _rows(words: Words, texts: pa.Array, sizes, known: np.ndarray | None, whole_
     for row, numbers in word_hashes(texts, words):
         shape, values, slot = template(numbers)
         n = len(shape)
-        for size in ((min(WINDOW, n),) if whole_short else sizes):
+        before = np.r_[0, np.cumsum(slot)]
+        for size, verbatim in itertools.product((min(WINDOW, n),) if whole_short else sizes, (False, True)):
             if not size or n < size:
                 continue
-            hashes = window_hashes(shape, size) ^ np.uint64(size)
+            hashes = window_hashes(values if verbatim else shape, size) ^ np.uint64(size + VERBATIM * verbatim)
             if bitmap is None:
                 places = np.arange(len(hashes))
             else:
@@ -142,11 +146,11 @@ def _rows(words: Words, texts: pa.Array, sizes, known: np.ndarray | None, whole_
                 if len(places):
                     at = np.minimum(np.searchsorted(known, hashes[places]), len(known) - 1)
                     places = places[known[at] == hashes[places]]
-            if len(places):  # windows with enough literal words
-                before = np.r_[0, np.cumsum(slot)]
+            if len(places) and not verbatim:  # templates with enough literal words
                 places = places[2 * (before[places + size] - before[places]) <= size]
             for p in places.tolist():
-                yield row, int(hashes[p].view(np.int64)), p, values[p:p + size][slot[p:p + size]].view(np.int64).tolist(), n, size
+                slots = [] if verbatim else values[p:p + size][slot[p:p + size]].view(np.int64).tolist()
+                yield row, int(hashes[p].view(np.int64)), p, slots, n, size
 
 
 def _mapped(df: DataFrame, id_type, sizes, known, whole_short: bool) -> DataFrame:

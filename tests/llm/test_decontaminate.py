@@ -46,3 +46,11 @@ def test_a_benchmark_beyond_the_bound_gives_the_same(spark, monkeypatch):
     small = run(spark, texts)
     monkeypatch.setattr(d, "BROADCAST_WINDOWS", 3)
     assert run(spark, texts) == small
+
+
+def test_verbatim_items_of_slots_are_leaks(spark):
+    sums = "12 plus 30 is 42 and 7 times 8 is 56 and 9 minus 4 is 5"
+    names = "Anna Bell Carl Dorn Emil Fox Greta Hill Ida Jones"
+    mid = "Boston lies by the sea"
+    texts = [(i, FILLER + "they wrote " + t + " " + FILLER) for i, t in enumerate([sums, names, mid])]
+    assert set(run(spark, texts, list(enumerate([sums, names, mid])))) == {(0, 0), (1, 1), (2, 2)}
