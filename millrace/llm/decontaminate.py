@@ -3,8 +3,8 @@
 Texts become templates: numbers, units and names inside sentences turn into typed placeholders, all other words are
 lower-cased and lose surrounding punctuation. Windows of ``WINDOW`` template words are joined by hash with those of the
 benchmark. A match says only that the templates agree; so the matches of a document with an item are put on alignments
-(document place - item place), and an alignment counts only if its slots are consistent: one value of the item is always
-replaced by one value in the document. A document leaks an item if consistent alignments cover at least ``COVERAGE`` of
+(document place - item place), and a template match counts only if its slots are consistent in its alignment: one value of the
+item is replaced by one value in the document, the most frequent one. Verbatim matches always count. A document leaks an item if consistent alignments cover at least ``COVERAGE`` of
 the item's template words.
 
 Each window is also joined by its words as they are (lower-cased, bare), so that verbatim cover counts whatever the words are. As
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from millrace.llm.common import mixed, small_batches, span_hashes, window_hashes, word_hashes
+from millrace.llm.common import let, mixed, small_batches, span_hashes, window_hashes, word_hashes
 from millrace.session import stored
 
 WINDOW = 8
@@ -190,11 +190,23 @@ def _covered(places: Column, size: Column) -> Column:
                        lambda a: a["n"])
 
 
+def _chosen(pairs: Column) -> Column:
+    """The different ``pairs(i, d)``, of each ``i`` only the most frequent one, then the one with equal sides, then the least ``d``."""
+    def ranked(all_pairs: Column, different: Column) -> Column:
+        counted = F.transform(different, lambda p: F.struct(
+            p["i"].alias("i"), F.struct((-F.size(F.filter(all_pairs, lambda q: q == p))).alias("n"), (p["i"] != p["d"]).alias("other"), p["d"].alias("d")).alias("rank")))
+        first = let(F.sort_array(counted), lambda c: F.filter(c, lambda x, k: (k == 0) | (F.get(c, k - 1)["i"] != x["i"])))
+        return F.transform(first, lambda x: F.struct(x["i"].alias("i"), x["rank"]["d"].alias("d")))
+
+    return let(pairs, lambda a: let(F.array_distinct(a), lambda d: F.when(
+        F.size(d) == F.size(F.array_distinct(F.transform(d, lambda p: p["i"]))), d).otherwise(ranked(a, d))))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
           item_text: str = "text", coverage: float = COVERAGE) -> DataFrame:
     """``(doc_id, item_id, n_covered, n_words, coverage, changed)`` per document and item it contains.
 
-    ``changed`` says that some slot has another value in the document than in the item.
+    ``changed`` says that some slot of the covered words has another value in the document than in the item.
     """
     small_batches(docs)
     spark = docs.sparkSession
@@ -212,8 +224,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
     joined = hits.join(F.broadcast(items) if small else items, "window")
     pairs = F.zip_with("item_slots", "slots", lambda i, d: F.struct(i.alias("i"), d.alias("d")))
     aligned = (joined.groupBy("doc_id", "text_hash", "item_id", "n", "size", (F.col("place") - F.col("item_place")).alias("shift"))
-               .agg(F.collect_set("item_place").alias("places"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")))
-    consistent = aligned.filter(F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))))
+               .agg(F.collect_set(F.struct("item_place", pairs.alias("pairs"))).alias("windows")))
+    chosen = aligned.withColumn("chosen", _chosen(F.flatten(F.transform("windows", lambda w: w["pairs"]))))
+    kept = chosen.withColumn("windows", F.filter("windows", lambda w: F.forall(w["pairs"], lambda p: F.array_contains("chosen", p)))) \
+        .filter(F.size("windows") > 0)
+    consistent = kept.withColumns({"places": F.array_distinct(F.transform("windows", lambda w: w["item_place"])),
+                                   "pairs": F.flatten(F.transform("windows", lambda w: w["pairs"]))})
     found = consistent.groupBy("doc_id", "text_hash", "item_id", "n", "size").agg(
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"),
         F.max(F.exists("pairs", lambda p: p["i"] != p["d"])).alias("changed"))

@@ -54,3 +54,10 @@ def test_verbatim_items_of_slots_are_leaks(spark):
     mid = "Boston lies by the sea"
     texts = [(i, FILLER + "they wrote " + t + " " + FILLER) for i, t in enumerate([sums, names, mid])]
     assert set(run(spark, texts, list(enumerate([sums, names, mid])))) == {(0, 0), (1, 1), (2, 2)}
+
+
+def test_one_edited_value_keeps_the_rest(spark):
+    item = ("the clerk gave John a form and 120 euros before he left for the old station where a man was waiting with the parcel "
+            "that the driver had taken from John on the way to the harbour with all of its lights out")
+    got = run(spark, [(1, FILLER + item.replace("from John", "from Peter")), (2, item)], [(1, item)])
+    assert set(got) == {(1, 1), (2, 1)} and got[1, 1].coverage >= 0.9 and got[2, 1].coverage == 1
