@@ -202,12 +202,8 @@ def _chosen(pairs: Column) -> Column:
         F.size(d) == F.size(F.array_distinct(F.transform(d, lambda p: p["i"]))), d).otherwise(ranked(a, d))))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-          item_text: str = "text", coverage: float = COVERAGE) -> DataFrame:
-    """``(doc_id, item_id, n_covered, n_words, coverage, changed)`` per document and item it contains.
-
-    ``changed`` says that some slot of the covered words has another value in the document than in the item.
-    """
+def _covers(docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, coverage: float) -> DataFrame:
+    """``(doc_id, text_hash, item_id, n_words, n_covered, changed)`` per text and item it contains."""
     small_batches(docs)
     spark = docs.sparkSession
     items = stored(_mapped(benchmark.select(F.col(item_id).alias("id"), F.col(item_text).alias("text")), benchmark.schema[item_id].dataType,
@@ -234,13 +230,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"),
         F.max(F.exists("pairs", lambda p: p["i"] != p["d"])).alias("changed"))
     share = found.withColumn("n_covered", _covered(F.col("places"), F.col("size")).cast("long"))
-    best = share.groupBy("doc_id", "item_id", F.col("n").cast("long").alias("n_words")).agg(
+    return share.filter(F.col("n_covered") / F.col("n") >= coverage).select("doc_id", "text_hash", "item_id", F.col("n").cast("long").alias("n_words"), "n_covered", "changed")
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
+          item_text: str = "text", coverage: float = COVERAGE) -> DataFrame:
+    """``(doc_id, item_id, n_covered, n_words, coverage, changed)`` per document and item it contains.
+
+    ``changed`` says that some slot of the covered words has another value in the document than in the item.
+    """
+    best = _covers(docs, benchmark, doc_id, text, item_id, item_text, coverage).groupBy("doc_id", "item_id", "n_words").agg(
         F.max(F.struct("n_covered", "changed")).alias("best"))
-    return best.select("doc_id", "item_id", "best.n_covered", "n_words", (F.col("best.n_covered") / F.col("n_words")).alias("coverage"),
-                       "best.changed").filter(F.col("coverage") >= coverage)
+    return best.select("doc_id", "item_id", "best.n_covered", "n_words", (F.col("best.n_covered") / F.col("n_words")).alias("coverage"), "best.changed")
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the documents that leak an item. Rows with a null ``doc_id`` go if any of them leaks."""
-    leaking = leaks(docs, benchmark, doc_id, text).select(F.col("doc_id").alias("__leaking")).distinct()
-    return docs.join(leaking, F.col(f"`{doc_id}`").eqNullSafe(F.col("__leaking")), "left_anti")
+    """``docs`` without the rows whose text leaks an item; other texts under the same or no ``doc_id`` stay."""
+    leaking = _covers(docs, benchmark, doc_id, text, "item_id", "text", COVERAGE).select(
+        F.col("doc_id").alias("__leaking"), F.col("text_hash").alias("__leaking_text")).distinct()
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__leaking")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("__leaking_text"))
+    return docs.join(leaking, same, "left_anti")

@@ -61,3 +61,11 @@ def test_one_edited_value_keeps_the_rest(spark):
             "that the driver had taken from John on the way to the harbour with all of its lights out")
     got = run(spark, [(1, FILLER + item.replace("from John", "from Peter")), (2, item)], [(1, item)])
     assert set(got) == {(1, 1), (2, 1)} and got[1, 1].coverage >= 0.9 and got[2, 1].coverage == 1
+
+
+def test_only_leaking_rows_go(spark):
+    rows = [(None, ITEM), (None, FILLER), (None, None), (1, FILLER), (1, FILLER + ITEM), (2, ITEM)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    got = [tuple(r) for r in d.decontaminated(docs, bench).collect()]
+    assert sorted(got, key=str) == sorted([(None, FILLER), (None, None), (1, FILLER)], key=str)
