@@ -7,7 +7,9 @@ node's own text are (content). Menus, footers and notices repeat over a host; ar
 style node has an importance below ``LEAST`` are left out.
 
 Entropy cannot tell a rotating advert from an article, nor judge a host with few pages, so two further things count. Elements
-that say what they are (``nav``, ``footer``, ``class="ad"``, ``id="comments"``, forms, scripts, ...) are left out everywhere. And
+that say what they are (``nav``, ``footer``, ``class="ad"``, ``id="comments"``, forms, scripts, ...) are left out everywhere; a class or id
+says so as a whole token, not by a part of it (``has-sidebar``). An article inside an element that is left out for its class, id or
+role is used if the page marks none elsewhere. And
 the plain headings and paragraphs of a marked article (``article``, ``main``, ``itemprop=articleBody``), those without a class of
 their own, are never left out for low importance: a host may carry copies of one article. If a page marks an article, text outside of it is dropped.
 
@@ -39,6 +41,7 @@ from millrace.session import stored
 LEAST = 0.35
 MIN_PAGES = 8
 BROADCAST_NODES = 200_000
+SAID, ALWAYS = 1, 2
 
 # fixed values: elements by their role
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -52,11 +55,21 @@ CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr"
           "option": {"option"}}
 PARAGRAPH_ENDS = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5",
                   "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
-UNWANTED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|banners?|sponsor(?:ed|s)?|promos?|promotions?|nav|navbar|navigation|menus?|"
+_CLUTTER = (
+    r"ads?|adverts?|advertisements?|advertising|adsense|banners?|sponsor(?:ed|s)?|promos?|promotions?|nav|navbar|navigation|menus?|"
     r"breadcrumbs?|footers?|headers?|masthead|topbar|toolbar|side-?bars?|comments?|commentlist|disqus|respond|replies|reply|cookies?|consent|gdpr|notices?|"
     r"alerts?|popups?|modals?|overlays?|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|recommended|"
-    r"widgets?|pagination|pager|skip-link|copyright|legal|disclaimer)(?:$|[\s_-])", re.I)
+    r"widgets?|pagination|pager|skip-link|copyright|legal|disclaimer")
+# whole tokens of class and id: a word of clutter, or a known compound of one
+UNWANTED = re.compile(
+    rf"(?:{_CLUTTER}|(?:site|global|top|bottom|main|primary|secondary|left|right|mobile)[_-](?:nav|navbar|navigation|menu|side-?bar|footer)|"
+    r"(?:site|global|top|page)[_-](?:header|footer|banner)|(?:header|footer|side-?bar|nav|menu)[_-](?:nav|navigation|menu|links|bar|widgets?|inner|left|right)|"
+    r"(?:cookie|consent|gdpr|privacy|legal|copyright)s?[_-](?:notice|banner|bar|consent|popup|modal|overlay|message|text|law)|"
+    r"(?:google|text|banner|top|side|sponsored)[_-]ads?|ads?[_-](?:banner|box|container|slot|unit|wrapper|block|top|side|bottom)|"
+    r"(?:social|share|sharing)[_-](?:share|sharing|links|media|buttons?|icons?|bar)|(?:related|recommended)[_-](?:posts?|articles?|links|stories|content)|"
+    r"comments?[_-](?:list|section|area|form|respond|wrapper|box)|comments-area|(?:newsletter|email)[_-](?:signup|form|box|subscribe)|"
+    r"(?:login|signup|subscribe)[_-](?:form|box|modal|popup)|skip[_-](?:links?|nav))", re.I)
+TITLES = {"entry-header", "post-header", "article-header"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
 _MARKUP = re.compile(r"""(?s)<(?:!--.*?(?:--!?>|\Z)|/([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|"""
                      r"""([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|[!?/][^>]*(?:>|\Z))""")
@@ -67,7 +80,9 @@ class Page:
     """Text blocks of a page: ``(path, text, in an article)``, and per style node what its children look like."""
 
     def __init__(self):
-        self.stack: list[tuple[str, str, bool, bool]] = []  # tag, path, left out, in an article
+        self.stack: list[tuple[str, str, int, bool]] = []  # tag, path, left out (SAID: by class, id or role only), in an article
+        self.second: list[tuple[str, str, bool]] = []  # articles in elements that say they are clutter
+        self.inner: list[int] = []  # depths at which such articles begin
         self.blocks: list[tuple[str, str, bool]] = []
         self.children: list[tuple[str, list[str]]] = []
         self.open_children: list[list[str]] = [[]]
@@ -101,6 +116,8 @@ class Page:
         self.flush()
         while self.stack:
             self.pop()
+        if self.second and not any(article for _, _, article in self.blocks):
+            self.blocks += self.second
 
     def text(self, data: str) -> None:
         if data:
@@ -115,9 +132,9 @@ class Page:
             depth = len(self.stack)
             while depth and self.stack[depth - 1][0] in INLINE:
                 depth -= 1
-            _, path, out, article = self.stack[depth - 1] if depth else ("", "", False, False)
+            _, path, out, article = self.stack[depth - 1] if depth else ("", "", 0, False)
             if not out:
-                self.blocks.append((path, text, article))
+                (self.second if self.inner else self.blocks).append((path, text, article))
 
     def start(self, tag: str, attributes: str) -> None:
         if tag == "br":
@@ -138,18 +155,23 @@ class Page:
             for name, *values in _ATTRIBUTE.findall(attributes):
                 given.setdefault(name.lower(), unescape("".join(values)))
         kind = " ".join(sorted(given["class"].lower().split())) if "class" in given else ""
-        _, path, out, article = self.stack[-1] if self.stack else ("", "", False, False)
-        if tag == "header" and not article or tag in LEFT_OUT:
-            out = True
-        article = article or tag in ("article", "main")
+        _, path, out, article = self.stack[-1] if self.stack else ("", "", 0, False)
+        role = given.get("role", "").lower()
+        begins = tag in ("article", "main") or role in ("article", "main") or "articlebody" in given.get("itemprop", "").lower()
+        if begins and out == SAID:
+            out = 0
+            self.inner.append(len(self.stack))
+        if tag == "header" and not article and not TITLES.intersection(kind.split()):
+            out = max(out, SAID)
+        if tag in LEFT_OUT:
+            out = ALWAYS
         if given:
-            role = given.get("role", "").lower()
-            if tag not in ("html", "body", "article", "main") and (
-                    role in ROLES or UNWANTED.search(f"{given.get('class', '')} {given.get('id', '')}")):
-                out = True
+            if not begins and tag not in ("html", "body") and (
+                    role in ROLES or any(UNWANTED.fullmatch(x) for x in f"{given.get('class', '')} {given.get('id', '')}".split())):
+                out = max(out, SAID)
             if "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in given.get("style", "").replace(" ", "").lower():
-                out = True
-            article = article or role in ("article", "main") or "articlebody" in given.get("itemprop", "").lower()
+                out = ALWAYS
+        article = article or begins
         node = f"{tag}.{kind}" if kind else tag
         if tag not in INLINE:
             self.open_children[-1].append(node)
@@ -159,6 +181,8 @@ class Page:
     def pop(self) -> None:
         tag, path, out, _ = self.stack.pop()
         children = self.open_children.pop()
+        if self.inner and self.inner[-1] == len(self.stack):
+            self.inner.pop()
         if tag not in INLINE and not out and children:
             self.children.append((path, children))
 

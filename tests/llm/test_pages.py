@@ -50,3 +50,13 @@ def test_importance_is_normalised_entropy(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     content = {round(r.content, 6) for r in pages.importance(df).collect() if r.content is not None}
     assert content == {0.0, 1.0}
+
+
+def test_class_words_count_as_whole_tokens(spark):
+    body = "<article><header class='entry-header'><h1>Title</h1></header><div class='post social-issues'><p>Body.</p></div><div class='comments'>no</div></article>"
+    wrapped = ["<div class='layout has-sidebar'>%s</div>", "<div id='content' class='content no-sidebar'>%s</div>", "<div class='header'>%s</div>",
+               "<div class='site-header'>top</div><div class='sidebar'>%s</div>"]
+    rows = [(i, "http://h/", w % body, 0, 0) for i, w in enumerate(wrapped)]
+    rows += [(10, "http://h/", "<header class='entry-header'><h1>Title</h1></header><div class='no-ads legal-history'><p>Body.</p></div><div class='main-menu'>no</div>", 0, 0),
+             (11, "http://h/", f"{body}<div id='comments'><article>I disagree</article></div>", 0, 0)]
+    assert {t for _, t in run(spark, rows)} == {"Title\n\nBody."}
