@@ -16,7 +16,7 @@ from millrace.session import prepare, stored
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass every rule of the policy."""
-    judged = quality.apply_policy(quality.ledger(docs))
+    judged = quality.apply_policy(quality.ledger(docs, policy="v2"), "v2")
     return judged.filter("kept").select(*docs.columns)
 
 

@@ -32,9 +32,23 @@ RULES: list[tuple[str, str]] = [
     ("no_sentence", "n_stops = 0 and n_words >= 50"),
     ("mojibake", "100 * n_broken > word_chars"),
 ]
-BITS = {name: 1 << i for i, (name, _) in enumerate(RULES)}
+# rules of later policies; their bits follow
+LATER_RULES: list[tuple[str, str]] = [
+    ("long_spaced_words", "word_chars > 20 * n_words and 2 * n_unspaced <= n_letters"),
+    ("no_terminal", "n_terminals = 0 and n_words >= 50 and n_words >= 20 * n_lines and 2 * n_unspaced <= n_letters"),
+]
+ALL_RULES = RULES + LATER_RULES
+BITS = {name: 1 << i for i, (name, _) in enumerate(ALL_RULES)}
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters",
             "n_digits", "n_exclaims", "n_stops", "n_broken"]
+LATER_MEASURES = ["n_unspaced", "n_terminals"]
+# sentence terminals of Unicode, and the ellipsis
+TERMINALS = ".!?…" + "".join(chr(int(x, 16)) for x in """37e 589 61d 61e 61f 6d4 700 701 702 7f9 837 839 83d 83e 964 965 f0d f0e 104a 104b 1362
+1367 1368 166e 1735 1736 17d4 17d5 1803 1809 1944 1945 1aa8 1aa9 1aaa 1aab 1b5a 1b5b 1b5e 1b5f 1c3b 1c3c 1c7e 1c7f 203c 203d 2047 2048 2049
+2e2e 2e3c 3002 a4ff a60e a60f a6f3 a6f7 a876 a877 a8ce a8cf a92f a9c8 a9c9 aa5d aa5e aa5f aaf0 aaf1 abeb fe52 fe56 fe57 ff01 ff0e ff1f
+ff61""".split())
+# scripts written without spaces between words
+UNSPACED = "".join(rf"\p{{Is{script}}}" for script in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan", "Yi"))
 
 
 def mask(*names: str) -> int:
@@ -45,6 +59,8 @@ def mask(*names: str) -> int:
 POLICIES = {
     "base": mask("too_few_words", "repeated_windows"),
     "v1": mask(*[name for name, _ in RULES]),
+    # as v1 for all scripts: any sentence terminal, none needed in lists and verse, no length of words where words have no spaces
+    "v2": mask(*[name for name, _ in ALL_RULES if name not in ("long_words", "no_sentence")]),
 }
 
 
@@ -102,13 +118,24 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     }).drop("__words", "__lines")
 
 
-def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the measurements and ``failed_bits``, bit ``BITS[rule]`` set for each failed rule."""
+def ledger(docs: DataFrame, text: str = "text", policy: str = "v1") -> DataFrame:
+    """``docs`` with the measurements and ``failed_bits``, bit ``BITS[rule]`` set for each failed rule.
+
+    A ledger for ``policy`` ``v2`` has the bits and measurements of the later rules too and serves every policy; one for
+    ``v1`` serves ``v1`` and ``base`` only.
+    """
+    later = bool(POLICIES[policy] & mask(*[name for name, _ in LATER_RULES]))
+    out = measured(without(docs, ["failed_bits"]), text)
+    if later:
+        body = F.coalesce(F.col(text), F.lit(""))
+        out = without(out, [m for m in LATER_MEASURES if m != text]).withColumns({
+            "n_unspaced": F.length(F.regexp_replace(body, rf"[^{UNSPACED}]+|\P{{L}}+", "")).cast("long"),
+            "n_terminals": removed(body, TERMINALS).cast("long")})
     bits = None
-    for name, condition in RULES:
+    for name, condition in ALL_RULES if later else RULES:
         bit = F.when(F.expr(condition), F.lit(BITS[name])).otherwise(F.lit(0)).cast("long")
         bits = bit if bits is None else bits.bitwiseOR(bit)
-    return measured(without(docs, ["failed_bits"]), text).withColumn("failed_bits", bits)
+    return out.withColumn("failed_bits", bits)
 
 
 def passes(policy: str) -> Column:
@@ -129,7 +156,7 @@ def ablation(entries: DataFrame, policy: str = "v1") -> DataFrame:
     """
     combos = entries.groupBy(F.col("failed_bits").bitwiseAND(F.lit(POLICIES[policy])).alias("bits")).agg(F.count("*").alias("n"))
     rules = F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), F.lit(BITS[name]).cast("long").alias("bit"))
-                                for name, _ in RULES if POLICIES[policy] & BITS[name]]))
+                                for name, _ in ALL_RULES if POLICIES[policy] & BITS[name]]))
     n = F.col("n")
     return (combos.select("bits", "n", rules.alias("r")).groupBy(F.col("r.rule").alias("rule"), F.col("r.bit").alias("bit"))
             .agg(F.sum(F.when(F.col("bits").bitwiseAND(F.col("r.bit")) != 0, n).otherwise(0)).alias("n_failed"),

@@ -67,3 +67,19 @@ def test_no_python_and_no_shuffle(spark, capsys):
 def test_policies_are_masks_over_the_rules(policy):
     assert quality.POLICIES[policy] & ~sum(quality.BITS.values()) == 0
     assert F.lit(quality.POLICIES[policy]) is not None
+
+
+def test_second_policy_keeps_clean_text_of_other_scripts(spark):
+    hindi = ("समिति ने सोमवार को अपनी बैठक में पानी और सड़क के बारे में तीन रिपोर्ट सुनीं। गाँव के लोगों ने कहा कि पुराना कुआँ अब सूख गया है और "
+             "नया कुआँ बनाना चाहिए। अध्यक्ष ने उत्तर दिया कि अगले महीने काम शुरू होगा। बच्चों के विद्यालय की छत भी टूटी हुई थी इसलिए "
+             "दो शिक्षक शहर से सामान लाने गए। शाम तक सबने मिलकर चाय पी और अपने घर लौट आए।")
+    chinese = "\n".join(f"委员会在星期一开会讨论了第{x}份关于供水和道路的报告并且通过了其中的两份建议。" for x in "一二三四五六七八九十百千")
+    thai = "\n".join(f"คณะกรรมการประชุมเมื่อวันจันทร์และรับฟังรายงานเรื่องน้ำและถนน{x}" for x in "กขคงจฉชซญดตถ")
+    verse = "\n".join(f"the {a} river runs below the {b} hill" for a, b in zip("abcdefghij", "klmnopqrst", strict=True))
+    junk = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(120))
+    docs = spark.createDataFrame(list(enumerate([hindi, chinese, thai, verse, SENTENCE, junk, "x" * 50 + " " + "y" * 300 + " a b c d e f g h."])), "doc_id long, text string")
+    entries = quality.ledger(docs, policy="v2")
+    kept = {p: {r.doc_id for r in quality.apply_policy(entries, p).collect() if r.kept} for p in ("v1", "v2")}
+    assert kept == {"v1": {4}, "v2": {0, 1, 2, 3, 4}}
+    first = {r.doc_id for r in quality.apply_policy(quality.ledger(docs)).collect() if r.kept}
+    assert first == {4}
