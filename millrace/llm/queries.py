@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, mixing, near, pages, quality, sharding, substrings, tokens, urls, warc
+from millrace.llm import bpe, decontaminate, mixing, near, pages, quality, sharding, substrings, tokens, urls, warc
 from millrace.llm.common import table
 from millrace.session import prepare
 
@@ -121,6 +121,15 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages").select("page_id", "url"), RULES).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+@query("op12_bpe")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document and the text they decode to, as digests."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    out = bpe.decode(bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), path), path)
+    return out.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("token_ids", ","), 256).alias("ids_sha256"),
+                      F.sha2("decoded_text", 256).alias("decoded_sha256"))
+
+
 _WARC_SQL = r"""
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
 canon AS (SELECT *, CASE WHEN regexp_matches(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]') THEN
