@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, mixing, near, pages, quality, sharding, substrings, tokens, urls, warc
-from millrace.llm.common import table
+from millrace.llm import bpe, decontaminate, mixing, near, pages, periodic, quality, sharding, substrings, tokens, urls, warc
+from millrace.llm.common import table, words_of
 from millrace.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,6 +121,27 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages").select("page_id", "url"), RULES).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+@query("op11_recompression_runs")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words of every document, a tenth of which are made periodic first."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    docs = table(spark, folder, "documents").select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"))
+    # the documents to be made periodic, with their words; others keep their text
+    words, n = F.col("words"), F.size("words")
+    docs = docs.withColumn("words", F.when(F.col("h") % 10 == 0, words_of(F.col("text"))))
+    docs = docs.withColumn("a", F.when(n > 0, F.col("g") % n).cast("int"))
+    docs = docs.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    tail = F.transform(F.sequence("a", n - 1), lambda i: F.get(words, F.col("a") + (i - F.col("a")) % F.col("p")))
+    made = F.when(F.col("a").isNotNull(), F.array_join(F.concat(F.slice(words, 1, F.col("a")), tail), " ")).otherwise(F.col("text"))
+    out = periodic.collapse_runs(docs.select("doc_id", made.alias("text")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("less"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))), "")
+    return out.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.back")).alias("start"), F.col("longest.length").alias("length"),
+        (-F.col("longest.less")).alias("period"), F.floor(1000 * F.col("longest.length") / -F.col("longest.less")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed_text", 256).alias("collapsed_sha256"))
+
+
 @query("op12_bpe")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document and the text they decode to, as digests."""
