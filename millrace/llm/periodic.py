@@ -275,10 +275,16 @@ RESULT = pa.struct([("n_words", pa.int64()),
 SCHEMA = "struct<n_words:bigint,runs:array<struct<start:bigint,length:bigint,period:bigint>>,collapsed_text:string>"
 
 
+class Numbers(dict):
+    """Word -> number in order of appearance."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 def numbered(words: list[bytes]) -> np.ndarray:
-    """The words as numbers in order of appearance."""
-    known: dict[bytes, int] = {}
-    return np.fromiter((known.setdefault(w, len(known)) for w in words), dtype=np.int64, count=len(words))
+    return np.fromiter(map(Numbers().__getitem__, words), dtype=np.int64, count=len(words))
 
 
 def judged(texts: list[bytes], least: int, times: int) -> pa.Array:

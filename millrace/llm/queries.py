@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, mixing, near, pages, periodic, quality, sharding, substrings, tokens, urls, warc
+from millrace.llm import bpe, decontaminate, mixing, near, pages, periodic, quality, sharding, spelling, substrings, tokens, urls, warc
 from millrace.llm.common import table, words_of
 from millrace.session import prepare
 
@@ -151,6 +151,41 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
                       F.sha2("decoded_text", 256).alias("decoded_sha256"))
 
 
+_SPELLING_SQL = r"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, s: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+runs AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+low AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS n FROM runs GROUP BY ALL),
+spelled AS (SELECT w, n, list_transform(string_split(doc_id || ':' || w, ''), lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)] ELSE [195, ord(c) - 64] END) AS b
+            FROM low WHERE length(w) >= 7),
+hashed AS (SELECT w, n, xor(list_reduce([4294967295] || list_transform(flatten(b), lambda x: CAST(x AS BIGINT)),
+    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM spelled, crc),
+made AS (SELECT CASE WHEN h % 31 = 0 THEN w[1:h % length(w)] || w[h % length(w) + 2:] ELSE w END AS word, n FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM made WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+holes AS (SELECT word, n, i, word[1:i - 1] || word[i + 1:] AS rest FROM words, unnest(generate_series(1, length(word))) AS u(i)),
+links AS (SELECT a.word, b.word AS near, b.n AS m FROM holes a JOIN holes b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM words a JOIN holes b ON a.word = b.rest
+    UNION SELECT b.word, a.word, a.n FROM words a JOIN holes b ON a.word = b.rest),
+best AS (SELECT word, count(*) AS n_near, min({'less': -m, 'near': near}) AS best FROM links GROUP BY word),
+judged AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.less >= 10 * n THEN best.near END AS form,
+    CASE WHEN -best.less >= 10 * n THEN -best.less END AS form_n FROM words LEFT JOIN best USING (word)),
+chain AS (SELECT word, coalesce(form, word) AS root, form IS NULL AS last FROM judged
+    UNION ALL SELECT chain.word, coalesce(j.form, chain.root), j.form IS NULL FROM chain JOIN judged j ON j.word = chain.root WHERE NOT chain.last)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n FROM judged JOIN chain USING (word) WHERE chain.last"""
+
+
+@query("op13_spelling_forms", _SPELLING_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """The frequent form and the root of every word of the documents, some of which lose a letter first."""
+    runs = table(spark, folder, "documents").select("doc_id", F.explode(spelling.letter_runs(F.col("text"))).alias("run"))
+    # a run and what may be left of it has at least seven letters
+    runs = runs.filter(F.length("run") >= 7).withColumn("h", F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("run"))))
+    lost = (F.col("h") % F.length("run")).cast("int")
+    word = F.when(F.col("h") % 31 == 0, F.overlay("run", F.lit(""), lost + 1, F.lit(1))).otherwise(F.col("run"))
+    words = runs.select(word.alias("word")).filter(F.length("word") >= 7).groupBy("word").agg(F.count("*").alias("n")).filter("n >= 2")
+    return spelling.forms(words)
+
+
 _WARC_SQL = r"""
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
 canon AS (SELECT *, CASE WHEN regexp_matches(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]') THEN
