@@ -20,6 +20,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows may carry whole documents: ten thousand of them in one batch would fill a worker
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # ship state deltas instead of whole snapshots on every commit
