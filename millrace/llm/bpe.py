@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,8 +36,8 @@ from tokenizers import pre_tokenizers
 
 from millrace.llm.common import without
 
-GROUP_BYTES = 4 << 20     # text encoded together
-CACHE_BYTES = 64 << 20    # parts remembered between groups
+GROUP_BYTES = 2 << 20     # text encoded together
+CACHE_BYTES = 48 << 20    # parts remembered between groups
 LONG = 512                # symbols from which a word is merged rank by rank
 
 # fixed: the pre-token pattern of byte-level vocabularies
@@ -328,33 +329,25 @@ def groups(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         at = stop
 
 
-def encoded_lists(encoder: Encoder, texts: pa.Array) -> pa.Array:
-    """A column of texts as lists of ids."""
-    sizes = np.asarray(texts.cast(pa.binary()).fill_null(b"").to_numpy(zero_copy_only=False))
-    sizes = np.array([len(s) for s in sizes], dtype=np.int64)
-    values, offsets = [np.empty(0, dtype=np.int64)], [np.zeros(1, dtype=np.int64)]
-    total = 0
+def encoded_lists(encoder: Encoder, texts: pa.Array) -> Iterator[pa.Array]:
+    """A column of texts as lists of ids, in pieces of about ``GROUP_BYTES`` of text."""
+    texts = texts.cast(pa.binary())
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     for a, b in groups(sizes, GROUP_BYTES):
-        ids, ends = encoder([t.decode("utf-8", "replace") if t else "" for t in texts.slice(a, b - a).cast(pa.binary()).to_pylist()])
-        values.append(ids)
-        offsets.append(ends[1:] + total)
-        total += len(ids)
-    return pa.ListArray.from_arrays(pa.array(np.concatenate(offsets).astype(np.int32)), pa.array(np.concatenate(values).astype(np.int32)))
-
-
-def decoded_texts(vocabulary: Vocabulary, lists: pa.Array) -> pa.Array:
-    """A column of lists of ids as texts; a null list is an empty text."""
-    lists = lists.fill_null([]) if lists.null_count else lists
-    ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    if len(ids) and (ids.min() < 0 or ids.max() >= vocabulary.size):
-        raise ValueError("an id outside the vocabulary")
-    ends = np.r_[0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))].astype(np.int64)
-    texts: list[str] = []
-    for a, b in groups(np.diff(ends), GROUP_BYTES):
-        data, at = gather(vocabulary.bytes, vocabulary.byte_offsets, ids[ends[a]:ends[b]])
-        whole, cuts = data.tobytes(), at[ends[a:b + 1] - ends[a]].tolist()
-        texts += [whole[x:y].decode("utf-8", "replace") for x, y in zip(cuts, cuts[1:], strict=False)]
-    return pa.array(texts, pa.string())
+        ids, ends = encoder([t.decode("utf-8", "replace") if t else "" for t in texts.slice(a, b - a).to_pylist()])
+        yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
+
+
+def decoded_texts(vocabulary: Vocabulary, lists: pa.Array) -> Iterator[pa.Array]:
+    """A column of lists of ids as texts, in pieces of about ``GROUP_BYTES`` ids; a null list is an empty text."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    for a, b in groups(sizes, GROUP_BYTES):
+        ids = lists.slice(a, b - a).flatten().to_numpy(zero_copy_only=False)
+        if len(ids) and (ids.min() < 0 or ids.max() >= vocabulary.size):
+            raise ValueError("an id outside the vocabulary")
+        data, at = gather(vocabulary.bytes, vocabulary.byte_offsets, ids)
+        whole, cuts = data.tobytes(), at[np.r_[0, np.cumsum(sizes[a:b])]].tolist()
+        yield pa.array([whole[x:y].decode("utf-8", "replace") for x, y in zip(cuts, cuts[1:], strict=False)], pa.string())
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
@@ -365,7 +358,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(vocabulary.value)
         for part in texts:
-            yield encoded_lists(encoder, part)
+            yield from encoded_lists(encoder, part)
 
     kept = without(docs, [ids] if ids.lower() != text.lower() else [])
     return kept.withColumn(ids, run(F.coalesce(F.col(text), F.lit(""))))
@@ -378,7 +371,7 @@ def decode(df: DataFrame, path: str, ids: str = "token_ids", text: str = "decode
     @arrow_udf("string")
     def run(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in lists:
-            yield decoded_texts(vocabulary.value, part)
+            yield from decoded_texts(vocabulary.value, part)
 
     kept = without(df, [text] if ids.lower() != text.lower() else [])
     return kept.withColumn(text, run(F.col(ids)))

@@ -28,11 +28,6 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def small_batches(df: DataFrame, rows: int = 1000) -> None:
-    """Hand rows that carry whole texts to Python in small batches, so that long ones do not meet by the thousand."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-
-
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

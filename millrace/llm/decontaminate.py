@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from millrace.llm.common import let, mixed, small_batches, span_hashes, window_hashes, word_hashes
+from millrace.llm.common import let, mixed, span_hashes, window_hashes, word_hashes
 from millrace.session import stored
 
 WINDOW = 8
@@ -204,7 +204,6 @@ def _chosen(pairs: Column) -> Column:
 
 def _covers(docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, coverage: float) -> DataFrame:
     """``(doc_id, text_hash, item_id, n_words, n_covered, changed)`` per text and item it contains."""
-    small_batches(docs)
     spark = docs.sparkSession
     items = stored(_mapped(benchmark.select(F.col(item_id).alias("id"), F.col(item_text).alias("text")), benchmark.schema[item_id].dataType,
                            None, None, True).withColumnsRenamed({"id": "item_id", "place": "item_place", "slots": "item_slots"}).drop("text_hash")

@@ -24,7 +24,9 @@ def of_library(text):
     return LIBRARY.encode(text or "", add_special_tokens=False).ids
 
 
-def test_ids_and_texts_equal_the_library(spark):
+@pytest.mark.parametrize("size", [2 << 20, 50])
+def test_ids_and_texts_equal_the_library(spark, monkeypatch, size):
+    monkeypatch.setattr(bpe, "GROUP_BYTES", size)
     docs = spark.createDataFrame([(i, t, "mine") for i, t in enumerate(CASES)] * 2, "doc_id long, text string, Token_Ids string").repartition(3)
     out = bpe.decode(bpe.encode(docs, PATH), PATH)
     got = out.collect()
@@ -98,10 +100,10 @@ def test_merges_that_are_out_of_order_go_one_by_one(symbols):
 def test_bytes_that_are_no_text_and_unknown_ids():
     byte = {b: int(i) for b, i in enumerate(VOCABULARY.first)}
     lists = [[byte[0xC3]], [byte[0xF0], byte[0x9F], byte[0x41]], [], None, [byte[0xC3], byte[0xA9]]]
-    got = bpe.decoded_texts(VOCABULARY, pa.array(lists, pa.list_(pa.int32()))).to_pylist()
+    got = [t for part in bpe.decoded_texts(VOCABULARY, pa.array(lists, pa.list_(pa.int32()))) for t in part.to_pylist()]
     assert got == [LIBRARY.decode(ids or [], skip_special_tokens=False) for ids in lists]
     with pytest.raises(ValueError):
-        bpe.decoded_texts(VOCABULARY, pa.array([[VOCABULARY.size]], pa.list_(pa.int32())))
+        list(bpe.decoded_texts(VOCABULARY, pa.array([[VOCABULARY.size]], pa.list_(pa.int32()))))
 
 
 def test_other_kinds_of_files_are_refused():
