@@ -1,9 +1,8 @@
-"""Tumbling event-time windows, and lateness and triggers replayed from an arrival log.
+"""Tumbling event-time windows, and lateness replayed from an arrival log.
 
 An arrival log holds, next to key, value and event time, the integer ``tick`` a row
 arrived at. A tick is what one delivered bundle (or micro-batch) is to a runner: the
-watermark a row meets is the largest event time of strictly earlier ticks, and
-triggers are looked at once per tick. Ticks are units of processing time, so their
+watermark a row meets is the largest event time of strictly earlier ticks. Ticks are units of processing time, so their
 number depends on the time covered and not on the number of rows; rows are combined
 per key, window and tick before anything is put in order.
 
@@ -82,93 +81,3 @@ def dropped_rows(log: DataFrame, keys: list[str], ts: str, tick: str, duration:
     """How many rows per key and timing, dropped ones included."""
     timed = with_timing(log, ts, tick, duration, lateness)
     return timed.groupBy(*keys, "timing").agg(F.count(F.lit(1)).alias("rows"))
-
-
-def triggered_panes(log: DataFrame, keys: list[str], value: str, ts: str, tick: str, duration: str,
-                    lateness: str = "0 seconds", count: int | None = None, delay: int | None = None,
-                    accumulate: bool = False) -> DataFrame:
-    """Panes of a repeated trigger: element count reached, processing delay passed, or whichever is first.
-
-    ``delay`` is in ticks after the first element of the pane; it has passed at the first
-    tick *after* it. The count is looked at when a tick's rows have been added. What is left
-    when the watermark passes the window's end is fired ON_TIME, later panes are LATE.
-    At most (window + lateness) / tick combined rows of a key and window are folded together.
-    """
-    ticks = tick_table(log, ts, tick, duration)
-    timed = with_timing(log, ts, tick, duration, lateness, ticks).where(F.col("timing") != "DROPPED")
-    steps = timed.groupBy(*keys, "window_start", "window_end", F.col(tick).alias("_t")).agg(
-        F.count(F.lit(1)).cast("bigint").alias("_n"), F.sum(value).cast("bigint").alias("_s"),
-        F.max(ts).alias("_m"))
-    closes = _closing_ticks(ticks)
-    last_tick = ticks.agg(F.max("_tick")).scalar()
-
-    step = F.struct(F.col("_t").alias("t"), F.col("_n").alias("n"), F.col("_s").alias("s"), F.col("_m").alias("m"))
-    windows = steps.groupBy(*keys, "window_start", "window_end").agg(F.array_sort(F.collect_list(step)).alias("_steps"))
-    windows = windows.join(closes, "window_end", "left").withColumn(
-        "_close", F.coalesce(F.col("_close"), last_tick))
-
-    close = F.col("_close")
-    never = F.lit(False)
-
-    def passed(acc: Column, now: Column) -> Column:
-        return never if delay is None else acc["f"] + F.lit(delay) < now
-
-    def pane(timing: Column, acc: Column) -> Column:
-        return F.array(F.struct(timing.alias("timing"), acc["n"].alias("n"), acc["s"].alias("s"),
-                                acc["m"].alias("m")))
-
-    def pending_timing(acc: Column) -> Column:
-        return F.when(acc["f"] > close, "LATE").when(passed(acc, close), "EARLY").otherwise("ON_TIME")
-
-    def state(f: Column, n: Column, s: Column, m: Column, out: Column) -> Column:
-        return F.struct(f.cast("bigint").alias("f"), n.cast("bigint").alias("n"), s.cast("bigint").alias("s"),
-                        m.cast("timestamp").alias("m"), out.alias("out"))
-
-    empty_out = F.expr("CAST(array() AS array<struct<timing:string,n:bigint,s:bigint,m:timestamp>>)")
-    start = state(F.lit(None), F.lit(0), F.lit(0), F.lit(None), empty_out)
-
-    def add(acc: Column, x: Column) -> Column:
-        # fire what became due since the pane's first element, before this tick's rows
-        due = (acc["n"] > 0) & (passed(acc, x["t"]) | ((acc["f"] <= close) & (close < x["t"])))
-        out = F.when(due, F.concat(acc["out"], pane(pending_timing(acc), acc))).otherwise(acc["out"])
-        fresh = due | (acc["n"] == 0)
-        n = F.when(fresh, x["n"]).otherwise(acc["n"] + x["n"])
-        s = F.when(fresh, x["s"]).otherwise(acc["s"] + x["s"])
-        m = F.when(fresh, x["m"]).otherwise(F.greatest(acc["m"], x["m"]))
-        f = F.when(fresh, x["t"]).otherwise(acc["f"])
-        full = never if count is None else n >= count
-        now = F.when(x["t"] <= close, "EARLY").otherwise("LATE")
-        fired = F.array(F.struct(now.alias("timing"), n.alias("n"), s.alias("s"), m.alias("m")))
-        return state(
-            F.when(full, F.lit(None)).otherwise(f), F.when(full, 0).otherwise(n), F.when(full, 0).otherwise(s),
-            F.when(full, F.lit(None)).otherwise(m), F.when(full, F.concat(out, fired)).otherwise(out))
-
-    def finish(acc: Column) -> Column:
-        return F.when(acc["n"] > 0, F.concat(acc["out"], pane(pending_timing(acc), acc))).otherwise(acc["out"])
-
-    panes = windows.select(*keys, "window_start", "window_end",
-                           F.posexplode(F.aggregate("_steps", start, add, finish)).alias("pane", "p"))
-    of_window = W.partitionBy(*keys, "window_start").orderBy("pane").rowsBetween(W.unboundedPreceding, 0)
-    total = F.sum("p.s").over(of_window) if accumulate else F.col("p.s")
-    return panes.select(*keys, "window_start", "window_end", "pane", F.col("p.timing").alias("timing"),
-                        F.col("p.n").alias("cnt"), total.alias("total"), F.col("p.m").alias("latest_ts"))
-
-
-def _closing_ticks(ticks: DataFrame) -> DataFrame:
-    """``window_end, _close``: the first tick whose rows take the watermark to the window's end.
-
-    Ends and watermark steps are merged in time order and the next step is looked up; both
-    have a row per window or tick, never per event. Steps rise with their tick, so the next
-    one in time is the smallest tick among the later ones.
-    """
-    ends = ticks.select(F.col("_end").alias("at"), F.lit(None).cast("bigint").alias("_tick"), F.lit(1).alias("is_end")).distinct()
-    raised = F.col("_watermark").isNull() | (F.col("_top") > F.col("_watermark"))
-    marks = _watermarks(ticks).where(raised).select(F.col("_top").alias("at"), "_tick", F.lit(0).alias("is_end"))
-    merged = ends.unionByName(marks).withColumn("_day", F.date_trunc("day", F.col("at")))
-    heads = merged.groupBy("_day").agg(F.min("_tick").alias("_head"))
-    later_days = W.orderBy(F.col("_day").desc()).rowsBetween(W.unboundedPreceding, -1)
-    heads = heads.select(F.col("_day").alias("_d"), F.min("_head").over(later_days).alias("_later"))
-    in_day = W.partitionBy("_day").orderBy(F.col("at").desc(), "is_end").rowsBetween(W.unboundedPreceding, 0)
-    found = merged.withColumn("_here", F.min("_tick").over(in_day)).where(F.col("is_end") == 1)
-    return found.join(heads, F.col("_day") == F.col("_d"), "inner").select(
-        F.col("at").alias("window_end"), F.least("_here", "_later").alias("_close"))

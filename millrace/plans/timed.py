@@ -119,65 +119,6 @@ def late_drop_beyond(t: Tables) -> DataFrame:
     return wn.dropped_rows(arrivals(t, 10), ["key"], "ts", "tick", "1 hour", "30 minutes")
 
 
-# --- triggers --------------------------------------------------------------
-
-def fold_sql(count: int, delay: int) -> str:
-    """The trigger's definition, step by step per key and window."""
-    return f"""WITH RECURSIVE {timed_sql(1, "6 HOUR", "45 MINUTE")},
-    steps AS (SELECT key, w, tick AS t, count(*) AS n, CAST(sum(value) AS BIGINT) AS s,
-                     row_number() OVER (PARTITION BY key, w ORDER BY tick) AS rn FROM timed WHERE timing <> 'DROPPED' GROUP BY 1, 2, 3),
-    ends AS (SELECT DISTINCT w FROM steps),
-    closes AS (SELECT w, coalesce(min(tick) FILTER (WHERE top >= w + INTERVAL 6 HOUR), (SELECT max(tick) FROM log)) AS c
-               FROM ends, tops GROUP BY 1),
-    st AS (SELECT steps.*, c FROM steps JOIN closes USING (w)),
-    fold AS (
-      SELECT key, w, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS f, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS s, max(c) AS c,
-             CAST(NULL AS VARCHAR) AS dt, CAST(0 AS BIGINT) AS dn, CAST(0 AS BIGINT) AS ds,
-             CAST(NULL AS VARCHAR) AS ft, CAST(0 AS BIGINT) AS fn, CAST(0 AS BIGINT) AS fs FROM st GROUP BY 1, 2
-      UNION ALL
-      SELECT key, w, rn, CASE WHEN n2 >= {count} THEN NULL ELSE f2 END, CASE WHEN n2 >= {count} THEN 0 ELSE n2 END,
-             CASE WHEN n2 >= {count} THEN 0 ELSE s2 END, c, dt, dn, ds,
-             CASE WHEN n2 >= {count} THEN CASE WHEN t <= c THEN 'EARLY' ELSE 'LATE' END END, n2, s2
-      FROM (SELECT *, CASE WHEN dt IS NOT NULL OR pn = 0 THEN xn ELSE pn + xn END AS n2,
-                   CASE WHEN dt IS NOT NULL OR pn = 0 THEN xs ELSE ps + xs END AS s2,
-                   CASE WHEN dt IS NOT NULL OR pn = 0 THEN t ELSE pf END AS f2
-            FROM (SELECT st.key, st.w, st.rn, st.t, st.c, st.n AS xn, st.s AS xs, fold.f AS pf, fold.n AS pn, fold.s AS ps,
-                         fold.n AS dn, fold.s AS ds,
-                         CASE WHEN fold.n > 0 AND (fold.f + {delay} < st.t OR (fold.f <= st.c AND st.c < st.t)) THEN
-                           CASE WHEN fold.f > st.c THEN 'LATE' WHEN fold.f + {delay} < st.c THEN 'EARLY' ELSE 'ON_TIME' END END AS dt
-                  FROM fold JOIN st ON st.key IS NOT DISTINCT FROM fold.key AND st.w = fold.w AND st.rn = fold.rn + 1))),
-    fired AS (SELECT key, w, rn, 0 AS o, dt AS timing, dn AS cnt, ds AS total FROM fold WHERE dt IS NOT NULL
-      UNION ALL SELECT key, w, rn, 1, ft, fn, fs FROM fold WHERE ft IS NOT NULL
-      UNION ALL SELECT key, w, rn, 2, CASE WHEN f > c THEN 'LATE' WHEN f + {delay} < c THEN 'EARLY' ELSE 'ON_TIME' END, n, s
-        FROM (SELECT *, max(rn) OVER (PARTITION BY key, w) AS last FROM fold) WHERE rn = last AND n > 0)
-    SELECT key, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, timing,
-           row_number() OVER (PARTITION BY key, w ORDER BY rn, o) - 1 AS pane, total, cnt FROM fired"""
-
-
-def _triggered(t: Tables, **trigger) -> DataFrame:
-    panes = wn.triggered_panes(arrivals(t, 1), ["key"], "value", "ts", "tick", "6 hours", "45 minutes", **trigger)
-    return panes.select("key", stamp("window_start").alias("window_start"), "timing",
-                        F.col("pane").cast("bigint").alias("pane"), "total", "cnt")
-
-
-NEVER = 10**12
-
-
-@query("trigger_element_count", fold_sql(4, NEVER))
-def trigger_element_count(t: Tables) -> DataFrame:
-    return _triggered(t, count=4)
-
-
-@query("trigger_processing_delay", fold_sql(NEVER, 60))
-def trigger_processing_delay(t: Tables) -> DataFrame:
-    return _triggered(t, delay=60)
-
-
-@query("trigger_after_first", fold_sql(3, 40))
-def trigger_after_first(t: Tables) -> DataFrame:
-    return _triggered(t, count=3, delay=40)
-
-
 # --- alerts ----------------------------------------------------------------
 
 def _dense_sql(minutes: int, series: str) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,6 +97,50 @@ def run_in_steps(steps: list[DataFrame], flow: Callable[[DataFrame], DataFrame],
     return spark.read.schema(_nullable(result.schema)).parquet(out)
 
 
+def run_on_the_clock(steps: list[DataFrame], flow: Callable[[DataFrame], DataFrame], name: str, settle_ms: int,
+                     seconds: float = 300) -> DataFrame:
+    """Deliver frames one after the other to a flow with processing-time timers.
+
+    The query runs on its own clock. A delivery is one micro-batch; the next one comes when the query has gone on for
+    ``settle_ms`` of processing time, so that timers of less than half of that have fired. A delivery that is not processed
+    within ``seconds`` is an error. Empty deliveries are left out.
+    """
+    spark = steps[0].sparkSession
+    landing, out, progress = (scratch_path(spark, f"{name}-{part}") for part in ("landing", "out", "progress"))
+    schema, result = _nullable(steps[0].schema), None
+    for rows in steps:
+        if rows.isEmpty():
+            continue
+        # the query is down while files land: it never sees a part of a delivery
+        rows.write.mode("append").parquet(landing)
+        result = flow(spark.readStream.schema(schema).parquet(landing))
+        query = (result.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress)
+                 .trigger(processingTime="0 seconds").start())
+        deadline, settled = time.monotonic() + seconds, None
+        try:
+            while True:
+                last = query.lastProgress
+                if last and settled is None and any(p["numInputRows"] for p in query.recentProgress):
+                    settled = time.time() + settle_ms / 1000
+                if last and settled and _started(last) > settled:
+                    break
+                if time.monotonic() > deadline:
+                    raise TimeoutError(f"{name}: a delivery was not processed in {seconds} s")
+                if query.awaitTermination(0.05):
+                    break
+        finally:
+            query.stop()
+    if result is None:  # nothing came at all
+        steps[0].write.mode("append").parquet(landing)
+        return spark.createDataFrame([], flow(spark.readStream.schema(schema).parquet(landing)).schema)
+    return spark.read.schema(_nullable(result.schema)).parquet(out)
+
+
+def _started(progress) -> float:
+    """The processing time at which a micro-batch began."""
+    return datetime.fromisoformat(progress["timestamp"].replace("Z", "+00:00")).timestamp()
+
+
 def heartbeat(like: DataFrame, ts: str) -> DataFrame:
     """One row far in the future, NULL but for the event time."""
     return like.sparkSession.range(1).select(*[

@@ -13,7 +13,7 @@ from millrace.sources.generators import rate_sequence
 from millrace.streaming import flows
 from millrace.streaming import state as st
 from millrace.streaming.runtime import (
-    closing_heartbeat, run_each_batch, run_some_batches, run_to_table, stream_table,
+    closing_heartbeat, run_each_batch, run_on_the_clock, run_some_batches, run_to_table, stream_table,
 )
 from tests.conftest import rows
 
@@ -79,6 +79,35 @@ def test_count_trigger(spark, steps):
     assert found == [("EARLY", 3), ("EARLY", 12), ("EARLY", 19), ("EARLY", 1100), ("ON_TIME", 10000)]
 
 
+def deliveries(spark, *steps):
+    return [spark.createDataFrame([(k, v, (START + pd.Timedelta(seconds=s)).to_pydatetime()) for k, v, s in step], SCHEMA) for step in steps]
+
+
+@pytest.mark.parametrize("trigger, first, rest", [
+    (dict(delay_ms=200), [("EARLY", 3)], [("EARLY", 15), ("ON_TIME", 1100), ("LATE", 7)]),
+    (dict(delay_ms=200, count=2), [("EARLY", 3)], [("EARLY", 15), ("EARLY", 1100), ("LATE", 7)]),
+    # a delay that never passes leaves the count and the watermark
+    (dict(delay_ms=3_600_000, count=3), [], [("EARLY", 18), ("ON_TIME", 1100)])])
+def test_deliveries_on_the_clock(spark, trigger, first, rest):
+    """Each delivery's panes are fired by the clock before the next one comes; the last one closes everything."""
+    parts = deliveries(spark, [("a", 1, 0), ("a", 2, .001)], [("a", 15, .5)], [], [("a", 100, 2), ("a", 1000, 3), ("-", 0, 6)],
+                       [("a", 7, 1), ("-", 0, 7)], [("a", 9, 1), ("-", 0, 99)])
+
+    def flow(stream):
+        return st.streaming_panes(stream, ["key"], "value", "ts", "5 seconds", 2000, **trigger)
+
+    panes = run_on_the_clock(parts, flow, "panes", settle_ms=900)
+    found = [(r["timing"], r["total"]) for r in panes.where("key = 'a'").orderBy("pane").collect()]
+    if trigger["delay_ms"] > 1_000_000:  # its processing timers are asleep: only rows wake a window
+        found = found[:2]
+    assert found == first + rest
+
+
+def test_no_deliveries_at_all(spark):
+    out = run_on_the_clock(deliveries(spark, []), lambda stream: st.streaming_panes(stream, ["key"], "value", "ts", "5 seconds", delay_ms=10), "none", 10)
+    assert out.count() == 0
+
+
 def test_processing_delay_trigger(spark, steps):
     """Fires by the clock, without new input, and flushes the rest on time."""
     steps.add(("a", 1, 0), ("a", 2, .001))

@@ -66,95 +66,6 @@ def test_beyond_lateness_is_dropped(frame):
         ("a", "DROPPED", 1)]
 
 
-# As above, for triggers
-BASE = [("a", 1, 0, 0), ("a", 2, .001, 0)]
-COARSE = BASE + [("a", 10, 1, 1000), ("a", 100, 2, 2000), ("a", 1000, 3, 3000)]
-TRIGGERS = {
-    "delay 0": (dict(delay=0), BASE + [("a", 5, .5, 500), ("a", 10, 1, 1000), ("a", 100, 2, 2000), ("a", 1000, 3, 3000)],
-                [("EARLY", 3), ("EARLY", 5), ("EARLY", 10), ("EARLY", 100), ("ON_TIME", 1000)]),
-    "delay 1": (dict(delay=1000), COARSE, [("EARLY", 13), ("ON_TIME", 1100)]),
-    "delay 2": (dict(delay=2000), COARSE, [("EARLY", 113), ("ON_TIME", 1000)]),
-    "count 2": (dict(count=2), BASE + [("a", v, t / 1000, t) for v, t in (
-        (4, 500), (8, 1000), (9, 1100), (10, 2100), (100, 3100), (1000, 4100), (10000, 4600))],
-        [("EARLY", 3), ("EARLY", 12), ("EARLY", 19), ("EARLY", 1100), ("ON_TIME", 10000)]),
-    "count 2 or delay 2": (dict(count=2, delay=2000), COARSE, [("EARLY", 3), ("EARLY", 110), ("ON_TIME", 1000)]),
-}
-
-
-@pytest.mark.parametrize("name", TRIGGERS)
-def test_triggers(frame, name):
-    trigger, data, expected = TRIGGERS[name]
-    out = wn.triggered_panes(log(frame, data), ["key"], "value", "ts", "tick", "5 seconds", **trigger)
-    assert [(r["timing"], r["total"]) for r in out.orderBy("pane").collect()] == expected
-
-
-def test_trigger_over_two_windows_with_lateness(frame):
-    data = BASE + [("a", 4, .5, 500), ("a", 8, 1, 1000), ("a", 9, 1.1, 1100), ("a", 10, 1, 2100), ("a", 100, 2, 3100), ("a", 1000, 3, 4100),
-                   ("a", 2000, 4.5, 5600), ("a", 10000, 5.5, 6600), ("a", 20000, 7, 8100), ("a", 5000, 4.9, 8100)]
-    out = wn.triggered_panes(log(frame, data), ["key"], "value", "ts", "tick", "5 seconds", "3 seconds", count=100, delay=1000)
-    assert panes(out) == sorted([
-        ("a", 0, "EARLY", 15), ("a", 0, "EARLY", 19), ("a", 0, "EARLY", 1100), ("a", 0, "ON_TIME", 2000), ("a", 0, "LATE", 5000),
-        ("a", 5, "EARLY", 10000), ("a", 5, "ON_TIME", 20000)], key=repr)
-    latest = {r["total"]: r["latest_ts"] for r in out.collect()}
-    assert (latest[19] - latest[15]).total_seconds() == pytest.approx(.1)
-
-
-def test_accumulating_trigger(frame):
-    out = wn.triggered_panes(log(frame, COARSE), ["key"], "value", "ts", "tick", "5 seconds", delay=1000, accumulate=True)
-    assert [r["total"] for r in out.orderBy("pane").collect()] == [13, 1113]
-
-
-def brute_force(data, width, lateness, count, delay):
-    """The trigger's rules, one arrival tick at a time over all keys and windows."""
-    ticks = sorted({t for *_, t in data})
-    tops = {t: max(s for _, _, s, u in data if u == t) for t in ticks}
-    mark, state, out, closed_at = None, {}, [], {}
-    last = ticks[-1]
-    steps = []
-    for t in ticks:
-        steps.append((t, mark))
-        mark = tops[t] if mark is None else max(mark, tops[t])
-        for w in {int(s // width) for _, _, s, _ in data}:
-            if w not in closed_at and mark >= (w + 1) * width:
-                closed_at[w] = t
-    for key in {k for k, *_ in data}:
-        for w in {int(s // width) for _, _, s, _ in data}:
-            close, open_, end = closed_at.get(w, last), None, (w + 1) * width
-
-            def timing(first):
-                if first > close:
-                    return "LATE"
-                return "EARLY" if delay is not None and first + delay < close else "ON_TIME"
-
-            for t, before in steps:
-                rows_ = [v for k, v, s, u in data if k == key and u == t and int(s // width) == w
-                         and (before is None or before < end + lateness)]
-                if not rows_:
-                    continue
-                if open_ and ((delay is not None and open_[0] + delay < t) or (open_[0] <= close < t)):
-                    out.append((key, w, timing(open_[0]), sum(open_[1])))
-                    open_ = None
-                open_ = (open_[0], open_[1] + rows_) if open_ else (t, rows_)
-                if count is not None and len(open_[1]) >= count:
-                    out.append((key, w, "EARLY" if t <= close else "LATE", sum(open_[1])))
-                    open_ = None
-            if open_:
-                out.append((key, w, timing(open_[0]), sum(open_[1])))
-    return sorted(out)
-
-
-@pytest.mark.parametrize("count, delay", [(3, None), (None, 700), (4, 900)])
-def test_triggers_equal_brute_force(frame, count, delay):
-    rng = random.Random(11)
-    data = []
-    for _ in range(250):
-        s = rng.randint(0, 39_000) / 1000
-        data.append((rng.choice("hhhhab"), rng.randint(1, 99), s, int(s * 1000 + rng.choice([0, 100, 400, 2500, 9000])) // 100 * 100))
-    out = wn.triggered_panes(log(frame, data), ["key"], "value", "ts", "tick", "5 seconds", "3 seconds", count=count, delay=delay)
-    index = ((F.unix_millis("window_start") - 1639612800000) / 5000).cast("int")
-    assert rows(out.select("key", index, "timing", "total")) == sorted(brute_force(data, 5, 3, count, delay), key=repr)
-
-
 def alert_log(frame, data):
     return frame(data, "series string, at string").select("series", F.to_timestamp("at").alias("ts"))
 
