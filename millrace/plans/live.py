@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.functions.temporal import after_first_comma
 from millrace.plans.registry import Tables, cents, query, stamp
+from millrace.session import scratch_path
+from millrace.sources.files import csv_line
 from millrace.streaming.runtime import heartbeat, run_in_steps, run_on_the_clock
 from millrace.streaming.state import streaming_panes
+from millrace.streaming.watch import ProgressLog, run_until, silence_alerts
 
 # --- triggers --------------------------------------------------------------
 
@@ -54,12 +59,17 @@ def _count_sql(count: int) -> str:
     FROM fold WHERE n >= {count} OR last"""
 
 
+def delivery_step():
+    """The number of the delivery with which a row arrives."""
+    return reduce(lambda otherwise, n: F.when(F.col("arrived") < F.lit(CUTS[n]).cast("timestamp"), n).otherwise(otherwise),
+                  reversed(range(len(CUTS))), F.lit(len(CUTS)))
+
+
 def deliveries(t: Tables) -> list[DataFrame]:
     """Events in the order in which they arrive, 0 to 96 minutes after they happened; the last delivery closes all windows."""
     arrived = F.col("ts") + F.expr("make_interval(0, 0, 0, 0, 0, cast(event_id * 7919 % 97 as int), 0)")
     log = t.events.select(F.col("event_type").alias("key"), cents("value").alias("value"), "ts", arrived.alias("arrived"))
-    step = reduce(lambda otherwise, n: F.when(F.col("arrived") < F.lit(CUTS[n]).cast("timestamp"), n).otherwise(otherwise),
-                  reversed(range(len(CUTS))), F.lit(len(CUTS)))
+    step = delivery_step()
     parts = [log.where(step == n).drop("arrived") for n in range(len(CUTS) + 1)]
     return [*parts[:-1], parts[-1].unionByName(heartbeat(parts[-1], "ts"))]
 
@@ -94,3 +104,65 @@ def trigger_processing_delay(t: Tables) -> DataFrame:
 def trigger_after_first(t: Tables) -> DataFrame:
     """Whichever comes first, the count or the delay."""
     return _panes(t, count=COUNT, delay_ms=DELAY_MS)
+
+
+# --- alerts, metrics, stop conditions --------------------------------------
+
+@query("stream_silence_alerts", """
+    WITH busy AS (SELECT event_type AS series, epoch_us(ts) // 3600000000 AS period FROM events GROUP BY 1, 2 HAVING count(*) >= 3),
+      gaps AS (SELECT series, period, lead(period) OVER (PARTITION BY series ORDER BY period) AS next FROM busy)
+    SELECT series, 'FIRING' AS event, period + 4 AS first, CAST(NULL AS BIGINT) AS n FROM gaps WHERE next IS NULL OR next - period - 1 >= 4
+    UNION ALL SELECT series, 'RESOLVED', period + 4, next - period - 4 FROM gaps WHERE next - period - 1 >= 4""")
+def stream_silence_alerts(t: Tables) -> DataFrame:
+    """Fewer than 3 events an hour for 4 hours: a timer per series fires when the watermark passes silence. Over several deliveries,
+    so that some alerts fire in one run of the flow and are resolved in a later one."""
+    events = t.events.select("event_type", "ts")
+    cuts = [F.col("ts") < F.lit(day).cast("timestamp") for day in ("2024-01-11", "2024-01-21")]
+    parts = [events.where(cuts[0]), events.where(~cuts[0] & cuts[1]), events.where(~cuts[1])]
+    parts[-1] = parts[-1].unionByName(heartbeat(events, "ts"))
+    return run_in_steps(parts, lambda stream: silence_alerts(stream, "ts", "event_type", 3600, 3, 4), "alerts")
+
+
+def _metrics_sql() -> str:
+    step = " ".join(f"WHEN arrived < TIMESTAMP '{cut}' THEN {n}" for n, cut in enumerate(CUTS))
+    return f"""WITH log AS (SELECT event_id, ts, ts + to_minutes((event_id * 7919) % 97) AS arrived FROM events),
+      stepped AS (SELECT *, CASE {step} ELSE {len(CUTS)} END AS step FROM log),
+      marks AS (SELECT step, max(max(ts)) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM stepped GROUP BY 1)
+    SELECT row_number() OVER (ORDER BY step) AS delivery, count(*) AS input_rows, CAST(sum(event_id) AS VARCHAR) AS id_sum,
+           strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS latest, CAST(count(*) FILTER (WHERE epoch_us(ts) <= (epoch_ms(top) - 600000) * 1000) AS BIGINT) AS late_rows
+    FROM stepped JOIN marks USING (step) GROUP BY step"""
+
+
+@query("stream_metrics", _metrics_sql())
+def stream_metrics(t: Tables) -> DataFrame:
+    """Metrics observed on a running stream and rows dropped as late, a row per delivery, from the progress of its micro-batches."""
+    arrived = F.col("ts") + F.expr("make_interval(0, 0, 0, 0, 0, cast(event_id * 7919 % 97 as int), 0)")
+    log = t.events.select("event_id", "ts", arrived.alias("arrived"))
+
+    def flow(stream: DataFrame) -> DataFrame:
+        seen = stream.observe("events", F.sum("event_id").alias("id_sum"), stamp(F.max("ts")).alias("latest"))
+        return seen.withWatermark("ts", "10 minutes").dropDuplicates(["event_id", "ts"])
+
+    step = delivery_step()
+    with ProgressLog(t.spark) as progress:
+        run_in_steps([log.where(step == n).drop("arrived") for n in range(len(CUTS) + 1)], flow, "metered", ended=progress.wait)
+    batches = progress.table().where("input_rows > 0")
+    # some rows per run of the flow: the order of their start numbers them
+    number = F.row_number().over(W.orderBy("started")).cast("bigint")
+    return batches.select(number.alias("delivery"), "input_rows", F.col("metrics")["events.id_sum"].alias("id_sum"),
+                          F.col("metrics")["events.latest"].alias("latest"), "late_rows")
+
+
+@query("stream_until_idle", """
+    SELECT event_type AS key, count(*) AS cnt, min(strftime(ts, '%Y-%m-%dT%H:%M:%SZ')) AS first, max(strftime(ts, '%Y-%m-%dT%H:%M:%SZ')) AS last
+    FROM events GROUP BY 1""")
+def stream_until_idle(t: Tables) -> DataFrame:
+    """Log lines in files that land while the query runs; it stops itself when no more come."""
+    root = scratch_path(t.spark, "landing")
+    line = csv_line(F.col("event_type"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("value")
+    third = F.pmod("event_id", F.lit(3))
+    lands = [partial(t.events.where(third == n).select(line).write.text, f"{root}/{n}") for n in range(3)]
+    lines = t.spark.readStream.text(f"{root}/*")
+    parsed = lines.select(F.nullif(F.substring_index("value", ",", 1), F.lit("")).alias("key"), after_first_comma(F.col("value")).alias("at"))
+    read, _ = run_until(parsed, "until-idle", idle_seconds=3, meanwhile=lands)
+    return read.groupBy("key").agg(F.count("*").alias("cnt"), F.min("at").alias("first"), F.max("at").alias("last"))

@@ -80,11 +80,12 @@ def run_some_batches(stream: DataFrame, name: str, batches: int, seconds: float
     return spark.read.schema(_nullable(stream.schema)).parquet(out)
 
 
-def run_in_steps(steps: list[DataFrame], flow: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+def run_in_steps(steps: list[DataFrame], flow: Callable[[DataFrame], DataFrame], name: str,
+                 ended: Callable[[str], None] | None = None) -> DataFrame:
     """Deliver frames one after the other to a flow that remembers its state in between.
 
     Each step is written to the landing folder and processed as one micro-batch, the way a
-    job does that is started every so often for what has come in since.
+    job does that is started every so often for what has come in since. ``ended`` is told the id of each run that has ended.
     """
     spark = steps[0].sparkSession
     landing, out, progress = (scratch_path(spark, f"{name}-{part}") for part in ("landing", "out", "progress"))
@@ -92,8 +93,11 @@ def run_in_steps(steps: list[DataFrame], flow: Callable[[DataFrame], DataFrame],
     for rows in steps:
         rows.write.mode("append").parquet(landing)
         result = flow(spark.readStream.schema(schema).parquet(landing))
-        (result.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress)
-         .trigger(availableNow=True).start().awaitTermination())
+        query = (result.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress)
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+        if ended:
+            ended(query.runId)
     return spark.read.schema(_nullable(result.schema)).parquet(out)
 
 
