@@ -9,10 +9,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.temporal import after_first_comma
+from millrace.plans.payloads import messages
 from millrace.plans.registry import Tables, cents, query, stamp
 from millrace.session import scratch_path
+from millrace.sources import bus
+from millrace.sources.connectors import bus_writer, kafka_batch, kafka_messages, kafka_stream
 from millrace.sources.files import csv_line
-from millrace.streaming.runtime import heartbeat, run_in_steps, run_on_the_clock
+from millrace.streaming.runtime import heartbeat, run_in_steps, run_on_the_clock, run_to_table, stream_table
 from millrace.streaming.state import streaming_panes
 from millrace.streaming.watch import ProgressLog, run_until, silence_alerts
 
@@ -166,3 +169,41 @@ def stream_until_idle(t: Tables) -> DataFrame:
     parsed = lines.select(F.nullif(F.substring_index("value", ",", 1), F.lit("")).alias("key"), after_first_comma(F.col("value")).alias("at"))
     read, _ = run_until(parsed, "until-idle", idle_seconds=3, meanwhile=lands)
     return read.groupBy("key").agg(F.count("*").alias("cnt"), F.min("at").alias("first"), F.max("at").alias("last"))
+
+
+# --- bus -------------------------------------------------------------------
+
+def published(t: Tables, partitions: int) -> str:
+    """A bus whose topic ``events`` holds the events as messages, written by a stream of files; returns its path."""
+    path, source = scratch_path(t.spark, "bus"), scratch_path(t.spark, "bus-source")
+    rows = messages(t).withColumn("partition", (F.decode("payload", "UTF-8").cast("long") % partitions).cast("int"))
+    rows.repartition(3).write.parquet(source)
+    sent = stream_table(t.spark, source, rows.schema, files_per_step=1)
+    writer = bus_writer(sent, bus.register(t.spark), scratch_path(t.spark, "bus-progress"), path=path, topic="events")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return path
+
+
+@query("stream_bus_read", """
+    SELECT CAST(event_id % 4 AS INT) AS partition, count(*) AS cnt, CAST(sum(event_id) AS BIGINT) AS id_sum, CAST(0 AS BIGINT) AS first_offset,
+           count(*) - 1 AS last_offset, count(*) FILTER (WHERE event_id % 10 <> 3) AS with_id, max(strftime(ts, '%Y-%m-%dT%H:%M:%S')) AS latest
+    FROM events GROUP BY 1""")
+def stream_bus_read(t: Tables) -> DataFrame:
+    """Messages published by one stream and consumed by another, with headers, partitions and offsets."""
+    options = {"path": published(t, 4), "subscribe": "events", "rowsPerTask": "5000", "group": "readers"}
+    read = kafka_stream(t.spark, options, bus.FORMAT)
+    message = kafka_messages(read.select("*")).withColumn("partition", F.split("msg_id", "-")[1].cast("int")).withColumn(
+        "offset", F.split("msg_id", "-")[2].cast("long"))
+    rows = run_to_table(message.select("partition", "offset", F.decode("payload", "UTF-8").cast("long").alias("id"), "attrs"), "bus-read")
+    return rows.groupBy("partition").agg(
+        F.count("*").alias("cnt"), F.sum("id").alias("id_sum"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"),
+        F.count(F.col("attrs")["msgAttrName"]).alias("with_id"), F.max(F.substring(F.col("attrs")["et"], 1, 19)).alias("latest"))
+
+
+@query("bus_assigned_partitions", """
+    SELECT CAST(event_id % 4 AS INT) AS partition, count(*) AS cnt, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events WHERE event_id % 4 IN (1, 3) GROUP BY 1""")
+def bus_assigned_partitions(t: Tables) -> DataFrame:
+    """A bounded read of the partitions named, and of no others."""
+    options = {"path": published(t, 4), "assign": '{"events": [1, 3]}'}
+    rows = kafka_batch(t.spark, options, fmt=bus.FORMAT)
+    return rows.groupBy("partition").agg(F.count("*").alias("cnt"), F.sum(F.decode("value", "UTF-8").cast("long")).alias("id_sum"))

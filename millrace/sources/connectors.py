@@ -33,13 +33,13 @@ def kafka_options(servers: str, topics: str | None = None, partitions: dict[str,
     return {**options, **extra}
 
 
-def kafka_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
-    return spark.readStream.format("kafka").options(**options).load()
+def kafka_stream(spark: SparkSession, options: dict[str, str], fmt: str = "kafka") -> DataFrame:
+    return spark.readStream.format(fmt).options(**options).load()
 
 
-def kafka_batch(spark: SparkSession, options: dict[str, str], max_records: int | None = None) -> DataFrame:
+def kafka_batch(spark: SparkSession, options: dict[str, str], max_records: int | None = None, fmt: str = "kafka") -> DataFrame:
     """Bounded read; ``max_records`` stops after that many."""
-    rows = spark.read.format("kafka").options(**options).load()
+    rows = spark.read.format(fmt).options(**options).load()
     return rows if max_records is None else rows.limit(max_records)
 
 
@@ -54,10 +54,11 @@ def kafka_messages(records: DataFrame) -> DataFrame:
 
 
 def bus_writer(messages: DataFrame, fmt: str, checkpoint: str, **options: str) -> DataStreamWriter:
-    """Unstarted writer of messages to a bus: value and headers (or any format, for a stand-in)."""
+    """Unstarted writer of messages to a bus: value and headers, and key, topic and partition where there are such columns."""
     entries = F.transform(F.map_entries("attrs"), lambda e: F.struct(
         e["key"].alias("key"), F.encode(e["value"], "UTF-8").alias("value")))
-    rows = messages.select(F.col("payload").alias("value"), entries.alias("headers"))
+    more = [c for c in ("key", "topic", "partition") if c in messages.columns]
+    rows = messages.select(F.col("payload").alias("value"), entries.alias("headers"), *more)
     return rows.writeStream.format(fmt).option("checkpointLocation", checkpoint).options(**options)
 
 
