@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,7 @@ from pyspark.sql import types as T
 from millrace.functions.temporal import date_parts
 from millrace.plans.registry import Tables, query
 from millrace.session import scratch_path, scratch_table
+from millrace.sources import avro
 from millrace.sources import files as fl
 from millrace.sources import tables as tb
 
@@ -70,6 +73,33 @@ def scan_nested(t: Tables) -> DataFrame:
     return subscription_text(t.spark.read.parquet(path))
 
 
+@query("avro_nested", SUBSCRIPTION_SQL)
+def avro_nested(t: Tables) -> DataFrame:
+    """The same through Avro container files, read in splits that end anywhere; times of day travel as text."""
+    path, fmt = scratch_path(t.spark, "avro"), avro.register(t.spark)
+    rows = subscriptions(t)
+    rows.withColumn("my_time", F.col("my_time").cast("string")).write.format(fmt).mode("append").options(path=path, codec="snappy").save()
+    read = t.spark.read.format(fmt).options(path=path, splitBytes="200000").load()
+    return subscription_text(read.withColumn("my_time", F.col("my_time").cast(rows.schema["my_time"].dataType)))
+
+
+@query("avro_schema_resolution", """
+    SELECT o_orderkey AS id, CAST(o_custkey AS DOUBLE) AS customer, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus ELSE 'none' END AS status FROM orders""")
+def avro_schema_resolution(t: Tables) -> DataFrame:
+    """Files of two schemas read as a third: a field renamed and widened, one that the older files lack, one left out."""
+    path, fmt = scratch_path(t.spark, "avro-two"), avro.register(t.spark)
+    even = F.col("o_orderkey") % 2 == 0
+    new = t("orders").where(even).select("o_orderpriority", F.col("o_orderkey").alias("id"), F.col("o_custkey").cast("long").alias("customer"),
+                                         F.col("o_orderstatus").alias("status"))
+    old = t("orders").where(~even).select(F.col("o_custkey").cast("int").alias("cust"), F.col("o_orderkey").alias("id"))
+    for part, codec in ((new, "deflate"), (old, "zstandard")):
+        part.write.format(fmt).mode("append").options(path=path, codec=codec).save()
+    wanted = {"type": "record", "name": "order", "fields": [
+        {"name": "id", "type": ["null", "long"]}, {"name": "customer", "aliases": ["cust"], "type": ["null", "double"]},
+        {"name": "status", "type": ["string", "null"], "default": "none"}]}
+    return t.spark.read.format(fmt).options(path=path, avroSchema=json.dumps(wanted)).load()
+
+
 @query("load_ndjson_nested", SUBSCRIPTION_SQL)
 def load_ndjson_nested(t: Tables) -> DataFrame:
     """JSON lines with quoted integers and two timestamp spellings into the nested type."""
