@@ -41,6 +41,7 @@ from millrace.llm.graph import components
 from millrace.session import stored
 
 SHINGLE = 5
+HOT_ROWS = 1000  # rows of one text that are no burden to a task
 SIMILARITY = 0.8
 SKETCHES = 28
 TUPLE = 5
@@ -272,11 +273,16 @@ def open_pairs(texts: DataFrame, labels: DataFrame) -> DataFrame:
     labelled = texts.join(labels.withColumnRenamed("node", "content"), "content", "left").select(
         "content", F.xxhash64(F.coalesce("label", "content")).alias("label"), "words")
     firsts = stored(first_elements(stored(labelled, "open")), "first-elements")
-    a, b = (firsts.select("element", *[F.col(c).alias(f"{c}_{x}") for c in ("place", "n", "content", "label")]) for x in "ab")
+    # an element of one label only leads nowhere; of the others the rows of the commonest label do not meet each other
+    per_element = firsts.groupBy("element", "label").agg(F.count("*").alias("rows")).groupBy("element").agg(
+        F.count("*").alias("labels"), F.max_by("label", "rows").alias("commonest")).filter("labels > 1")
+    kept = stored(firsts.join(per_element, "element").withColumn("common", F.col("label") == F.col("commonest")), "shared-elements")
+    a, b = (kept.select("element", *[F.col(c).alias(f"{c}_{x}") for c in ("place", "n", "content", "label", "common")]) for x in "ab")
     most = 1 + F.least(F.col("n_a") - F.col("place_a") - 1, F.col("n_b") - F.col("place_b") - 1)
     can = most * (1 + SIMILARITY) >= SIMILARITY * (F.col("n_a") + F.col("n_b")) - 1e-6
-    met = a.join(b, (a.element == b.element) & (F.col("content_a") < F.col("content_b")) & (F.col("label_a") != F.col("label_b")) & can)
-    return met.select(F.col("content_a").alias("a"), F.col("content_b").alias("b")).distinct()
+    once = F.col("common_b") | (F.col("content_a") < F.col("content_b"))
+    met = a.filter(~F.col("common_a")).join(b, (a.element == b.element) & once & (F.col("label_a") != F.col("label_b")) & can)
+    return met.select(F.least("content_a", "content_b").alias("a"), F.greatest("content_a", "content_b").alias("b")).distinct()
 
 
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -297,7 +303,8 @@ def labels_of(rows: DataFrame) -> DataFrame:
     shared = stored(buckets(different), "buckets")
     wanted = shared.select("content", "large").unionByName(different.filter("short").select("content", F.lit(True).alias("large"))) \
         .groupBy("content").agg(F.max("large").alias("open"))
-    texts = stored(rows.join(wanted, "content").groupBy("content").agg(F.first("words").alias("words"), F.first("open").alias("open")), "texts")
+    # copies of a text are combined in their tasks before any words move
+    texts = stored(rows.groupBy("content").agg(F.first("words").alias("words")).join(wanted, "content"), "texts")
     first = stored(verified(stored(first_pairs(shared), "pairs"), texts).filter("same").select("a", "b"), "links")
     labels = stored(components(first), "first-labels")
     rest = stored(open_pairs(texts.filter("open"), labels), "open-pairs")
@@ -305,19 +312,19 @@ def labels_of(rows: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``(rows, texts)``: ``rows(doc_id, content)`` per row with words; ``texts(content, class_id, keeper)`` per different text.
+    """``(rows, texts)``: ``rows(doc_id, content)`` per row with words; ``texts(content, class_id, keeper, copies)`` per different text.
 
     ``class_id`` is the smallest ``doc_id`` of the class, ``keeper`` says that the text is the one with that ``doc_id``.
     """
     rows = stored(sketched(docs, doc_id, text), "sketched")
     labels = labels_of(rows)
-    texts = rows.groupBy("content").agg(F.min("doc_id").alias("first"))
+    texts = rows.groupBy("content").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
     joined = stored(texts.join(labels, texts.content == labels.node, "left")
-                    .select("content", F.coalesce("label", "content").alias("label"), "first"), "classes")
+                    .select("content", F.coalesce("label", "content").alias("label"), "first", "copies"), "classes")
     order = F.struct(F.col("first").isNull().alias("none"), "first", "content")
     heads = joined.groupBy("label").agg(F.min("first").alias("class_id"), F.min_by("content", order).alias("head"))
     return rows.select("doc_id", "content"), joined.join(heads, "label").select(
-        "content", "class_id", (F.col("content") == F.col("head")).alias("keeper"))
+        "content", "class_id", (F.col("content") == F.col("head")).alias("keeper"), "copies")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -325,7 +332,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     rows, texts = classes(docs, doc_id, text)
     wordless = F.length(F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(" \t\n\x0b\x0c\r"))) == 0
     alone = docs.filter(wordless).select(F.col(doc_id).alias("doc_id"), F.col(doc_id).alias("class_id"))
-    return rows.join(texts, "content").select("doc_id", "class_id").unionByName(alone)
+    # a text with more than a thousandth of all rows, of which there are fewer than a thousand, goes to its rows; other rows go to their texts
+    least = max(HOT_ROWS, rows.count() // 1000)
+    texts = stored(texts.select("content", "class_id", "copies"), "class-of-text")
+    hot = F.broadcast(texts.filter(F.col("copies") > least).select("content", "class_id"))
+    found = rows.join(hot, "content").unionByName(rows.join(hot, "content", "left_anti").join(texts.filter(F.col("copies") <= least).drop("copies"), "content"))
+    return found.select("doc_id", "class_id").unionByName(alone)
 
 
 @arrow_udf(BinaryType())
