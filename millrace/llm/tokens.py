@@ -10,7 +10,8 @@ and normalisation is lower-casing there. A word with any other character, or wit
 is encoded whole by the library, so special strings inside texts are treated as the library does by default. No token is
 added, nothing is truncated or padded.
 
-Defined cases: null is an empty text (0 bytes, 0 tokens); repeated rows are counted one by one; columns of the input with
+Defined cases: null is an empty text (0 bytes, 0 tokens); very long texts are counted whole, and what is remembered is bounded in bytes; an empty
+table gives an empty table; there are no ties; repeated rows are counted one by one; columns of the input with
 the names of results are replaced.
 """
 
@@ -28,7 +29,8 @@ from tokenizers import Tokenizer
 from millrace.llm.common import without
 
 LIMIT = 2048
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
+CACHED_BYTES = 64       # longer words are not remembered
 
 # fixed: the tokenizer's own pre-token pattern, on lower-cased ASCII
 PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
@@ -52,7 +54,7 @@ def whole_tokens(path: str) -> frozenset[bytes]:
 
 
 class Counts(dict):
-    """UTF-8 word -> number of its tokens; emptied when it has grown to ``limit`` words."""
+    """UTF-8 word of at most ``CACHED_BYTES`` -> number of its tokens; emptied when it has grown to ``limit`` words."""
 
     def __init__(self, tokenizer: Tokenizer, whole: frozenset[bytes], limit: int = CACHE_WORDS):
         super().__init__()
@@ -68,9 +70,10 @@ class Counts(dict):
                 n += 1 if piece in self.whole else self.encoded(piece)
         else:
             n = self.encoded(word)
-        if len(self) >= self.limit:
-            self.clear()
-        self[word] = n
+        if len(word) <= CACHED_BYTES:
+            if len(self) >= self.limit:
+                self.clear()
+            self[word] = n
         return n
 
     def of(self, text: bytes) -> int:
