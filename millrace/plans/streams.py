@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,8 @@ from pyspark.sql import types as T
 
 from millrace.functions import payload as pl
 from millrace.functions.temporal import after_first_comma, instant_of_log_line
-from millrace.operators.joins import unique_map
+from millrace.operators.batching import group_into_batches
+from millrace.operators.services import KeyedFiles, call_per_batch, write_keyed_files
 from millrace.operators.transforms import bucket_key, skewed_key
 from millrace.plans.payloads import BASIC, COUNTRY, MESSAGE_SQL, college_of_order, messages, spread_orders
 from millrace.plans.registry import Tables, cents, query, stamp
@@ -250,6 +252,34 @@ def stream_state_pairs(t: Tables) -> DataFrame:
                                           F.get("members", F.lit(1)).alias("second"))
 
 
+def keyed_service(t: Tables) -> str:
+    """The last order priority of every customer as a look-up service; returns its place."""
+    path = scratch_path(t.spark, "service")
+    write_keyed_files(t("orders").groupBy("o_custkey").agg(F.max_by("o_orderpriority", "o_orderkey").alias("last")), "o_custkey", "last", path)
+    return path
+
+
+def ask_users(service, requests):
+    return service.ask([r["user_id"] for r in requests])
+
+
+def enriched_text():
+    """User and answer; a call that has failed is an error of the query."""
+    answer = F.when(F.col("error").isNull(), F.coalesce("answer", F.lit("UNKNOWN"))).otherwise(F.raise_error("error"))
+    return F.concat(F.col("user_id").cast("string"), F.lit(":"), answer)
+
+
+@query("enrich_batched_calls", """
+    SELECT event_id, user_id || ':' || coalesce(last, 'UNKNOWN') AS enriched FROM events
+    LEFT JOIN (SELECT o_custkey, max_by(o_orderpriority, o_orderkey) AS last FROM orders GROUP BY 1) ON user_id = o_custkey""")
+def enrich_batched_calls(t: Tables) -> DataFrame:
+    """Batches of up to 200 requests per event type, one call each, a few calls at a time in a task."""
+    batches = group_into_batches(t("events"), ["event_type"], F.struct("event_id", "user_id"), "event_id", 200)
+    answered = call_per_batch(batches.repartition("event_type", "batch"), "values", partial(KeyedFiles, keyed_service(t), "o_custkey", "last"), ask_users,
+                              T.StringType())
+    return answered.select("event_id", enriched_text().alias("enriched"))
+
+
 def emit_requests(key, values, why):
     yield [(v["event_id"], v["user_id"]) for v in values], why
 
@@ -259,15 +289,14 @@ def emit_requests(key, values, why):
     LEFT JOIN (SELECT o_custkey, max_by(o_orderpriority, o_orderkey) AS o_orderpriority FROM orders GROUP BY 1)
     ON user_id = o_custkey""")
 def stream_enrich_batched(t: Tables) -> DataFrame:
-    """Requests gathered in batches of 2 per key, the rest when the window expires; the service is asked once per batch and
-    its last answer for a user counts. Here the service is a table, so the batches of a micro-batch are looked up together."""
-    service = t("orders").groupBy("o_custkey").agg(F.max_by("o_orderpriority", "o_orderkey").alias("last"))
+    """Requests gathered in batches of up to 20 per key and shard, the rest when the window expires; the service is called once per batch."""
+    service = keyed_service(t)
     rows, close = event_stream(t)
     request = T.StructType().add("event_id", "long").add("user_id", "long")
-    asking = rows.withColumn("request", F.struct("event_id", "user_id")).withColumn("shard", F.col("event_id") % SHARDS)
-    batches = stateful_batches(keyed_windows(asking, "ts", "1 day"), ["event_type", "shard"], "request", 2, emit_requests,
+    asking = rows.withColumn("request", F.struct("event_id", "user_id")).withColumn("shard", F.col("event_id") % 4)
+    batches = stateful_batches(keyed_windows(asking, "ts", "7 days"), ["event_type", "shard"], "request", 20, emit_requests,
                                T.StructType().add("requests", T.ArrayType(request)).add("why", "string"))
-    asked = batches.select(F.explode("requests").alias("r")).select("r.*")
-    answered = asked.join(unique_map(service, "o_custkey", "last"), F.col("user_id") == F.col("o_custkey"), "left")
-    text = F.concat(F.col("user_id").cast("string"), F.lit(":"), F.coalesce("last", F.lit("UNKNOWN")))
-    return run_to_table(answered.select("event_id", text.alias("enriched")), "enriched", close=close)
+    # the closing row asks for nothing
+    real = batches.withColumn("requests", F.filter("requests", lambda r: r["event_id"].isNotNull()))
+    answered = call_per_batch(real, "requests", partial(KeyedFiles, service, "o_custkey", "last"), ask_users, T.StringType())
+    return run_to_table(answered.select("event_id", enriched_text().alias("enriched")), "enriched", close=close)
