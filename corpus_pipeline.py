@@ -15,8 +15,9 @@ from millrace.session import prepare, stored
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass every rule of the policy."""
-    judged = quality.apply_policy(quality.ledger(docs, policy="v2"), "v2")
+    """Documents that pass every rule of the policy. The ledger is stored first: the rules are evaluated once, the policy reads their bits."""
+    entries = stored(quality.ledger(docs, policy="v2"), "ledger")
+    judged = quality.apply_policy(entries, "v2")
     return judged.filter("kept").select(*docs.columns)
 
 
