@@ -277,7 +277,7 @@ class Page:
             weight = 1.0
             if names:
                 inside = b.article and not b.named and not (b.second and first)
-                weight = CLUTTER if b.named or (marked and not inside) else ARTICLE if inside and self.plain[b.element] else 1.0
+                weight = CLUTTER if b.named or (marked and not inside) else ARTICLE if inside and (b.element < 0 or self.plain[b.element]) else 1.0
             worth = 1.0
             if b.element >= 0:
                 up = self.parents[b.element]
