@@ -12,7 +12,11 @@ templates, windows with fewer than half literal words are not used. An item shor
 Document windows are looked up in the benchmark's set of hashes inside the tasks while this set has at most
 ``BROADCAST_WINDOWS`` entries; a larger benchmark is joined by a shuffle of all windows, with the same result.
 
-Defined cases: null and empty texts on either side have no windows and no rows. Repeated documents give one row per
+Windows that many items share, such as an instruction, make no pairs. Of each item the windows of most items are set aside as
+long as they cover less than ``COVERAGE`` of it together (``rare_windows``). A leak has to contain one of the others, so only these
+are joined; the documents and items that meet there are then compared by all their windows. Items of equal text are compared once.
+
+Defined cases: an empty table on either side gives no rows; very long texts are read in blocks; other columns are not looked at, whatever their names; null and empty texts on either side have no windows and no rows. Repeated documents give one row per
 ``doc_id`` and item, that of the largest coverage; a null ``doc_id`` counts as one id. Equal items are reported each.
 """
 
@@ -26,9 +30,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from millrace.llm.common import let, mixed, span_hashes, window_hashes, word_hashes
+from millrace.llm.common import if_small, let, mixed, span_hashes, window_hashes, word_hashes
 from millrace.session import stored
 
 WINDOW = 8
@@ -36,14 +41,27 @@ COVERAGE = 0.5
 BROADCAST_WINDOWS = 1 << 22
 VERBATIM = 1 << 8  # sets the hashes of words as they are apart from those of templates
 
-# fixed values: units and number words that become placeholders
+# fixed values: units and number words that become placeholders, in the languages of the documents; words with another common
+# meaning (French "un", Spanish "once") are left out
 UNITS = set("""kg g mg lb lbs oz km m cm mm mi ft in l ml s ms min h hr hrs mph kmh w kw v a hz mb gb tb c f k usd eur gbp % $ € £
 kilogram kilograms gram grams pound pounds ounce ounces kilometer kilometers kilometre kilometres meter meters metre metres
 centimeter centimeters mile miles foot feet inch inches yard yards liter liters litre litres gallon gallons second seconds
 minute minutes hour hours day days week weeks month months year years dollar dollars euro euros cent cents degree degrees
-percent watt watts volt volts""".split()) - {"a", "in", "s", "c", "f", "k", "m", "v", "w", "h", "l", "g"}
+percent watt watts volt volts
+kilo kilos kilogramme kilogrammes gramme grammes livre livres kilomètre kilomètres mètre mètres centimètre centimètres litre litres
+seconde secondes heure heures jour jours semaine semaines mois année années degré degrés pourcent
+kilogramm gramm pfund kilometer meter zentimeter meile meilen liter sekunde sekunden minuten stunde stunden tag tage tagen woche wochen
+monat monate monaten jahr jahre jahren grad prozent
+kilogramo kilogramos gramo gramos libra libras kilómetro kilómetros metro metros centímetro centímetros milla millas litro litros
+segundo segundos minuto minutos hora horas día días semana semanas mes meses año años euros dólar dólares grado grados""".split()) - {"a", "in", "s", "c", "f", "k", "m", "v", "w", "h", "l", "g"}
 NUMBERS = set("""zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen
-eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion""".split())
+eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion
+deux trois quatre cinq sept huit neuf dix onze douze treize quatorze quinze seize vingt trente quarante cinquante soixante mille
+millions milliard milliards
+zwei drei vier fünf sechs sieben acht neun zehn elf zwölf dreizehn vierzehn fünfzehn sechzehn siebzehn achtzehn neunzehn zwanzig dreißig
+vierzig fünfzig sechzig siebzig achtzig neunzig hundert tausend millionen milliarden
+dos tres cuatro cinco seis siete ocho nueve diez doce trece catorce quince dieciséis diecisiete dieciocho diecinueve veinte treinta
+cuarenta cincuenta sesenta setenta ochenta noventa cien mil millón millones""".split())
 
 LITERAL, NUMBER, UNIT, NAME = range(4)
 _NUMBER = re.compile(r"[$€£]?[+-]?(?:\d[\d.,:/]*)(?:%|st|nd|rd|th)?")
@@ -202,34 +220,68 @@ def _chosen(pairs: Column) -> Column:
         F.size(d) == F.size(F.array_distinct(F.transform(d, lambda p: p["i"]))), d).otherwise(ranked(a, d))))
 
 
-def _covers(docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, coverage: float) -> DataFrame:
-    """``(doc_id, text_hash, item_id, n_words, n_covered, changed)`` per text and item it contains."""
+def rare_windows(coverage: float):
+    """Of an item's ``[(number of items, place, window)]`` the windows that a leak has to share one of."""
+    @arrow_udf(ArrayType(LongType()))
+    def chosen(windows: pa.Array, n: pa.Array, size: pa.Array) -> pa.Array:
+        out = []
+        for found, words, width in zip(windows.to_pylist(), n.to_pylist(), size.to_pylist(), strict=True):
+            aside, covered, needed = np.zeros(words, dtype=bool), 0, set()
+            for x in sorted(found, key=lambda x: (-x["items"], x["place"], x["window"])):
+                part = aside[x["place"]:x["place"] + width]
+                more = covered + int(np.count_nonzero(~part))
+                if more / words < coverage:
+                    part[:], covered = True, more
+                else:
+                    needed.add(x["window"])
+            out.append(sorted(needed))
+        return pa.array(out, pa.list_(pa.int64()))
+    return chosen
+
+
+def matches(docs: DataFrame, items: DataFrame, doc_id: str, text: str, coverage: float) -> DataFrame:
+    """The equal windows of every document and item that can reach ``coverage``: ``items`` of distinct texts as ``(item, window, ...)``."""
     spark = docs.sparkSession
-    items = stored(_mapped(benchmark.select(F.col(item_id).alias("id"), F.col(item_text).alias("text")), benchmark.schema[item_id].dataType,
-                           None, None, True).withColumnsRenamed({"id": "item_id", "place": "item_place", "slots": "item_slots"}).drop("text_hash")
-                   .distinct(), "items")
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most WINDOW different ones
-    keys = items.select("window").distinct()
+    keys = items.groupBy("window").agg(F.count_distinct("item").alias("items"))
     small = keys.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
     known = None
     if small:
-        known = spark.sparkContext.broadcast(np.sort(np.array(keys.toPandas()["window"], dtype=np.int64).view(np.uint64)))
+        known = spark.sparkContext.broadcast(np.sort(np.array(keys.select("window").toPandas()["window"], dtype=np.int64).view(np.uint64)))
     hits = _mapped(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")), docs.schema[doc_id].dataType, sizes, known, False)
-    hits = hits.select(F.col("id").alias("doc_id"), "text_hash", "window", "place", "slots")
-    joined = hits.join(F.broadcast(items) if small else items, "window")
+    if not small:
+        hits = hits.join(keys, "window", "left_semi")
+    hits = stored(hits.select(F.col("id").alias("doc_id"), "text_hash", "window", "place", "slots"), "hits")
+    windows = items.join(keys, "window").groupBy("item", "n", "size").agg(
+        F.collect_set(F.struct("items", F.col("item_place").alias("place"), "window")).alias("windows"))
+    needed = stored(windows.select("item", F.explode(rare_windows(coverage)("windows", "n", "size")).alias("window")), "rare-windows")
+    candidates = hits.select("doc_id", "text_hash", "window").distinct().join(if_small(needed), "window").select("doc_id", "text_hash", "item").distinct()
+    # the candidates' items bring their windows along: their number does not depend on what else the document contains
+    wanted = stored(candidates, "candidates").join(items, "item")
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")) & (F.col("window") == F.col("w"))
+    return wanted.join(hits.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t"), F.col("window").alias("w"), "place", "slots"), same).drop("d", "t", "w")
+
+
+def _covers(docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, coverage: float) -> DataFrame:
+    """``(doc_id, text_hash, item_id, n_words, n_covered, changed)`` per text and item it contains."""
+    names = benchmark.select(F.col(item_id).alias("item_id"), F.xxhash64(F.col(item_text)).alias("item")).filter(F.col(item_text).isNotNull())
+    texts = benchmark.select(F.xxhash64(F.col(item_text)).alias("id"), F.col(item_text).alias("text")).dropDuplicates(["id"])
+    items = stored(_mapped(texts, LongType(), None, None, True).withColumnsRenamed({"id": "item", "place": "item_place", "slots": "item_slots"})
+                   .drop("text_hash"), "items")
+    joined = matches(docs, items, doc_id, text, coverage)
     pairs = F.zip_with("item_slots", "slots", lambda i, d: F.struct(i.alias("i"), d.alias("d")))
-    aligned = (joined.groupBy("doc_id", "text_hash", "item_id", "n", "size", (F.col("place") - F.col("item_place")).alias("shift"))
+    aligned = (joined.groupBy("doc_id", "text_hash", "item", "n", "size", (F.col("place") - F.col("item_place")).alias("shift"))
                .agg(F.collect_set(F.struct("item_place", pairs.alias("pairs"))).alias("windows")))
     chosen = aligned.withColumn("chosen", _chosen(F.flatten(F.transform("windows", lambda w: w["pairs"]))))
     kept = chosen.withColumn("windows", F.filter("windows", lambda w: F.forall(w["pairs"], lambda p: F.array_contains("chosen", p)))) \
         .filter(F.size("windows") > 0)
     consistent = kept.withColumns({"places": F.array_distinct(F.transform("windows", lambda w: w["item_place"])),
                                    "pairs": F.flatten(F.transform("windows", lambda w: w["pairs"]))})
-    found = consistent.groupBy("doc_id", "text_hash", "item_id", "n", "size").agg(
+    found = consistent.groupBy("doc_id", "text_hash", "item", "n", "size").agg(
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"),
         F.max(F.exists("pairs", lambda p: p["i"] != p["d"])).alias("changed"))
     share = found.withColumn("n_covered", _covered(F.col("places"), F.col("size")).cast("long"))
-    return share.filter(F.col("n_covered") / F.col("n") >= coverage).select("doc_id", "text_hash", "item_id", F.col("n").cast("long").alias("n_words"), "n_covered", "changed")
+    return share.filter(F.col("n_covered") / F.col("n") >= coverage).join(names, "item").select("doc_id", "text_hash", "item_id", F.col("n").cast("long").alias("n_words"), "n_covered", "changed")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",

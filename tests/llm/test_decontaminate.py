@@ -1,5 +1,11 @@
 """Leaks of benchmark items, also re-parameterised ones."""
 
+import itertools
+import random
+from collections import Counter, defaultdict
+
+import pyarrow as pa
+
 from millrace.llm import decontaminate as d
 
 ITEM = "A train leaves Boston at 9 and travels 120 miles in 3 hours before it meets another train coming from Albany at the bridge."
@@ -69,3 +75,75 @@ def test_only_leaking_rows_go(spark):
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     got = [tuple(r) for r in d.decontaminated(docs, bench).collect()]
     assert sorted(got, key=str) == sorted([(None, FILLER), (None, None), (1, FILLER)], key=str)
+
+
+def plain_leak(doc, item):
+    """``(covered words, changed)`` of an item in a document by definition: every window against every window."""
+    (shape, values, slot), (s2, v2, _) = (d.template(next(d.word_hashes(pa.array([t]), d.Words()))[1]) for t in (item, doc))
+    n = len(shape)
+    size = min(d.WINDOW, n)
+    aligned = defaultdict(set)
+    for p, q in itertools.product(range(n - size + 1), range(len(s2) - size + 1)):
+        if (values[p:p + size] == v2[q:q + size]).all():
+            aligned[q - p].add((p, ()))
+        if (shape[p:p + size] == s2[q:q + size]).all() and 2 * slot[p:p + size].sum() <= size:
+            aligned[q - p].add((p, tuple((int(values[p + k].view("int64")), int(v2[q + k].view("int64"))) for k in range(size) if slot[p + k])))
+    covered, changed = set(), False
+    for windows in aligned.values():
+        counts = Counter(pair for _, pairs in windows for pair in pairs)
+        best = {i: min((-n, i != x, x) for (j, x), n in counts.items() if j == i)[2] for i, _ in counts}
+        for p, pairs in windows:
+            if all(best[i] == x for i, x in pairs):
+                covered |= set(range(p, p + size))
+                changed |= any(i != x for i, x in pairs)
+    return len(covered), changed, n
+
+
+def test_equals_all_pairs(spark, monkeypatch):
+    rng = random.Random(3)
+    words = "the red box of and in a blue house stands".split()
+
+    def text(n):
+        return " ".join(rng.choice(words) if rng.random() < 0.8 else str(rng.randint(1, 4)) for _ in range(n))
+    shared = text(9)
+    items = [(i, (shared + " " if rng.random() < 0.5 else "") + text(rng.choice([3, 8, 15, 24]))) for i in range(25)]
+    items += [(100, items[0][1]), (101, None)]
+    docs = []
+    for i in range(60):
+        _, item = items[i % 25]
+        w = item.split()
+        if rng.random() < 0.8:
+            for _ in range(rng.randint(0, 3)):
+                w[rng.randrange(len(w))] = rng.choice([*words, "7", "9"])
+        docs.append((i, f"{text(12)} {' '.join(w[rng.randint(0, 4):])} {shared if i % 3 else ''} {text(5)}"))
+    want = {}
+    for (i, doc), (k, item) in itertools.product(docs, items):
+        if item:
+            covered, changed, n = plain_leak(doc, item)
+            if covered / n >= d.COVERAGE:
+                want[i, k] = covered, changed
+    got = {key: (r.n_covered, r.changed) for key, r in run(spark, docs, items).items()}
+    assert got == want and len(want) > 60 and any(c for _, c in want.values())
+    monkeypatch.setattr(d, "BROADCAST_WINDOWS", 3)
+    assert {key: (r.n_covered, r.changed) for key, r in run(spark, docs, items).items()} == want
+
+
+def test_a_shared_instruction_makes_no_pairs(spark):
+    from pyspark.sql import functions as F
+    shared = "Read the following question with care and write down the letter of the one right answer below it please."
+    own = [" ".join(f"w{i}x{j}y" for j in range(25)) for i in range(600)]
+    docs = spark.createDataFrame([(i, f"{own[300 + i]} {shared} {own[300 + i][::-1]}") for i in range(300)] + [(900, f"{shared} {own[7]}")], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, f"{shared} {own[i]}") for i in range(300)], "item_id long, text string")
+    texts = bench.select(F.xxhash64("text").alias("id"), "text")
+    items = d._mapped(texts, d.LongType(), None, None, True).withColumnsRenamed({"id": "item", "place": "item_place", "slots": "item_slots"}).drop("text_hash")
+    assert d.matches(docs, items, "doc_id", "text", d.COVERAGE).count() < 1_000
+    assert [(r.doc_id, r.item_id) for r in d.leaks(docs, bench).collect()] == [(900, 7)]
+
+
+def test_placeholders_of_other_languages(spark):
+    items = ["Le train part de la gare et roule pendant trois heures avant de rencontrer un autre train qui vient du nord.",
+             "Der Bauer verkauft am Markt zwölf Eier und bringt danach sieben Kilometer weiter seine letzten Körbe zu der alten Mühle.",
+             "El tren sale de la estación y viaja durante cinco horas antes de llegar al puente que cruza el gran río."]
+    texts = [items[0].replace("trois", "huit"), items[1].replace("zwölf", "zwanzig").replace("sieben", "drei"), items[2].replace("cinco", "nueve")]
+    got = run(spark, list(enumerate(texts)), list(enumerate(items)))
+    assert set(got) == {(i, i) for i in range(3)} and all(r.changed and r.coverage == 1 for r in got.values())
