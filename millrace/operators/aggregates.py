@@ -41,7 +41,7 @@ def top_n(df: DataFrame, n: int, *order: Column) -> DataFrame:
 
 
 def sorted_set(value: Column) -> Column:
-    """Aggregate: distinct values in order (combined before the shuffle)."""
+    """Aggregate: distinct values in order (combined before the shuffle), for groups with few of them; see ``ranking.set_pages``."""
     return F.sort_array(F.collect_set(value))
 
 

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.session import stored
+
 MOST_BLOCKS = 512
 
 
@@ -42,11 +44,15 @@ def ranked(df: DataFrame, keys: list[str], seq: str, name: str = "rn", blocks: i
     A key has at most as many blocks as there are cuts and a block at most about that share of all rows, whatever the size
     of the key and the spacing of the numbers.
     """
+    return _ranked_in_blocks(df, keys, seq, block_of(F.col(seq), cuts_of(df, seq, blocks)), name)
+
+
+def _ranked_in_blocks(df: DataFrame, keys: list[str], order: str, block: Column, name: str) -> DataFrame:
+    """Ranks within ``keys``, where a larger ``block`` holds larger values of ``order``."""
     # One struct column stands for key and block: window, counts and join then share a single
     # exchange of the rows, and NULL keys compare as equal.
-    block = F.struct(*keys, block_of(F.col(seq), cuts_of(df, seq, blocks)).alias("_block"))
-    blocked = df.withColumn("_group", block)
-    rows = blocked.withColumn("_in_block", F.row_number().over(W.partitionBy("_group").orderBy(seq)))
+    blocked = df.withColumn("_group", F.struct(*keys, block.alias("_block")))
+    rows = blocked.withColumn("_in_block", F.row_number().over(W.partitionBy("_group").orderBy(order)))
 
     counts = blocked.groupBy("_group").agg(F.count(F.lit(1)).alias("_rows"))
     before = W.partitionBy(*[f"_group.{k}" for k in keys]).orderBy("_group._block").rowsBetween(W.unboundedPreceding, -1)
@@ -79,6 +85,20 @@ def value_pages(df: DataFrame, keys: list[str], value: Column, seq: str, size: i
     return pages.groupBy(*keys, "page").agg(in_order(F.col("_value"), "_seq").alias(name))
 
 
+def set_pages(df: DataFrame, keys: list[str], value: Column, size: int = 1000, name: str = "values") -> DataFrame:
+    """The sorted distinct values of each key as lists of at most ``size``: one row per key and page.
+
+    For groups of any size and values of any type with an order: values become distinct before they move, an exchange by ranges of
+    key and value cuts large keys over tasks, and the counts of the ranges give the place of each. NULL is not a value.
+    The ranges are drawn from a sample, so they are written once and read by both sides.
+    """
+    distinct = df.select(*keys, value.alias("_value")).where(F.col("_value").isNotNull()).distinct()
+    ranges = distinct.repartitionByRange(*keys, "_value").withColumn("_range", F.spark_partition_id())
+    placed = _ranked_in_blocks(stored(ranges, "set-ranges"), keys, "_value", F.col("_range"), "_rn")
+    pages = placed.withColumn("page", F.expr(f"(_rn - 1) div {size}"))
+    return pages.groupBy(*keys, "page").agg(F.sort_array(F.collect_list("_value")).alias(name))
+
+
 def running_max(df: DataFrame, order: str, value: str, name: str, span: int) -> DataFrame:
     """Largest ``value`` of all rows with a strictly smaller ``order`` (NULL for the first).
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from millrace.functions.temporal import date_path
 from millrace.operators import aggregates as ag
 from millrace.operators.batching import group_into_batches, with_batch, with_shards
-from millrace.operators.ranking import value_pages
+from millrace.operators.ranking import set_pages, value_pages
 from millrace.operators.transforms import COUNTRIES, skewed_key, tagged
 from millrace.plans.payloads import college_payloads
 from millrace.plans.registry import Tables, money, query, stamp
@@ -138,6 +138,27 @@ def agg_sorted_set(t: Tables) -> DataFrame:
         F.array_join(ag.sorted_set(F.col("p_size").cast("string")), ",").alias("sizes"))
 
 
+@query("agg_sorted_set_pages", f"""
+    SELECT l_linestatus, page, count(*) AS n, string_agg(part, ',' ORDER BY part) AS parts
+    FROM (SELECT *, (row_number() OVER (PARTITION BY l_linestatus ORDER BY part) - 1) // {PAGE} AS page
+          FROM (SELECT DISTINCT l_linestatus, CAST(l_partkey AS VARCHAR) AS part FROM lineitem)) GROUP BY 1, 2""")
+def agg_sorted_set_pages(t: Tables) -> DataFrame:
+    """The parts of each line status as sorted sets, in pages: a set that grows with the data."""
+    sets = set_pages(t("lineitem"), ["l_linestatus"], F.col("l_partkey").cast("string"), PAGE)
+    return sets.select("l_linestatus", "page", F.size("values").cast("long").alias("n"), F.array_join("values", ",").alias("parts"))
+
+
+@query("window_sorted_set_pages", f"""
+    SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, page, string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id) AS users
+    FROM (SELECT *, (row_number() OVER (PARTITION BY w ORDER BY user_id) - 1) // {PAGE} AS page
+          FROM (SELECT DISTINCT time_bucket(INTERVAL 1 DAY, ts) AS w, user_id FROM events WHERE user_id IS NOT NULL)) GROUP BY 1, 2""")
+def window_sorted_set_pages(t: Tables) -> DataFrame:
+    """The users of each day as a sorted set, in pages."""
+    rows = t.events.select("user_id", F.window("ts", "1 day")["start"].alias("w"))
+    sets = set_pages(rows, ["w"], F.col("user_id"), PAGE)
+    return sets.select(stamp("w").alias("window_start"), "page", F.array_join("values", ",").alias("users"))
+
+
 @query("window_join_strings", f"""
     SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, page,
            string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS ids

@@ -115,3 +115,21 @@ def test_shards_by_count(frame):
     out = with_shards(first_eight, ["w"], F.col("id"), 2)
     assert rows(out.groupBy("w", "shards").count()) == [(0, 1, 3), (1, 2, 5)]
     assert {r["shard"] for r in out.where("w = 1").collect()} == {0, 1}
+
+
+def test_set_pages_equal_whole_sets(spark):
+    import random
+    rng = random.Random(1)
+    # one key holds most rows; values come again, are null, and a key may be null
+    data = [(rng.choice(["hot"] * 8 + ["a", None]), rng.choice([None, *(f"v{i:04}" for i in range(700))])) for _ in range(6000)] + [("none", None)]
+    df = spark.createDataFrame(data, "key string, value string")
+    got = {}
+    for r in rk.set_pages(df, ["key"], F.col("value"), size=64).collect():
+        assert 0 < len(r["values"]) <= 64
+        got.setdefault(r.key, {})[r.page] = r["values"]
+    want = {k: sorted({v for x, v in data if x == k and v is not None}) for k in ("hot", "a", None)}
+    assert {k: [v for page in sorted(p) for v in p[page]] for k, p in got.items()} == want
+    assert all(len(p[i]) == 64 for p in got.values() for i in range(len(p) - 1))
+    whole = rk.set_pages(df, [], F.col("value"), size=100).orderBy("page").collect()
+    assert [v for r in whole for v in r["values"]] == sorted({v for _, v in data if v is not None})
+    assert rk.set_pages(df.limit(0), ["key"], F.col("value")).count() == 0
