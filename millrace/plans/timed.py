@@ -144,16 +144,20 @@ def _breach_sql(minutes: int, series: str, periods: int, limit: str) -> str:
     UNION ALL
     SELECT 'rate', count(*), strftime(min(w), '%Y-%m-%d %H:%M:%S') FROM {_breach_sql(1, "'all'", 3, "6")} WHERE breach""")
 def alert_low_volume(t: Tables) -> DataFrame:
-    """Fewer than 3 per 3 minutes for 15 minutes, per series and in all; a total rate below 0.1/s for 3 minutes."""
-    def summary(found: DataFrame, name, seconds: int) -> DataFrame:
+    """Fewer than 3 per 3 minutes for 15 minutes, per series and in all; a total rate below 0.1/s for 3 minutes.
+
+    The alerts on everything report in any case, with 0 windows when all was well; of the series those in breach do.
+    """
+    def summary(found: DataFrame, name, seconds: int, *per: str) -> DataFrame:
         first = F.timestamp_seconds(F.min("first") * seconds)
-        return found.groupBy(name.alias("alert")).agg(F.sum("n").alias("windows"), stamp(first).alias("first_window"))
+        rows = found.groupBy(*per).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("windows"), stamp(first).alias("first_window"))
+        return rows.select(name.alias("alert"), "windows", "first_window")
 
     counts = al.period_counts(t.events, "ts", "event_type", 180)
     busy = al.busy_periods(counts, F.lit(3))
     total = al.over_all(al.period_counts(t.events, "ts", "event_type", 60))
     everything = t.spark.createDataFrame([("all",)], "series string")
     return union_all([
-        summary(al.breaches(counts, busy, counts.select("series").distinct(), 5), F.concat(F.lit("series "), F.col("series")), 180),
+        summary(al.breaches(counts, busy, counts.select("series").distinct(), 5), F.concat(F.lit("series "), F.col("series")), 180, "series"),
         summary(al.breaches(counts, al.busy_anywhere(busy), everything, 5), F.lit("all series"), 180),
         summary(al.breaches(total, al.busy_periods(total, F.lit(0.1 * 60)), everything, 3), F.lit("rate"), 60)])

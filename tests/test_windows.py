@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import alerts as al
 from millrace.operators import windows as wn
 from millrace.operators.aggregates import sorted_set
+from millrace.plans import QUERIES
 from tests.conftest import rows
 
 DAY = dt.datetime(2021, 12, 16)
@@ -104,3 +105,9 @@ def test_alerts_equal_a_calendar(frame, seed):
     want = {(s, p) for s in "ab" for p in range(lo + 2, hi + 1) if all(have.get((s, q), 0) < 2 for q in range(p - 2, p + 1))}
     found = al.breaches(counts, al.busy_periods(counts, F.lit(2)), counts.select("series").distinct(), 3).collect()
     assert {(r.series, r["first"] + i) for r in found for i in range(r.n)} == want
+
+
+def test_alerts_on_everything_report_when_all_is_well(spark, frame, tmp_path):
+    busy = [("s", f"2021-12-16 00:{m:02d}:{s:02d}") for m in range(20) for s in range(0, 60, 10)]
+    alert_log(frame, busy).withColumnRenamed("series", "event_type").write.parquet(f"{tmp_path}/events.parquet")
+    assert rows(QUERIES["alert_low_volume"](spark, str(tmp_path))) == [("all series", 0, None), ("rate", 0, None)]
