@@ -21,7 +21,7 @@ from millrace.sources.files import csv_line
 from millrace.sources.generators import rate_steps
 from millrace.streaming import flows
 from millrace.streaming.runtime import (
-    END_OF_TIME, closing_heartbeat, heartbeat, run_each_batch, run_in_steps, run_some_batches, run_to_table, stream_table,
+    END_OF_TIME, closing_heartbeat, draw_some_batches, heartbeat, run_each_batch, run_in_steps, run_to_table, stream_table,
 )
 from millrace.streaming.state import keyed_windows, stateful_batches, streaming_panes
 
@@ -39,13 +39,24 @@ def event_stream(t: Tables) -> tuple[DataFrame, Callable[[], None]]:
 
 @query("stream_rate_agg", "SELECT event_type, count(*) AS cnt, CAST(sum(event_id) AS BIGINT) AS total FROM events GROUP BY 1")
 def stream_rate_agg(t: Tables) -> DataFrame:
-    """A paced sequence, a fixed number of ticks a step, that draws the events by number."""
-    events = t("events").select("event_id", "event_type")
-    last = events.agg(F.max("event_id")).first()[0] or 0
-    ticks = rate_steps(t.spark, RATE)
-    drawn = ticks.join(events, F.col("value") == F.col("event_id")).select("event_id", "event_type")
-    return run_some_batches(drawn, "rate", last // RATE + 1).groupBy("event_type").agg(
-        F.count("*").alias("cnt"), F.sum("event_id").alias("total"))
+    """A paced sequence, a fixed number of ticks a step, that draws the events by number.
+
+    The events are dealt once into the steps that draw them; a step reads its own and no others.
+    """
+    root = scratch_path(t.spark, "by-step")
+    step = F.expr(f"event_id div {RATE}")
+    events = t("events").select("event_id", "event_type").where("event_id >= 0").withColumn("step", step)
+    events.repartition("step").write.partitionBy("step").parquet(root)
+    by_step = t.spark.read.schema(events.schema).parquet(root)
+    last = by_step.agg(F.max("event_id")).first()[0] or 0
+
+    def draw(ticks: DataFrame) -> DataFrame:
+        first, after = ticks.agg(F.min("value"), F.max("value")).first()
+        near = by_step.where(F.col("step").between((first or 0) // RATE, (after or 0) // RATE))
+        return ticks.join(near, F.col("value") == F.col("event_id")).select("event_id", "event_type")
+
+    drawn = draw_some_batches(rate_steps(t.spark, RATE), draw, "rate", last // RATE + 1)
+    return drawn.groupBy("event_type").agg(F.count("*").alias("cnt"), F.sum("event_id").alias("total"))
 
 
 @query("stream_files_window", """

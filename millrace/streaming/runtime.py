@@ -9,6 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.query import StreamingQuery
 
 from millrace.session import scratch_path
@@ -65,8 +66,27 @@ def run_some_batches(stream: DataFrame, name: str, batches: int, seconds: float
     """
     spark = stream.sparkSession
     out = scratch_path(spark, name)
-    query = (stream.writeStream.format("parquet").option("path", out)
-             .option("checkpointLocation", scratch_path(spark, f"{name}-progress"))
+    _until_batch(spark, stream.writeStream.format("parquet").option("path", out), name, batches, seconds)
+    return spark.read.schema(_nullable(stream.schema)).parquet(out)
+
+
+def draw_some_batches(stream: DataFrame, draw: Callable[[DataFrame], DataFrame], name: str, batches: int, seconds: float | None = None) -> DataFrame:
+    """``run_some_batches`` for a stream that draws from tables: what ``draw`` makes of each micro-batch is kept.
+
+    ``draw`` gets an ordinary frame, so it can look at the rows at hand and read no more of a table than they need. A
+    micro-batch that is repeated replaces its first try.
+    """
+    spark = stream.sparkSession
+    out = scratch_path(spark, name)
+    _until_batch(spark, stream.writeStream.foreachBatch(
+        lambda rows, batch: draw(rows).write.mode("overwrite").parquet(f"{out}/batch={batch}")), name, batches, seconds)
+    # a micro-batch that was under way at the stop does not count
+    return spark.read.option("basePath", out).parquet(*[f"{out}/batch={n}" for n in range(batches)]).drop("batch")
+
+
+def _until_batch(spark: SparkSession, writer: DataStreamWriter, name: str, batches: int, seconds: float | None) -> None:
+    """Run until that many micro-batches are committed."""
+    query = (writer.option("checkpointLocation", scratch_path(spark, f"{name}-progress"))
              .trigger(processingTime="0 seconds").start())
     deadline = time.monotonic() + seconds if seconds else None
     try:
@@ -77,7 +97,6 @@ def run_some_batches(stream: DataFrame, name: str, batches: int, seconds: float
                 break
     finally:
         query.stop()
-    return spark.read.schema(_nullable(stream.schema)).parquet(out)
 
 
 def run_in_steps(steps: list[DataFrame], flow: Callable[[DataFrame], DataFrame], name: str,

@@ -8,12 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.plans import QUERIES, streams
 from millrace.session import scratch_path
 from millrace.sources.generators import rate_sequence
 from millrace.streaming import flows
 from millrace.streaming import state as st
 from millrace.streaming.runtime import (
-    closing_heartbeat, run_each_batch, run_on_the_clock, run_some_batches, run_to_table, stream_table,
+    closing_heartbeat, draw_some_batches, run_each_batch, run_on_the_clock, run_some_batches, run_to_table, stream_table,
 )
 from tests.conftest import rows
 
@@ -274,3 +275,22 @@ def test_batch_loader(spark, steps):
     root = scratch_path(spark, "loads")
     run_each_batch(steps.stream(spark), "loads", flows.append_batches(root))
     assert rows(spark.read.parquet(root).select("key", "batch")) == [("a", 0), ("b", 1)]
+
+
+def test_drawing_reads_its_own_step_only(spark, tmp_path, monkeypatch):
+    spark.range(35).selectExpr("id AS event_id", "IF(id % 2 = 0, 'a', 'b') AS event_type").where("event_id NOT BETWEEN 10 AND 19").write.parquet(
+        f"{tmp_path}/events.parquet")
+    plans = []
+
+    def watched(stream, draw, *args):
+        def look(ticks):
+            drawn = draw(ticks)
+            plans.append(drawn._jdf.queryExecution().executedPlan().toString())
+            return drawn
+        return draw_some_batches(stream, look, *args)
+
+    monkeypatch.setattr(streams, "RATE", 10)
+    monkeypatch.setattr(streams, "draw_some_batches", watched)
+    assert rows(QUERIES["stream_rate_agg"](spark, str(tmp_path))) == [("a", 13, sum(range(0, 10, 2)) + sum(range(20, 35, 2))), (
+        "b", 12, sum(range(1, 10, 2)) + sum(range(21, 35, 2)))]
+    assert len(plans) >= 4 and "(step" in plans[2].split("PartitionFilters: [")[1].split("]")[0] and "<= 2)" in plans[2]
