@@ -5,11 +5,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import full_match
 
+CELLS_PER_TASK = 500_000
 CELL_COLUMNS = ["row_key", "family", "qualifier", "ts_micros", "value"]
 
 
@@ -19,9 +22,17 @@ def cell(family: str, qualifier: str, ts_micros: Column, value: Column) -> Colum
                     ts_micros.alias("ts_micros"), value.alias("value"))
 
 
-def unpivot(df: DataFrame, row_key: Column, cells: list[Column]) -> DataFrame:
-    """Turn typed rows into cells in one pass; cells without a value are not written."""
-    return df.select(row_key.alias("row_key"), F.explode(F.array(*cells)).alias("c")).select(
+def unpivot(df: DataFrame, row_key: Column, cells: list[Column], whole_rows: bool = False) -> DataFrame:
+    """Turn typed rows into cells in one pass; cells without a value are not written.
+
+    With ``whole_rows`` the typed rows, which are narrow, are first dealt out by row key over as many tasks as keep the cells of each
+    to a bounded number. What follows per row or cell (:func:`latest`, :func:`render_rows`) then needs no other exchange.
+    """
+    keyed = df.withColumn("_row_key", row_key)
+    if whole_rows:
+        parts = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(df.count() * len(cells) / CELLS_PER_TASK))
+        keyed = keyed.repartition(parts, "_row_key")
+    return keyed.select(F.col("_row_key").alias("row_key"), F.explode(F.array(*cells)).alias("c")).select(
         "row_key", "c.*").where(F.col("value").isNotNull())
 
 

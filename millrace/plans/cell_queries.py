@@ -14,7 +14,7 @@ LATER = 3_000_000
 PROFILE, ACCOUNT = "profile", "account"
 
 
-def customer_cells(t: Tables) -> DataFrame:
+def customer_cells(t: Tables, whole_rows: bool = False) -> DataFrame:
     key = F.concat(F.lit("n"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0"), F.lit("#"),
                    F.lpad(F.col("c_custkey").cast("string"), 9, "0"))
     old = F.lit(BASE) + F.col("c_custkey") % 1000 * 1000
@@ -30,7 +30,7 @@ def customer_cells(t: Tables) -> DataFrame:
     for (family, qualifier), value in values.items():
         cells.append(cl.cell(family, qualifier, old, F.concat(F.lit("old_"), value)))
         cells.append(cl.cell(family, qualifier, old + LATER, value))
-    return cl.unpivot(t("customer"), key, cells)
+    return cl.unpivot(t("customer"), key, cells, whole_rows)
 
 
 CELLS = f"""WITH c AS (SELECT *, 'n' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || '#' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS row_key,
@@ -49,7 +49,7 @@ CELLS = f"""WITH c AS (SELECT *, 'n' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0
 
 @query("kv_latest_cell", f"{CELLS} SELECT * FROM latest")
 def kv_latest_cell(t: Tables) -> DataFrame:
-    return cl.latest(customer_cells(t))
+    return cl.latest(customer_cells(t, whole_rows=True))
 
 
 @query("kv_range_scan", f"{CELLS} SELECT * FROM cells WHERE row_key >= 'n05#' AND row_key < 'n07#~'")

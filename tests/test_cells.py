@@ -73,3 +73,14 @@ def test_sorted_cells_push_the_key_range_down(spark, cells, tmp_path):
     plan = stored._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(row_key,south#)" in plan and "LessThan(row_key,south#~)" in plan
     assert stored.count() == 3
+
+
+def test_whole_rows_are_dealt_out_once_to_bounded_tasks(spark, monkeypatch):
+    monkeypatch.setattr(cl, "CELLS_PER_TASK", 100)
+    typed = spark.range(1000).coalesce(1)
+    made = [cl.cell("f", "q", F.lit(n), F.concat(F.lit(f"v{n}-"), F.col("id").cast("string"))) for n in (1, 2)]
+    cells = cl.unpivot(typed, F.concat(F.lit("row#"), F.col("id").cast("string")), made, whole_rows=True)
+    assert cells.rdd.getNumPartitions() == 20
+    shown = cl.render_rows(cl.latest(cells))
+    assert rows(shown.select("text")) == sorted((f"row#... f:q=v2-{n}",) for n in range(1000))
+    assert shown._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
