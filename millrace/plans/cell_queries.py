@@ -87,7 +87,7 @@ def kv_condition_row(t: Tables) -> DataFrame:
     USING (row_key) WHERE label IS NOT NULL""")
 def kv_condition_label(t: Tables) -> DataFrame:
     """Newest cells in a time range; rows labelled by a nested condition, all others blocked."""
-    seen = cl.time_range(cl.latest(customer_cells(t), by_row=True), BASE + LATER, BASE + LATER + 10_000_000)
+    seen = cl.time_range(cl.latest(customer_cells(t, whole_rows=True)), BASE + LATER, BASE + LATER + 10_000_000)
     predicates = {"gold": cl.matches(qualifier="tier", value="gold"), "plus": cl.matches(qualifier="segment", value=".*-plus"),
                   "far": cl.matches(qualifier="region", value="region 2")}
     gold = F.col("gold")
@@ -99,7 +99,7 @@ def kv_condition_label(t: Tables) -> DataFrame:
     SELECT row_key FROM latest GROUP BY 1 HAVING bool_or(qualifier = 'tier' AND value = 'gold')
       AND bool_or(qualifier = 'segment' AND ends_with(value, '-plus')))""")
 def kv_all_predicates(t: Tables) -> DataFrame:
-    family = cl.latest(customer_cells(t).where(F.col("family") == PROFILE))
+    family = cl.latest(customer_cells(t, whole_rows=True).where(F.col("family") == PROFILE))
     found = cl.rows_with_all(family, cl.matches(qualifier="tier", value="gold"),
                              (F.col("qualifier") == "segment") & F.col("value").endswith("-plus"))
     return found.select("row_key", "qualifier", "value")
@@ -110,4 +110,4 @@ def kv_all_predicates(t: Tables) -> DataFrame:
     SELECT row_key, split_part(row_key, '#', 1) || '#... ' || string_agg(family || ':' || f, '|' ORDER BY family) AS text
     FROM fam GROUP BY 1""")
 def kv_render_row(t: Tables) -> DataFrame:
-    return cl.render_rows(cl.latest(customer_cells(t)))
+    return cl.render_rows(cl.latest(customer_cells(t, whole_rows=True)))
