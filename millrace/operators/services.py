@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import time
-from collections import deque
+from bisect import bisect_right
+from collections import OrderedDict, deque
 from collections.abc import Callable, Iterator
 from concurrent.futures import Future, ThreadPoolExecutor
 from concurrent.futures import TimeoutError as Overdue
+from threading import Lock
 from typing import Any
 
 import pyarrow as pa
-import pyarrow.dataset as pads
 import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 Call = Callable[[Any, list[dict]], list[Any]]
+ROW_GROUP = 256 << 10  # bytes of a row group in files that are looked up by key
+ROWS_OUT = 1000        # answers that leave a task together, of however many calls
 
 
 class Caller:
@@ -84,16 +88,30 @@ def call_per_batch(batches: DataFrame, requests: str, connect: Callable[[], Any]
     names = item.names
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        caller = None
+        caller, done = None, []
+
+        def rows(kinds: pa.StructType) -> pa.RecordBatch:
+            asked = [r for requests, *_ in done for r in requests]
+            columns = [pa.array([r[n] for r in asked], kinds.field(n).type) for n in names]
+            answers = pa.array([a for _, given, _, _ in done for a in given], reply)
+            errors = pa.array([error for requests, _, error, _ in done for _ in requests], pa.string())
+            tries = pa.array([tries for requests, _, _, tries in done for _ in requests], pa.int32())
+            return pa.RecordBatch.from_arrays([*columns, answers, errors, tries], names=output.names)
+
         try:
             for part in parts:
                 caller = caller or Caller(connect, call, in_flight, attempts, seconds, pause)
                 given, kinds = part.column(0), part.schema.field(0).type.value_type
-                lists = (r for r in given.to_pylist() if r)
-                for asked, answers, error, tries in caller.run(lists):
-                    columns = [pa.array([r[n] for r in asked], kinds.field(n).type) for n in names]
-                    yield pa.RecordBatch.from_arrays([*columns, pa.array(answers, reply), pa.array([error] * len(asked), pa.string()),
-                                                      pa.array([tries] * len(asked), pa.int32())], names=output.names)
+                lists, held = (r for r in given.to_pylist() if r), 0
+                for ended in caller.run(lists):
+                    done.append(ended)
+                    held += len(ended[0])
+                    if held >= ROWS_OUT:
+                        yield rows(kinds)
+                        done, held = [], 0
+                if done:
+                    yield rows(kinds)
+                    done = []
         finally:
             if caller:
                 caller.close()
@@ -104,23 +122,77 @@ def call_per_batch(batches: DataFrame, requests: str, connect: Callable[[], Any]
 
 
 class KeyedFiles:
-    """A look-up service over Parquet files that are sorted by key: one read per call, of the row groups that may hold its keys."""
+    """A look-up service over Parquet files that are sorted by key, in small row groups (:func:`write_keyed_files`).
+
+    The footers are read once. A call reads the row groups that hold its keys, at most one per key whatever the size of the files; those
+    used last stay in memory, up to ``held`` bytes.
+    """
 
-    def __init__(self, path: str, key: str, value: str):
-        fs, root = pafs.FileSystem.from_uri(path) if ":" in path else (pafs.LocalFileSystem(), path)
-        self.files = pads.dataset(root, format="parquet", filesystem=fs)
-        self.key, self.value = key, value
+    def __init__(self, path: str, key: str, value: str, held: int = 64 << 20):
+        self.fs, root = pafs.FileSystem.from_uri(path) if ":" in path else (pafs.LocalFileSystem(), path)
+        self.key, self.value, self.most = key, value, held
+        self.files: dict[str, pq.ParquetFile] = {}
+        self.kept: OrderedDict[int, tuple[pa.Table, Any]] = OrderedDict()
+        self.size, self.lock = 0, Lock()
+        groups = [g for i in self.fs.get_file_info(pafs.FileSelector(root)) if i.base_name.endswith(".parquet") for g in self._groups(i.path)]
+        self.groups = sorted(groups, key=lambda g: g[0])
+        self.firsts = [g[0] for g in self.groups]
+
+    def _file(self, path: str) -> pq.ParquetFile:
+        if path not in self.files:
+            self.files[path] = pq.ParquetFile(self.fs.open_input_file(path))
+        return self.files[path]
+
+    def _groups(self, path: str) -> Iterator[tuple[Any, Any, str, int]]:
+        """First and last key, file and number of each row group."""
+        file = self._file(path)
+        column = file.schema_arrow.get_field_index(self.key)
+        for n in range(file.num_row_groups):
+            known = file.metadata.row_group(n).column(column).statistics
+            if known is not None and known.has_min_max:
+                yield known.min, known.max, path, n
+            else:
+                keys = file.read_row_group(n, [self.key])[self.key]
+                yield keys[0].as_py(), keys[-1].as_py(), path, n
+
+    def _rows(self, n: int) -> tuple[pa.Table, Any]:
+        """A row group and its keys."""
+        with self.lock:
+            if n in self.kept:
+                self.kept.move_to_end(n)
+                return self.kept[n]
+            _, _, path, group = self.groups[n]
+            rows = self._file(path).read_row_group(group, [self.key, self.value]).combine_chunks()
+            self.kept[n] = rows, rows[self.key].to_numpy()
+            self.size += rows.nbytes
+            found = self.kept[n]
+            while self.size > self.most and len(self.kept) > 1:
+                self.size -= self.kept.popitem(last=False)[1][0].nbytes
+            return found
 
     def ask(self, keys: list[Any]) -> list[Any]:
         """The value of each key, None for unknown ones."""
-        wanted = [k for k in set(keys) if k is not None]
-        found = self.files.to_table(columns=[self.key, self.value], filter=pads.field(self.key).isin(wanted)) if wanted else None
-        values = dict(zip(found[self.key].to_pylist(), found[self.value].to_pylist(), strict=True)) if found else {}
+        places: dict[int, list[Any]] = {}
+        for k in {k for k in keys if k is not None}:
+            n = bisect_right(self.firsts, k) - 1
+            if n >= 0 and k <= self.groups[n][1]:
+                places.setdefault(n, []).append(k)
+        values = {}
+        for n, wanted in places.items():
+            rows, have = self._rows(n)
+            asked = pa.array(wanted, rows.schema.field(self.key).type).to_numpy(zero_copy_only=False)
+            at = have.searchsorted(asked)
+            hits = [(k, int(i)) for k, i, same in zip(wanted, at, have[at] == asked, strict=True) if same]
+            values.update(zip([k for k, _ in hits], rows[self.value].take(pa.array([i for _, i in hits], pa.int64())).to_pylist(), strict=True))
         return [values.get(k) for k in keys]
 
+    def close(self) -> None:
+        """Not the files: a call that is overdue may still read them."""
+        self.kept = OrderedDict()
+
 
 def write_keyed_files(df: DataFrame, key: str, value: str, path: str) -> None:
-    """One value per key (an error otherwise), sorted by key."""
+    """One value per key (an error otherwise), sorted by key, in row groups small enough to be read for a single key."""
     once = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.first(value).alias(value))
     checked = F.when(F.col("n") == 1, F.col(value)).otherwise(F.raise_error(F.lit("a key has several values")).cast(df.schema[value].dataType))
-    once.select(key, checked.alias(value)).repartitionByRange(key).sortWithinPartitions(key).write.parquet(path)
+    once.select(key, checked.alias(value)).repartitionByRange(key).sortWithinPartitions(key).write.option("parquet.block.size", ROW_GROUP).parquet(path)

@@ -87,3 +87,33 @@ def test_keyed_files(spark, tmp_path):
     assert files.ask([5, None, 999, 5, 1000]) == ["v5", None, "v999", "v5", None] and files.ask([None]) == [None] and files.ask([]) == []
     with pytest.raises(Exception, match="several"):
         write_keyed_files(df.union(df), "id", "v", str(tmp_path / "twice"))
+
+
+def test_a_call_reads_a_row_group_per_key_and_keeps_the_last(spark, tmp_path):
+    df = spark.range(60_000).select((F.col("id") * 3).alias("id"), F.concat(F.lit("v"), F.col("id").cast("string")).alias("v"))
+    write_keyed_files(df, "id", "v", str(tmp_path / "many"))
+    for held in (64 << 20, 1):
+        files, read = KeyedFiles(str(tmp_path / "many"), "id", "v", held), []
+        assert len(files.groups) >= 4
+        for name, file in files.files.items():
+            files.files[name] = type("Watched", (), {"read_row_group": lambda self, n, columns, file=file: read.append(n) or file.read_row_group(n, columns)})()
+        assert files.ask([3, 150_000, 4, None, -3, 3, 10**9, 179_997]) == ["v1", "v50000", None, None, None, "v1", None, "v59999"]
+        assert len(read) == 3
+        assert files.ask([179_997, 179_994]) == ["v59999", "v59998"] and len(read) <= 4 and len(files.kept) == (3 if held > 1 else 1)
+    texts = df.select(F.col("v").alias("id"), F.col("id").cast("string").alias("v"))
+    write_keyed_files(texts, "id", "v", str(tmp_path / "texts"))
+    assert KeyedFiles(str(tmp_path / "texts"), "id", "v").ask(["v1", "v59999", "v", "w"]) == ["3", "179997", None, None]
+
+
+def test_answers_of_many_calls_leave_together(spark):
+    df = spark.range(500).select(F.array(F.struct(F.col("id").alias("n"))).alias("asked")).coalesce(1)
+    out = call_per_batch(df, "asked", Doubled, ask_doubled, T.LongType())
+    assert rows(out.select("n", "answer")) == [(n, 2 * n) for n in sorted(range(500), key=lambda n: repr((n, 2 * n)))]
+
+
+class Doubled:
+    pass
+
+
+def ask_doubled(service, requests):
+    return [r["n"] * 2 for r in requests]
