@@ -58,7 +58,10 @@ def staff_id_sum(college: Column) -> Column:
 
 
 def college_fields(college: Column) -> Column:
-    """The extracted fields of a college as ``map<string,string>``."""
+    """The extracted fields of a college as ``map<string,string>``.
+
+    ``college`` is used several times: it should be a column of an earlier projection, or every use parses again.
+    """
     first = F.get(college["staff"], F.lit(0))["_dep_name"]
     return F.create_map(
         F.lit("college_first_staff_dep_name"), first,

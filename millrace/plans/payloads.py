@@ -71,8 +71,8 @@ def xml_multi_sum(t: Tables) -> DataFrame:
            3 * (o_orderkey % 1000) + 306 AS id_sum FROM orders""")
 def xml_xpath_extract(t: Tables) -> DataFrame:
     """All fields of a document from one parse, through the map of extracted values."""
-    fields = pl.college_fields(pl.parse_college(pl.gunzip_text(F.col("payload"))))
-    parsed = college_payloads(t).select(fields.alias("m"))
+    colleges = college_payloads(t).select(pl.parse_college(pl.gunzip_text(F.col("payload"))).alias("college"))
+    parsed = colleges.select(pl.college_fields(F.col("college")).alias("m"))
     return parsed.select(
         F.col("m")["college_id"].cast("bigint").alias("college_id"),
         F.col("m")["college_first_staff_dep_name"].alias("first_dep"),

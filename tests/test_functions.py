@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from millrace import schemas
 from millrace.functions import arrays, numbers, payload, records, temporal
 from millrace.functions.messages import message_text, sorted_attributes
+from millrace.plans import QUERIES
 from tests.conftest import rows
 
 # A college document.
@@ -119,3 +120,11 @@ def test_message_text(frame):
     assert df.select(sorted_attributes(F.col("attrs"))).first()[0] == "{et=1, pt=2}"
     assert df.select(message_text(F.col("payload"), F.col("attrs"), F.col("msg_id"), lag=F.lit(5))).first()[0] == (
         "body=hi, attrs={et=1, pt=2}, msgId=7, lag=5")
+
+
+def test_a_document_is_parsed_once_for_all_fields(spark, tmp_path):
+    spark.sql("SELECT 7L AS o_orderkey, 3L AS o_custkey, 99.5D AS o_totalprice, DATE'2024-01-01' AS o_orderdate").write.parquet(
+        f"{tmp_path}/orders.parquet")
+    found = QUERIES["xml_xpath_extract"](spark, str(tmp_path))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_xml(") == 1
+    assert [tuple(r) for r in found.collect()] == [(7, "Admin", 5, 99 + 3 + 35000, 3 * 7 + 306)]
