@@ -177,8 +177,9 @@ def published(t: Tables, partitions: int) -> str:
     """A bus whose topic ``events`` holds the events as messages, written by a stream of files; returns its path."""
     path, source = scratch_path(t.spark, "bus"), scratch_path(t.spark, "bus-source")
     rows = messages(t).withColumn("partition", (F.decode("payload", "UTF-8").cast("long") % partitions).cast("int"))
-    rows.repartition(3).write.parquet(source)
-    sent = stream_table(t.spark, source, rows.schema, files_per_step=1)
+    files = t.spark.sparkContext.defaultParallelism
+    rows.repartition(3 * files).write.parquet(source)
+    sent = stream_table(t.spark, source, rows.schema, files_per_step=files)  # three deliveries
     writer = bus_writer(sent, bus.register(t.spark), scratch_path(t.spark, "bus-progress"), path=path, topic="events")
     writer.trigger(availableNow=True).start().awaitTermination()
     return path

@@ -20,6 +20,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
@@ -34,6 +35,7 @@ SCHEMA = ("key BINARY, value BINARY, headers ARRAY<STRUCT<key: STRING, value: BI
 STORED = pa.schema([("key", pa.binary()), ("value", pa.binary()),
                     ("headers", pa.list_(pa.struct([("key", pa.string()), ("value", pa.binary())]))), ("timestamp", pa.timestamp("us", tz="UTC"))])
 ROWS_PER_TASK = 100_000
+GROUP_ROWS, GROUP_BYTES = 5_000, 8 << 20  # a row group ends when it has that many rows or bytes
 
 
 def register(spark: SparkSession) -> str:
@@ -136,19 +138,28 @@ class Reader:
             if first > at:
                 break
             with store.fs.open_input_file(f"{store.root}/{name}") as f:
-                for batch in pq.ParquetFile(f).iter_batches(batch_size=10_000):
-                    lo, hi = max(partition.first - first, 0), min(partition.after - first, len(batch))
-                    if lo < hi:
-                        part, n = batch.slice(lo, hi - lo), hi - lo
-                        yield pa.RecordBatch.from_arrays(
-                            [part["key"], part["value"], part["headers"], pa.array([partition.topic] * n), pa.array([partition.partition] * n, pa.int32()),
-                             pa.array(range(first + lo, first + hi), pa.int64()), part["timestamp"]],
-                            names=["key", "value", "headers", "topic", "partition", "offset", "timestamp"])
-                    first += len(batch)
+                file = pq.ParquetFile(f)
+                for group in range(file.num_row_groups):
+                    rows = file.metadata.row_group(group).num_rows
+                    if first < partition.after and first + rows > partition.first:  # others are not read
+                        yield from self._of_group(file, group, first, partition)
+                    first += rows
             at = after
         if at < partition.after:
             raise RuntimeError(f"offsets {at} to {partition.after} of {partition.topic}/{partition.partition} are gone")
 
+    def _of_group(self, file: pq.ParquetFile, group: int, first: int, partition: Slice) -> Iterator[pa.RecordBatch]:
+        """What a slice wants of a row group that begins at offset ``first``."""
+        for batch in file.iter_batches(batch_size=10_000, row_groups=[group]):
+            lo, hi = max(partition.first - first, 0), min(partition.after - first, len(batch))
+            if lo < hi:
+                part, n = batch.slice(lo, hi - lo), hi - lo
+                yield pa.RecordBatch.from_arrays(
+                    [part["key"], part["value"], part["headers"], pa.array([partition.topic] * n), pa.array([partition.partition] * n, pa.int32()),
+                     pa.array(range(first + lo, first + hi), pa.int64()), part["timestamp"]],
+                    names=["key", "value", "headers", "topic", "partition", "offset", "timestamp"])
+            first += len(batch)
+
 
 class BusReader(Reader, DataSourceReader):
     """All offsets there are when the read is planned, or up to ``endingOffsets``."""
@@ -190,6 +201,29 @@ class Staged(WriterCommitMessage):
         self.files = files
 
 
+class Segment:
+    """A staged file. Rows are gathered into row groups large enough to read well and small enough for a slice to skip the others."""
+
+    def __init__(self, store: Store, name: str):
+        self.name, self.rows, self.held = name, 0, []
+        self.writer = pq.ParquetWriter(store.fs.open_output_stream(f"{store.root}/{name}"), STORED)
+
+    def add(self, rows: pa.Table) -> None:
+        self.held.append(rows)
+        self.rows += len(rows)
+        if sum(map(len, self.held)) >= GROUP_ROWS or sum(t.nbytes for t in self.held) >= GROUP_BYTES:
+            self.flush()
+
+    def flush(self) -> None:
+        if self.held:
+            self.writer.write_table(pa.concat_tables(self.held))
+            self.held = []
+
+    def close(self) -> None:
+        self.flush()
+        self.writer.close()
+
+
 class Writer:
     """What the batch and the streaming writer share."""
 
@@ -203,31 +237,33 @@ class Writer:
         now = int(time.time() * 1e6)
         for batch in iterator:
             n, have = len(batch), batch.schema.names
-            keys = batch["key"] if "key" in have else pa.nulls(n, pa.binary())
-            topics = batch["topic"].to_pylist() if "topic" in have else [self.topic] * n
-            given = batch["partition"].to_pylist() if "partition" in have else [None] * n
-            # without key and partition a task deals its rows in turn
-            target = [p if p is not None else (zlib.crc32(k) if k is not None else i) % self.count
-                      for i, (p, k) in enumerate(zip(given, keys.cast(pa.binary()).to_pylist(), strict=True))]
+            keys = (batch["key"] if "key" in have else pa.nulls(n, pa.binary())).cast(pa.binary())
+            topics = (batch["topic"] if "topic" in have else pa.array([self.topic] * n, pa.string())).dictionary_encode()
             rows = pa.Table.from_arrays([
-                keys.cast(pa.binary()), batch["value"].cast(pa.binary()),
+                keys, batch["value"].cast(pa.binary()),
                 batch["headers"].cast(STORED.field("headers").type) if "headers" in have else pa.nulls(n, STORED.field("headers").type),
                 batch["timestamp"].cast(STORED.field("timestamp").type) if "timestamp" in have else pa.array([now] * n, STORED.field("timestamp").type)],
                 schema=STORED)
-            wanted: dict[tuple[str, int], list[int]] = {}
-            for i, place in enumerate(zip(topics, target, strict=True)):
+            codes = topics.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            target = self._target(batch["partition"] if "partition" in have else pa.nulls(n, pa.int32()), keys)
+            pairs, which = np.unique(np.stack([codes, target]), axis=1, return_inverse=True)
+            for i, (code, to) in enumerate(pairs.T.tolist()):
+                place = (topics.dictionary[code].as_py() if code >= 0 else None, to)
                 if place[0] is None or "/" in place[0] or place[0].startswith("_"):
                     raise ValueError(f"{place[0]!r} is no topic")
-                wanted.setdefault(place, []).append(i)
-            for place, at in wanted.items():
                 if place not in open_:
-                    name = f"_staged/{token}-{len(open_)}.parquet"
-                    open_[place] = [name, pq.ParquetWriter(store.fs.open_output_stream(f"{store.root}/{name}"), STORED), 0]
-                open_[place][1].write_table(rows.take(at))
-                open_[place][2] += len(at)
-        for _, writer, _ in open_.values():
-            writer.close()
-        return Staged([(*place, name, n) for place, (name, _, n) in open_.items()])
+                    open_[place] = Segment(store, f"_staged/{token}-{len(open_)}.parquet")
+                open_[place].add(rows.take(np.flatnonzero(which.ravel() == i)))
+        for segment in open_.values():
+            segment.close()
+        return Staged([(*place, segment.name, segment.rows) for place, segment in open_.items()])
+
+    def _target(self, given: pa.Array, keys: pa.Array) -> np.ndarray:
+        """The partition of each row: as given, or by its key; without both a task deals its rows in turn."""
+        if given.null_count == 0:
+            return given.to_numpy(zero_copy_only=False).astype(np.int64)
+        return np.array([p if p is not None else (zlib.crc32(k) if k is not None else i) % self.count
+                         for i, (p, k) in enumerate(zip(given.to_pylist(), keys.to_pylist(), strict=True))], np.int64)
 
     def publish(self, messages: list[Staged | None], batch: str) -> None:
         store, manifest = Store(self.path), f"_commits/{self.name}/{batch}.json"

@@ -4,6 +4,7 @@ import json
 import zlib
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,3 +129,23 @@ def test_streams_go_on_where_they_stopped(spark, tmp_path):
     assert copied.select("value", "headers").exceptAll(kafka_batch(spark, options, fmt=fmt).select("value", "headers")).count() == 0 and copied.count() == 15
     with pytest.raises(Exception, match="appended"):
         copied.write.format(fmt).mode("overwrite").options(path=scratch_path(spark, "no"), topic="t").save()
+
+
+def test_a_slice_reads_its_row_groups_only(tmp_path, monkeypatch):
+    """Small batches make large row groups; a slice skips those of other slices."""
+    options = {"path": str(tmp_path), "topic": "t", "subscribe": "t"}
+    batches = [pa.RecordBatch.from_pydict({"value": [b"%d" % n for n in range(at, at + 100)], "partition": pa.array([n % 2 for n in range(100)], pa.int32())})
+               for at in range(0, 24_000, 100)]
+    writer = bus.BusWriter(options)
+    writer.commit([writer.write(iter(batches))])
+    store = bus.Store(str(tmp_path))
+    assert store.ends({"t": None}) == {"t/0": 12_000, "t/1": 12_000}
+    [(_, _, name)] = store.segments("t", 1)
+    assert [pq.read_metadata(f"{tmp_path}/{name}").row_group(g).num_rows for g in range(3)] == [5000, 5000, 2000]
+    read, one = [], bus.Reader._of_group
+    monkeypatch.setattr(bus.Reader, "_of_group", lambda self, file, group, *rest: read.append(group) or one(self, file, group, *rest))
+    out = pa.Table.from_batches(list(bus.BusReader(options).read(bus.Slice("t", 1, 4990, 5010))))
+    assert read == [0, 1] and out["offset"].to_pylist() == list(range(4990, 5010))
+    assert out["value"].to_pylist() == [b"%d" % (2 * n + 1) for n in range(4990, 5010)]
+    assert pa.Table.from_batches(list(bus.BusReader(options).read(bus.Slice("t", 1, 10_000, 12_000))))["offset"].to_pylist() == list(range(10_000, 12_000))
+    assert read == [0, 1, 2]
