@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import OrderedDict, deque
 from collections.abc import Callable, Iterator
 from concurrent.futures import Future, ThreadPoolExecutor
@@ -12,6 +12,7 @@ from threading import Lock
 from typing import Any
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
@@ -102,7 +103,7 @@ def call_per_batch(batches: DataFrame, requests: str, connect: Callable[[], Any]
             for part in parts:
                 caller = caller or Caller(connect, call, in_flight, attempts, seconds, pause)
                 given, kinds = part.column(0), part.schema.field(0).type.value_type
-                lists, held = (r for r in given.to_pylist() if r), 0
+                lists, held = _requests(given), 0
                 for ended in caller.run(lists):
                     done.append(ended)
                     held += len(ended[0])
@@ -121,6 +122,21 @@ def call_per_batch(batches: DataFrame, requests: str, connect: Callable[[], Any]
     return batches.select(requests).mapInArrow(work, output)
 
 
+def _requests(given: pa.ListArray) -> Iterator[list[dict]]:
+    """The lists that are neither null nor empty, taken apart column by column."""
+    items = given.flatten()
+    if items.null_count:
+        rows = items.to_pylist()
+    else:
+        names = [f.name for f in items.type]
+        rows = [dict(zip(names, values, strict=True)) for values in zip(*(c.to_pylist() for c in items.flatten()), strict=True)]
+    end = 0
+    for n in pc.list_value_length(given).to_pylist():
+        if n:
+            end += n
+            yield rows[end - n:end]
+
+
 class KeyedFiles:
     """A look-up service over Parquet files that are sorted by key, in small row groups (:func:`write_keyed_files`).
 
@@ -132,11 +148,12 @@ class KeyedFiles:
         self.fs, root = pafs.FileSystem.from_uri(path) if ":" in path else (pafs.LocalFileSystem(), path)
         self.key, self.value, self.most = key, value, held
         self.files: dict[str, pq.ParquetFile] = {}
-        self.kept: OrderedDict[int, tuple[pa.Table, Any]] = OrderedDict()
+        self.kept: OrderedDict[int, tuple[Any, pa.Array, int]] = OrderedDict()  # keys, values and bytes of row groups
         self.size, self.lock = 0, Lock()
         groups = [g for i in self.fs.get_file_info(pafs.FileSelector(root)) if i.base_name.endswith(".parquet") for g in self._groups(i.path)]
         self.groups = sorted(groups, key=lambda g: g[0])
         self.firsts = [g[0] for g in self.groups]
+        self.kind = next((f.schema_arrow.field(key).type for f in self.files.values()), None)
 
     def _file(self, path: str) -> pq.ParquetFile:
         if path not in self.files:
@@ -155,35 +172,45 @@ class KeyedFiles:
                 keys = file.read_row_group(n, [self.key])[self.key]
                 yield keys[0].as_py(), keys[-1].as_py(), path, n
 
-    def _rows(self, n: int) -> tuple[pa.Table, Any]:
-        """A row group and its keys."""
-        with self.lock:
-            if n in self.kept:
-                self.kept.move_to_end(n)
-                return self.kept[n]
-            _, _, path, group = self.groups[n]
-            rows = self._file(path).read_row_group(group, [self.key, self.value]).combine_chunks()
-            self.kept[n] = rows, rows[self.key].to_numpy()
-            self.size += rows.nbytes
-            found = self.kept[n]
-            while self.size > self.most and len(self.kept) > 1:
-                self.size -= self.kept.popitem(last=False)[1][0].nbytes
-            return found
+    def _rows(self, n: int) -> tuple[Any, pa.Array, int]:
+        """Keys and values of a row group, and its bytes."""
+        found = self.kept.get(n)
+        if found is None:
+            with self.lock:
+                found = self.kept.get(n) or self._read(n)
+        return found
+
+    def _read(self, n: int) -> tuple[Any, pa.Array, int]:
+        _, _, path, group = self.groups[n]
+        rows = self._file(path).read_row_group(group, [self.key, self.value])
+        found = self.kept[n] = rows[self.key].to_numpy(), rows[self.value].combine_chunks(), rows.nbytes
+        self.size += rows.nbytes
+        while self.size > self.most and len(self.kept) > 1:
+            self.size -= self.kept.popitem(last=False)[1][2]
+        return found
 
     def ask(self, keys: list[Any]) -> list[Any]:
         """The value of each key, None for unknown ones."""
-        places: dict[int, list[Any]] = {}
-        for k in {k for k in keys if k is not None}:
+        wanted = sorted({k for k in keys if k is not None})
+        if not wanted or not self.groups:
+            return [None] * len(keys)
+        # every step outside the interpreter would hand it to another call under way, so only keys that need it are converted
+        alike = pa.array(wanted, self.kind).to_numpy(zero_copy_only=False) if pa.types.is_temporal(self.kind) else wanted
+        values, used, have, given = {}, [-1], None, None
+        for k, typed in zip(wanted, alike, strict=True):
             n = bisect_right(self.firsts, k) - 1
-            if n >= 0 and k <= self.groups[n][1]:
-                places.setdefault(n, []).append(k)
-        values = {}
-        for n, wanted in places.items():
-            rows, have = self._rows(n)
-            asked = pa.array(wanted, rows.schema.field(self.key).type).to_numpy(zero_copy_only=False)
-            at = have.searchsorted(asked)
-            hits = [(k, int(i)) for k, i, same in zip(wanted, at, have[at] == asked, strict=True) if same]
-            values.update(zip([k for k, _ in hits], rows[self.value].take(pa.array([i for _, i in hits], pa.int64())).to_pylist(), strict=True))
+            if n < 0 or k > self.groups[n][1]:
+                continue
+            if n != used[-1]:  # in order of the keys, so a row group comes once
+                used.append(n)
+                have, given, _ = self._rows(n)
+            at = bisect_left(have, typed)
+            if have[at] == typed:
+                values[k] = given[at].as_py()
+        with self.lock:  # once a call, not at each key: calls of several threads would wait for each other
+            for n in used:
+                if n in self.kept:
+                    self.kept.move_to_end(n)
         return [values.get(k) for k in keys]
 
     def close(self) -> None:

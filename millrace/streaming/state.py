@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+LIST_ROWS, LIST_BYTES = 256, 64 << 10         # values that reach a state in one row; a single larger value goes alone
+CHUNK_ROWS, CHUNK_BYTES = 16 << 10, 4 << 20   # rows of a task that are looked through together
+
+
 def keyed_windows(stream: DataFrame, ts: str, duration: str, lateness: str = "0 seconds") -> DataFrame:
     """Watermark the stream and add the end of each row's window (epoch millis).
 
@@ -50,7 +55,7 @@ class BatchBuffer(StatefulProcessor):
         held = [r[0] for r in self.buffer.get()] if known is not None and known[0] else []
         if known is None:
             self.handle.registerTimer(key[-1])
-        values = (row["value"] for row in rows)
+        values = (value for row in rows for value in row["values"])
         for value in sorted(values, key=self.order) if self.order else values:
             held.append(value)
             if len(held) >= self.size:
@@ -80,14 +85,59 @@ def stateful_batches(stream: DataFrame, keys: list[str], value: str, size: int,
 
     All rows of a key and window pass one state, one after the other. A key that can be hot gets a shard number among ``keys``:
     the hash or remainder of something that differs between its rows, over as many shards as tasks shall share it.
+    The values go to the state in lists, since a state takes its rows one by one.
     """
-    value_type = stream.schema[value].dataType.simpleString()
-    narrow = stream.select(*keys, "window_end_ms", F.col(value).alias("value"))
-    return narrow.groupBy(*keys, "window_end_ms").transformWithState(
-        statefulProcessor=BatchBuffer(size, act, value_type, output.names, order), outputStructType=output,
+    value_type = stream.schema[value].dataType
+    narrow = stream.select(*keys, "window_end_ms", F.col(value).alias("values"))
+    fields = [*narrow.schema.fields[:-1], T.StructField("values", T.ArrayType(value_type))]
+    return narrow.mapInArrow(listed, T.StructType(fields)).groupBy(*keys, "window_end_ms").transformWithState(
+        statefulProcessor=BatchBuffer(size, act, value_type.simpleString(), output.names, order), outputStructType=output,
         outputMode="Append", timeMode="EventTime")
 
 
+def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of keys and a value, as rows of keys and a list of values in their order; lists and memory are bounded."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= CHUNK_ROWS or sum(b.nbytes for b in held) >= CHUNK_BYTES:
+            yield _lists(pa.Table.from_batches(held).combine_chunks())
+            held = []
+    if any(b.num_rows for b in held):
+        yield _lists(pa.Table.from_batches(held).combine_chunks())
+
+
+def _lists(rows: pa.Table) -> pa.RecordBatch:
+    *keys, values = (c.chunk(0) for c in rows.columns)
+    group = np.zeros(rows.num_rows, np.int64)
+    for key in keys:
+        try:
+            coded = key.dictionary_encode("encode")
+        except pa.ArrowNotImplementedError:  # nested keys: every row goes by itself
+            group = np.arange(rows.num_rows)
+            break
+        group = np.unique(group * len(coded.dictionary) + coded.indices.to_numpy(), return_inverse=True)[1]
+    order = np.argsort(group, kind="stable")
+    values = values.take(pa.array(order))
+    ends = [0, *(np.flatnonzero(np.diff(group[order])) + 1).tolist(), rows.num_rows]
+    cuts = [0]
+    for first, after in zip(ends, ends[1:], strict=False):
+        cuts.extend(_cuts(values, first, after))
+    starts = pa.array(order[cuts[:-1]])
+    lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), values)
+    return pa.RecordBatch.from_arrays([*(k.take(starts) for k in keys), lists], names=rows.column_names)
+
+
+def _cuts(values: pa.Array, first: int, after: int) -> Iterator[int]:
+    """Where the lists of a key's values end."""
+    n = after - first
+    if n == 1 or n <= LIST_ROWS and values.slice(first, n).nbytes <= LIST_BYTES:
+        yield after
+    else:
+        yield from _cuts(values, first, first + n // 2)
+        yield from _cuts(values, first + n // 2, after)
+
+
 class PaneProcessor(StatefulProcessor):
     """Sums per key and window, fired as EARLY, ON_TIME and LATE panes.
 

@@ -1,16 +1,19 @@
 """One call per batch, several at a time, retries, time limits, dead letters."""
 
+import datetime
+import decimal
 import os
 import threading
 import time
 import uuid
 from functools import partial
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.services import Caller, KeyedFiles, call_per_batch, write_keyed_files
+from millrace.operators.services import Caller, KeyedFiles, _requests, call_per_batch, write_keyed_files
 from tests.conftest import rows
 
 
@@ -105,6 +108,39 @@ def test_a_call_reads_a_row_group_per_key_and_keeps_the_last(spark, tmp_path):
     assert KeyedFiles(str(tmp_path / "texts"), "id", "v").ask(["v1", "v59999", "v", "w"]) == ["3", "179997", None, None]
 
 
+def test_days_and_decimals_are_looked_up(spark, tmp_path):
+    df = spark.range(100).select(F.expr("date_add(DATE'2024-01-01', CAST(id AS INT) * 2)").alias("d"), F.col("id").cast("decimal(12,2)").alias("amount"), "id")
+    for key, asked in (("d", [datetime.date(2024, 1, 3), datetime.date(2024, 1, 4), None]), ("amount", [decimal.Decimal("1.00"), decimal.Decimal("1.5"), None])):
+        write_keyed_files(df, key, "id", str(tmp_path / key))
+        assert KeyedFiles(str(tmp_path / key), key, "id").ask(asked) == [1, None, None]
+
+
+def test_a_call_waits_once_for_the_others(spark, tmp_path):
+    df = spark.range(60_000).select("id", F.concat(F.lit("v"), F.col("id").cast("string")).alias("v"))
+    write_keyed_files(df, "id", "v", str(tmp_path / "many"))
+    files, taken = KeyedFiles(str(tmp_path / "many"), "id", "v"), []
+    asked = list(range(0, 60_000, 5000))
+    files.ask(asked)
+
+    class Watched:
+        def __enter__(self):
+            taken.append(1)
+
+        def __exit__(self, *_):
+            pass
+
+    files.lock = Watched()
+    assert files.ask(asked) == [f"v{n}" for n in asked] and len(files.kept) >= 4 and len(taken) == 1
+
+
+def test_null_and_empty_requests():
+    kind = pa.list_(pa.struct([("n", pa.int64()), ("of", pa.list_(pa.string()))]))
+    given = [[{"n": 1, "of": ["a"]}], None, [], [{"n": None, "of": None}, {"n": 2, "of": []}], [None, {"n": 3, "of": None}]]
+    for first in (0, 1, 3):
+        for last in (4, 5):
+            assert list(_requests(pa.array(given, kind).slice(first, last - first))) == [r for r in given[first:last] if r]
+
+
 def test_answers_of_many_calls_leave_together(spark):
     df = spark.range(500).select(F.array(F.struct(F.col("id").alias("n"))).alias("asked")).coalesce(1)
     out = call_per_batch(df, "asked", Doubled, ask_doubled, T.LongType())

@@ -4,6 +4,7 @@ import os
 import time
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -244,6 +245,42 @@ def test_struct_values_are_kept_whole(spark, steps):
     assert sorted(r.n for r in got.where("array_contains(names, 'a|b')").collect()) == [3, 3]
 
 
+class CountedRows(st.BatchBuffer):
+    def handleInputRows(self, key, rows, timerValues):
+        taken = list(rows)
+        for out in super().handleInputRows(key, taken, timerValues):
+            yield type(out)(**{**out.asDict(), "why": f"{out.why} {len(taken)}"})
+
+
+def test_values_reach_the_state_in_lists(spark, steps, monkeypatch):
+    steps.add(*[("ab"[i % 2], i, 0) for i in range(3000)]).add(("-", 0, 99))
+    monkeypatch.setattr(st, "BatchBuffer", CountedRows)
+    windows = st.keyed_windows(steps.stream(spark), "ts", "2 seconds")
+    out = run_to_table(st.stateful_batches(windows, ["key"], "value", 500, batch_rows, BATCHES), "lists").where("key <> '-'").collect()
+    assert sorted(v for r in out for v in r["values"]) == list(range(3000)) and len(out) == 6
+    assert all(int(r.why.split()[1]) <= 16 for r in out)
+
+
+@pytest.mark.parametrize("nested", [False, True])
+def test_lists_hold_every_value_once_and_in_order(nested):
+    def keys(i):
+        a = None if i % 5 == 0 else f"k{i % 3}"
+        return ([a], i % 2) if nested else (a, i % 2)
+
+    given = [(*keys(i), None if i % 7 == 0 else "x" * (30_000 if i % 211 == 0 else 3) + str(i)) for i in range(20_000)]
+    kinds = pa.schema([("a", pa.list_(pa.string()) if nested else pa.string()), ("b", pa.int64()), ("values", pa.string())])
+    table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*given, strict=True), kinds, strict=True)], schema=kinds)
+    out = [r for b in st.listed(iter(table.to_batches(1000))) for r in b.to_pylist()]
+    expected, got = {}, {}
+    for a, b, v in given:
+        expected.setdefault((str(a), b), []).append(v)
+    for r in out:
+        got.setdefault((str(r["a"]), r["b"]), []).extend(r["values"])
+        assert len(r["values"]) == 1 or len(r["values"]) <= st.LIST_ROWS and sum(len(v or "") for v in r["values"]) <= st.LIST_BYTES
+    assert got == expected and (nested or len(out) < 400)
+    assert not list(st.listed(iter(table.slice(0, 0).to_batches()))) and not list(st.listed(iter([])))
+
+
 def test_messages_without_the_attribute_are_no_copies(spark, tmp_path):
     sent = [("x", {"id": "1"}, "m1"), ("x", {"id": "1"}, "m2"), ("y", {"id": ""}, "m3"), ("y", {}, "m4"), ("y", None, "m5"), ("y", {}, "m5"),
             ("z", {"id": "m4"}, "m6"), ("w", {}, None), ("w", {}, None)]
