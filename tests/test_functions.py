@@ -128,3 +128,67 @@ def test_a_document_is_parsed_once_for_all_fields(spark, tmp_path):
     found = QUERIES["xml_xpath_extract"](spark, str(tmp_path))
     assert found._jdf.queryExecution().optimizedPlan().toString().count("from_xml(") == 1
     assert [tuple(r) for r in found.collect()] == [(7, "Admin", 5, 99 + 3 + 35000, 3 * 7 + 306)]
+
+
+def staff(basic="5", id="7", name="HR"):
+    return f'<staff id="{id}" dep_name="{name}"><salary><basic>{basic}</basic></salary></staff>'
+
+
+def packed(*texts):
+    return [(None if x is None else bytearray(gzip.compress(x.encode())),) for x in texts]
+
+
+PLAIN_COLLEGES = [
+    f'<college id="1">{staff()}{staff("70")}</college>', '<college id="-12"></college>', f'<college id="007">{staff("-003", "-9", "A > b/c-=")}</college>',
+    f'<college id="1">{staff("9" * 18)}</college>', f'<college id="1">{staff(name="")}</college>']
+OTHER_COLLEGES = [
+    COLLEGE, f"<college>{staff()}</college>", f'<college id="1">{staff(name="Ä")}</college>', f'<college id="1">{staff(name="a &amp; b")}</college>',
+    f'<college id="1">{staff(" 5 ")}</college>', f'<college id="1">{staff("+5")}</college>', f'<college id="1"><!-- {staff()} -->{staff("6")}</college>',
+    '<college id="1"><staff id="2"><salary><basic>3</basic></salary><salary><basic>4</basic></salary></staff></college>',
+    "<college id='1'><staff dep_name='x' id='2'><salary><basic><![CDATA[5]]></basic></salary></staff></college>",
+    '<college id="1"><staff id="2" dep_name="x"><salary><basic></basic></salary></staff></college>',
+    '<college id="1"><staff id="2" dep_name="x"><salary><basic/></salary></staff></college>',
+    f'<college id="1"><hall>{staff()}</hall>{staff("8")}</college>', f'<college id="1">{staff()}text</college>',
+    f'<college id="1">{staff(str(2**63 - 1))}</college>', "<college id='1'><staff id='2'/><staff/></college>"]
+
+
+def test_packed_salary_sums_are_those_of_the_parse(frame):
+    colleges = PLAIN_COLLEGES + OTHER_COLLEGES
+    df = frame(packed("\n".join(colleges[:7]), "", "x".join(colleges[7:]), None, "none", *colleges), "p binary")
+    parsed = F.transform(payload.split_documents(payload.gunzip_text(F.col("p")), "college"), lambda d: payload.basic_salary_sum(payload.parse_college(d)))
+    found = df.select(payload.packed_salary_sums(F.col("p")).alias("a"), F.coalesce(parsed, F.array()).alias("b")).collect()
+    assert [r["a"] for r in found] == [r["b"] for r in found]
+    assert [r["a"] for r in found[5:9]] == [[75], [0], [-3], [10**18 - 1]]
+    singles = frame(packed(*colleges, f" {colleges[0]}\n", f'<?xml version="1.0"?>{colleges[0]}', None), "p binary")
+    both = singles.select(payload.packed_salary_sum(F.col("p")).alias("a"),
+                          payload.basic_salary_sum(payload.parse_college(payload.gunzip_text(F.col("p")))).alias("b")).collect()
+    assert [r["a"] for r in both] == [r["b"] for r in both]
+
+
+def test_plain_documents_are_read_where_they_are_unpacked():
+    assert [payload.plain_salary_sum(x) for x in PLAIN_COLLEGES] == [75, 0, -3, 10**18 - 1, 5]
+    assert [payload.plain_salary_sum(x) for x in OTHER_COLLEGES] == [None] * len(OTHER_COLLEGES)
+
+
+@pytest.mark.parametrize("broken", [
+    f'<college id="x">{staff()}</college>', f'<college id="{2**31}">{staff()}</college>', f'<college id="1">{staff(id="a")}</college>',
+    f'<college id="1">{staff("many")}</college>', f'<college id="1">{staff()}<staff></college>', f'<college id="1"><college id="1">{staff()}</college>'])
+def test_broken_documents_are_refused(frame, broken):
+    df = frame(packed(PLAIN_COLLEGES[0] + broken), "p binary")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        df.select(payload.packed_salary_sums(F.col("p"))).collect()
+
+
+def test_documents_are_split_alike(frame):
+    texts = ["<college>a</college><college >b</college>", "<colleges>x</colleges><college\nid='1'>\n</college>c", "<college/><college /></college>", "none",
+             "<college id='>'></college></college>", "<college><college>a</college></college>", "<college\u00a0>a</college><college\x0b>b</college>", "<college>"]
+    split = frame([(x,) for x in texts], "x string").select(payload.split_documents(F.col("x"), "college")).collect()
+    assert [list(payload.college_documents(x)) for x in texts] == [r[0] for r in split]
+
+
+def test_payloads_are_packed_and_read_in_one_call(spark, tmp_path):
+    spark.sql("SELECT id AS o_orderkey, 3L AS o_custkey, 99.5D AS o_totalprice, DATE'2024-01-01' AS o_orderdate FROM range(5)").write.parquet(
+        f"{tmp_path}/orders.parquet")
+    found = QUERIES["xml_multi_sum"](spark, str(tmp_path))
+    assert found._jdf.queryExecution().sparkPlan().toString().count("ArrowEvalPython") == 1
+    assert tuple(found.first()) == (5 * (3 * (99 + 3 + 35000) + 3), 15)
