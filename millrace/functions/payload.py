@@ -25,12 +25,12 @@ COLLEGE_SCHEMA = (
 @F.arrow_udf(T.BinaryType())
 def gzip(payload: pa.Array) -> pa.Array:
     """Compress; equal input gives equal bytes."""
-    return pa.array([None if b is None else _gzip.compress(b, compresslevel=6, mtime=0) for b in payload.to_pylist()], pa.binary())
+    return pa.array([None if b is None else _gzip.compress(b, compresslevel=6, mtime=0) for b in payload.to_numpy(zero_copy_only=False)], pa.binary())
 
 
 @F.arrow_udf(T.BinaryType())
 def gunzip(payload: pa.Array) -> pa.Array:
-    return pa.array([None if b is None else _gzip.decompress(b) for b in payload.to_pylist()], pa.binary())
+    return pa.array([None if b is None else _gzip.decompress(b) for b in payload.to_numpy(zero_copy_only=False)], pa.binary())
 
 
 def gunzip_text(payload: Column) -> Column:
@@ -101,7 +101,7 @@ def _read_payloads(payload: pa.Array, documents: Callable[[str], Iterable[str]])
     sums: list[int | None] = []
     others: list[str | None] = []
     ends = [0]
-    for packed in payload.to_pylist():
+    for packed in payload.to_numpy(zero_copy_only=False):
         for xml in () if packed is None else documents(_gzip.decompress(packed).decode()):
             salary = plain_salary_sum(xml)
             sums.append(salary)

@@ -165,7 +165,7 @@ def stream_xml_window_sum(t: Tables) -> DataFrame:
     packed = spread_orders(t).select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("ts"),
                                 pl.gzip(F.encode(college_of_order(), "UTF-8")).alias("payload"))
     packed.write.parquet(path)
-    salary = pl.basic_salary_sum(pl.parse_college(pl.gunzip_text(F.col("payload"))))
+    salary = pl.packed_salary_sum(F.col("payload"))
     layouts = {"plain": None, "salted": F.pmod("o_orderkey", F.lit(10))}
     done = []
     for name, salt in layouts.items():
